@@ -245,7 +245,8 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         F.struct(F.lit(0).alias("_end"), F.col("_lo_rank").alias("_rank")),
         F.struct(F.lit(1).alias("_end"), F.col("_hi_rank").alias("_rank")))).alias("e")).select(
         *g, "q_idx", "e._end", "e._rank")
-    hit = ranked.join(F.broadcast(ends) if few_groups else ends, g).where(
+    ends_b = F.broadcast(ends) if few_groups else ends
+    hit = (ranked.join(ends_b, g) if g else ranked.crossJoin(ends_b)).where(
         (F.col("_c_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_c_before") + F.col("_c")))
     pv = hit.groupBy(*g, "q_idx").agg(
         F.max(F.when(F.col("_end") == 0, F.col("_v"))).alias("_lo_v"),
