@@ -29,7 +29,7 @@ def prior_history(df: DataFrame, key: str, order_cols: Sequence[str],
         w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return df.select(
             "*", F.count(F.lit(1)).over(w).cast("int").alias(count_name),
-            *[F.coalesce(F.sum(src).over(w), F.lit(0)).cast("int").alias(name)
+            *[F.coalesce(F.sum(src).over(w), F.lit(0)).alias(name)
               for name, src in outcomes.items()])
 
     srcs = list(outcomes.items())
@@ -50,7 +50,7 @@ def prior_history(df: DataFrame, key: str, order_cols: Sequence[str],
     return j.select(
         *df.columns,
         (F.col("_n_loc") + F.col("_n_off")).cast("int").alias(count_name),
-        *[(F.col(f"_s{i}_loc") + F.col(f"_s{i}_off")).cast("int").alias(name)
+        *[(F.col(f"_s{i}_loc") + F.col(f"_s{i}_off")).alias(name)
           for i, (name, _) in enumerate(srcs)])
 
 
@@ -89,3 +89,49 @@ def episode_gap_check(df: DataFrame, min_days: int = 30, key: str = "cust_id",
         F.count_if(F.col("gap_days") < min_days).cast("long").alias("n_violations"),
         F.min("gap_days").cast("long").alias("min_gap_days"),
         F.count_if(F.col("gap_days") == 0).cast("long").alias("n_same_day"))
+
+
+def activity_window(events: DataFrame, window_seconds: int = 30 * 86400, user: str = "user_id",
+                    ts: str = "ts", event_id: str = "event_id", type_col: str = "event_type",
+                    value_col: str = "value", types: list[str] | None = None,
+                    bucket_seconds: int = 86400) -> DataFrame:
+    """Trailing-window activity per event (W3): for each event at time t, the same
+    user's events with t - W <= ts < t (the event itself excluded).
+
+    Sweep formulation: every event contributes +1 at ts and -1 at ts + W, and the
+    anchor sums the contributions strictly before it. That is a running sum, run
+    with `prior_history` per (user, time bucket) plus carried bucket totals, so a
+    user owning a large share of events is split across buckets and tasks.
+    Outputs total count, per-type counts, distinct types (types with a positive
+    count) and the value sum.
+    """
+    if types is None:
+        found = [r[0] for r in events.select(type_col).distinct().limit(257).collect() if r[0] is not None]
+        if len(found) > 256:
+            raise ValueError("too many event types for per-type window counters")
+        types = sorted(found)
+    secs = F.unix_micros(F.col(ts).cast("timestamp"))
+    w_us = window_seconds * 1_000_000
+    base = events.select(F.col(event_id).alias("_eid"), F.col(user).alias("_u"), secs.alias("_t"),
+                         F.col(type_col).alias("_ty"), F.col(value_col).cast("double").alias("_v"))
+    weights = {"_w_n": F.lit(1)}
+    for i, t in enumerate(types):
+        weights[f"_w_t{i}"] = (F.col("_ty") == t).cast("int")
+    weights["_w_v"] = F.coalesce(F.col("_v"), F.lit(0.0))
+
+    def rows(kind: int, sign: int, shift: int):
+        return base.select("_eid", "_u", (F.col("_t") + shift).alias("_time"), F.lit(kind).alias("_kind"),
+                           *[(w * sign).alias(k) for k, w in weights.items()])
+    anchors = base.select("_eid", "_u", F.col("_t").alias("_time"), F.lit(0).alias("_kind"),
+                          *[F.lit(0).cast("double" if k == "_w_v" else "int").alias(k) for k in weights])
+    stream = anchors.unionByName(rows(1, 1, 0)).unionByName(rows(1, -1, w_us))
+    bucket = F.floor(F.col("_time") / (bucket_seconds * 1_000_000))
+    out = prior_history(stream, key="_u", order_cols=["_time", "_kind", "_eid"],
+                        outcomes={f"s{k}": k for k in weights}, count_name="_rows", bucket=bucket)
+    a = out.where(F.col("_kind") == 0)
+    type_cols = [F.col(f"s_w_t{i}").cast("long").alias(f"n_{t}_30d") for i, t in enumerate(types)]
+    distinct = sum((F.col(f"s_w_t{i}") > 0).cast("int") for i in range(len(types))) if types else F.lit(0)
+    return a.select(F.col("_eid").alias(event_id), F.col("_u").alias(user),
+                    F.col("s_w_n").cast("long").alias("n_events_30d"), *type_cols,
+                    distinct.cast("long").alias("distinct_types_30d"),
+                    F.col("s_w_v").alias("value_sum_30d"))

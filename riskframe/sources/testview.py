@@ -112,6 +112,8 @@ def episodes(spark: SparkSession, sf_dir: str, with_score: bool = True) -> DataF
                                    "prior_rolled_past_30d_count": "defaulted_30d"},
                          count_name="prior_overdraw_count",
                          bucket=F.trunc("draw_date", "month"))
+    hist = hist.withColumns({c: F.col(c).cast("int") for c in
+                             ("prior_cleared_within_24h_count", "prior_rolled_past_30d_count")})
     out = hist.withColumn("split", split_expr(TEST_VAL_CUTOFF, TEST_OOT_CUTOFF))
     if with_score:
         out = out.withColumn("score", fixed_score())
