@@ -38,3 +38,47 @@ def evaluate_scores(scored: DataFrame, configured: float = C.CONFIGURED_THRESHOL
     allm = auc.unionByName(ap).unionByName(brier).unionByName(rate).select(
         F.lit("all").alias("operating_point"), "metric", round_dp("value", 6).alias("value"))
     return allm.unionByName(ops.select("operating_point", "metric", round_dp("value", 6).alias("value")))
+
+
+def train_pipeline(episodes: DataFrame, cfg: C.TrainingConfig = C.TrainingConfig(),
+                   split_col: str = "split") -> dict[str, DataFrame]:
+    """End-to-end training flow (M7): fit on train, choose trees and calibrate on val,
+    choose the min-cost threshold on val (calibrated), grade on OOT only.
+
+    Returns result tables: metrics (long form), fairness audit, model gate
+    checks, per-iteration validation loss, importances and the OOT scores.
+    Only one scalar (the deployment threshold) is brought to the driver.
+    """
+    from ..operators import fairness, features, gates, model
+    from ..session import materialize
+    feats = features.build_features(episodes, validate=False, keys=(C.KEY_COL, split_col))
+    train = feats.where(F.col(split_col) == "train")
+    val = feats.where(F.col(split_col) == "val")
+    fitted = model.train_gbt(train, val, cfg.gbt)
+    raw = materialize(model.raw_scores(fitted.model, feats))
+    cal = model.fit_isotonic(raw.where(F.col(split_col) == "val"))
+    scored = model.calibrate(cal, raw).withColumn("label", F.col(C.TARGET_COL))
+    dep_row = cost.min_cost_threshold(scored.where(F.col(split_col) == "val"), cfg.cost).first()
+    dep = float(dep_row["threshold"]) if dep_row else cfg.threshold
+    metrics_long = evaluate_scores(scored, cfg.threshold, cfg.cost)
+    spark = episodes.sparkSession
+    auc_split = metrics.roc_auc(scored.withColumn("score", F.col("raw_score")), group_cols=[split_col])
+    extra = auc_split.select(F.lit("train_val_check").alias("operating_point"),
+                             F.concat(F.col(split_col), F.lit("_auc")).alias("metric"),
+                             round_dp("auc", 6).alias("value"))
+    it = spark.createDataFrame([("train_val_check", "best_iteration", float(fitted.best_iteration)),
+                                ("deployment", "bayes_optimal_threshold",
+                                 float(round(cfg.cost.cost_fp / (cfg.cost.cost_fp + cfg.cost.cost_fn), 6)))],
+                               "operating_point string, metric string, value double")
+    oot = scored.join(episodes.select(C.KEY_COL, "tenure_months", "crb_flagged").alias("m"), C.KEY_COL) \
+        if "tenure_months" not in scored.columns else scored
+    oot = oot.where(F.col(split_col) == "oot")
+    fair = fairness.fairness_audit(oot, dep)
+    checks = gates.validate_model(scored.withColumn("score", F.col("score")), dep, cfg.validation,
+                                  fitted.feature_cols)
+    losses = spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(fitted.val_losses)],
+                                   "iteration int, val_logloss double")
+    return {"metrics": metrics_long.unionByName(extra).unionByName(it), "fairness": fair,
+            "validation": checks, "val_losses": losses,
+            "importance": model.feature_importance(fitted.model, fitted.feature_cols),
+            "scores": scored, "model": fitted, "calibrator": cal, "threshold": dep}
