@@ -192,14 +192,36 @@ def channel_summary(df: DataFrame, col: str = "channel", target: str = C.TARGET_
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson matrix in long form (E17): every pair's moments in ONE
-    aggregate row; a constant column gives null (pandas NaN)."""
+    """Pairwise-complete Pearson matrix in long form.
+
+    Two passes like pandas: column means and null counts (one small aggregate),
+    then sums of centred cross-products for every pair in ONE aggregate row.
+    Columns without nulls share their means; a pair involving a column with
+    nulls falls back to the masked moment form. A constant column gives null.
+    """
     cols = list(cols)
+    x = {c: F.col(c).cast("double") for c in cols}
+    first = df.agg(*[F.count_if(x[c].isNull()).alias(f"z{i}") for i, c in enumerate(cols)],
+                   *[F.avg(x[c]).alias(f"m{i}") for i, c in enumerate(cols)])
+    stats = first.first()
+    nullable = {c for i, c in enumerate(cols) if stats[f"z{i}"] > 0}
+    means = {c: F.lit(stats[f"m{i}"]) for i, c in enumerate(cols)}
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    row = df.agg(*[pearson_expr(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    aggs = []
+    for i, (a, b) in enumerate(pairs):
+        if a in nullable or b in nullable:
+            aggs.append(pearson_expr(x[a], x[b]).alias(f"r{i}"))
+        else:
+            aggs.append(F.sum((x[a] - means[a]) * (x[b] - means[b])).alias(f"s{i}"))
+    row = df.agg(*aggs)
+    idx = {p: i for i, p in enumerate(pairs)}
     structs = []
     for i, (a, b) in enumerate(pairs):
-        r = F.col(f"r{i}")
+        if a in nullable or b in nullable:
+            r = F.col(f"r{i}")
+        else:
+            saa, sbb = F.col(f"s{idx[(a, a)]}"), F.col(f"s{idx[(b, b)]}")
+            r = F.when((saa > 0) & (sbb > 0), F.col(f"s{i}") / F.sqrt(saa * sbb))
         if a == b:
             r = F.when(r.isNotNull(), F.lit(1.0))
         structs.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), r.alias("r")))

@@ -5,6 +5,8 @@ samples or caps rows except where the cap is the feature (top-k, sampling).
 """
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from .. import config as C
 from ..operators import drift, features, quality
 from ..sources.testview import episodes, with_episodes
 from . import oracle_sql as O
-from ..session import materialize
+from ..session import scratch_path
 from .registry import normalize, register
 
 EP_COLS = (["loan_id", "cust_id", "draw_date", "county", "channel", "product_code"]
@@ -21,10 +23,26 @@ RAW = C.RAW_FEATURE_COLUMNS
 FEATS = C.FEATURE_COLUMNS
 
 
+_EP_TABLES: dict[tuple[str, str], str] = {}
+
+
 def ep(spark: SparkSession, sf: str, materialized: bool = True) -> DataFrame:
-    """Episode table; checkpointed once per query because most plans read it in several branches."""
-    e = episodes(spark, sf)
-    return materialize(e) if materialized else e
+    """Episode table over the driver tables.
+
+    Built once per dataset and written as a Parquet table partitioned by split
+    in the shared checkpoint folder; every query then reads that table, so the
+    expensive part (lineitem aggregation, joins, history windows) runs once and
+    reads keep column pruning and split-partition pruning.
+    """
+    if not materialized:
+        return episodes(spark, sf)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf))
+    path = _EP_TABLES.get(key)
+    if path is None:
+        path = scratch_path(spark, "episodes")
+        episodes(spark, sf).write.partitionBy("split").parquet(path)
+        _EP_TABLES[key] = path
+    return spark.read.parquet(path)
 
 
 def feats(spark: SparkSession, sf: str, split: str | None = None, keys=("loan_id",)) -> DataFrame:

@@ -70,10 +70,10 @@ def _psi_stream_query(spark, sf, window: str, slide: str | None):
     ref = table(spark, sf, "events").where(F.col("ts") < F.lit(REF_END).cast("timestamp_ntz")) \
         .select(F.col("value").cast("double").alias("value"))
     edges, props = S.reference_bins(ref, "value")
-    src = S.file_stream(spark, _event_files(spark, sf), max_files=1).withColumn("ts", F.col("ts").cast("timestamp"))
+    src = S.file_stream(spark, _event_files(spark, sf), max_files=4).withColumn("ts", F.col("ts").cast("timestamp"))
     out, ckpt = S.scratch(spark, "psi")
     S.psi_stream(src, edges, props, out, ckpt, "value", window, slide)
-    return spark.read.parquet(out)
+    return S.psi_from_counts(spark.read.parquet(f"{out}/counts"), props)
 
 
 def _psi_sql(win_days: int) -> str:

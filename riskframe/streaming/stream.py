@@ -100,8 +100,9 @@ def psi_stream(src: DataFrame, edges: DataFrame, ref_props: DataFrame, out: str,
     """ST3/ST4: windowed bin counts with a watermark; PSI per window vs the reference.
 
     Complete output mode makes every trigger deliver the full (windows x bins)
-    result, so the final snapshot equals the batch computation; the state is
-    bounded by windows x bins, not by rows.
+    result; each trigger overwrites the `counts` snapshot (idempotent on replay),
+    so the final snapshot equals the batch computation. The state is bounded by
+    windows x bins, not by rows. `psi_from_counts` turns a snapshot into PSI rows.
     """
     x = F.col(value_col)
     k = F.size("edges") - 1
@@ -112,25 +113,29 @@ def psi_stream(src: DataFrame, edges: DataFrame, ref_props: DataFrame, out: str,
     binned = (src.withWatermark("ts", watermark).where(x.isNotNull()).crossJoin(F.broadcast(edges))
               .withColumn("bin", F.when(inside, idx)))
     counts = binned.groupBy(w.alias("w"), "bin").agg(F.count(F.lit(1)).alias("cur_n"))
-    props = F.broadcast(ref_props)
+    run_available(counts.writeStream.outputMode("complete")
+                  .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/counts"))
+                  .option("checkpointLocation", ckpt))
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        c = batch.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "bin", "cur_n")
-        wins = c.select("window_start", "window_end").distinct()
-        n_all = c.groupBy("window_start", "window_end").agg(
-            F.sum("cur_n").alias("n_cur"), F.sum(F.when(F.col("bin").isNull(), F.col("cur_n")).otherwise(0))
-            .alias("n_out_of_range"))
-        grid = wins.crossJoin(props)
-        full = grid.join(c.where(F.col("bin").isNotNull()), ["window_start", "window_end", "bin"], "left") \
-            .fillna(0, ["cur_n"])
-        tot = full.groupBy("window_start", "window_end").agg(F.sum("cur_n").alias("ct"))
-        t = full.join(tot, ["window_start", "window_end"]).withColumn(
-            "cp", F.greatest(F.col("cur_n") / F.greatest("ct", F.lit(1)), F.lit(C.PSI_FLOOR)))
-        psi = t.groupBy("window_start", "window_end").agg(
-            round_dp(F.sum((F.col("cp") - F.col("rp")) * F.log(F.col("cp") / F.col("rp"))), 4).alias("psi"))
-        res = psi.join(n_all, ["window_start", "window_end"]).withColumn("status", drift_status(F.col("psi")))
-        res.write.mode("overwrite").parquet(out)
-    run_available(counts.writeStream.outputMode("complete").foreachBatch(sink).option("checkpointLocation", ckpt))
+
+def psi_from_counts(counts: DataFrame, ref_props: DataFrame) -> DataFrame:
+    """PSI per window from (w, bin, cur_n) window counts and reference proportions.
+
+    The inputs are windows x bins and bins rows -- small tables whatever the stream rate.
+    """
+    c = counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "bin", "cur_n")
+    wins = c.select("window_start", "window_end").distinct()
+    n_all = c.groupBy("window_start", "window_end").agg(
+        F.sum("cur_n").alias("n_cur"), F.sum(F.when(F.col("bin").isNull(), F.col("cur_n")).otherwise(0))
+        .alias("n_out_of_range"))
+    full = wins.crossJoin(F.broadcast(ref_props)).join(
+        c.where(F.col("bin").isNotNull()), ["window_start", "window_end", "bin"], "left").fillna(0, ["cur_n"])
+    tot = full.groupBy("window_start", "window_end").agg(F.sum("cur_n").alias("ct"))
+    t = full.join(tot, ["window_start", "window_end"]).withColumn(
+        "cp", F.greatest(F.col("cur_n") / F.greatest("ct", F.lit(1)), F.lit(C.PSI_FLOOR)))
+    psi = t.groupBy("window_start", "window_end").agg(
+        round_dp(F.sum((F.col("cp") - F.col("rp")) * F.log(F.col("cp") / F.col("rp"))), 4).alias("psi"))
+    return psi.join(n_all, ["window_start", "window_end"]).withColumn("status", drift_status(F.col("psi")))
 
 
 def alerts(psi_rows: DataFrame) -> DataFrame:
