@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from ..functions.prims import round_dp, check_row, checks_frame, fmt_num
+from ..functions.prims import checks_frame
 
 # Stage offsets keep check_seq ordered like the reference's report:
 # schema -> missing -> drift -> leakage -> target -> point-in-time.
@@ -36,83 +36,91 @@ def _is_numeric(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, T.NumericType)
 
 
-def _range_pred(c: str, lo: float, hi: float) -> Column:
-    col = F.col(c)
-    parts = []
-    if math.isfinite(lo):
-        parts.append(col < lo)
-    if math.isfinite(hi):
-        parts.append(col > hi)
-    if not parts:
-        return F.lit(False)
-    p = parts[0]
-    for q in parts[1:]:
-        p = p | q
-    return p
+def q(text: str) -> str:
+    """Spark SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _keep(seq: int, keep: Column, row: Column) -> Column:
-    return F.struct(F.lit(seq).alias("_seq"), keep.alias("_keep"), row.alias("_row"))
+def rnd(e: str, dp: int) -> str:
+    """SQL text of `prims.round_dp` (round half up on the binary value)."""
+    k = f"{float(10 ** dp)!r}D"
+    return f"(CASE WHEN abs({e}) < 1e12D THEN floor(({e}) * {k} + 0.5D) / {k} ELSE round({e}, {dp}) END)"
 
 
-def _explode_kept(agg_row: DataFrame, cands: list[Column]) -> DataFrame:
-    if not cands:
-        return checks_frame(agg_row, [])
-    arr = F.filter(F.array(*cands), lambda s: s["_keep"])
-    return agg_row.select(F.explode(arr).alias("s")).select("s._row.*")
+def fmt(e: str, dp: int) -> str:
+    return f"format_string('%.{dp}f', {e})"
+
+
+def row_sql(seq, name: str, passed: str, sev: str, value: str, limit: str, msg: str) -> str:
+    """SQL text of one check-row struct (schema of prims.CHECK_SCHEMA)."""
+    return (f"named_struct('check_seq', CAST({seq} AS INT), 'name', CAST({name} AS STRING), "
+            f"'passed', CAST({passed} AS BOOLEAN), 'severity', CAST({sev} AS STRING), "
+            f"'value', CAST({value} AS DOUBLE), 'limit', CAST({limit} AS DOUBLE), 'message', CAST({msg} AS STRING))")
+
+
+def lit_num(x) -> str:
+    return "NULL" if x is None else f"{float(x)!r}D"
 
 
 # ------------------------------------------------------------------ plans
 class _Plan:
-    """Aggregate columns + candidate check rows for one rule set."""
+    """Aggregates and candidate check rows of a rule set, kept as Spark SQL text.
+
+    Text keeps the plan construction to a couple of JVM calls however many
+    rules there are; the aggregate is still one pass over the data.
+    """
 
     def __init__(self):
-        self.aggs: list[Column] = []
-        self.cands: list[Column] = []
-        self._i = 0
+        self.aggs: list[str] = []
+        self.cands: list[str] = []
+
+    def agg(self, expr: str) -> str:
+        name = f"a{len(self.aggs)}"
+        self.aggs.append(f"{expr} AS {name}")
+        return name
 
-    def agg(self, expr: Column) -> Column:
-        name = f"a{self._i}"
-        self._i += 1
-        self.aggs.append(expr.alias(name))
-        return F.col(name)
+    def add(self, keep: str, row: str) -> None:
+        self.cands.append(f"named_struct('_keep', {keep}, '_row', {row})")
+
+
+def col_ref(c: str) -> str:
+    return f"`{c}`"
 
 
 def _schema_checks(p: _Plan, df: DataFrame, rules: Sequence[C.ColumnRule]) -> None:
     expected = {r.name for r in rules}
     missing = sorted(expected - set(df.columns))
     if missing:
-        p.cands.append(_keep(SEQ_SCHEMA, F.lit(True), check_row(
-            SEQ_SCHEMA, "schema.missing_columns", F.lit(False), "error", float(len(missing)), 0.0,
-            f"Missing required columns: {missing}")))
+        p.add("true", row_sql(SEQ_SCHEMA, q("schema.missing_columns"), "false", q("error"),
+                              lit_num(len(missing)), "0.0D", q(f"Missing required columns: {missing}")))
     else:
-        p.cands.append(_keep(SEQ_SCHEMA, F.lit(True), check_row(
-            SEQ_SCHEMA, "schema.missing_columns", F.lit(True), "info", 0.0, 0.0,
-            "All required columns present")))
+        p.add("true", row_sql(SEQ_SCHEMA, q("schema.missing_columns"), "true", q("info"), "0.0D", "0.0D",
+                              q("All required columns present")))
     seq = SEQ_SCHEMA
     for r in rules:
         if r.name not in df.columns:
             continue
+        c = col_ref(r.name)
         if r.min_val is not None or r.max_val is not None:
             seq += 1
             lo = r.min_val if r.min_val is not None else -math.inf
             hi = r.max_val if r.max_val is not None else math.inf
-            n = p.agg(F.count_if(_range_pred(r.name, lo, hi)))
-            ok = n == 0
+            conds = ([f"{c} < {lo!r}D"] if math.isfinite(lo) else []) + ([f"{c} > {hi!r}D"] if math.isfinite(hi) else [])
+            n = p.agg(f"count_if({' OR '.join(conds) or 'false'})")
             bounds = f"[{_num_text(lo)}, {_num_text(hi)}]"
-            msg = F.when(ok, F.lit(f"{r.name}: all values in {bounds}")).otherwise(
-                F.concat(F.lit(f"{r.name}: "), n.cast("string"), F.lit(f" value(s) outside {bounds}")))
-            p.cands.append(_keep(seq, F.lit(True), check_row(
-                seq, f"schema.range.{r.name}", ok, F.when(ok, "info").otherwise("error"), n, None, msg)))
+            msg = (f"CASE WHEN {n} = 0 THEN {q(r.name + ': all values in ' + bounds)} ELSE "
+                   f"concat({q(r.name + ': ')}, CAST({n} AS STRING), {q(' value(s) outside ' + bounds)}) END")
+            p.add("true", row_sql(seq, q(f"schema.range.{r.name}"), f"{n} = 0",
+                                  f"CASE WHEN {n} = 0 THEN 'info' ELSE 'error' END", n, "NULL", msg))
         if r.allowed_values is not None:
             seq += 1
-            n = p.agg(F.count_if(~F.coalesce(F.col(r.name).isin(*r.allowed_values), F.lit(False))))
-            ok = n == 0
+            vals = ", ".join(repr(v) for v in r.allowed_values)
+            n = p.agg(f"count_if(NOT coalesce({c} IN ({vals}), false))")
             allowed = "[" + ", ".join(str(v) for v in r.allowed_values) + "]"
-            msg = F.when(ok, F.lit(f"{r.name}: all values in allowed set")).otherwise(
-                F.concat(F.lit(f"{r.name}: "), n.cast("string"), F.lit(f" value(s) not in allowed set {allowed}")))
-            p.cands.append(_keep(seq, F.lit(True), check_row(
-                seq, f"schema.allowed_values.{r.name}", ok, F.when(ok, "info").otherwise("error"), n, None, msg)))
+            msg = (f"CASE WHEN {n} = 0 THEN {q(r.name + ': all values in allowed set')} ELSE "
+                   f"concat({q(r.name + ': ')}, CAST({n} AS STRING), {q(' value(s) not in allowed set ' + allowed)}) END")
+            p.add("true", row_sql(seq, q(f"schema.allowed_values.{r.name}"), f"{n} = 0",
+                                  f"CASE WHEN {n} = 0 THEN 'info' ELSE 'error' END", n, "NULL", msg))
 
 
 def _missing_checks(p: _Plan, df: DataFrame, rules: Sequence[C.ColumnRule]) -> None:
@@ -124,20 +132,15 @@ def _missing_checks(p: _Plan, df: DataFrame, rules: Sequence[C.ColumnRule]) -> N
             continue
         seq += 1
         lim = by_name[c].max_missing_rate
-        rate = p.agg(F.avg(F.col(c).isNull().cast("double")))
-        bad = F.coalesce(rate > lim, F.lit(False))
+        rate = p.agg(f"avg(CAST({col_ref(c)} IS NULL AS DOUBLE))")
+        bad = f"coalesce({rate} > {lim!r}D, false)"
         fails.append(bad)
-        sev = F.when(rate > C.MISSING_ERROR_RATE, "error").otherwise("warning")
-        msg = F.concat(F.lit(f"{c}: missing rate "), fmt_num(round_dp(rate, 6), 6),
-                       F.lit(f" exceeds allowed {lim}"))
-        p.cands.append(_keep(seq, bad, check_row(seq, f"missing.{c}", F.lit(False), sev,
-                                                 round_dp(rate, 6), lim, msg)))
-    none_failed = F.lit(True)
-    for b in fails:
-        none_failed = none_failed & ~b
-    p.cands.append(_keep(SEQ_MISSING + 999, none_failed, check_row(
-        SEQ_MISSING + 999, "missing.all_columns", F.lit(True), "info", None, None,
-        "All columns within expected missingness bounds")))
+        sev = f"CASE WHEN {rate} > {C.MISSING_ERROR_RATE!r}D THEN 'error' ELSE 'warning' END"
+        msg = f"concat({q(c + ': missing rate ')}, {fmt(rnd(rate, 6), 6)}, {q(f' exceeds allowed {lim}')})"
+        p.add(bad, row_sql(seq, q(f"missing.{c}"), "false", sev, rnd(rate, 6), lit_num(lim), msg))
+    none_failed = " AND ".join(f"NOT {b}" for b in fails) or "true"
+    p.add(none_failed, row_sql(SEQ_MISSING + 999, q("missing.all_columns"), "true", q("info"), "NULL", "NULL",
+                               q("All columns within expected missingness bounds")))
 
 
 def leakage_columns(df: DataFrame, rules: Sequence[C.ColumnRule], target: str) -> list[str]:
@@ -154,67 +157,70 @@ def pearson_expr(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
 
 
+def pearson_sql(x: str, y: str) -> str:
+    """SQL text of `pearson_expr`."""
+    xm = f"CASE WHEN {y} IS NOT NULL THEN CAST({x} AS DOUBLE) END"
+    ym = f"CASE WHEN {x} IS NOT NULL THEN CAST({y} AS DOUBLE) END"
+    return f"try_divide(covar_pop({xm}, {ym}), stddev_pop({xm}) * stddev_pop({ym}))"
+
+
 def _leakage_checks(p: _Plan, df: DataFrame, rules, target: str, thr: float) -> None:
     cols = leakage_columns(df, rules, target)
     leaks = []
-    y = F.col(target)
     for i, c in enumerate(cols):
         seq = SEQ_LEAK + 1 + i
-        r = p.agg(pearson_expr(F.col(c), y))
-        leaked = F.coalesce(F.abs(r) >= thr, F.lit(False))
+        r = p.agg(pearson_sql(col_ref(c), col_ref(target)))
+        leaked = f"coalesce(abs({r}) >= {thr!r}D, false)"
         leaks.append(leaked)
-        msg = F.concat(F.lit(f"{c}: |Pearson r|="), fmt_num(round_dp(F.abs(r), 4), 4),
-                       F.lit(f" with target - possible feature leakage (threshold {thr})"))
-        p.cands.append(_keep(seq, leaked, check_row(seq, f"leakage.correlation.{c}", F.lit(False), "error",
-                                                    round_dp(r, 4), thr, msg)))
-    none = F.lit(True)
-    for b in leaks:
-        none = none & ~b
-    p.cands.append(_keep(SEQ_LEAK, none, check_row(
-        SEQ_LEAK, "leakage.correlation", F.lit(True), "info", None, thr,
-        f"No features correlated with target above {thr}")))
+        msg = (f"concat({q(c + ': |Pearson r|=')}, {fmt(rnd(f'abs({r})', 4), 4)}, "
+               f"{q(f' with target - possible feature leakage (threshold {thr})')})")
+        p.add(leaked, row_sql(seq, q(f"leakage.correlation.{c}"), "false", q("error"), rnd(r, 4), lit_num(thr), msg))
+    none = " AND ".join(f"NOT {b}" for b in leaks) or "true"
+    p.add(none, row_sql(SEQ_LEAK, q("leakage.correlation"), "true", q("info"), "NULL", lit_num(thr),
+                        q(f"No features correlated with target above {thr}")))
 
 
 def _target_checks(p: _Plan, target: str) -> None:
-    rate = p.agg(F.avg(F.col(target).cast("double")))
-    ok = F.coalesce(rate.between(C.DEFAULT_RATE_MIN, C.DEFAULT_RATE_MAX), F.lit(False))
-    txt = F.coalesce(fmt_num(round_dp(rate, 4), 4), F.lit("nan"))
-    msg = F.when(ok, F.concat(F.lit("Default rate "), txt, F.lit(" within plausible range"))).otherwise(
-        F.concat(F.lit("Default rate "), txt, F.lit(" outside plausible range [0.005, 0.50]")))
-    p.cands.append(_keep(SEQ_TARGET, F.lit(True), check_row(
-        SEQ_TARGET, "target.rate", ok, F.when(ok, "info").otherwise("error"), round_dp(rate, 4), None, msg)))
+    rate = p.agg(f"avg(CAST({col_ref(target)} AS DOUBLE))")
+    ok = f"coalesce({rate} BETWEEN {C.DEFAULT_RATE_MIN!r}D AND {C.DEFAULT_RATE_MAX!r}D, false)"
+    txt = f"coalesce({fmt(rnd(rate, 4), 4)}, 'nan')"
+    msg = (f"CASE WHEN {ok} THEN concat('Default rate ', {txt}, ' within plausible range') "
+           f"ELSE concat('Default rate ', {txt}, ' outside plausible range [0.005, 0.50]') END")
+    p.add("true", row_sql(SEQ_TARGET, q("target.rate"), ok, f"CASE WHEN {ok} THEN 'info' ELSE 'error' END",
+                          rnd(rate, 4), "NULL", msg))
+
+
+PIT_SPECS = [
+    ("pit.prior_count_negative", "{t} < 0", "prior_overdraw_count < 0"),
+    ("pit.cleared_exceeds_total", "{c} > {t}", "prior_cleared_within_24h_count > prior_overdraw_count"),
+    ("pit.rolled_exceeds_total", "{r} > {t}", "prior_rolled_past_30d_count > prior_overdraw_count"),
+    ("pit.outcomes_exceed_total", "{c} + {r} > {t}", "cleared + rolled > prior_overdraw_count (non-overlapping subsets)"),
+]
 
 
 def pit_counters() -> list[tuple[str, Column, str]]:
-    tot, clr, rol = (F.col(c) for c in PIT_COLS)
-    return [
-        ("pit.prior_count_negative", tot < 0, "prior_overdraw_count < 0"),
-        ("pit.cleared_exceeds_total", clr > tot, "prior_cleared_within_24h_count > prior_overdraw_count"),
-        ("pit.rolled_exceeds_total", rol > tot, "prior_rolled_past_30d_count > prior_overdraw_count"),
-        ("pit.outcomes_exceed_total", clr + rol > tot,
-         "cleared + rolled > prior_overdraw_count (non-overlapping subsets)"),
-    ]
+    t, c, r = PIT_COLS
+    return [(name, F.expr(pred.format(t=t, c=c, r=r)), desc) for name, pred, desc in PIT_SPECS]
 
 
 def _pit_checks(p: _Plan, df: DataFrame) -> None:
     if not set(PIT_COLS).issubset(df.columns):
         return
-    for i, (name, pred, desc) in enumerate(pit_counters()):
+    t, c, r = PIT_COLS
+    for i, (name, pred, desc) in enumerate(PIT_SPECS):
         seq = SEQ_PIT + 1 + i
-        n = p.agg(F.count_if(pred))
-        ok = n == 0
-        msg = F.when(ok, F.lit(f"PIT check passed: no {desc} violations")).otherwise(
-            F.concat(F.lit("Point-in-time violation: "), n.cast("string"), F.lit(f" row(s) have {desc}")))
-        p.cands.append(_keep(seq, F.lit(True), check_row(
-            seq, name, ok, F.when(ok, "info").otherwise("error"), n, 0.0, msg)))
+        n = p.agg(f"count_if({pred.format(t=t, c=c, r=r)})")
+        msg = (f"CASE WHEN {n} = 0 THEN {q('PIT check passed: no ' + desc + ' violations')} ELSE "
+               f"concat('Point-in-time violation: ', CAST({n} AS STRING), {q(' row(s) have ' + desc)}) END")
+        p.add("true", row_sql(seq, q(name), f"{n} = 0", f"CASE WHEN {n} = 0 THEN 'info' ELSE 'error' END",
+                              n, "0.0D", msg))
 
 
 def _run(df: DataFrame, p: _Plan) -> DataFrame:
-    if p.aggs:
-        row = df.agg(*p.aggs)
-    else:
-        row = df.sparkSession.range(1)
-    return _explode_kept(row, p.cands)
+    if not p.cands:
+        return checks_frame(df, [])
+    row = df.agg(*[F.expr(a) for a in p.aggs]) if p.aggs else df.sparkSession.range(1)
+    return row.selectExpr(f"explode(filter(array({', '.join(p.cands)}), s -> s._keep)) AS s").select("s._row.*")
 
 
 # ------------------------------------------------------------- public API

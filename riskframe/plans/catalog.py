@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import drift, features, quality
-from ..sources.testview import episodes, with_episodes
+from ..sources.testview import episodes, raw_episodes, with_episodes
 from . import oracle_sql as O
 from ..session import scratch_path
 from .registry import normalize, register
@@ -40,7 +40,9 @@ def ep(spark: SparkSession, sf: str, materialized: bool = True) -> DataFrame:
     path = _EP_TABLES.get(key)
     if path is None:
         path = scratch_path(spark, "episodes")
-        episodes(spark, sf).write.partitionBy("split").parquet(path)
+        raw_path = scratch_path(spark, "raw-episodes")
+        raw_episodes(spark, sf).write.parquet(raw_path)
+        episodes(spark, sf, base=spark.read.parquet(raw_path)).write.partitionBy("split").parquet(path)
         _EP_TABLES[key] = path
     return spark.read.parquet(path)
 

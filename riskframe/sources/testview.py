@@ -104,9 +104,14 @@ TEST_VAL_CUTOFF = "1999-01-01"
 TEST_OOT_CUTOFF = "2000-04-01"
 
 
-def episodes(spark: SparkSession, sf_dir: str, with_score: bool = True) -> DataFrame:
-    """Full episode table: raw columns, point-in-time prior counters, split, fixed score."""
-    base = raw_episodes(spark, sf_dir)
+def episodes(spark: SparkSession, sf_dir: str, with_score: bool = True, base: DataFrame | None = None) -> DataFrame:
+    """Full episode table: raw columns, point-in-time prior counters, split, fixed score.
+
+    `base` may be a materialized copy of `raw_episodes`: the history operator
+    reads its input in two branches (rows and per-bucket totals), so a written
+    base keeps the lineitem aggregation and joins from running twice.
+    """
+    base = raw_episodes(spark, sf_dir) if base is None else base
     hist = prior_history(base, key="cust_id", order_cols=["draw_date", "loan_id"],
                          outcomes={"prior_cleared_within_24h_count": "cleared_24h",
                                    "prior_rolled_past_30d_count": "defaulted_30d"},
