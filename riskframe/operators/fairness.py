@@ -15,69 +15,69 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.prims import check_row, fmt_num, round_dp
+from ..functions.prims import round_dp
 
 # Proxy definitions of the audit: name -> (protected side predicate, side names).
 # A null proxy value falls on the reference side ("established" / "clean").
 AUDIT_PROXIES = {
-    "tenure_proxy": (lambda: F.coalesce(F.col("tenure_months") < C.THIN_FILE_TENURE, F.lit(False)),
-                     ("thin_file", "established")),
-    "crb_flag_proxy": (lambda: F.coalesce(F.col("crb_flagged") == 1, F.lit(False)),
-                       ("crb_flagged", "crb_clean")),
+    "tenure_proxy": (f"coalesce(tenure_months < {C.THIN_FILE_TENURE}, false)", ("thin_file", "established")),
+    "crb_flag_proxy": ("coalesce(crb_flagged = 1, false)", ("crb_flagged", "crb_clean")),
 }
 
 
-def _counts(pred: Column, y: Column, side: Column, tag: str) -> list[Column]:
-    return [F.count_if(side).alias(f"{tag}_n"),
-            F.count_if(side & ~pred & (y == 0)).alias(f"{tag}_tn"),
-            F.count_if(side & pred & (y == 0)).alias(f"{tag}_fp"),
-            F.count_if(side & ~pred & (y == 1)).alias(f"{tag}_fn"),
-            F.count_if(side & pred & (y == 1)).alias(f"{tag}_tp")]
+def threshold_sql(threshold) -> str:
+    """A float threshold as a literal, a column name or Column as its SQL text."""
+    if isinstance(threshold, Column):
+        return threshold._jc.toString()
+    if isinstance(threshold, str):
+        return f"`{threshold}`"
+    return f"{float(threshold)!r}D"
 
 
-def group_counts(df: DataFrame, threshold: float | Column, score: str = "score",
-                 label: str = "label") -> DataFrame:
+def _counts_sql(t: str, score: str, label: str, side: str, tag: str) -> list[str]:
+    pred, y = f"(`{score}` >= {t})", f"`{label}`"
+    return [f"count_if({side}) AS {tag}_n",
+            f"count_if({side} AND NOT {pred} AND {y} = 0) AS {tag}_tn",
+            f"count_if({side} AND {pred} AND {y} = 0) AS {tag}_fp",
+            f"count_if({side} AND NOT {pred} AND {y} = 1) AS {tag}_fn",
+            f"count_if({side} AND {pred} AND {y} = 1) AS {tag}_tp"]
+
+
+def group_counts(df: DataFrame, threshold, score: str = "score", label: str = "label") -> DataFrame:
     """One row: n/tn/fp/fn/tp for both sides of every audit proxy (single scan)."""
-    pred = F.col(score) >= (threshold if isinstance(threshold, Column) else F.lit(float(threshold)))
-    y = F.col(label)
+    t = threshold_sql(threshold)
     aggs = []
-    for name, (mk, _) in AUDIT_PROXIES.items():
-        a = mk()
-        aggs += _counts(pred, y, a, f"{name}_a") + _counts(pred, y, ~a, f"{name}_b")
-    return df.agg(*aggs)
+    for name, (side, _) in AUDIT_PROXIES.items():
+        aggs += _counts_sql(t, score, label, side, f"{name}_a") + _counts_sql(t, score, label, f"NOT {side}", f"{name}_b")
+    return df.agg(*[F.expr(a) for a in aggs])
 
 
-def fairness_audit(df: DataFrame, threshold: float | Column, score: str = "score",
-                   label: str = "label") -> DataFrame:
+def fairness_audit(df: DataFrame, threshold, score: str = "score", label: str = "label") -> DataFrame:
     """Per proxy: both sides' n, tn, tp, approval, FPR, FNR (4 dp) and ratio columns."""
+    from .quality import q, rnd
     row = group_counts(df, threshold, score, label)
     structs = []
     for name, (_, (a_name, b_name)) in AUDIT_PROXIES.items():
         def side(tag):
-            n, tn, fp, fn, tp = (F.col(f"{name}_{tag}_{k}") for k in ("n", "tn", "fp", "fn", "tp"))
-            appr = round_dp(F.try_divide((tn + fn).cast("double"), n), 4)
-            fpr = round_dp(fp / F.greatest(fp + tn, F.lit(1)), 4)
-            fnr = round_dp(fn / F.greatest(fn + tp, F.lit(1)), 4)
-            return n, tn, tp, appr, fpr, fnr
+            n, tn, fp, fn, tp = (f"{name}_{tag}_{k}" for k in ("n", "tn", "fp", "fn", "tp"))
+            return (n, tn, tp, rnd(f"try_divide(CAST({tn} + {fn} AS DOUBLE), {n})", 4),
+                    rnd(f"{fp} / greatest({fp} + {tn}, 1)", 4), rnd(f"{fn} / greatest({fn} + {tp}, 1)", 4))
         an, atn, atp, aa, afpr, afnr = side("a")
         bn, btn, btp, ba, bfpr, bfnr = side("b")
-        di = aa / F.greatest(ba, F.lit(1e-6))
-        structs.append(F.struct(
-            F.lit(name).alias("proxy"), F.lit(a_name).alias("group_a"), F.lit(b_name).alias("group_b"),
-            an.cast("long").alias("a_n"), atn.cast("long").alias("a_n_true_negative"),
-            atp.cast("long").alias("a_n_true_positive"), aa.alias("a_approval_rate"),
-            afpr.alias("a_fpr"), afnr.alias("a_fnr"),
-            bn.cast("long").alias("b_n"), btn.cast("long").alias("b_n_true_negative"),
-            btp.cast("long").alias("b_n_true_positive"), ba.alias("b_approval_rate"),
-            bfpr.alias("b_fpr"), bfnr.alias("b_fnr"),
-            round_dp(di, 4).alias("disparate_impact_ratio"),
-            round_dp(afpr / F.greatest(bfpr, F.lit(1e-6)), 4).alias("fpr_ratio"),
-            round_dp(afnr / F.greatest(bfnr, F.lit(1e-6)), 4).alias("fnr_ratio"),
-            (di < C.DI_LOWER_BOUND).alias("fails_four_fifths_rule")))
-    return row.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
-
-
-def fairness_gate(df: DataFrame, threshold: float | Column,
+        di = f"({aa} / greatest({ba}, 1e-6D))"
+        structs.append(
+            f"named_struct('proxy', {q(name)}, 'group_a', {q(a_name)}, 'group_b', {q(b_name)}, "
+            f"'a_n', CAST({an} AS BIGINT), 'a_n_true_negative', CAST({atn} AS BIGINT), "
+            f"'a_n_true_positive', CAST({atp} AS BIGINT), 'a_approval_rate', {aa}, 'a_fpr', {afpr}, 'a_fnr', {afnr}, "
+            f"'b_n', CAST({bn} AS BIGINT), 'b_n_true_negative', CAST({btn} AS BIGINT), "
+            f"'b_n_true_positive', CAST({btp} AS BIGINT), 'b_approval_rate', {ba}, 'b_fpr', {bfpr}, 'b_fnr', {bfnr}, "
+            f"'disparate_impact_ratio', {rnd(di, 4)}, 'fpr_ratio', {rnd(f'{afpr} / greatest({bfpr}, 1e-6D)', 4)}, "
+            f"'fnr_ratio', {rnd(f'{afnr} / greatest({bfnr}, 1e-6D)', 4)}, "
+            f"'fails_four_fifths_rule', {di} < {C.DI_LOWER_BOUND!r}D)")
+    return row.selectExpr(f"inline(array({', '.join(structs)}))")
+
+
+def fairness_gate(df: DataFrame, threshold,
                   configs: Sequence[C.FairnessConfig] = C.ModelValidationConfig().fairness_configs,
                   score: str = "score", label: str = "label", seq0: int = 300) -> DataFrame:
     """Gate checks per config (A24): DI >= bound (error), FPR/FNR ratios <= max (warnings).
@@ -86,54 +86,53 @@ def fairness_gate(df: DataFrame, threshold: float | Column,
     whose sides is empty, yields no rows. Group membership is plain equality, so a
     null group value is on neither side.
     """
-    pred = F.col(score) >= (threshold if isinstance(threshold, Column) else F.lit(float(threshold)))
-    y = F.col(label)
+    from ..functions.prims import CHECK_SCHEMA
+    from .quality import fmt, q, rnd, row_sql
     usable = [fc for fc in configs if fc.group_col in df.columns]
     if not usable:
-        return df.sparkSession.createDataFrame([], "check_seq int, name string, passed boolean, "
-                                                   "severity string, value double, limit double, message string")
+        return df.sparkSession.createDataFrame([], CHECK_SCHEMA)
+    t = threshold_sql(threshold)
     aggs = []
     for i, fc in enumerate(usable):
-        g = F.col(fc.group_col)
-        aggs += _counts(pred, y, g == fc.group_a_label, f"g{i}_a") + _counts(pred, y, g == fc.group_b_label, f"g{i}_b")
-    row = df.agg(*aggs)
+        g = f"`{fc.group_col}`"
+        aggs += (_counts_sql(t, score, label, f"coalesce({g} = {fc.group_a_label!r}, false)", f"g{i}_a")
+                 + _counts_sql(t, score, label, f"coalesce({g} = {fc.group_b_label!r}, false)", f"g{i}_b"))
+    row = df.agg(*[F.expr(a) for a in aggs])
     cands = []
     for i, fc in enumerate(usable):
         def rates(tag):
-            n, tn, fp, fn, tp = (F.col(f"g{i}_{tag}_{k}") for k in ("n", "tn", "fp", "fn", "tp"))
-            return (n, (tn + fn) / F.greatest(n, F.lit(1)), fp / F.greatest(fp + tn, F.lit(1)),
-                    fn / F.greatest(fn + tp, F.lit(1)))
+            n, tn, fp, fn, tp = (f"g{i}_{tag}_{k}" for k in ("n", "tn", "fp", "fn", "tp"))
+            return (n, f"(({tn} + {fn}) / greatest({n}, 1))", f"({fp} / greatest({fp} + {tn}, 1))",
+                    f"({fn} / greatest({fn} + {tp}, 1))")
         an, aa, afpr, afnr = rates("a")
         bn, ba, bfpr, bfnr = rates("b")
-        keep = (an > 0) & (bn > 0)
+        keep = f"({an} > 0 AND {bn} > 0)"
         lab = f"{fc.group_a_label}/{fc.group_b_label}"
-        di = aa / F.greatest(ba, F.lit(1e-9))
-        fr = afpr / F.greatest(bfpr, F.lit(1e-9))
-        nr = afnr / F.greatest(bfnr, F.lit(1e-9))
-        di_ok, fr_ok, nr_ok = di >= fc.di_lower_bound, fr <= fc.max_fpr_ratio, nr <= fc.max_fnr_ratio
+        di = f"({aa} / greatest({ba}, 1e-9D))"
+        fr = f"({afpr} / greatest({bfpr}, 1e-9D))"
+        nr = f"({afnr} / greatest({bfnr}, 1e-9D))"
+        di_ok, fr_ok, nr_ok = (f"{di} >= {fc.di_lower_bound!r}D", f"{fr} <= {fc.max_fpr_ratio!r}D",
+                               f"{nr} <= {fc.max_fnr_ratio!r}D")
         base = seq0 + 10 * i
+
+        def f4(e):
+            return fmt(rnd(e, 4), 4)
         cands += [
-            F.struct(keep.alias("k"), check_row(
-                base + 1, f"fairness.di.{fc.group_col}", di_ok, F.when(di_ok, "info").otherwise("error"),
-                round_dp(di, 4), fc.di_lower_bound,
-                F.concat(F.lit(f"DI({lab})="), fmt_num(round_dp(di, 4), 4),
-                         F.when(di_ok, F.lit(" >= ")).otherwise(F.lit(" < ")), F.lit(str(fc.di_lower_bound)))
-            ).alias("r")),
-            F.struct(keep.alias("k"), check_row(
-                base + 2, f"fairness.fpr_ratio.{fc.group_col}", fr_ok, F.when(fr_ok, "info").otherwise("warning"),
-                round_dp(fr, 4), fc.max_fpr_ratio,
-                F.concat(F.lit(f"FPR ratio({lab})="), fmt_num(round_dp(fr, 4), 4), F.lit(" (a="),
-                         fmt_num(round_dp(afpr, 4), 4), F.lit(", b="), fmt_num(round_dp(bfpr, 4), 4), F.lit(")"))
-            ).alias("r")),
-            F.struct(keep.alias("k"), check_row(
-                base + 3, f"fairness.fnr_ratio.{fc.group_col}", nr_ok, F.when(nr_ok, "info").otherwise("warning"),
-                round_dp(nr, 4), fc.max_fnr_ratio,
-                F.concat(F.lit(f"FNR ratio({lab})="), fmt_num(round_dp(nr, 4), 4), F.lit(" (a="),
-                         fmt_num(round_dp(afnr, 4), 4), F.lit(", b="), fmt_num(round_dp(bfnr, 4), 4), F.lit(")"))
-            ).alias("r")),
+            f"named_struct('k', {keep}, 'r', " + row_sql(
+                base + 1, q(f"fairness.di.{fc.group_col}"), di_ok, f"CASE WHEN {di_ok} THEN 'info' ELSE 'error' END",
+                rnd(di, 4), f"{fc.di_lower_bound!r}D",
+                f"concat({q(f'DI({lab})=')}, {f4(di)}, CASE WHEN {di_ok} THEN ' >= ' ELSE ' < ' END, "
+                f"{q(str(fc.di_lower_bound))})") + ")",
+            f"named_struct('k', {keep}, 'r', " + row_sql(
+                base + 2, q(f"fairness.fpr_ratio.{fc.group_col}"), fr_ok,
+                f"CASE WHEN {fr_ok} THEN 'info' ELSE 'warning' END", rnd(fr, 4), f"{fc.max_fpr_ratio!r}D",
+                f"concat({q(f'FPR ratio({lab})=')}, {f4(fr)}, ' (a=', {f4(afpr)}, ', b=', {f4(bfpr)}, ')')") + ")",
+            f"named_struct('k', {keep}, 'r', " + row_sql(
+                base + 3, q(f"fairness.fnr_ratio.{fc.group_col}"), nr_ok,
+                f"CASE WHEN {nr_ok} THEN 'info' ELSE 'warning' END", rnd(nr, 4), f"{fc.max_fnr_ratio!r}D",
+                f"concat({q(f'FNR ratio({lab})=')}, {f4(nr)}, ' (a=', {f4(afnr)}, ', b=', {f4(bfnr)}, ')')") + ")",
         ]
-    arr = F.filter(F.array(*cands), lambda s: s["k"])
-    return row.select(F.explode(arr).alias("s")).select("s.r.*")
+    return row.selectExpr(f"explode(filter(array({', '.join(cands)}), s -> s.k)) AS s").select("s.r.*")
 
 
 def with_gate_groups(df: DataFrame) -> DataFrame:

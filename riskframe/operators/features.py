@@ -5,7 +5,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.prims import round_dp, check_row, checks_frame, fmt_num
 
 
 class DataValidationError(ValueError):
@@ -39,41 +38,34 @@ def validate_raw_checks(df: DataFrame) -> DataFrame:
     utilization outside [0, 1]; draw amount <= 0; crb_flagged outside {0, 1}
     (null counts as outside); default rate outside the closed [0.005, 0.5].
     """
+    from .quality import fmt, q, rnd, row_sql
     require_columns(df)
-    t = F.col(C.TARGET_COL)
-    aggs = [F.count_if(t.isNull()).alias("null_target"),
-            F.count(F.lit(1)).alias("n_rows")]
+    t = f"`{C.TARGET_COL}`"
+    aggs = [f"count_if({t} IS NULL) AS null_target"]
+    aggs += [f"avg(CAST(`{c}` IS NULL AS DOUBLE)) AS nf_{i}" for i, c in enumerate(C.RAW_FEATURE_COLUMNS)]
+    aggs += ["count_if(utilization_rate < 0 OR utilization_rate > 1) AS util_out",
+             "count_if(draw_amount_kes <= 0) AS draw_nonpos",
+             "count_if(NOT coalesce(crb_flagged IN (0, 1), false)) AS crb_bad",
+             f"avg(CAST({t} AS DOUBLE)) AS default_rate"]
+    row = df.agg(*[F.expr(a) for a in aggs])
+    rows = [row_sql(1, q("raw.null_target"), "null_target = 0", q("error"), "null_target", "0.0D",
+                    "concat(CAST(null_target AS STRING), ' rows have a null target')")]
     for i, c in enumerate(C.RAW_FEATURE_COLUMNS):
-        aggs.append(F.avg(F.col(c).isNull().cast("double")).alias(f"nf_{i}"))
-    u = F.col("utilization_rate")
-    aggs += [
-        F.count_if((u < 0) | (u > 1)).alias("util_out"),
-        F.count_if(F.col("draw_amount_kes") <= 0).alias("draw_nonpos"),
-        F.count_if(~F.coalesce(F.col("crb_flagged").isin(0, 1), F.lit(False))).alias("crb_bad"),
-        F.avg(t.cast("double")).alias("default_rate"),
-    ]
-    row = df.agg(*aggs)
-    rows = [check_row(1, "raw.null_target", F.col("null_target") == 0, "error", F.col("null_target"), 0.0,
-                      F.concat(F.col("null_target").cast("string"), F.lit(" rows have a null target")))]
-    for i, c in enumerate(C.RAW_FEATURE_COLUMNS):
-        nf = F.col(f"nf_{i}")
-        rows.append(check_row(10 + i, f"raw.null_fraction.{c}", F.coalesce(nf <= C.NULL_THRESHOLD, F.lit(True)),
-                              "error", round_dp(nf, 6), C.NULL_THRESHOLD,
-                              F.concat(F.lit(f"{c}: null fraction "), fmt_num(round_dp(nf, 6), 6))))
-    rate = F.col("default_rate")
+        rows.append(row_sql(10 + i, q(f"raw.null_fraction.{c}"), f"coalesce(nf_{i} <= {C.NULL_THRESHOLD!r}D, true)",
+                            q("error"), rnd(f"nf_{i}", 6), f"{C.NULL_THRESHOLD!r}D",
+                            f"concat({q(c + ': null fraction ')}, {fmt(rnd(f'nf_{i}', 6), 6)})"))
+    ok_rate = f"coalesce(default_rate BETWEEN {C.DEFAULT_RATE_MIN!r}D AND {C.DEFAULT_RATE_MAX!r}D, false)"
     rows += [
-        check_row(40, "raw.utilization_bounds", F.col("util_out") == 0, "error", F.col("util_out"), 0.0,
-                  F.concat(F.col("util_out").cast("string"), F.lit(" utilization_rate values out of [0, 1]"))),
-        check_row(41, "raw.draw_positive", F.col("draw_nonpos") == 0, "error", F.col("draw_nonpos"), 0.0,
-                  F.concat(F.col("draw_nonpos").cast("string"), F.lit(" non-positive draw_amount_kes"))),
-        check_row(42, "raw.crb_allowed", F.col("crb_bad") == 0, "error", F.col("crb_bad"), 0.0,
-                  F.concat(F.col("crb_bad").cast("string"), F.lit(" crb_flagged values outside {0, 1}"))),
-        check_row(43, "raw.default_rate",
-                  F.coalesce(rate.between(C.DEFAULT_RATE_MIN, C.DEFAULT_RATE_MAX), F.lit(False)), "error",
-                  round_dp(rate, 6), C.DEFAULT_RATE_MAX,
-                  F.concat(F.lit("default rate "), F.coalesce(fmt_num(round_dp(rate, 4), 4), F.lit("nan")))),
+        row_sql(40, q("raw.utilization_bounds"), "util_out = 0", q("error"), "util_out", "0.0D",
+                "concat(CAST(util_out AS STRING), ' utilization_rate values out of [0, 1]')"),
+        row_sql(41, q("raw.draw_positive"), "draw_nonpos = 0", q("error"), "draw_nonpos", "0.0D",
+                "concat(CAST(draw_nonpos AS STRING), ' non-positive draw_amount_kes')"),
+        row_sql(42, q("raw.crb_allowed"), "crb_bad = 0", q("error"), "crb_bad", "0.0D",
+                "concat(CAST(crb_bad AS STRING), ' crb_flagged values outside {0, 1}')"),
+        row_sql(43, q("raw.default_rate"), ok_rate, q("error"), rnd("default_rate", 6), f"{C.DEFAULT_RATE_MAX!r}D",
+                f"concat('default rate ', coalesce({fmt(rnd('default_rate', 4), 4)}, 'nan'))"),
     ]
-    return checks_frame(row, rows)
+    return row.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def validate_raw(df: DataFrame) -> None:

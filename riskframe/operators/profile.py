@@ -198,36 +198,37 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     then sums of centred cross-products for every pair in ONE aggregate row.
     Columns without nulls share their means; a pair involving a column with
     nulls falls back to the masked moment form. A constant column gives null.
+    Expressions are built as SQL text (a few JVM calls for hundreds of pairs).
     """
+    from .quality import pearson_sql, q
     cols = list(cols)
-    x = {c: F.col(c).cast("double") for c in cols}
-    first = df.agg(*[F.count_if(x[c].isNull()).alias(f"z{i}") for i, c in enumerate(cols)],
-                   *[F.avg(x[c]).alias(f"m{i}") for i, c in enumerate(cols)])
-    stats = first.first()
+    x = {c: f"CAST(`{c}` AS DOUBLE)" for c in cols}
+    stats = df.agg(*[F.expr(f"count_if({x[c]} IS NULL) AS z{i}") for i, c in enumerate(cols)],
+                   *[F.expr(f"avg({x[c]}) AS m{i}") for i, c in enumerate(cols)]).first()
     nullable = {c for i, c in enumerate(cols) if stats[f"z{i}"] > 0}
-    means = {c: F.lit(stats[f"m{i}"]) for i, c in enumerate(cols)}
+    mean = {c: (f"{float(stats[f'm{i}'])!r}D" if stats[f"m{i}"] is not None else "NULL") for i, c in enumerate(cols)}
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    idx = {pr: i for i, pr in enumerate(pairs)}
     aggs = []
     for i, (a, b) in enumerate(pairs):
         if a in nullable or b in nullable:
-            aggs.append(pearson_expr(x[a], x[b]).alias(f"r{i}"))
+            aggs.append(f"{pearson_sql(x[a], x[b])} AS r{i}")
         else:
-            aggs.append(F.sum((x[a] - means[a]) * (x[b] - means[b])).alias(f"s{i}"))
-    row = df.agg(*aggs)
-    idx = {p: i for i, p in enumerate(pairs)}
+            aggs.append(f"sum(({x[a]} - {mean[a]}) * ({x[b]} - {mean[b]})) AS s{i}")
+    row = df.agg(*[F.expr(a) for a in aggs])
     structs = []
     for i, (a, b) in enumerate(pairs):
         if a in nullable or b in nullable:
-            r = F.col(f"r{i}")
+            r = f"r{i}"
         else:
-            saa, sbb = F.col(f"s{idx[(a, a)]}"), F.col(f"s{idx[(b, b)]}")
-            r = F.when((saa > 0) & (sbb > 0), F.col(f"s{i}") / F.sqrt(saa * sbb))
+            saa, sbb = f"s{idx[(a, a)]}", f"s{idx[(b, b)]}"
+            r = f"CASE WHEN {saa} > 0 AND {sbb} > 0 THEN s{i} / sqrt({saa} * {sbb}) END"
         if a == b:
-            r = F.when(r.isNotNull(), F.lit(1.0))
-        structs.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), r.alias("r")))
+            r = f"CASE WHEN ({r}) IS NOT NULL THEN 1.0D END"
+        structs.append(f"named_struct('feature_a', {q(a)}, 'feature_b', {q(b)}, 'r', CAST({r} AS DOUBLE))")
         if a != b:
-            structs.append(F.struct(F.lit(b).alias("feature_a"), F.lit(a).alias("feature_b"), r.alias("r")))
-    return row.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+            structs.append(f"named_struct('feature_a', {q(b)}, 'feature_b', {q(a)}, 'r', CAST({r} AS DOUBLE))")
+    return row.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def target_correlation_topk(df: DataFrame, cols: Sequence[str] = MODEL_FEATURES, target: str = C.TARGET_COL,
