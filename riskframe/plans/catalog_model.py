@@ -9,6 +9,9 @@ from ..session import materialize, scratch_path
 from ..sources import io
 from ..sources.testview import with_episodes
 from .catalog import EP_COLS, FEAT_CTE, RAW, ep, feat_select, feats, sql_round, DOUBLE_FEATS
+from .catalog import _validate_data_sql
+
+_VALIDATE_DATA_SQL = _validate_data_sql()
 from .catalog_scores import DEP, SC, scored, with_deployment
 from .pipeline import train_pipeline
 from .registry import normalize, register
@@ -155,7 +158,7 @@ def q_scan_features(spark, sf):
     return normalize(io.read_features(spark, path + "/split=oot"))
 
 
-@register("report_json")
+@register("report_json", _VALIDATE_DATA_SQL)
 def q_report_json(spark, sf):
     checks = quality.validate_data(feats(spark, sf, "oot"), reference_df=feats(spark, sf, "train"))
     path = scratch_path(spark, "report")

@@ -123,15 +123,15 @@ def q_stream_psi_sliding(spark, sf):
     return normalize(_psi_stream_query(spark, sf, "7 days", "1 day"))
 
 
-@register("stream_psi_alerts")
+@register("stream_psi_alerts", "SELECT * FROM (" + _psi_sql(1) + ") a WHERE status = 'ALERT'")
 def q_stream_psi_alerts(spark, sf):
     return normalize(S.alerts(_psi_stream_query(spark, sf, "1 day", None)))
 
 
-@register("stream_dedup")
+@register("stream_dedup", expand_rnd("SELECT event_id, user_id, event_type, RND(value, 6) AS value FROM events"))
 def q_stream_dedup(spark, sf):
     src = S.file_stream(spark, _event_files(spark, sf, copies=2), max_files=4).withColumn(
         "ts", F.col("ts").cast("timestamp"))
     out, ckpt = S.scratch(spark, "dedup")
     S.dedup_stream(src, ["event_id"], out, ckpt)
-    return spark.read.parquet(out).select("event_id", "user_id", "event_type", "value")
+    return normalize(spark.read.parquet(out).select("event_id", "user_id", "event_type", "value"))
