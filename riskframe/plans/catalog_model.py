@@ -227,3 +227,11 @@ def q_model_roundtrip(spark, sf):
     m2, cal2 = model.load_model(path)
     raw = ep(spark, sf).where(F.col("split") == "oot").select("loan_id", *C.RAW_FEATURE_COLUMNS)
     return model.score_batch(m2, cal2, raw, None).select("loan_id", "score", "decision")
+
+
+@register("reason_codes_gbt")
+def q_reason_codes_gbt(spark, sf):
+    from ..operators.explain import gbt_reason_codes
+    fitted = model.train_gbt(feats(spark, sf, "train"), feats(spark, sf, "val"), GBT_QUERY)
+    gbt = fitted.model.stages[-1]
+    return gbt_reason_codes(feats(spark, sf, "oot"), gbt, fitted.feature_cols)
