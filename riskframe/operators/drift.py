@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.prims import round_dp, bin_index, check_row, fmt_num, long_form, quantile_array
+from ..functions.prims import round_dp, bin_index, bin_index_fast, check_row, fmt_num, long_form, quantile_array
 from .quality import SEQ_DRIFT
 
 
@@ -52,7 +52,7 @@ def psi_table(reference: DataFrame, current: DataFrame, cols: Sequence[str],
     both = ref.unionByName(cur).join(F.broadcast(edges.select("feature", "edges")), "feature")
     k = F.size("edges") - 1
     hi = F.element_at("edges", -1)
-    idx = bin_index(F.col("value"), F.col("edges"), bins + 1) - 1
+    idx = bin_index_fast("value", "edges", bins + 1) - 1
     idx = F.when(F.col("value") == hi, k - 1).otherwise(idx)
     inside = (F.col("value") >= F.element_at("edges", 1)) & (F.col("value") <= hi)
     binned = both.select("feature", "_side", F.when(inside, idx).alias("bin"))

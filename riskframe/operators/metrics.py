@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.prims import (bin_index, exact_quantiles, prefix_sum, quantile_array, round_dp,
+from ..functions.prims import (bin_index, bin_index_fast, exact_quantiles, prefix_sum, quantile_array, round_dp,
                                score_hist)
 
 
@@ -141,7 +141,7 @@ def calibration_table(df: DataFrame, score: str = "score", label: str = "label",
         *group_cols, F.array_sort(F.array_distinct("_q")).alias("edges"))
     e = e.where(F.size("edges") >= 2)
     j = d.crossJoin(F.broadcast(e)) if not group_cols else d.join(F.broadcast(e), list(group_cols))
-    idx = bin_index(F.col("_s"), F.col("edges"), n_bins + 1, right_closed=True)
+    idx = bin_index_fast("_s", "edges", n_bins + 1, right_closed=True)
     idx = F.when(F.col("_s") == F.element_at("edges", 1), 1).otherwise(idx)
     b = j.withColumn("bin", idx.cast("long")).where((F.col("bin") >= 1) & (F.col("bin") < F.size("edges")))
     return b.groupBy(*group_cols, "bin").agg(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from ..functions.prims import bin_index, clip, exact_quantiles, long_form, quantile_array, round_dp
+from ..functions.prims import bin_index, bin_index_fast, clip, exact_quantiles, long_form, quantile_array, round_dp
 from .quality import pearson_expr
 
 MODEL_FEATURES = C.RAW_FEATURE_COLUMNS
@@ -73,7 +73,7 @@ def rate_by_quantile_band(df: DataFrame, cols_bins, target: str = C.TARGET_COL)
         e = quantile_array(d, [], "_x", probs, alias="_q").select(F.array_sort(F.array_distinct("_q")).alias("edges"))
         j = d.crossJoin(F.broadcast(e))
         idx = F.when(F.col("_x") == F.element_at("edges", 1), 1).otherwise(
-            bin_index(F.col("_x"), F.col("edges"), q + 1, right_closed=True))
+            bin_index_fast("_x", "edges", q + 1, right_closed=True))
         b = j.withColumn("band", idx.cast("long")).groupBy("band").agg(
             F.first(F.element_at("edges", F.col("band").cast("int"))).alias("lo"),
             F.first(F.element_at("edges", F.col("band").cast("int") + 1)).alias("hi"),

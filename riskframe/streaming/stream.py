@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.prims import bin_index, round_dp
+from ..functions.prims import bin_index_fast, round_dp
 from ..operators import quality
 from ..operators.drift import drift_status, psi_edges
 from ..session import scratch_path
@@ -82,7 +82,7 @@ def reference_bins(reference: DataFrame, value_col: str, bins: int = C.PSI_BINS)
     k = F.size("edges") - 1
     x = F.col(value_col)
     hi = F.element_at("edges", -1)
-    idx = F.when(x == hi, k - 1).otherwise(bin_index(x, F.col("edges"), bins + 1) - 1)
+    idx = F.when(x == hi, k - 1).otherwise(bin_index_fast(f"`{value_col}`", "edges", bins + 1) - 1)
     inside = (x >= F.element_at("edges", 1)) & (x <= hi)
     r = reference.where(x.isNotNull()).crossJoin(F.broadcast(e)).select(F.when(inside, idx).alias("bin"))
     all_bins = e.select(F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
@@ -107,7 +107,7 @@ def psi_stream(src: DataFrame, edges: DataFrame, ref_props: DataFrame, out: str,
     x = F.col(value_col)
     k = F.size("edges") - 1
     hi = F.element_at("edges", -1)
-    idx = F.when(x == hi, k - 1).otherwise(bin_index(x, F.col("edges"), bins + 1) - 1)
+    idx = F.when(x == hi, k - 1).otherwise(bin_index_fast(f"`{value_col}`", "edges", bins + 1) - 1)
     inside = (x >= F.element_at("edges", 1)) & (x <= hi)
     w = F.window("ts", window, slide) if slide else F.window("ts", window)
     binned = (src.withWatermark("ts", watermark).where(x.isNotNull()).crossJoin(F.broadcast(edges))
