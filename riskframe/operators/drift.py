@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.prims import round_dp, bin_index, bin_index_fast, check_row, fmt_num, long_form, quantile_array
+from ..session import materialize
 from .quality import SEQ_DRIFT
 
 
@@ -46,7 +47,8 @@ def psi_table(reference: DataFrame, current: DataFrame, cols: Sequence[str],
               bins: int = C.PSI_BINS) -> DataFrame:
     """Per feature: psi (4 dp, null if a side is empty), n_ref, n_cur, n_bins, n_out_of_range."""
     cols = [c for c in cols if c in reference.columns and c in current.columns]
-    edges = psi_edges(reference, cols, bins)
+    # features x bins edge table, read by four branches below: materialize it once
+    edges = materialize(psi_edges(reference, cols, bins))
     ref = long_form(reference, [], cols).where(F.col("value").isNotNull()).withColumn("_side", F.lit(0))
     cur = long_form(current, [], cols).where(F.col("value").isNotNull()).withColumn("_side", F.lit(1))
     both = ref.unionByName(cur).join(F.broadcast(edges.select("feature", "edges")), "feature")
