@@ -121,17 +121,38 @@ def score_hist(df: DataFrame, score: str = "score", label: str = "label",
 
 
 # ---------------------------------------------------------------- K5
+# Inputs of at most this many rows (checked, after materialization) take the
+# one-window path: a single sort of <= SMALL_ROWS rows is cheaper than the
+# bucketed plan's extra stages and fits one task comfortably.
+SMALL_ROWS = 1_000_000
+
+
 def prefix_sum(df: DataFrame, group_cols: Sequence[str], order_col: str,
                sum_cols: Sequence[str], descending: bool = False,
-               n_buckets: int = PREFIX_BUCKETS, few_groups: bool = True) -> DataFrame:
+               n_buckets: int = PREFIX_BUCKETS, few_groups: bool = True,
+               materialized: bool = False, small_rows: int | None = None) -> DataFrame:
     """Add `<c>_before` (sum over strictly earlier rows of the group) and `<c>_total`.
 
     Rows must be unique per (group_cols, order_col) -- aggregate first (K4).
-    Plan: approximate-quantile edges per group (small table) -> bucket by
+    The input (an aggregate, so usually far smaller than the raw rows) is
+    materialized and counted. Up to `small_rows` rows: one window per group.
+    Beyond: approximate-quantile edges per group (small table) -> bucket by
     binary search -> running sum inside (group, bucket) -> offsets from the
-    per-bucket totals (a table of at most groups x n_buckets rows).
+    per-bucket totals (a table of at most groups x n_buckets rows), so no
+    task ever holds a whole group.
     """
     g = list(group_cols)
+    small_rows = SMALL_ROWS if small_rows is None else small_rows
+    if small_rows > 0:
+        if not materialized:
+            df = materialize(df)
+        if df.count() <= small_rows:
+            order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+            w = Window.partitionBy(*g).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+            w_all = Window.partitionBy(*g)
+            return df.select(*[F.col(c) for c in df.columns],
+                             *[F.sum(c).over(w_all).alias(f"{c}_total") for c in sum_cols],
+                             *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{c}_before") for c in sum_cols])
     probs = [i / n_buckets for i in range(1, n_buckets)]
     edges = (df.groupBy(*g).agg(
         F.percentile_approx(F.col(order_col).cast("double"), probs, APPROX_ACCURACY).alias("_edges"),
@@ -256,7 +277,7 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
               .agg(F.count(F.lit(1)).alias("_c")))
     if materialize_hist:
         hist = materialize(hist)
-    ranked = prefix_sum(hist, g, "_v", ["_c"], few_groups=few_groups)
+    ranked = prefix_sum(hist, g, "_v", ["_c"], few_groups=few_groups, materialized=materialize_hist)
     targets = F.explode(F.array(*[F.struct(F.lit(i).alias("q_idx"), F.lit(float(p)).alias("prob"))
                                   for i, p in enumerate(probs)])).alias("t")
     # rows (value, [before, before + c)) that contain rank floor(pos) or ceil(pos)
