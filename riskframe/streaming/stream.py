@@ -23,7 +23,7 @@ from .. import config as C
 from ..functions.prims import bin_index_fast, round_dp
 from ..operators import quality
 from ..operators.drift import drift_status, psi_edges
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
@@ -78,7 +78,7 @@ def score_stream(src: DataFrame, score_fn: Callable[[DataFrame], DataFrame], thr
 
 def reference_bins(reference: DataFrame, value_col: str, bins: int = C.PSI_BINS) -> tuple[DataFrame, DataFrame]:
     """Edges (one row) and reference proportions per bin from a batch reference window."""
-    e = psi_edges(reference.select(F.col(value_col).alias("value")), ["value"], bins).select("edges")
+    e = materialize(psi_edges(reference.select(F.col(value_col).alias("value")), ["value"], bins).select("edges"))
     k = F.size("edges") - 1
     x = F.col(value_col)
     hi = F.element_at("edges", -1)
@@ -91,12 +91,13 @@ def reference_bins(reference: DataFrame, value_col: str, bins: int = C.PSI_BINS)
     tot = full.agg(F.sum("ref_n").alias("rt"))
     props = full.crossJoin(tot).select(
         "bin", F.greatest(F.col("ref_n") / F.greatest("rt", F.lit(1)), F.lit(C.PSI_FLOOR)).alias("rp"))
-    return e, props
+    # both are bins-sized; materialized so micro-batches never recompute the reference
+    return e, materialize(props)
 
 
 def psi_stream(src: DataFrame, edges: DataFrame, ref_props: DataFrame, out: str, ckpt: str,
                value_col: str = "value", window: str = "1 day", slide: str | None = None,
-               watermark: str = "1 hour", bins: int = C.PSI_BINS) -> None:
+               watermark: str = "1 hour", bins: int = C.PSI_BINS, state_partitions: int = 4) -> None:
     """ST3/ST4: windowed bin counts with a watermark; PSI per window vs the reference.
 
     Complete output mode makes every trigger deliver the full (windows x bins)
@@ -113,9 +114,18 @@ def psi_stream(src: DataFrame, edges: DataFrame, ref_props: DataFrame, out: str,
     binned = (src.withWatermark("ts", watermark).where(x.isNotNull()).crossJoin(F.broadcast(edges))
               .withColumn("bin", F.when(inside, idx)))
     counts = binned.groupBy(w.alias("w"), "bin").agg(F.count(F.lit(1)).alias("cur_n"))
-    run_available(counts.writeStream.outputMode("complete")
-                  .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/counts"))
-                  .option("checkpointLocation", ckpt))
+    # The state is windows x bins and rows are pre-aggregated before the state
+    # shuffle, so a few state partitions suffice at any input rate; the number is
+    # fixed into the checkpoint when the query first starts.
+    spark = src.sparkSession
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        run_available(counts.writeStream.outputMode("complete")
+                      .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/counts"))
+                      .option("checkpointLocation", ckpt))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
 
 
 def psi_from_counts(counts: DataFrame, ref_props: DataFrame) -> DataFrame:
