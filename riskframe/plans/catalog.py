@@ -204,3 +204,26 @@ def _validate_data_sql() -> str:
 @register("validate_data_report", _validate_data_sql())
 def q_validate_data(spark, sf):
     return quality.validate_data(feats(spark, sf, "oot"), reference_df=feats(spark, sf, "train"))
+
+
+CATEGORY_COLS = ["crb_flagged", "prior_rolled_past_30d_count", "agent_cashin_freq_30d"]
+
+
+def _category_psi_sql() -> str:
+    un = lambda name, cond: (f"{name} AS (SELECT feature, value FROM (UNPIVOT (SELECT " + ", ".join(
+        f"CAST({c} AS DOUBLE) AS {c}" for c in CATEGORY_COLS) + f" FROM feat WHERE {cond}) ON "
+        + ", ".join(CATEGORY_COLS) + " INTO NAME feature VALUE value) WHERE value IS NOT NULL)")
+    return with_episodes(
+        "SELECT feature, CASE WHEN MAX(rt) > 0 AND MAX(ct) > 0 THEN RND(SUM((cp - rp) * LN(cp / rp)), 4) END "
+        "AS psi_category, COUNT(*) AS n_values FROM (SELECT c.feature, t.rt, t.ct, "
+        "GREATEST(c.ref_n / GREATEST(t.rt, 1), 1e-6) AS rp, GREATEST(c.cur_n / GREATEST(t.ct, 1), 1e-6) AS cp "
+        "FROM cc c JOIN (SELECT feature, SUM(ref_n) AS rt, SUM(cur_n) AS ct FROM cc GROUP BY feature) t "
+        "ON c.feature = t.feature) x GROUP BY feature",
+        FEAT_CTE + ",\n" + un("rl", "split = 'train'") + ",\n" + un("cl", "split = 'oot'") + ",\n"
+        "cc AS (SELECT feature, value, COUNT(*) FILTER (WHERE side = 0) AS ref_n, COUNT(*) FILTER (WHERE side = 1) "
+        "AS cur_n FROM (SELECT *, 0 AS side FROM rl UNION ALL SELECT *, 1 FROM cl) u GROUP BY feature, value)")
+
+
+@register("psi_category", _category_psi_sql())
+def q_psi_category(spark, sf):
+    return drift.category_psi(feats(spark, sf, "train"), feats(spark, sf, "oot"), CATEGORY_COLS)
