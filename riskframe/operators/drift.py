@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.prims import round_dp, bin_index, bin_index_fast, check_row, fmt_num, long_form, quantile_array
+from ..functions.prims import round_dp, bin_index_fast, check_row, fmt_num, long_form, quantile_array
 from ..session import materialize
 from .quality import SEQ_DRIFT
 

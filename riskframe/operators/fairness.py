@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.prims import round_dp
 
 # Proxy definitions of the audit: name -> (protected side predicate, side names).
 # A null proxy value falls on the reference side ("established" / "clean").

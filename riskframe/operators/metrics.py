@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.prims import (bin_index, bin_index_fast, exact_quantiles, prefix_sum, quantile_array, round_dp,
+from ..functions.prims import (bin_index_fast, exact_quantiles, prefix_sum, quantile_array, round_dp,
                                score_hist)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators import features, history, profile, splits
 from ..sources.testview import TEST_OOT_CUTOFF, TEST_VAL_CUTOFF, expand_rnd, raw_episodes, table, with_episodes
-from .catalog import EP_COLS, FEAT_CTE, RAW, ep, feat_select, feats
+from .catalog import EP_COLS, FEAT_CTE, RAW, ep, feat_select
 from .registry import normalize, register
 
 TEST_SPLIT = C.SplitConfig(val_cutoff=TEST_VAL_CUTOFF, oot_cutoff=TEST_OOT_CUTOFF)

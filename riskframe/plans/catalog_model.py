@@ -4,11 +4,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators import features, gates, model, quality, scoring
-from ..session import materialize, scratch_path
+from ..operators import gates, model, quality, scoring
+from ..session import scratch_path
 from ..sources import io
 from ..sources.testview import with_episodes
-from .catalog import EP_COLS, FEAT_CTE, RAW, ep, feat_select, feats, sql_round, DOUBLE_FEATS
+from .catalog import DOUBLE_FEATS, FEAT_CTE, RAW, ep, feat_select, feats, sql_round
 from .catalog import _validate_data_sql
 
 _VALIDATE_DATA_SQL = _validate_data_sql()

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators import drift
 from ..session import scratch_path
 from ..sources.testview import expand_rnd, fixed_score, table, with_episodes
 from ..streaming import stream as S
