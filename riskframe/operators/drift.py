@@ -32,23 +32,29 @@ def psi_probs(bins: int = C.PSI_BINS) -> list[float]:
     return [i * step for i in range(bins)] + [1.0]
 
 
-def psi_edges(reference: DataFrame, cols: Sequence[str], bins: int = C.PSI_BINS) -> DataFrame:
-    """(feature, edges array<double>, n_ref) from the reference's exact quantiles."""
+def psi_edges(reference: DataFrame, cols: Sequence[str], bins: int = C.PSI_BINS, mode: str = "quantile") -> DataFrame:
+    """(feature, edges array<double>, n_ref) from the reference's exact quantiles.
+
+    mode "quantile": outer edges padded by 1e-6 (reference semantics, values outside
+    are dropped); mode "open": outer edges at -inf / +inf so every value is binned.
+    """
     ref = long_form(reference, [], cols).where(F.col("value").isNotNull())
     q = quantile_array(ref, ["feature"], "value", psi_probs(bins), alias="_q")
     last = F.size("_q")
-    padded = F.concat(F.array(F.element_at("_q", 1) - C.PSI_EDGE_PAD),
-                      F.slice("_q", 2, last - 2),
-                      F.array(F.element_at("_q", -1) + C.PSI_EDGE_PAD))
+    if mode == "open":
+        lo, hi = F.lit(float("-inf")), F.lit(float("inf"))
+    else:
+        lo, hi = F.element_at("_q", 1) - C.PSI_EDGE_PAD, F.element_at("_q", -1) + C.PSI_EDGE_PAD
+    padded = F.concat(F.array(lo), F.slice("_q", 2, last - 2), F.array(hi))
     return q.select("feature", F.array_sort(F.array_distinct(padded)).alias("edges"), F.col("n").alias("n_ref"))
 
 
 def psi_table(reference: DataFrame, current: DataFrame, cols: Sequence[str],
-              bins: int = C.PSI_BINS) -> DataFrame:
+              bins: int = C.PSI_BINS, mode: str = "quantile") -> DataFrame:
     """Per feature: psi (4 dp, null if a side is empty), n_ref, n_cur, n_bins, n_out_of_range."""
     cols = [c for c in cols if c in reference.columns and c in current.columns]
     # features x bins edge table, read by four branches below: materialize it once
-    edges = materialize(psi_edges(reference, cols, bins))
+    edges = materialize(psi_edges(reference, cols, bins, mode))
     ref = long_form(reference, [], cols).where(F.col("value").isNotNull()).withColumn("_side", F.lit(0))
     cur = long_form(current, [], cols).where(F.col("value").isNotNull()).withColumn("_side", F.lit(1))
     both = ref.unionByName(cur).join(F.broadcast(edges.select("feature", "edges")), "feature")

@@ -180,6 +180,15 @@ def q_psi(spark, sf):
     return drift.psi_table(feats(spark, sf, "train"), feats(spark, sf, "oot"), RAW)
 
 
+_PSI_OPEN_CTES = O.psi_ctes("feat WHERE split = 'train'", "feat WHERE split = 'oot'", RAW, mode="open")
+
+
+@register("psi_open", with_episodes(
+    "SELECT feature, psi, n_ref, n_cur, n_bins, n_out_of_range FROM psi_t", FEAT_CTE + ",\n" + _PSI_OPEN_CTES))
+def q_psi_open(spark, sf):
+    return drift.psi_table(feats(spark, sf, "train"), feats(spark, sf, "oot"), RAW, mode="open")
+
+
 @register("drift_report", with_episodes(
     f"SELECT feature, psi, CASE WHEN psi >= {C.PSI_ALERT} THEN 'ALERT' WHEN psi >= {C.PSI_WARN} THEN 'warn' "
     "ELSE 'stable' END AS status, n_ref, n_cur, n_out_of_range FROM psi_t", FEAT_CTE + ",\n" + _PSI_CTES))

@@ -201,7 +201,7 @@ def unpivot_sql(name: str, src: str, cols: list[str]) -> str:
             f"INTO NAME feature VALUE value) WHERE value IS NOT NULL)")
 
 
-def psi_ctes(ref_src: str, cur_src: str, cols: list[str], bins: int = C.PSI_BINS) -> str:
+def psi_ctes(ref_src: str, cur_src: str, cols: list[str], bins: int = C.PSI_BINS, mode: str = "quantile") -> str:
     step = 1.0 / bins
     probs = [i * step for i in range(bins)] + [1.0]
     plist = ", ".join(f"{p!r}::DOUBLE" for p in probs)
@@ -209,8 +209,10 @@ def psi_ctes(ref_src: str, cur_src: str, cols: list[str], bins: int = C.PSI_BINS
         unpivot_sql("ref_l", ref_src, cols),
         unpivot_sql("cur_l", cur_src, cols),
         f"pq AS (SELECT feature, quantile_cont(value, [{plist}]) AS qs, COUNT(*) AS n_ref FROM ref_l GROUP BY feature)",
-        "pe AS (SELECT feature, n_ref, list_sort(list_distinct(list_concat([qs[1] - 1e-6], qs[2:len(qs) - 1], "
-        "[qs[len(qs)] + 1e-6]))) AS edges FROM pq)",
+        ("pe AS (SELECT feature, n_ref, list_sort(list_distinct(list_concat([qs[1] - 1e-6], qs[2:len(qs) - 1], "
+         "[qs[len(qs)] + 1e-6]))) AS edges FROM pq)") if mode != "open" else
+        ("pe AS (SELECT feature, n_ref, list_sort(list_distinct(list_concat(['-inf'::DOUBLE], qs[2:len(qs) - 1], "
+         "['inf'::DOUBLE]))) AS edges FROM pq)"),
         "pb AS (SELECT l.feature, l.side, CASE WHEN l.value >= edges[1] AND l.value <= edges[len(edges)] THEN "
         "CASE WHEN l.value = edges[len(edges)] THEN len(edges) - 2 "
         "ELSE len(list_filter(edges, lambda e: e <= l.value)) - 1 END END AS bin "

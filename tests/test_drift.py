@@ -60,3 +60,14 @@ def test_drift_checks_severity(spark):
     rows = {r.name: r for r in drift.drift_checks(ref, cur, ["a", "b"]).collect()}
     assert rows["drift.psi.a"].severity == "error" and not rows["drift.psi.a"].passed
     assert rows["drift.psi.b"].severity == "info" and rows["drift.psi.b"].passed
+
+
+def test_psi_open_mode_counts_out_of_range(spark):
+    ref = np.linspace(0, 10, 1000)
+    cur = np.concatenate([np.linspace(0, 10, 500), np.linspace(20, 30, 500)])
+    r = spark.createDataFrame([(float(v),) for v in ref], "x double")
+    c = spark.createDataFrame([(float(v),) for v in cur], "x double")
+    closed = drift.psi_table(r, c, ["x"]).first()
+    opened = drift.psi_table(r, c, ["x"], mode="open").first()
+    assert closed.n_out_of_range == 500 and closed.psi < 0.01
+    assert opened.n_out_of_range == 0 and opened.psi > 0.25
