@@ -37,13 +37,13 @@ def threshold_frame(df: DataFrame, thresholds) -> DataFrame:
 
 
 def confusion_at(df: DataFrame, thresholds, score: str = "score",
-                 label: str = "label", group_cols: Sequence[str] = ()) -> DataFrame:
+                 label: str = "label", group_cols: Sequence[str] = (), hist: DataFrame | None = None) -> DataFrame:
     """(group..., threshold[, tags], tn, fp, fn, tp, n) per threshold; score >= t is positive.
 
     `thresholds` is a list or a small frame with a `threshold` column (extra
     columns are carried as tags); it is broadcast against the distinct-score table.
     """
-    h = _hist(df, score, label, group_cols)
+    h = _hist(df, score, label, group_cols) if hist is None else hist
     ts = threshold_frame(df, thresholds)
     j = h.crossJoin(F.broadcast(ts))
     flag = F.col("score") >= F.col("threshold")
@@ -56,9 +56,9 @@ def confusion_at(df: DataFrame, thresholds, score: str = "score",
 
 
 def threshold_metrics(df: DataFrame, thresholds: Sequence[float], score: str = "score",
-                      label: str = "label", group_cols: Sequence[str] = ()) -> DataFrame:
+                      label: str = "label", group_cols: Sequence[str] = (), hist: DataFrame | None = None) -> DataFrame:
     """Confusion matrix + precision, recall, F1 and flag rate (4 dp) per threshold."""
-    c = confusion_at(df, thresholds, score, label, group_cols)
+    c = confusion_at(df, thresholds, score, label, group_cols, hist)
     tags = [x for x in threshold_frame(df, thresholds).columns if x != "threshold"]
     tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
     prec = tp / F.greatest(tp + fp, F.lit(1))
@@ -157,3 +157,30 @@ def score_quantiles(df: DataFrame, probs: Sequence[float] = (0.5, 0.9), score: s
     """Exact linear quantiles of the score (A19), e.g. median and p90."""
     return exact_quantiles(df, group_cols, score, probs).select(
         *group_cols, "prob", F.col("quantile").alias("value"), "n")
+
+
+def ranking_summary(df: DataFrame | None = None, score: str = "score", label: str = "label",
+                    group_cols: Sequence[str] = (), hist: DataFrame | None = None) -> DataFrame:
+    """AUC, average precision, Brier, base rate and counts from ONE distinct-score table
+    and ONE ascending prefix sum: descending cumulative counts are totals minus the
+    ascending "before" counts, and (p - y)^2 sums per distinct score as
+    pos (s - 1)^2 + neg s^2."""
+    h = _hist(df, score, label, group_cols) if hist is None else hist
+    r = prefix_sum(h, group_cols, "score", ["pos", "n"])
+    s_, pos, n = F.col("score"), F.col("pos"), F.col("n")
+    neg = n - pos
+    neg_before = F.col("n_before") - F.col("pos_before")
+    tp_incl = F.col("pos_total") - F.col("pos_before")
+    flagged_incl = F.col("n_total") - F.col("n_before")
+    agg = r.groupBy(*group_cols).agg(
+        F.sum(pos * (neg_before + neg / 2.0)).alias("_u"),
+        F.sum(pos * (tp_incl / flagged_incl)).alias("_ap"),
+        F.sum(pos * F.pow(s_ - 1.0, 2) + neg * F.pow(s_, 2)).alias("_sq"),
+        F.first("pos_total").alias("n_pos"), F.first("n_total").alias("n"))
+    n_pos, n_all = F.col("n_pos"), F.col("n")
+    return agg.select(
+        *group_cols,
+        F.try_divide(F.col("_u"), (n_pos * (n_all - n_pos)).cast("double")).alias("auc"),
+        F.try_divide(F.col("_ap"), n_pos.cast("double")).alias("average_precision"),
+        (F.col("_sq") / n_all).alias("brier"), (n_pos / n_all).alias("base_rate"),
+        n_pos.cast("long").alias("n_pos"), n_all.cast("long").alias("n"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators import cost, metrics
 from ..functions.prims import round_dp
+from ..session import materialize
 
 EVAL_METRICS = ["threshold", "tn", "fp", "fn", "tp", "precision", "recall", "f1", "flag_rate"]
 
@@ -25,18 +26,19 @@ def evaluate_scores(scored: DataFrame, configured: float = C.CONFIGURED_THRESHOL
     spark = scored.sparkSession
     ts = spark.createDataFrame([("configured", float(configured))], "operating_point string, threshold double") \
         .unionByName(dep.select(F.lit("deployment").alias("operating_point"), "threshold"))
-    tm = metrics.threshold_metrics(ev, ts)
+    # one distinct-score table of the evaluation split feeds every metric below
+    hist = materialize(metrics.score_hist(ev, "score", "label").withColumn("neg", F.col("n") - F.col("pos")))
+    tm = metrics.threshold_metrics(ev, ts, hist=hist)
     ops = tm.select("operating_point", F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in EVAL_METRICS]))
         .alias("m")).select("operating_point", "m.metric", "m.value")
-    auc = metrics.roc_auc(ev).select(F.lit("auc").alias("metric"), round_dp("auc", 4).alias("value"))
-    ap = metrics.average_precision(ev).select(F.lit("pr_auc").alias("metric"),
-                                              round_dp("average_precision", 4).alias("value"))
-    br = metrics.brier(ev)
-    brier = br.select(F.lit("brier_score").alias("metric"), round_dp("brier", 4).alias("value"))
-    rate = br.select(F.lit("default_rate_actual").alias("metric"), round_dp("base_rate", 4).alias("value"))
-    allm = auc.unionByName(ap).unionByName(brier).unionByName(rate).select(
-        F.lit("all").alias("operating_point"), "metric", round_dp("value", 6).alias("value"))
+    summ = metrics.ranking_summary(hist=hist)
+    allm = summ.select(F.explode(F.array(
+        F.struct(F.lit("auc").alias("metric"), round_dp("auc", 4).alias("value")),
+        F.struct(F.lit("pr_auc").alias("metric"), round_dp("average_precision", 4).alias("value")),
+        F.struct(F.lit("brier_score").alias("metric"), round_dp("brier", 4).alias("value")),
+        F.struct(F.lit("default_rate_actual").alias("metric"), round_dp("base_rate", 4).alias("value")))).alias("m")
+    ).select(F.lit("all").alias("operating_point"), "m.metric", round_dp("m.value", 6).alias("value"))
     return allm.unionByName(ops.select("operating_point", "metric", round_dp("value", 6).alias("value")))
 
 

@@ -118,3 +118,15 @@ def test_calibration_table_bins(spark):
     y = (np.arange(100) % 3 == 0).astype(int)
     t = metrics.calibration_table(scored(spark, y, p)).orderBy("bin").collect()
     assert sum(r.n for r in t) == 100 and len(t) == 10
+
+
+def test_ranking_summary_matches_individual_metrics(spark):
+    rng = np.random.default_rng(21)
+    p = np.round(rng.uniform(size=600), 2)
+    y = (rng.uniform(size=600) < p).astype(int)
+    df = scored(spark, y, p)
+    s = metrics.ranking_summary(df).first()
+    assert s.auc == pytest.approx(brute_auc(y, p), abs=1e-12)
+    assert s.average_precision == pytest.approx(brute_ap(y, p), abs=1e-12)
+    assert s.brier == pytest.approx(float(np.mean((p - y) ** 2)), abs=1e-12)
+    assert s.base_rate == pytest.approx(y.mean())
