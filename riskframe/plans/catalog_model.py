@@ -183,8 +183,8 @@ def q_train_pipeline(spark, sf):
 def q_train_gbt(spark, sf):
     f_tr, f_va = feats(spark, sf, "train"), feats(spark, sf, "val")
     fitted = model.train_gbt(f_tr, f_va, GBT_QUERY)
-    rows = [(i + 1, float(v), i + 1 == fitted.best_iteration) for i, v in enumerate(fitted.val_losses)]
-    return spark.createDataFrame(rows, "iteration int, val_logloss double, chosen boolean")
+    rows = [(i + 1, -float(v), i + 1 == fitted.best_iteration) for i, v in enumerate(fitted.val_losses)]
+    return spark.createDataFrame(rows, "iteration int, val_auc double, chosen boolean")
 
 
 @register("train_scorecard")

@@ -78,8 +78,8 @@ def train_pipeline(episodes: DataFrame, cfg: C.TrainingConfig = C.TrainingConfig
     fair = fairness.fairness_audit(oot, dep)
     checks = gates.validate_model(scored.withColumn("score", F.col("score")), dep, cfg.validation,
                                   fitted.feature_cols)
-    losses = spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(fitted.val_losses)],
-                                   "iteration int, val_logloss double")
+    losses = spark.createDataFrame([(i + 1, -float(v)) for i, v in enumerate(fitted.val_losses)],
+                                   "iteration int, val_auc double")
     return {"metrics": metrics_long.unionByName(extra).unionByName(it), "fairness": fair,
             "validation": checks, "val_losses": losses,
             "importance": model.feature_importance(fitted.model, fitted.feature_cols),

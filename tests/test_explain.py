@@ -63,3 +63,13 @@ def test_additivity_against_probability(fitted):
     for r in j[:50]:
         total = r.base_value + sum(getattr(r, f"reason{k}_shap_value") for k in range(1, 5))
         assert 1 / (1 + math.exp(-total)) == pytest.approx(r.p, abs=1e-9)
+
+
+def test_prefix_auc_matches_model_auc(spark, fitted):
+    from riskframe.operators import metrics, model
+    df, va, m = fitted
+    vec = va.transform(df).select("features", "label")
+    aucs = model.prefix_auc(m, vec)
+    assert len(aucs) == 5
+    full = m.transform(vec).select(vector_to_array("probability")[1].alias("score"), F.col("label").cast("int").alias("label"))
+    assert aucs[-1] == pytest.approx(metrics.roc_auc(full).first().auc, abs=1e-12)
