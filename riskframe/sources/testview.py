@@ -9,7 +9,7 @@ left-joined to orders on the order key (co-partitioned), joined to customer
 on the customer key (sort-merge, AQE splits a hot customer) and to nation
 (25 rows; Catalyst broadcasts it from its file size). Prior-history counters
 use the two-level window of `operators.history.prior_history`, bucketed by
-draw month so one heavy borrower never lands in a single task.
+draw day so one heavy borrower never lands in a single task.
 """
 from __future__ import annotations
 
@@ -116,7 +116,7 @@ def episodes(spark: SparkSession, sf_dir: str, with_score: bool = True, base: Da
                          outcomes={"prior_cleared_within_24h_count": "cleared_24h",
                                    "prior_rolled_past_30d_count": "defaulted_30d"},
                          count_name="prior_overdraw_count",
-                         bucket=F.trunc("draw_date", "month"))
+                         bucket=F.col("draw_date"))
     hist = hist.withColumns({c: F.col(c).cast("int") for c in
                              ("prior_cleared_within_24h_count", "prior_rolled_past_30d_count")})
     out = hist.withColumn("split", split_expr(TEST_VAL_CUTOFF, TEST_OOT_CUTOFF))
