@@ -87,23 +87,60 @@ def bin_index(x: Column, edges: Column, max_edges: int, right_closed: bool = Fal
     return F.when(x.isNull(), F.lit(None).cast("int")).otherwise(found)
 
 
-def upper_bound_sql(x: str, edges: str, n: int, right_closed: bool = False) -> str:
+def upper_bound_sql(x: str, edges: str, n: int, right_closed: bool = False, block_col: str | None = None) -> str:
     """SQL text: number of the first `n` entries of sorted `edges` that are <= x (or < x).
 
-    An unrolled binary search -- nested CASE over constant positions -- so it
+    An unrolled binary search -- nested CASE over array positions -- so it
     compiles into whole-stage code instead of running an interpreted lambda.
     Entries past the array's end read as NULL and count as greater than x, so
-    shorter (de-duplicated) edge arrays work unchanged.
+    shorter (de-duplicated) edge arrays work unchanged. Beyond 64 entries the
+    search runs in two stages (which block of 64, then where inside it) so the
+    expression stays small for any n up to 4096.
     """
     op = "<" if right_closed else "<="
 
+    def below(pos: str) -> str:
+        return f"coalesce(try_element_at({edges}, {pos}) {op} {x}, false)"
+
+    def build(lo: int, hi: int, pos) -> str:
+        if lo >= hi:
+            return str(lo)
+        mid = (lo + hi) // 2
+        return f"CASE WHEN {below(pos(mid))} THEN {build(mid + 1, hi, pos)} ELSE {build(lo, mid, pos)} END"
+
+    if n <= 64:
+        body = build(0, n, lambda i: str(i + 1))
+    else:
+        block = 64
+        m = -(-n // block)
+        # block j is "fully below" when its last entry (1-based position min((j+1)*64, n)) is below x
+        blk = block_col or build(0, m, lambda j: str(min((j + 1) * block, n)))
+        fine = build(0, block, lambda i: f"({blk} * {block} + {i + 1})")
+        body = f"least({blk} * {block} + {fine}, {n})"
+    return f"CASE WHEN {x} IS NULL THEN NULL ELSE {body} END"
+
+
+def block_index_sql(x: str, edges: str, n: int, right_closed: bool = False, block: int = 64) -> str:
+    """SQL text: number of leading 64-entry blocks of `edges` lying entirely below x."""
+    op = "<" if right_closed else "<="
+    m = -(-n // block)
+
     def build(lo: int, hi: int) -> str:
         if lo >= hi:
             return str(lo)
         mid = (lo + hi) // 2
-        return (f"CASE WHEN coalesce(try_element_at({edges}, {mid + 1}) {op} {x}, false) "
+        pos = min((mid + 1) * block, n)
+        return (f"CASE WHEN coalesce(try_element_at({edges}, {pos}) {op} {x}, false) "
                 f"THEN {build(mid + 1, hi)} ELSE {build(lo, mid)} END")
-    return f"CASE WHEN {x} IS NULL THEN NULL ELSE {build(0, n)} END"
+    return build(0, m)
+
+
+def with_bin_index(df: DataFrame, x: str, edges: str, n: int, out: str, right_closed: bool = False) -> DataFrame:
+    """Add `out` = number of edges <= x (< x); two projected steps beyond 64 edges."""
+    if n <= 64:
+        return df.withColumn(out, F.expr(upper_bound_sql(x, edges, n, right_closed)))
+    d = df.withColumn("_blk", F.expr(block_index_sql(x, edges, n, right_closed)))
+    return d.withColumn(out, F.expr(upper_bound_sql(x, edges, n, right_closed, block_col="_blk"))).drop("_blk")
 
 
 def bin_index_fast(x: str, edges: str, max_edges: int, right_closed: bool = False) -> Column:
@@ -125,6 +162,8 @@ def score_hist(df: DataFrame, score: str = "score", label: str = "label",
 # one-window path: a single sort of <= SMALL_ROWS rows is cheaper than the
 # bucketed plan's extra stages and fits one task comfortably.
 SMALL_ROWS = 1_000_000
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 4096
 
 
 def prefix_sum(df: DataFrame, group_cols: Sequence[str], order_col: str,
@@ -143,16 +182,21 @@ def prefix_sum(df: DataFrame, group_cols: Sequence[str], order_col: str,
     """
     g = list(group_cols)
     small_rows = SMALL_ROWS if small_rows is None else small_rows
+    n_rows = None
     if small_rows > 0:
         if not materialized:
             df = materialize(df)
-        if df.count() <= small_rows:
+        n_rows = df.count()
+        if n_rows <= small_rows:
             order = F.col(order_col).desc() if descending else F.col(order_col).asc()
             w = Window.partitionBy(*g).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
             w_all = Window.partitionBy(*g)
             return df.select(*[F.col(c) for c in df.columns],
                              *[F.sum(c).over(w_all).alias(f"{c}_total") for c in sum_cols],
                              *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{c}_before") for c in sum_cols])
+    if n_rows is not None:
+        # about ROWS_PER_BUCKET rows per (group, bucket) task, whatever the input size
+        n_buckets = max(n_buckets, min(MAX_BUCKETS, -(-n_rows // ROWS_PER_BUCKET)))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     edges = (df.groupBy(*g).agg(
         F.percentile_approx(F.col(order_col).cast("double"), probs, APPROX_ACCURACY).alias("_edges"),
@@ -161,10 +205,10 @@ def prefix_sum(df: DataFrame, group_cols: Sequence[str], order_col: str,
         with_edges = df.crossJoin(F.broadcast(edges))
     else:
         with_edges = df.join(F.broadcast(edges) if few_groups else edges, g)
-    bucket = bin_index_fast(f"CAST(`{order_col}` AS DOUBLE)", "_edges", n_buckets - 1)
+    b = with_bin_index(with_edges, f"CAST(`{order_col}` AS DOUBLE)", "_edges", n_buckets - 1, "_bk")
     if descending:
-        bucket = F.lit(n_buckets) - bucket
-    b = with_edges.withColumn("_bk", bucket).drop("_edges")
+        b = b.withColumn("_bk", F.lit(n_buckets) - F.col("_bk"))
+    b = b.drop("_edges")
 
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w_in = Window.partitionBy(*g, "_bk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

@@ -62,3 +62,27 @@ def test_score_hist_counts(spark):
     df = spark.createDataFrame([(0.2, 1), (0.2, 0), (0.5, 1), (None, 1)], "score double, label int")
     got = sorted((r.score, r.pos, r.n) for r in score_hist(df).collect())
     assert got == [(0.2, 1, 2), (0.5, 1, 1)]
+
+
+@pytest.mark.parametrize("n_edges", [5, 64, 65, 300, 4095])
+def test_bin_index_large_edge_arrays(spark, n_edges):
+    from riskframe.functions.prims import with_bin_index
+    rng = np.random.default_rng(n_edges)
+    edges = np.sort(rng.integers(0, 500, n_edges)).astype(float)
+    xs = np.concatenate([rng.uniform(-10, 510, 300), edges[:20]])
+    df = spark.createDataFrame([(float(x),) for x in xs], "x double").withColumn(
+        "e", F.array(*[F.lit(float(v)) for v in edges]))
+    for rc in (False, True):
+        got = [r.b for r in with_bin_index(df, "x", "e", n_edges, "b", rc).collect()]
+        want = [int(np.searchsorted(edges, x, side="left" if rc else "right")) for x in xs]
+        assert got == want
+
+
+def test_prefix_sum_adaptive_buckets(spark, monkeypatch):
+    import riskframe.functions.prims as P
+    monkeypatch.setattr(P, "ROWS_PER_BUCKET", 20)
+    rng = np.random.default_rng(6)
+    vals = rng.permutation(5000).astype(float)
+    df = spark.createDataFrame([(float(v), 1, "k") for v in vals], "s double, w long, k string")
+    out = P.prefix_sum(df, ["k"], "s", ["w"], small_rows=1).collect()
+    assert all(r.w_before == int(r.s) for r in out)
