@@ -303,29 +303,16 @@ def fmt_num(c: Column, dp: int) -> Column:
 
 
 # ---------------------------------------------------------------- K8
-def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], few_groups: bool = True,
-                    materialize_hist: bool = True) -> DataFrame:
-    """Exact linear-interpolated quantiles per group.
+QUANTILE_BUCKETS = 1024
+# Up to this many non-null values the full per-value histogram is shuffled
+# (fewest jobs); beyond it the sketch-located buckets are used (least shuffle).
+HIST_QUANTILE_ROWS = 5_000_000
 
-    Returns (group..., q_idx, prob, n, quantile). Nulls are ignored; an empty
-    group yields no rows. Interpolation: lo + (hi - lo) * frac with
-    pos = prob * (n - 1) -- the same definition numpy's and DuckDB's linear
-    quantiles use. No group is ever materialised in one task: values are
-    counted per distinct value, ranked with K5, and only the rows holding the
-    needed ranks are kept.
-    """
-    g = list(group_cols)
-    v = F.col(value_col).cast("double")
-    hist = (df.where(F.col(value_col).isNotNull()).groupBy(*g, v.alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_c")))
-    if materialize_hist:
-        hist = materialize(hist)
-    ranked = prefix_sum(hist, g, "_v", ["_c"], few_groups=few_groups, materialized=materialize_hist)
+
+def _targets(sizes: DataFrame, g: list[str], probs: Sequence[float]) -> tuple[DataFrame, DataFrame]:
+    """(want, ends): per group and prob the interpolation position and the two needed ranks."""
     targets = F.explode(F.array(*[F.struct(F.lit(i).alias("q_idx"), F.lit(float(p)).alias("prob"))
                                   for i, p in enumerate(probs)])).alias("t")
-    # rows (value, [before, before + c)) that contain rank floor(pos) or ceil(pos)
-    sizes = hist.groupBy(*g).agg(F.sum("_c").alias("n"))
     want = (sizes.select(*g, "n", targets).select(*g, "n", "t.q_idx", "t.prob")
                  .withColumn("_pos", F.col("prob") * (F.col("n") - 1).cast("double"))
                  .withColumn("_lo_rank", F.floor("_pos").cast("long"))
@@ -335,9 +322,10 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         F.struct(F.lit(0).alias("_end"), F.col("_lo_rank").alias("_rank")),
         F.struct(F.lit(1).alias("_end"), F.col("_hi_rank").alias("_rank")))).alias("e")).select(
         *g, "q_idx", "e._end", "e._rank")
-    ends_b = F.broadcast(ends) if few_groups else ends
-    hit = (ranked.join(ends_b, g) if g else ranked.crossJoin(ends_b)).where(
-        (F.col("_c_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_c_before") + F.col("_c")))
+    return want, ends
+
+
+def _interpolate(want: DataFrame, hit: DataFrame, g: list[str]) -> DataFrame:
     pv = hit.groupBy(*g, "q_idx").agg(
         F.max(F.when(F.col("_end") == 0, F.col("_v"))).alias("_lo_v"),
         F.max(F.when(F.col("_end") == 1, F.col("_v"))).alias("_hi_v"))
@@ -347,6 +335,77 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     return res.select(*g, "q_idx", "prob", "n", q.alias("quantile"))
 
 
+def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
+                    probs: Sequence[float], few_groups: bool = True,
+                    materialize_hist: bool = True) -> DataFrame:
+    """Exact linear-interpolated quantiles per group.
+
+    Returns (group..., q_idx, prob, n, quantile). Nulls are ignored; an empty
+    group yields no rows. Interpolation: lo + (hi - lo) * frac with
+    pos = prob * (n - 1) -- the definition numpy's and DuckDB's linear
+    quantiles share. The input size is checked (one count): small inputs rank
+    the full per-value histogram, large ones only the sketch-located buckets.
+    """
+    g = list(group_cols)
+    base = df.where(F.col(value_col).isNotNull()).select(*g, F.col(value_col).cast("double").alias("_v"))
+    if base.count() <= HIST_QUANTILE_ROWS:
+        return _quantiles_by_histogram(base, g, probs, few_groups)
+    return _quantiles_by_sketch(base, g, probs, few_groups, materialize_hist)
+
+
+def _quantiles_by_histogram(base: DataFrame, g: list[str], probs: Sequence[float], few_groups: bool) -> DataFrame:
+    """Rank every distinct value (K5 over the materialized per-value histogram)."""
+    hist = materialize(base.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    ranked = prefix_sum(hist, g, "_v", ["_c"], few_groups=few_groups, materialized=True)
+    sizes = hist.groupBy(*g).agg(F.sum("_c").alias("n"))
+    want, ends = _targets(sizes, g, probs)
+    ends_b = F.broadcast(ends) if few_groups else ends
+    hit = (ranked.join(ends_b, g) if g else ranked.crossJoin(ends_b)).where(
+        (F.col("_c_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_c_before") + F.col("_c")))
+    return _interpolate(want, hit, g)
+
+
+def _quantiles_by_sketch(base: DataFrame, g: list[str], probs: Sequence[float], few_groups: bool,
+                         materialize_hist: bool) -> DataFrame:
+    """Approximate, then exact: (1) a mergeable sketch gives ~1024 bucket edges per
+    group; (2) exact per-bucket counts (a tiny shuffle) locate the bucket and
+    in-bucket rank of every needed order statistic; (3) only rows of those few
+    buckets are counted per distinct value and ranked (K5). The approximation
+    only sizes buckets -- ranks are counted exactly -- and the heavy shuffle
+    carries a few buckets' rows instead of every distinct value.
+    """
+    nb = QUANTILE_BUCKETS
+    eprobs = [i / nb for i in range(1, nb)]
+    sketch = base.groupBy(*g).agg(F.percentile_approx("_v", eprobs, APPROX_ACCURACY).alias("_e"),
+                                  F.count(F.lit(1)).alias("n"))
+    sketch = materialize(sketch) if materialize_hist else sketch
+    sk = F.broadcast(sketch) if few_groups else sketch
+
+    def bucketed(frame: DataFrame) -> DataFrame:
+        j = frame.join(sk, g) if g else frame.crossJoin(sk)
+        return with_bin_index(j, "_v", "_e", nb - 1, "_b").drop("_e")
+
+    counts = bucketed(base).groupBy(*g, "_b").agg(F.count(F.lit(1)).alias("_bc"), F.first("n").alias("n"))
+    counts = materialize(counts) if materialize_hist else counts   # groups x buckets rows
+    wb = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    cum = counts.withColumn("_before", F.coalesce(F.sum("_bc").over(wb), F.lit(0)))
+    sizes = counts.groupBy(*g).agg(F.first("n").alias("n"))
+    want, ends = _targets(sizes, g, probs)
+    # bucket and in-bucket rank of every needed order statistic (groups x probs x 2 rows)
+    located = (ends.join(cum, g) if g else ends.crossJoin(cum)).where(
+        (F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_bc"))).select(
+        *g, "q_idx", "_end", "_b", (F.col("_rank") - F.col("_before")).alias("_local"))
+    located = materialize(located) if materialize_hist else located
+    keys = located.select(*g, "_b").distinct()
+    cand = bucketed(base).join(F.broadcast(keys) if few_groups else keys, [*g, "_b"], "left_semi")
+    hist = cand.groupBy(*g, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = prefix_sum(hist, [*g, "_b"], "_v", ["_c"], few_groups=False)
+    loc = F.broadcast(located) if few_groups else located
+    hit = ranked.join(loc, [*g, "_b"]).where(
+        (F.col("_c_before") <= F.col("_local")) & (F.col("_local") < F.col("_c_before") + F.col("_c")))
+    return _interpolate(want, hit, g)
+
+
 def quantile_array(df: DataFrame, group_cols: Sequence[str], value_col: str,
                    probs: Sequence[float], alias: str = "edges",
                    few_groups: bool = True) -> DataFrame:

@@ -14,12 +14,14 @@ def test_bin_index_left_and_right_closed(spark):
     assert [r.r for r in got] == [0, 1, 2, 2, None]
 
 
-@pytest.mark.parametrize("two_level", [False, True])
+@pytest.mark.parametrize("path", ["histogram", "histogram-two-level", "sketch"])
 @pytest.mark.parametrize("n,distinct", [(1, 1), (7, 3), (500, 500), (2000, 37)])
-def test_exact_quantiles_match_numpy(spark, n, distinct, two_level, monkeypatch):
+def test_exact_quantiles_match_numpy(spark, n, distinct, path, monkeypatch):
     import riskframe.functions.prims as P
-    if two_level:
+    if path == "histogram-two-level":
         monkeypatch.setattr(P, "SMALL_ROWS", 0)
+    if path == "sketch":
+        monkeypatch.setattr(P, "HIST_QUANTILE_ROWS", 0)
     rng = np.random.default_rng(n)
     vals = rng.integers(0, distinct, n).astype(float) * 1.37 + rng.normal(0, 1, n).round(0)
     probs = [0.0, 0.1, 0.25, 0.3, 0.5, 0.9, 1.0]
