@@ -78,3 +78,32 @@ def materialize(df):
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make `riskframe` importable in Python workers (what --py-files does).
+
+    The package is zipped once per application into the shared checkpoint
+    folder and added with `addPyFile`, so Arrow-batch tasks (`mapInPandas`)
+    can unpickle functions defined in it on any executor.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target = scratch_path(spark, "pyfiles")
+    local_dir = tempfile.mkdtemp(prefix="riskframe-pkg-")
+    archive = shutil.make_archive(os.path.join(local_dir, "riskframe"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
+    dest = archive
+    if "://" not in target or target.startswith("file:"):
+        os.makedirs(target.replace("file:", ""), exist_ok=True)
+        dest = os.path.join(target.replace("file:", ""), "riskframe.zip")
+        shutil.copyfile(archive, dest)
+    sc.addPyFile(dest)
+    _SHIPPED.add(app)
