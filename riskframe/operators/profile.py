@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from ..functions.prims import bin_index_fast, clip, exact_quantiles, long_form, quantile_array, round_dp
+from ..functions.prims import bin_index_fast, clip, exact_quantiles, long_form, quantile_array, round_dp, with_bin_index
 from .quality import pearson_expr
 
 MODEL_FEATURES = C.RAW_FEATURE_COLUMNS
@@ -64,24 +64,34 @@ def class_balance(df: DataFrame, target: str = C.TARGET_COL) -> DataFrame:
 
 def rate_by_quantile_band(df: DataFrame, cols_bins, target: str = C.TARGET_COL) -> DataFrame:
     """Default rate per quantile band (E5): linear-quantile edges, right-closed bins,
-    lowest edge included (pandas qcut). Duplicate edges are merged (qcut would raise)."""
-    out = None
-    for col, q in (cols_bins.items() if isinstance(cols_bins, dict) else cols_bins):
-        probs = [i / q for i in range(q)] + [1.0]
-        d = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("_x"),
-                                                   F.col(target).cast("double").alias("_y"))
-        e = quantile_array(d, [], "_x", probs, alias="_q").select(F.array_sort(F.array_distinct("_q")).alias("edges"))
-        j = d.crossJoin(F.broadcast(e))
-        idx = F.when(F.col("_x") == F.element_at("edges", 1), 1).otherwise(
-            bin_index_fast("_x", "edges", q + 1, right_closed=True))
-        b = j.withColumn("band", idx.cast("long")).groupBy("band").agg(
-            F.first(F.element_at("edges", F.col("band").cast("int"))).alias("lo"),
-            F.first(F.element_at("edges", F.col("band").cast("int") + 1)).alias("hi"),
-            F.count(F.lit(1)).alias("n"), F.avg("_y").alias("default_rate"))
-        b = b.select(F.lit(col).alias("feature"), F.lit(q).cast("long").alias("n_quantiles"), "band", "lo", "hi", "n",
-                     "default_rate")
-        out = b if out is None else out.unionByName(b)
-    return out
+    lowest edge included (pandas qcut). Duplicate edges are merged (qcut would raise).
+
+    All (column, n_quantiles) specs share one long-form pass: one exact-quantile
+    job over the union of the specs' probabilities, one binning pass, one aggregate.
+    """
+    specs = list(cols_bins.items() if isinstance(cols_bins, dict) else cols_bins)
+    probs_of = {i: [j / q for j in range(q)] + [1.0] for i, (_, q) in enumerate(specs)}
+    all_probs = sorted({p for ps in probs_of.values() for p in ps})
+    y = F.col(target).cast("double")
+    parts = F.explode(F.array(*[F.struct(F.lit(i).alias("spec"), F.col(c).cast("double").alias("_x"))
+                                for i, (c, _) in enumerate(specs)])).alias("s")
+    lf = df.select(y.alias("_y"), parts).select("_y", "s.spec", "s._x").where(F.col("_x").isNotNull())
+    q = exact_quantiles(lf, ["spec"], "_x", all_probs)
+    want = F.create_map(*[x for i, ps in probs_of.items() for x in (F.lit(i), F.array(*[F.lit(p) for p in ps]))])
+    edges = (q.where(F.array_contains(want[F.col("spec")], F.col("prob")))
+              .groupBy("spec").agg(F.array_sort(F.array_distinct(F.collect_list("quantile"))).alias("edges")))
+    n_max = max(q_ for _, q_ in specs) + 1
+    j = lf.join(F.broadcast(edges), "spec")   # one row per spec
+    j = with_bin_index(j, "_x", "edges", n_max, "_bi", right_closed=True)
+    band = F.when(F.col("_x") == F.element_at("edges", 1), 1).otherwise(F.col("_bi")).cast("long")
+    b = j.withColumn("band", band).groupBy("spec", "band").agg(
+        F.first(F.element_at("edges", F.col("band").cast("int"))).alias("lo"),
+        F.first(F.element_at("edges", F.col("band").cast("int") + 1)).alias("hi"),
+        F.count(F.lit(1)).alias("n"), F.avg("_y").alias("default_rate"))
+    name = F.create_map(*[x for i, (c, _) in enumerate(specs) for x in (F.lit(i), F.lit(c))])
+    nq = F.create_map(*[x for i, (_, q_) in enumerate(specs) for x in (F.lit(i), F.lit(q_))])
+    return b.select(name[F.col("spec")].alias("feature"), nq[F.col("spec")].cast("long").alias("n_quantiles"),
+                    "band", "lo", "hi", "n", "default_rate")
 
 
 def rate_by_value(df: DataFrame, col: str, target: str = C.TARGET_COL) -> DataFrame:
