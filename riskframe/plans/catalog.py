@@ -23,7 +23,7 @@ RAW = C.RAW_FEATURE_COLUMNS
 FEATS = C.FEATURE_COLUMNS
 
 
-_EP_TABLES: dict[tuple[str, str], str] = {}
+_EP_TABLES: dict[tuple[str, str], tuple[str, str]] = {}
 
 
 def ep(spark: SparkSession, sf: str, materialized: bool = True) -> DataFrame:
@@ -36,15 +36,24 @@ def ep(spark: SparkSession, sf: str, materialized: bool = True) -> DataFrame:
     """
     if not materialized:
         return episodes(spark, sf)
+    return spark.read.parquet(_tables(spark, sf)[0])
+
+
+def raw_ep(spark: SparkSession, sf: str) -> DataFrame:
+    """The written raw-episode table (outcomes, no history counters) behind `ep`."""
+    return spark.read.parquet(_tables(spark, sf)[1])
+
+
+def _tables(spark: SparkSession, sf: str) -> tuple[str, str]:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf))
-    path = _EP_TABLES.get(key)
-    if path is None:
+    paths = _EP_TABLES.get(key)
+    if paths is None:
         path = scratch_path(spark, "episodes")
         raw_path = scratch_path(spark, "raw-episodes")
         raw_episodes(spark, sf).write.parquet(raw_path)
         episodes(spark, sf, base=spark.read.parquet(raw_path)).write.partitionBy("split").parquet(path)
-        _EP_TABLES[key] = path
-    return spark.read.parquet(path)
+        paths = _EP_TABLES[key] = (path, raw_path)
+    return paths
 
 
 def feats(spark: SparkSession, sf: str, split: str | None = None, keys=("loan_id",)) -> DataFrame:

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import features, history, profile, splits
-from ..sources.testview import TEST_OOT_CUTOFF, TEST_VAL_CUTOFF, expand_rnd, raw_episodes, table, with_episodes
-from .catalog import EP_COLS, FEAT_CTE, RAW, ep, feat_select
+from ..sources.testview import TEST_OOT_CUTOFF, TEST_VAL_CUTOFF, expand_rnd, table, with_episodes
+from .catalog import EP_COLS, FEAT_CTE, RAW, ep, feat_select, raw_ep
 from .registry import normalize, register
 
 TEST_SPLIT = C.SplitConfig(val_cutoff=TEST_VAL_CUTOFF, oot_cutoff=TEST_OOT_CUTOFF)
@@ -70,7 +70,7 @@ def q_borrower_overlap(spark, sf):
     "SELECT loan_id, cust_id, prior_overdraw_count, prior_cleared_within_24h_count, prior_rolled_past_30d_count "
     "FROM ep"))
 def q_prior_history(spark, sf):
-    h = history.prior_history(raw_episodes(spark, sf), key="cust_id", order_cols=["draw_date", "loan_id"],
+    h = history.prior_history(raw_ep(spark, sf), key="cust_id", order_cols=["draw_date", "loan_id"],
                               outcomes={"prior_cleared_within_24h_count": "cleared_24h",
                                         "prior_rolled_past_30d_count": "defaulted_30d"},
                               count_name="prior_overdraw_count", bucket=F.col("draw_date"))
