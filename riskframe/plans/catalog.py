@@ -245,3 +245,9 @@ def _category_psi_sql() -> str:
 @register("psi_category", _category_psi_sql())
 def q_psi_category(spark, sf):
     return drift.category_psi(feats(spark, sf, "train"), feats(spark, sf, "oot"), CATEGORY_COLS)
+
+
+@register("quality_missing_columns", _checks_sql(
+    lambda a: [r for r in O.schema_rows(a, FEAT_DF_COLS) if "'schema.missing_columns'" in r]))
+def q_quality_missing_columns(spark, sf):
+    return quality.schema_checks(feats(spark, sf)).where(F.col("name") == "schema.missing_columns")
