@@ -25,9 +25,9 @@ AUDIT_PROXIES = {
 
 
 def threshold_sql(threshold) -> str:
-    """A float threshold as a literal, a column name or Column as its SQL text."""
+    """A float threshold as a literal, or the name of a column holding it."""
     if isinstance(threshold, Column):
-        return threshold._jc.toString()
+        raise TypeError("pass the threshold as a float or as the name of its column")
     if isinstance(threshold, str):
         return f"`{threshold}`"
     return f"{float(threshold)!r}D"
@@ -140,7 +140,7 @@ def with_gate_groups(df: DataFrame) -> DataFrame:
                                                  F.lit(False)).cast("int"))
 
 
-def ztest_table(df: DataFrame, threshold: float | Column, score: str = "score",
+def ztest_table(df: DataFrame, threshold: float | str, score: str = "score",
                 label: str = "label") -> DataFrame:
     """Two-proportion z (pooled) of FPR and FNR between the sides of each proxy.
 

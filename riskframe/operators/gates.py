@@ -62,7 +62,7 @@ def forbidden_feature_checks(spark, feature_cols: Sequence[str],
     return spark.createDataFrame(rows, CHECK_SCHEMA)
 
 
-def validate_model(scored: DataFrame, threshold: float, config: C.ModelValidationConfig = C.ModelValidationConfig(),
+def validate_model(scored: DataFrame, threshold: float | str, config: C.ModelValidationConfig = C.ModelValidationConfig(),
                    feature_cols: Sequence[str] = C.FEATURE_COLUMNS, score: str = "score", label: str = "label",
                    split_col: str = "split", eval_split: str = "oot", train_split: str | None = "train") -> DataFrame:
     """AUC gate, train-OOT gap, fairness gates and forbidden features as one check table.

@@ -249,7 +249,7 @@ def _audit_sql() -> str:
 @register("fairness_audit", with_episodes(_audit_sql(), SC + ",\n" + DEP + ",\n" + GC))
 def q_fairness_audit(spark, sf):
     d = with_deployment(scored(spark, sf))
-    return normalize(fairness.fairness_audit(d, F.col("_t")))
+    return normalize(fairness.fairness_audit(d, "_t"))
 
 
 def _ztest_sql() -> str:
@@ -271,13 +271,13 @@ def _ztest_sql() -> str:
 @register("fairness_ztest", with_episodes(_ztest_sql(), SC + ",\n" + DEP + ",\n" + GC))
 def q_fairness_ztest(spark, sf):
     d = with_deployment(scored(spark, sf))
-    return normalize(fairness.ztest_table(d, F.col("_t")))
+    return normalize(fairness.ztest_table(d, "_t"))
 
 
 @register("fairness_pvalues")
 def q_fairness_pvalues(spark, sf):
     d = with_deployment(scored(spark, sf))
-    return normalize(fairness.ztest_pvalues(fairness.ztest_table(d, F.col("_t"))))
+    return normalize(fairness.ztest_pvalues(fairness.ztest_table(d, "_t")))
 
 
 @register("approved_pool_rate", with_episodes(
@@ -333,7 +333,7 @@ _GG, _GATE_ROWS = _gate_sql()
 @register("fairness_gate", with_episodes(_GATE_ROWS, SC + ",\n" + DEP + ",\n" + _GG))
 def q_fairness_gate(spark, sf):
     d = fairness.with_gate_groups(with_deployment(scored(spark, sf)))
-    return normalize(fairness.fairness_gate(d, F.col("_t")))
+    return normalize(fairness.fairness_gate(d, "_t"))
 
 
 @register("auc_gate", with_episodes(
@@ -381,7 +381,7 @@ def q_validate_model(spark, sf):
     d = with_deployment(s)
     rest = s.where(F.col("split") != "oot").withColumn("_t", F.lit(None).cast("double"))
     full = d.unionByName(rest)
-    return normalize(gates.validate_model(full, F.col("_t")))
+    return normalize(gates.validate_model(full, "_t"))
 
 
 VM_BODY = ("SELECT CAST(100 AS INTEGER) AS check_seq, 'model.auc' AS name, COALESCE(auc >= 0.65, FALSE) AS passed, "
