@@ -88,3 +88,20 @@ def test_prefix_sum_adaptive_buckets(spark, monkeypatch):
     df = spark.createDataFrame([(float(v), 1, "k") for v in vals], "s double, w long, k string")
     out = P.prefix_sum(df, ["k"], "s", ["w"], small_rows=1).collect()
     assert all(r.w_before == int(r.s) for r in out)
+
+
+def test_clean_nan_and_csv_reader(spark, tmp_path):
+    from riskframe.functions.prims import clean_nan
+    from riskframe.sources import io
+    df = spark.createDataFrame([(float("nan"), 1), (2.0, None)], "x double, k int")
+    got = clean_nan(df).collect()
+    assert got[0].x is None and got[1].x == 2.0 and got[1].k is None
+    header = ",".join(f.name for f in io.EPISODE_SCHEMA.fields)
+    vals = ["1", "7", "2024-01-05", "A", "B", "C"] + [
+        "NaN" if f.name == "utilization_rate" else ("" if f.name == "avg_txn_value_kes" else "1")
+        for f in io.EPISODE_SCHEMA.fields[6:]]
+    p = tmp_path / "ep.csv"
+    p.write_text(header + "\n" + ",".join(vals) + "\n")
+    row = io.read_episodes(spark, str(p), fmt="csv").first()
+    assert row.utilization_rate is None and row.avg_txn_value_kes is None
+    assert str(row.draw_date) == "2024-01-05" and row.tenure_months == 1
