@@ -2,16 +2,21 @@
 
 K1 clean_nan      NaN -> null on floating columns (one projection)
 K2 long_form      wide features -> (keys, feature, value) via unpivot
-K3 bin_index      bin ordinal of x against a sorted edge array (binary search,
-                  built-in higher-order functions, no UDF)
+K3 bin_index      bin ordinal of x against a sorted edge array; `with_bin_index`
+                  / `bin_index_fast` are unrolled binary searches compiled by
+                  whole-stage codegen (`bin_index` is the lambda form)
 K4 score_hist     (group, score) -> positives / count; every ranking metric
                   starts from this partially aggregated table
-K5 prefix_sum     ordered running sums without a global sort: rows are cut
-                  into approximate-quantile buckets, summed inside each
-                  bucket with a window, and shifted by per-bucket offsets
+K5 prefix_sum     ordered running sums without a global sort of rows: a
+                  size-checked input either takes one window per group
+                  (<= SMALL_ROWS rows) or is cut into approximate-quantile
+                  buckets (adaptive count), summed inside each bucket with a
+                  window and shifted by per-bucket offsets
 K6 safe_ratio     division that never raises under ANSI mode
 K7 checks_frame   check rows derived from one aggregate row
-K8 exact_quantiles exact linear-interpolated quantiles on top of K5
+K8 exact_quantiles exact linear-interpolated quantiles: per-value histogram
+                  ranking for small inputs, sketch-located buckets for large
+round_dp          round half up on the binary value, shared with the SQL oracle
 """
 from __future__ import annotations
 
