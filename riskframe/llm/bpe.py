@@ -8,7 +8,8 @@ Positions whose pair has changed since they were queued are skipped when popped.
 Within a rank positions leave in text order, and a merge that makes a pair of a
 lower rank possible yields to it, so the merges are those of the textbook rule
 (lowest rank, leftmost first). A pre-token of n bytes costs O(n log n) for any n,
-so a megabyte without a space is no special case.
+so a megabyte without a space is no special case; and all new pre-tokens of a
+slice of texts share one queue, as parts of one list that no pair connects.
 
 A text is cut at spaces that follow a non-space character. No pre-token crosses
 such a cut (a space starts the next pre-token, and white-space runs stay whole),
@@ -24,6 +25,8 @@ import base64
 import functools
 import hashlib
 import re
+import struct
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,46 +34,18 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import small_batches
 
-#: Remembered pieces per worker and generation, and the longest piece remembered.
-CACHE_ENTRIES = 250_000
+#: Remembered pieces and pre-tokens per worker and generation (about 220 bytes each), and the longest remembered.
+CACHE_PIECES = 250_000
+CACHE_TOKENS = 600_000
 CACHE_CHARS = 48
+#: Characters encoded at once.
+SLICE_CHARS = 2 << 20
 
 _SPACE_PAIR = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S) ")
 
 
-class RankQueue:
-    """Buckets of positions by rank under a two-level bitmap, 256 ranks to a word."""
-
-    __slots__ = ("top", "low", "buckets")
-
-    def __init__(self) -> None:
-        self.top = 0                              # bit w: word w of `low` is not empty
-        self.low: dict[int, int] = {}             # bit r % 256 of word r // 256: rank r has a bucket
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, pos: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.append(pos)
-            return
-        self.buckets[rank] = [pos]
-        w = rank >> 8
-        self.low[w] = self.low.get(w, 0) | 1 << (rank & 255)
-        self.top |= 1 << w
-
-    def pop(self) -> tuple[int, list[int]]:
-        """Take the lowest rank's bucket, in text order; find-first-set on two words."""
-        w = (self.top & -self.top).bit_length() - 1
-        x = self.low[w]
-        rank = w << 8 | (x & -x).bit_length() - 1
-        x &= x - 1
-        self.low[w] = x
-        if not x:
-            self.top &= self.top - 1
-        bucket = self.buckets.pop(rank)
-        bucket.sort()
-        return rank, bucket
+_BIT = [1 << k for k in range(256)]
 
 
 class Encoder:
@@ -88,92 +63,144 @@ class Encoder:
         self.new_tokens: dict[str, bytes] = {}
         self.old_tokens: dict[str, bytes] = {}
 
-    def merge(self, raw: bytes) -> list[int]:
-        """Ids of one pre-token."""
-        ranks = self.ranks
-        whole = ranks.get(raw)
-        if whole is not None:
-            return [whole]
+    def merge(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of pre-tokens. They share one queue: no pair crosses from one to the next."""
+        raw = b"".join(words)
         n = len(raw)
-        get = ranks.get
+        get, by_id, bit = self.ranks.get, self.by_id, _BIT
         size = [1] * n                # bytes of the part that starts here; 0 once merged away
         prev = list(range(-1, n - 1))
-        queue = RankQueue()
-        push = queue.push
-        for i in range(n - 1):
-            r = get(raw[i:i + 2])
-            if r is not None:
-                push(r, i)
-        while queue.top:
-            rank, bucket = queue.pop()
-            length = len(self.by_id[rank])
-            lower = False
-            for done, i in enumerate(bucket):
+        end: list[int] = []           # where the pre-token of a position ends
+        at = 0
+        for word in words:
+            if word:
+                prev[at] = -1
+                at += len(word)
+                end += [at] * len(word)
+        # the queue: buckets of positions by rank; bit r % 256 of low[r // 256] and bit r // 256 of top mark a bucket
+        buckets: dict[int, list[int]] = {}
+        low: dict[int, int] = {}
+        top = 0
+        again = [(r, i) for i in range(n - 1) if end[i] != i + 1 and (r := get(raw[i:i + 2])) is not None]
+        while True:
+            for r, i in again:
+                if r in buckets:
+                    buckets[r].append(i)
+                else:
+                    buckets[r] = [i]
+                    w = r >> 8
+                    low[w] = low.get(w, 0) | bit[r & 255]
+                    top |= bit[w]
+            if not top:
+                break
+            w = (top & -top).bit_length() - 1          # find-first-set, upper then lower word
+            x = low[w]
+            rank = w << 8 | (x & -x).bit_length() - 1
+            x &= x - 1
+            low[w] = x
+            if not x:
+                top &= top - 1
+            bucket = buckets.pop(rank)
+            bucket.sort()
+            length = len(by_id[rank])
+            again = []
+            wait = 0                  # positions before this wait for a lower rank in their pre-token
+            for i in bucket:
+                if i < wait:
+                    again.append((rank, i))
+                    continue
                 a = size[i]
                 j = i + a
-                if not a or j >= n or a + size[j] != length or get(raw[i:i + length]) != rank:
+                e = end[i]
+                if not a or j >= e or a + size[j] != length or get(raw[i:i + length]) != rank:
                     continue          # stale: the pair at i is no longer the one that was queued
                 size[i] = length
                 size[j] = 0
                 j = i + length
-                if j < n:
+                if j < e:
                     prev[j] = i
                     r = get(raw[i:j + size[j]])
                     if r is not None:
-                        push(r, i)
-                        lower = r < rank
+                        again.append((r, i))
+                        if r < rank:
+                            wait = e
                 k = prev[i]
                 if k >= 0:
                     r = get(raw[k:j])
                     if r is not None:
-                        push(r, k)
-                        lower = lower or r < rank
-                if lower:             # the rest of this bucket waits for the lower rank
-                    for i in bucket[done + 1:]:
-                        push(rank, i)
-                    break
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[raw[i:i + size[i]]])
-            i += size[i]
+                        again.append((r, k))
+                        if r < rank:
+                            wait = e
+        out, i, at = [], 0, 0
+        for word in words:
+            at += len(word)
+            ids = []
+            while i < at:
+                a = size[i]
+                ids.append(get(raw[i:i + a]))
+                i += a
+            out.append(ids)
         return out
 
-    def token(self, text: str) -> bytes:
-        got = self.new_tokens.get(text)
-        if got is None:
-            got = self.old_tokens.get(text)
+    def tokens(self, texts: set[str]) -> dict[str, bytes]:
+        """Ids of pre-tokens as little-endian 32-bit integers, from memory or merged now."""
+        known, old, out, todo = self.new_tokens, self.old_tokens, {}, []
+        for t in texts:
+            got = known.get(t) or old.get(t)
             if got is None:
-                got = b"".join(r.to_bytes(4, "little") for r in self.merge(text.encode()))
-            if len(text) <= CACHE_CHARS:
-                if len(self.new_tokens) >= CACHE_ENTRIES:
-                    self.old_tokens, self.new_tokens = self.new_tokens, {}
-                self.new_tokens[text] = got
-        return got
-
-    def piece(self, text: str) -> bytes:
-        """Ids of a piece of text with no cut inside, as little-endian 32-bit integers."""
-        got = self.old.get(text)
-        if got is None:
-            got = b"".join(map(self.token, self.find(text)))
-        if len(text) <= CACHE_CHARS:
-            if len(self.new) >= CACHE_ENTRIES:
-                self.old, self.new = self.new, {}
-            self.new[text] = got
-        return got
+                raw = t.encode()
+                r = self.ranks.get(raw)
+                if r is None:
+                    todo.append((t, raw))
+                    continue
+                got = r.to_bytes(4, "little")
+            out[t] = got
+        for (t, _), ids in zip(todo, self.merge([raw for _, raw in todo])):
+            out[t] = struct.pack(f"<{len(ids)}I", *ids)
+        if len(known) + len(out) > CACHE_TOKENS:
+            self.old_tokens, self.new_tokens = known, {}
+        self.new_tokens.update((t, x) for t, x in out.items() if len(t) <= CACHE_CHARS)
+        return out
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts as little-endian unsigned 32-bit integers."""
+        known, old, unseen = self.new, self.old, {}
+        parts = []
+        for text in texts:
+            first, *rest = _CUT.split(text) if _SPACE_PAIR.search(text) else text.split(" ")
+            keys = [first, *[" " + p for p in rest]]
+            for k in keys:
+                if k not in known and k not in unseen:
+                    got = old.get(k)
+                    unseen[k] = got if got is not None else self.find(k)
+            parts.append(keys)
+        todo = {k: v for k, v in unseen.items() if type(v) is list}
+        ids = self.tokens({t for v in todo.values() for t in v})
+        for k, v in todo.items():
+            unseen[k] = b"".join([ids[t] for t in v])
+        known.update(unseen)
+        out = [b"".join([known[k] for k in keys]) for keys in parts]
+        for k in unseen:
+            if len(k) > CACHE_CHARS:
+                del known[k]
+        if len(known) >= CACHE_PIECES:
+            self.old, self.new = known, {}
+        return out
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
+        """`encode_batch` over slices of bounded size."""
+        held, chars = [], 0
+        for t in texts:
+            held.append(t or "")
+            chars += len(held[-1])
+            if chars >= SLICE_CHARS:
+                yield from self.encode_batch(held)
+                held, chars = [], 0
+        if held:
+            yield from self.encode_batch(held)
 
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        first, *rest = _CUT.split(text) if _SPACE_PAIR.search(text) else text.split(" ")
-        out = [self.piece(first)]
-        get, piece = self.new.get, self.piece
-        for p in rest:
-            key = " " + p
-            got = get(key)
-            if got is None:
-                got = piece(key)
-                get = self.new.get    # piece() may have begun a new generation
-            out.append(got)
-        return b"".join(out)
+        return self.encode_batch([text])[0]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.by_id.__getitem__, memoryview(ids).cast("I")))
@@ -205,7 +232,7 @@ def encode_texts(docs: DataFrame, column: str = "text", ids: str = "ids", vocabu
     def rows(batches):
         enc = _encoder(vocabulary)
         for b in batches:
-            col = pa.array([enc.encode(t or "") for t in b.column(column).to_pylist()], pa.binary())
+            col = pa.array(list(enc.encode_all(b.column(column).to_pylist())), pa.binary())
             if ids in b.schema.names:
                 at = b.schema.get_field_index(ids)
                 yield b.set_column(at, pa.field(ids, pa.binary()), col)
@@ -240,8 +267,7 @@ def digest(docs: DataFrame, vocabulary: tuple[str, str] | None = None) -> DataFr
         enc = _encoder(vocabulary)
         for b in batches:
             n, hi, hd = [], [], []
-            for t in b.column("text").to_pylist():
-                ids = enc.encode(t or "")
+            for ids in enc.encode_all(b.column("text").to_pylist()):
                 n.append(len(ids) // 4)
                 hi.append(hashlib.sha256(ids).hexdigest())
                 hd.append(hashlib.sha256(enc.decode(ids)).hexdigest())

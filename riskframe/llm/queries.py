@@ -1,18 +1,34 @@
 """The registered queries opN_<name>: each applies one operator to its whole table."""
 from __future__ import annotations
 
-from riskframe.llm import bpe, decontaminate, quality, secrets, token_counts
+from riskframe.llm import bpe, decontaminate, line_dedup, neardup, quality, secrets, suffix_dedup, token_counts, warc
 from riskframe.llm.common import table
 
 
+def op1_near_dedup(spark, sf_dir):
+    return neardup.near_components(table(spark, sf_dir, "documents"), words=4)
+
+
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op5_secret_scan(spark, sf_dir):
     return secrets.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark, sf_dir):
+    return line_dedup.dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark, sf_dir):
     return quality.score_documents(table(spark, sf_dir, "documents"))
 
@@ -25,5 +41,5 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op5_secret_scan, op7_quality_rules, op8_bpe_roundtrip, op10_decontaminate)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_suffix_dedup, op3_token_counts, op4_warc, op5_secret_scan, op6_line_dedup, op7_quality_rules, op8_bpe_roundtrip, op10_decontaminate)}
+ORACLE_SQL: dict[str, str] = {"op1_near_dedup": neardup.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op4_warc": warc.ORACLE}
