@@ -1,7 +1,7 @@
 """The registered queries opN_<name>: each applies one operator to its whole table."""
 from __future__ import annotations
 
-from riskframe.llm import bpe, decontaminate, line_dedup, neardup, quality, secrets, suffix_dedup, token_counts, warc
+from riskframe.llm import bpe, decontaminate, html_text, line_dedup, neardup, quality, secrets, suffix_dedup, token_counts, warc
 from riskframe.llm.common import table
 
 
@@ -37,9 +37,16 @@ def op8_bpe_roundtrip(spark, sf_dir):
     return bpe.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_decontaminate(spark, sf_dir):
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_suffix_dedup, op3_token_counts, op4_warc, op5_secret_scan, op6_line_dedup, op7_quality_rules, op8_bpe_roundtrip, op10_decontaminate)}
-ORACLE_SQL: dict[str, str] = {"op1_near_dedup": neardup.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op4_warc": warc.ORACLE}
+QUERIES = {f.__name__: f for f in (
+    op1_near_dedup, op2_suffix_dedup, op3_token_counts, op4_warc, op5_secret_scan, op6_line_dedup, op7_quality_rules,
+    op8_bpe_roundtrip, op9_html_text, op10_decontaminate)}
+#: DuckDB SQL where the result has a SQL form.
+ORACLE_SQL = {"op1_near_dedup": neardup.ORACLE, "op4_warc": warc.ORACLE, "op6_line_dedup": line_dedup.ORACLE}

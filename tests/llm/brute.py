@@ -17,12 +17,12 @@ def sha(x):
     return hashlib.sha256(x if isinstance(x, bytes) else x.encode()).hexdigest()
 
 
-def near(rows):
+def near(rows, words=4):
     """op1 by all pairs. rows: (doc_id, text) -> per row (doc_id, n_shingles, component_id, kept)."""
     sets = []
     for _, t in rows:
         w = words_ws(lower(t or ""))
-        sets.append({tuple(w[i:i + 4]) for i in range(max(1, len(w) - 3))} if w else set())
+        sets.append({tuple(w[i:i + words]) for i in range(max(1, len(w) - words + 1))} if w else set())
     up = list(range(len(rows)))
 
     def root(i):
@@ -71,8 +71,8 @@ def repeats(rows, length=400):
     return out
 
 
-def lines(rows, least=20, docs=3):
-    """op6: per row (doc_id, n_lines, n_dropped, kept_sha256)."""
+def drop_lines(rows, least=20, docs=3):
+    """op6: per row (doc_id, text without the dropped lines)."""
     def key(x):
         return lower(x.strip(WS))
     holders = {}
@@ -80,12 +80,17 @@ def lines(rows, least=20, docs=3):
         for x in (t or "").split("\n"):
             if len(key(x)) >= least:
                 holders.setdefault(key(x), set()).add(d)
+    return [(d, "\n".join(x for x in (t or "").split("\n") if not (
+        len(key(x)) >= least and len(holders[key(x)]) >= docs and d != max((h for h in holders[key(x)] if h is not None), default=None))))
+        for d, t in rows]
+
+
+def lines(rows):
+    """op6: per row (doc_id, n_lines, n_dropped, kept_sha256)."""
     out = []
-    for d, t in rows:
-        ls = (t or "").split("\n")
-        kept = [x for x in ls if not (len(key(x)) >= least and len(holders[key(x)]) >= docs
-                                      and d != max((h for h in holders[key(x)] if h is not None), default=None))]
-        out.append((d, len(ls), len(ls) - len(kept), sha("\n".join(kept))))
+    for (d, t), (_, kept) in zip(rows, drop_lines(rows)):
+        n = (t or "").count("\n") + 1
+        out.append((d, n, n - (kept.count("\n") + 1), sha(kept)))
     return out
 
 
