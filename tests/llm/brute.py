@@ -73,6 +73,11 @@ def repeats(rows, length=400):
 
 def drop_lines(rows, least=20, docs=3):
     """op6: per row (doc_id, text without the dropped lines)."""
+    return [(d, "\n".join(kept)) for d, kept in stay(rows, least, docs)]
+
+
+def stay(rows, least=20, docs=3):
+    """op6: per row (doc_id, lines that stay)."""
     def key(x):
         return lower(x.strip(WS))
     holders = {}
@@ -80,17 +85,17 @@ def drop_lines(rows, least=20, docs=3):
         for x in (t or "").split("\n"):
             if len(key(x)) >= least:
                 holders.setdefault(key(x), set()).add(d)
-    return [(d, "\n".join(x for x in (t or "").split("\n") if not (
-        len(key(x)) >= least and len(holders[key(x)]) >= docs and d != max((h for h in holders[key(x)] if h is not None), default=None))))
+    return [(d, [x for x in (t or "").split("\n") if not (
+        len(key(x)) >= least and len(holders[key(x)]) >= docs and d != max((h for h in holders[key(x)] if h is not None), default=None))])
         for d, t in rows]
 
 
 def lines(rows):
     """op6: per row (doc_id, n_lines, n_dropped, kept_sha256)."""
     out = []
-    for (d, t), (_, kept) in zip(rows, drop_lines(rows)):
+    for (d, t), (_, kept) in zip(rows, stay(rows)):
         n = (t or "").count("\n") + 1
-        out.append((d, n, n - (kept.count("\n") + 1), sha(kept)))
+        out.append((d, n, n - len(kept), sha("\n".join(kept))))
     return out
 
 
