@@ -15,7 +15,8 @@ registers agree with a probability close to the Jaccard similarity J.
    the counts of greater, smaller and equal registers. Only pairs for which
    J >= 0.8 is out of the question (6 standard errors) go.
 5. Each class's best pair is verified on the full sets. Verified links give
-   components by min-label propagation with pointer jumping.
+   components by min-label propagation with pointer jumping. Then the best pair
+   between any two components that have one is verified, and they merge.
 6. Buckets of three or more that still hold several components may hide links
    between members of which neither was the leader. Their members of different
    components are compared in the task that reads the bucket, in blocks of
@@ -249,9 +250,9 @@ def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(rows, "a long, b long, j double")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
-    """The `pairs` (a, b) linked by their full sets; only the sets that occur in pairs are built."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(classes.select("cid", "key", "rep"), "cid")
+def full_sets(cids: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """(cid, set): the full sets of these classes, built again from the text of their first document."""
+    need = cids.join(classes.select("cid", "key", "rep"), "cid")
 
     def rows(batches):
         for b in batches:
@@ -264,13 +265,24 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.list_(pa.int64()))], names=["cid", "set"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(need, "rep")
-    sets = written(texts.select("cid", "key", "text").mapInArrow(rows, "cid long, set array<long>"), "near-sets")
+    return written(texts.select("cid", "key", "text").mapInArrow(rows, "cid long, set array<long>"), "near-sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The `pairs` (a, b) linked by their full sets."""
     both = (pairs.select("a", "b").join(sets.select(F.col("cid").alias("a"), F.col("set").alias("sa")), "a")
             .join(sets.select(F.col("cid").alias("b"), F.col("set").alias("sb")), "b")
             .withColumn("inter", F.size(F.array_intersect("sa", "sb"))))
     return both.where(f"100 * inter >= {PERCENT} * (size(sa) + size(sb) - inter)").select("a", "b")
 
 
+def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """`pairs` whose ends are in different components, with these as la and lb."""
+    return (pairs.join(labels.withColumnsRenamed({"v": "a", "label": "la"}), "a", "left")
+            .join(labels.withColumnsRenamed({"v": "b", "label": "lb"}), "b", "left")
+            .withColumns({"la": F.coalesce("la", "a"), "lb": F.coalesce("lb", "b")}).where("la != lb"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(v, label): the smallest vertex reachable, for every vertex of an edge (a, b).
 
@@ -344,16 +356,23 @@ def near_components(docs: DataFrame, words: int = 5) -> DataFrame:
     cand = written(estimated(star, classes), "candidates")
     best = (cand.select("a", "b", "j", F.explode(F.array("a", "b")).alias("cid")).groupBy("cid")
             .agg(F.max(F.struct("j", "a", "b")).alias("x")).select("x.a", "x.b").distinct())
-    links = written(verified(written(best, "best"), docs, classes, words), "links")
+    def cids(pairs):
+        return pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+
+    sets = full_sets(cids(cand), docs, classes, words)
+    links = written(verified(best, sets), "links")
+    labels = components(links)
+    # the best pair between any two components that have one
+    bridges = (across(cand, labels).groupBy(F.least("la", "lb").alias("x"), F.greatest("la", "lb").alias("y"))
+               .agg(F.max(F.struct("j", "a", "b")).alias("p")).select("p.a", "p.b"))
+    links = written(links.union(verified(bridges, sets)), "links")
     labels = components(links)
-    comp = labels.select("v", "label")
-    more = cand.select("a", "b").union(hidden_pairs(classes, buckets, labels).select("a", "b")).distinct()
-    more = (more.join(comp.withColumnsRenamed({"v": "a", "label": "la"}), "a", "left")
-            .join(comp.withColumnsRenamed({"v": "b", "label": "lb"}), "b", "left")
-            .where("coalesce(la, a) != coalesce(lb, b)").select("a", "b"))
-    more = written(more, "more")
+    # whatever still runs between components, leaders or not
+    more = written(across(cand.select("a", "b").union(hidden_pairs(classes, buckets, labels).select("a", "b")).distinct(), labels)
+                   .select("a", "b"), "more")
     if not more.isEmpty():
-        labels = components(links.union(verified(more, docs, classes, words)))
+        rest = full_sets(cids(more).join(sets.select("cid"), "cid", "left_anti"), docs, classes, words)
+        labels = components(links.union(verified(more, sets.union(rest))))
     named = classes.join(labels.withColumnRenamed("v", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     by_key = named.select("key", "label").join(least, "label").select("key", "component_id")
