@@ -15,13 +15,13 @@ registers agree with a probability close to the Jaccard similarity J.
    the counts of greater, smaller and equal registers. Only pairs for which
    J >= 0.8 is out of the question (6 standard errors) go.
 5. Each class's best pair is verified on the full sets. Verified links give
-   components by min-label propagation with pointer jumping. Then the best pair
-   between any two components that have one is verified, and they merge.
+   components by min-label propagation with pointer jumping; all other pairs
+   that run between components are verified next, and components merge.
 6. Buckets of three or more that still hold several components may hide links
    between members of which neither was the leader. Their members of different
    components are compared in the task that reads the bucket, in blocks of
-   bounded size; only pairs that pass the estimate leave it. These are verified
-   too, and the components are final.
+   bounded size, first by estimate and then on the full sets. Only links that
+   merge components leave the task, and with them the components are final.
 
 Defined results: words are runs of anything but ASCII white space after A-Z is
 lower-cased; fewer words than a shingle are one shingle; a text without words
@@ -45,7 +45,7 @@ M, BANDS, ROWS = 128, 32, 4
 BASE, RATE, TOP = 1.001, 20.0, 65_535        # b, a and the largest register value of the sketch
 PERCENT = 80                                 # links: 100 * intersection >= PERCENT * union
 LOG_MARGIN = 18.0                            # log-likelihood by which J >= 0.8 must lose: 6 standard errors
-BLOCK_ROWS = 2048                            # bucket members compared with as many others at once
+BLOCK_SHINGLES = 500_000                     # shingles of bucket members that one block holds, more or less
 
 _SLICE = 1 << 16
 _WORD_BLOCK = 1 << 20
@@ -304,41 +304,54 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def hidden_pairs(classes: DataFrame, buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Plausible pairs across components inside buckets of three or more members.
+def hidden_links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, labels: DataFrame, words: int) -> DataFrame:
+    """Links (a, b) across components inside buckets of three or more members, verified on full sets.
 
-    A bucket is cut into blocks of `BLOCK_ROWS` members, and each pair of blocks
-    is one group. A pair is reported in the first band that it shares.
+    A bucket is cut into blocks of about `BLOCK_SHINGLES`, and each pair of
+    blocks is one group. A pair is looked at in the first band that it shares,
+    and only if its members are still apart, so a group reports a spanning
+    forest and never its pairs.
     """
     comp = labels.select(F.col("v").alias("cid"), "label")
-    rows = (banded(classes).join(buckets.where("n > 2"), "bucket").join(comp, "cid", "left")
-            .withColumn("label", F.coalesce("label", "cid")).select("bucket", "band", "cid", "label", F.col("n").alias("members")))
-    mixed_up = rows.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("bucket")
-    rows = (rows.join(mixed_up, "bucket").withColumn("blocks", F.ceil(F.col("members") / BLOCK_ROWS).cast("int"))
-            .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    rows = (banded(classes).join(buckets.where("n > 2").select("bucket"), "bucket").join(comp, "cid", "left")
+            .withColumn("label", F.coalesce("label", "cid")).join(classes.select("cid", F.col("n").alias("size")), "cid"))
+    mixed_up = (rows.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.sum("size").alias("all"))
+                .where("x < y").select("bucket", F.ceil(F.col("all") / BLOCK_SHINGLES).cast("int").alias("blocks")))
+    rows = written(rows.join(mixed_up, "bucket"), "mixed-buckets")
+    sets = full_sets(rows.select("cid").distinct(), docs, classes, words)
+    rows = (rows.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("bucket", "band", "cid", "label", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block")
-            .join(classes.select("cid", F.col("n").alias("size"), "sketch"), "cid"))
+            .join(classes.select("cid", "sketch"), "cid").join(sets, "cid"))
 
     def compare(key, g):
-        cid, label, size, block = (g.column(c).to_numpy() for c in ("cid", "label", "size", "block"))
-        regs, band, across = _registers(g.column("sketch")), g.column("band").to_numpy(), key[1].as_py() != key[2].as_py()
+        cid, label, block, band = (g.column(c).to_numpy() for c in ("cid", "label", "block", "band"))
+        label, split = label.copy(), key[1].as_py() != key[2].as_py()
+        regs, sets = _registers(g.column("sketch")), g.column("set").combine_chunks()
+        flat, size = sets.flatten().to_numpy().view(np.uint64), sets.value_lengths().to_numpy().astype(np.int64)
+        start = np.cumsum(size) - size
         bands = np.ascontiguousarray(regs).view(np.uint64).reshape(len(regs), BANDS)
-        a, b, js = [], [], []
+        a, b = [], []
         for i in range(len(cid) - 1):
             k = np.arange(i + 1, len(cid))
-            k = k[(label[k] != label[i]) & ((block[k] != block[i]) | (not across))]
+            k = k[(label[k] != label[i]) & ((block[k] != block[i]) | (not split))]
             if len(k):
                 k = k[(bands[k] == bands[i]).argmax(1) == band[i]]
             if len(k):
-                j, ok = plausible(np.broadcast_to(regs[i], (len(k), M)), regs[k], np.broadcast_to(size[i], len(k)), size[k])
-                a.append(np.minimum(cid[i], cid[k[ok]]))
-                b.append(np.maximum(cid[i], cid[k[ok]]))
-                js.append(j[ok])
-        cat = lambda x, t: pa.array(np.concatenate(x) if x else np.zeros(0, t))
-        return pa.table({"a": cat(a, np.int64), "b": cat(b, np.int64), "j": cat(js, np.float64)})
+                k = k[plausible(np.broadcast_to(regs[i], (len(k), M)), regs[k], np.broadcast_to(size[i], len(k)), size[k])[1]]
+            if len(k):
+                own = flat[start[i]:start[i] + size[i]]
+                theirs = np.concatenate([flat[start[x]:start[x] + size[x]] for x in k])
+                hit = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+                inter = np.add.reduceat(hit.astype(np.int64), np.cumsum(size[k]) - size[k])
+                for x in k[100 * inter >= PERCENT * (size[i] + size[k] - inter)]:
+                    if label[x] != label[i]:
+                        a.append(cid[i])
+                        b.append(cid[x])
+                        label[label == label[x]] = label[i]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return rows.groupBy("bucket", "lo", "hi").applyInArrow(compare, "a long, b long, j double")
+    return rows.groupBy("bucket", "lo", "hi").applyInArrow(compare, "a long, b long")
 
 
 def near_components(docs: DataFrame, words: int = 5) -> DataFrame:
@@ -356,23 +369,14 @@ def near_components(docs: DataFrame, words: int = 5) -> DataFrame:
     cand = written(estimated(star, classes), "candidates")
     best = (cand.select("a", "b", "j", F.explode(F.array("a", "b")).alias("cid")).groupBy("cid")
             .agg(F.max(F.struct("j", "a", "b")).alias("x")).select("x.a", "x.b").distinct())
-    def cids(pairs):
-        return pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-
-    sets = full_sets(cids(cand), docs, classes, words)
+    sets = full_sets(cand.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), docs, classes, words)
     links = written(verified(best, sets), "links")
     labels = components(links)
-    # the best pair between any two components that have one
-    bridges = (across(cand, labels).groupBy(F.least("la", "lb").alias("x"), F.greatest("la", "lb").alias("y"))
-               .agg(F.max(F.struct("j", "a", "b")).alias("p")).select("p.a", "p.b"))
-    links = written(links.union(verified(bridges, sets)), "links")
+    links = written(links.union(verified(across(cand, labels), sets)), "links")      # every other pair that may merge components
     labels = components(links)
-    # whatever still runs between components, leaders or not
-    more = written(across(cand.select("a", "b").union(hidden_pairs(classes, buckets, labels).select("a", "b")).distinct(), labels)
-                   .select("a", "b"), "more")
-    if not more.isEmpty():
-        rest = full_sets(cids(more).join(sets.select("cid"), "cid", "left_anti"), docs, classes, words)
-        labels = components(links.union(verified(more, sets.union(rest))))
+    hidden = written(hidden_links(docs, classes, buckets, labels, words), "links")
+    if not hidden.isEmpty():
+        labels = components(links.union(hidden))
     named = classes.join(labels.withColumnRenamed("v", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     by_key = named.select("key", "label").join(least, "label").select("key", "component_id")

@@ -36,7 +36,7 @@ def test_near_components(documents, odd_docs, no_docs, families, pairs, same):
 
 
 def test_hidden_links_are_found_in_blocks(families, pairs, same, monkeypatch):
-    monkeypatch.setattr(N, "BLOCK_ROWS", 2)
+    monkeypatch.setattr(N, "BLOCK_SHINGLES", 300)
     same(N.near_components(families, 4), NEAR, brute.near(pairs(families)))
 
 
