@@ -15,8 +15,8 @@ registers agree with a probability close to the Jaccard similarity J.
    the counts of greater, smaller and equal registers. Only pairs for which
    J >= 0.8 is out of the question (6 standard errors) go.
 5. Each class's best pair is verified on the full sets. Verified links give
-   components by min-label propagation with pointer jumping; all other pairs
-   that run between components are verified next, and components merge.
+   components by min-label propagation with pointer jumping; pairs that met in
+   a bucket of two and run between components are verified next.
 6. Buckets of three or more that still hold several components may hide links
    between members of which neither was the leader. Their members of different
    components are compared in the task that reads the bucket, in blocks of
@@ -238,16 +238,17 @@ def banded(classes: DataFrame) -> DataFrame:
 
 
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """`pairs` (a, b) whose likelihood admits a link, with the estimate j."""
+    """`pairs` (a, b, alone) whose likelihood admits a link, with the estimate j."""
     def side(s):
         return classes.select(F.col("cid").alias(s), F.col("n").alias(f"n{s}"), F.col("sketch").alias(f"s{s}"))
 
     def rows(batches):
         for b in batches:
             j, ok = plausible(_registers(b.column("sa")), _registers(b.column("sb")), b.column("na").to_numpy(), b.column("nb").to_numpy())
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(j)], names=["a", "b", "j"]).filter(pa.array(ok))
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), b.column("alone"), pa.array(j)],
+                                             names=["a", "b", "alone", "j"]).filter(pa.array(ok))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(rows, "a long, b long, j double")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(rows, "a long, b long, alone boolean, j double")
 
 
 def full_sets(cids: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
@@ -365,14 +366,15 @@ def near_components(docs: DataFrame, words: int = 5) -> DataFrame:
     buckets = written(bands.groupBy("bucket").agg(F.min(F.col("cid").bitwiseXOR(turn)).alias("lead"), F.count("*").alias("n"))
                       .where("n > 1").select("bucket", F.col("lead").bitwiseXOR(turn).alias("lead"), "n"), "buckets")
     star = (bands.join(buckets, "bucket").where("cid != lead")
-            .select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b")).distinct())
+            .groupBy(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b")).agg(F.max(F.col("n") == 2).alias("alone")))
     cand = written(estimated(star, classes), "candidates")
     best = (cand.select("a", "b", "j", F.explode(F.array("a", "b")).alias("cid")).groupBy("cid")
             .agg(F.max(F.struct("j", "a", "b")).alias("x")).select("x.a", "x.b").distinct())
     sets = full_sets(cand.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), docs, classes, words)
     links = written(verified(best, sets), "links")
     labels = components(links)
-    links = written(links.union(verified(across(cand, labels), sets)), "links")      # every other pair that may merge components
+    # pairs that met alone in a bucket; larger buckets are compared in full below
+    links = written(links.union(verified(across(cand.where("alone"), labels), sets)), "links")
     labels = components(links)
     hidden = written(hidden_links(docs, classes, buckets, labels, words), "links")
     if not hidden.isEmpty():
