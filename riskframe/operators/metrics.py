@@ -25,7 +25,8 @@ from ..functions.prims import (bin_index_fast, exact_quantiles, prefix_sum, quan
 
 
 def _hist(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    return score_hist(df, score, label, group_cols).withColumnRenamed(score, "score") \
+    known = df.withColumn(score, F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double")))   # K1: NaN is no score
+    return score_hist(known, score, label, group_cols).withColumnRenamed(score, "score") \
         .withColumn("neg", F.col("n") - F.col("pos"))
 
 

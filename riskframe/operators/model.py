@@ -21,12 +21,12 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.prims import score_hist
-from ..session import materialize
+from ..session import materialize, path_exists
 
 
 def assembler(feature_cols: Sequence[str] = C.FEATURE_COLUMNS) -> VectorAssembler:
@@ -167,8 +167,6 @@ def save_model(model: PipelineModel, calibrator: IsotonicRegressionModel | None,
 
 def load_model(path: str) -> tuple[PipelineModel, IsotonicRegressionModel | None]:
     m = PipelineModel.load(f"{path}/model")
-    try:
-        cal = IsotonicRegressionModel.load(f"{path}/calibrator")
-    except Exception:  # noqa: BLE001 - absent calibrator -> raw scores
-        cal = None
+    spark = SparkSession.getActiveSession()
+    cal = IsotonicRegressionModel.load(f"{path}/calibrator") if path_exists(spark, f"{path}/calibrator") else None
     return m, cal

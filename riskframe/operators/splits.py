@@ -46,10 +46,12 @@ def stratified_split(df: DataFrame, label: str = C.TARGET_COL, key: str = C.KEY_
     with the two-level prefix sum and cut at the class's fraction boundaries, so
     every class keeps its rate in each part without a global sort."""
     tr, va, _ = cfg.fractions
-    h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(cfg.seed)))
-    counts = h.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = prefix_sum(counts, [label], "_h", ["_c"])
-    j = h.join(ranked.select(label, "_h", "_c_before", "_c_total"), [label, "_h"])
+    # rows without a label are a class of their own: they are split like the others, none is lost
+    h = (df.withColumn("_h", F.xxhash64(F.col(key), F.lit(cfg.seed)))
+         .withColumn("_class", F.coalesce(F.col(label).cast("string"), F.lit("null"))))
+    counts = h.groupBy("_class", "_h").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = prefix_sum(counts, ["_class"], "_h", ["_c"])
+    j = h.join(ranked.select("_class", "_h", "_c_before", "_c_total"), ["_class", "_h"])
     n = F.col("_c_total")
     # sizes as in a two-step split: temp = ceil(n * (val + test)), test = ceil(temp * test share)
     n_temp = F.ceil(n * (va + cfg.fractions[2]))
@@ -58,7 +60,7 @@ def stratified_split(df: DataFrame, label: str = C.TARGET_COL, key: str = C.KEY_
     n_val = n_temp - n_test
     r = F.col("_c_before")
     s = F.when(r < n_train, "train").when(r < n_train + n_val, "val").otherwise("oot")
-    return j.withColumn("split", s).drop("_h", "_c_before", "_c_total")
+    return j.withColumn("split", s).select(*df.columns, "split")
 
 
 def auto_split(df: DataFrame, cfg: C.SplitConfig = C.SplitConfig()) -> tuple[DataFrame, str]:

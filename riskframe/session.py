@@ -49,6 +49,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not (spark.sparkContext.master + "[").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="riskframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext
@@ -62,6 +64,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever file system Spark reaches it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def local_dir_or(path: str) -> str:
     if path.startswith("file:") or "://" in path:
         return path

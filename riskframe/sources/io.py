@@ -7,14 +7,13 @@ by a low-cardinality column (split, draw month) so later filters prune files.
 """
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions.prims import clean_nan
+from ..session import path_exists
 
 _INT = T.IntegerType()
 _DBL = T.DoubleType()
@@ -49,12 +48,7 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame | None:
     """Optional metadata table; None when absent (callers then fall back, e.g. in splitting)."""
-    if path.startswith("/") and not os.path.exists(path):
-        return None
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - absent/unreadable optional input
-        return None
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet",

@@ -130,3 +130,8 @@ def test_ranking_summary_matches_individual_metrics(spark):
     assert s.average_precision == pytest.approx(brute_ap(y, p), abs=1e-12)
     assert s.brier == pytest.approx(float(np.mean((p - y) ** 2)), abs=1e-12)
     assert s.base_rate == pytest.approx(y.mean())
+
+
+def test_nan_scores_are_no_scores(spark):
+    df = spark.createDataFrame([(0.9, 1), (0.8, 1), (0.2, 0), (float("nan"), 0), (None, 1)], "score double, label int")
+    assert metrics.roc_auc(df).collect()[0].auc == 1.0

@@ -59,3 +59,12 @@ def test_quarantine_and_dedup_streams(spark):
     out2, ckpt2 = S.scratch(spark, "t-dd")
     S.dedup_stream(S.file_stream(spark, ev_path, 1), ["event_id"], out2, ckpt2)
     assert spark.read.parquet(out2).count() == 100
+
+
+def test_stratified_split_keeps_rows_without_a_label(spark):
+    rows = [(i, None if i % 50 == 0 else int(i % 5 == 0)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "loan_id long, defaulted_30d int")
+    out = splits.stratified_split(df)
+    assert out.columns == ["loan_id", "defaulted_30d", "split"]
+    n = {r.defaulted_30d: r["count"] for r in out.groupBy("defaulted_30d").count().collect()}
+    assert n == {None: 20, 0: 800, 1: 180}
