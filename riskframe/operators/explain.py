@@ -17,11 +17,12 @@ booster's SHAP values are.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .. import config as C
 
@@ -132,9 +133,11 @@ def ensemble_shap(x: np.ndarray, trees: list[dict], weights: list[float], n_feat
 
 
 def gbt_reason_codes(df: DataFrame, gbt_model, feature_cols: Sequence[str], key: str = C.KEY_COL,
-                     top_n: int = C.REASON_TOP_N) -> DataFrame:
+                     top_n: int = C.REASON_TOP_N, fills: Mapping[str, float] | None = None) -> DataFrame:
     """Top-n TreeSHAP contributions per row (ties by feature order) plus the base value.
 
+    `fills` are the model's stand-ins for missing values (`FittedModel.fills`).
+
     Output: key, base_value, and reason{k}_feature / reason{k}_shap_value / reason{k}_direction.
     """
     feature_cols = list(feature_cols)
@@ -163,4 +166,7 @@ def gbt_reason_codes(df: DataFrame, gbt_model, feature_cols: Sequence[str], key:
     schema = f"{key} {key_type}, base_value double, " + ", ".join(
         f"reason{k + 1}_feature string, reason{k + 1}_shap_value double, reason{k + 1}_direction string"
         for k in range(top_n))
-    return df.select(key, *[df[c].cast("double").alias(c) for c in feature_cols]).mapInPandas(fn, schema)
+    def filled(c: str):
+        x = F.nanvl(df[c].cast("double"), F.lit(None).cast("double"))
+        return F.coalesce(x, F.lit(float(fills[c]))) if fills else x
+    return df.select(key, *[filled(c).alias(c) for c in feature_cols]).mapInPandas(fn, schema)

@@ -35,13 +35,13 @@ def prior_history(df: DataFrame, key: str, order_cols: Sequence[str],
     srcs = list(outcomes.items())
     b = df.withColumn("_hb", bucket)
     w_in = Window.partitionBy(key, "_hb").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(key, "_hb")
     local = b.select(
-        "*", F.count(F.lit(1)).over(w_in).alias("_n_loc"), F.count(F.lit(1)).over(w_all).alias("_n_bk"),
-        *[F.coalesce(F.sum(src).over(w_in), F.lit(0)).alias(f"_s{i}_loc") for i, (_, src) in enumerate(srcs)],
-        *[F.coalesce(F.sum(src).over(w_all), F.lit(0)).alias(f"_s{i}_bk") for i, (_, src) in enumerate(srcs)])
-    per_bucket = local.groupBy(key, "_hb").agg(
-        F.first("_n_bk").alias("_n_bk"), *[F.first(f"_s{i}_bk").alias(f"_s{i}_bk") for i in range(len(srcs))])
+        "*", F.count(F.lit(1)).over(w_in).alias("_n_loc"),
+        *[F.coalesce(F.sum(src).over(w_in), F.lit(0)).alias(f"_s{i}_loc") for i, (_, src) in enumerate(srcs)])
+    # bucket totals come from the rows themselves (map-side partial sums), not from the windowed rows
+    per_bucket = b.groupBy(key, "_hb").agg(
+        F.count(F.lit(1)).alias("_n_bk"),
+        *[F.coalesce(F.sum(src), F.lit(0)).alias(f"_s{i}_bk") for i, (_, src) in enumerate(srcs)])
     w_b = Window.partitionBy(key).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
         key, "_hb", F.coalesce(F.sum("_n_bk").over(w_b), F.lit(0)).alias("_n_off"),
@@ -71,7 +71,7 @@ def episode_gaps(df: DataFrame, key: str = "cust_id", date_col: str = "draw_date
     b = df.withColumn("_hb", bucket)
     w_in = Window.partitionBy(key, "_hb").orderBy(*order)
     local = b.withColumn("_prev_loc", F.lag(date_col).over(w_in))
-    last = local.groupBy(key, "_hb").agg(F.max(date_col).alias("_last"))
+    last = b.groupBy(key, "_hb").agg(F.max(date_col).alias("_last"))
     w_b = Window.partitionBy(key).orderBy("_hb")
     carry = last.select(key, "_hb", F.lag("_last").over(w_b).alias("_prev_bk"))
     j = local.join(carry, [key, "_hb"])
@@ -91,9 +91,28 @@ def episode_gap_check(df: DataFrame, min_days: int = 30, key: str = "cust_id",
         F.count_if(F.col("gap_days") == 0).cast("long").alias("n_same_day"))
 
 
+#: Sums of values are kept as decimals, so that what leaves a window cancels exactly.
+VALUE_TYPE = "decimal(38,12)"
+VALUE_LIMIT = 1e24
+
+
+def _next_of_type(base: DataFrame, bucket: Column) -> DataFrame:
+    """Adds `_next`: the time of the user's next event of the same type (null for the last one).
+
+    Two-level like prior_history: a lead inside (user, type, bucket); a bucket's
+    last row takes the first time of the next bucket that has rows.
+    """
+    keys = ["_u", "_ty", "_hb"]
+    b = base.withColumn("_hb", bucket)
+    local = b.withColumn("_next_in", F.lead("_t").over(Window.partitionBy(*keys).orderBy("_t", "_eid")))
+    firsts = b.groupBy(*keys).agg(F.min("_t").alias("_first"))
+    carry = firsts.select(*keys, F.lead("_first").over(Window.partitionBy("_u", "_ty").orderBy("_hb")).alias("_next_bk"))
+    return local.join(carry, keys, "left").select(*base.columns, F.coalesce("_next_in", "_next_bk").alias("_next"))
+
+
 def activity_window(events: DataFrame, window_seconds: int = 30 * 86400, user: str = "user_id",
                     ts: str = "ts", event_id: str = "event_id", type_col: str = "event_type",
-                    value_col: str = "value", types: list[str] | None = None,
+                    value_col: str = "value", types: Sequence[str] = (),
                     bucket_seconds: int = 86400) -> DataFrame:
     """Trailing-window activity per event (W3): for each event at time t, the same
     user's events with t - W <= ts < t (the event itself excluded).
@@ -102,36 +121,48 @@ def activity_window(events: DataFrame, window_seconds: int = 30 * 86400, user: s
     anchor sums the contributions strictly before it. That is a running sum, run
     with `prior_history` per (user, time bucket) plus carried bucket totals, so a
     user owning a large share of events is split across buckets and tasks.
-    Outputs total count, per-type counts, distinct types (types with a positive
-    count) and the value sum.
+    A type is counted as distinct over (ts, min(ts + W, next event of that type)]:
+    these intervals never overlap, so their sum is the number of types present,
+    for any number of types. `types` only names the types that get a column of
+    their own.
+    Defined results: null and NaN values count as 0 in the sum, null types are
+    events but no type; values of 1e24 or more (infinities too) raise, because
+    the exact sum could not hold them.
     """
-    if types is None:
-        found = [r[0] for r in events.select(type_col).distinct().limit(257).collect() if r[0] is not None]
-        if len(found) > 256:
-            raise ValueError("too many event types for per-type window counters")
-        types = sorted(found)
+    types = list(types)
     secs = F.unix_micros(F.col(ts).cast("timestamp"))
     w_us = window_seconds * 1_000_000
+    v = F.col(value_col).cast("double")
+    exact = (F.when(v.isNull() | F.isnan(v), F.lit(0).cast(VALUE_TYPE))
+              .when(F.abs(v) < VALUE_LIMIT, v.cast(VALUE_TYPE))
+              .otherwise(F.raise_error(F.lit("activity_window: value too large for an exact sum")).cast(VALUE_TYPE)))
     base = events.select(F.col(event_id).alias("_eid"), F.col(user).alias("_u"), secs.alias("_t"),
-                         F.col(type_col).alias("_ty"), F.col(value_col).cast("double").alias("_v"))
-    weights = {"_w_n": F.lit(1)}
-    for i, t in enumerate(types):
-        weights[f"_w_t{i}"] = (F.col("_ty") == t).cast("int")
-    weights["_w_v"] = F.coalesce(F.col("_v"), F.lit(0.0))
-
-    def rows(kind: int, sign: int, shift: int):
-        return base.select("_eid", "_u", (F.col("_t") + shift).alias("_time"), F.lit(kind).alias("_kind"),
-                           *[(w * sign).alias(k) for k, w in weights.items()])
-    anchors = base.select("_eid", "_u", F.col("_t").alias("_time"), F.lit(0).alias("_kind"),
-                          *[F.lit(0).cast("double" if k == "_w_v" else "int").alias(k) for k in weights])
-    stream = anchors.unionByName(rows(1, 1, 0)).unionByName(rows(1, -1, w_us))
-    bucket = F.floor(F.col("_time") / (bucket_seconds * 1_000_000))
+                         F.col(type_col).alias("_ty"), exact.alias("_w_v"))
+
+    def bucket(time: str) -> Column:
+        return F.floor(F.col(time) / (bucket_seconds * 1_000_000))
+
+    # `_w_d` leaves at the end of the window or at the type's next event, whichever comes first
+    base = _next_of_type(base, bucket("_t")).withColumn("_cut", F.coalesce(F.col("_next") < F.col("_t") + w_us, F.lit(False)))
+    is_type = F.col("_ty").isNotNull().cast("int")
+    weights = {"_w_n": F.lit(1)} | {f"_w_t{i}": F.coalesce((F.col("_ty") == t).cast("int"), F.lit(0))
+                                    for i, t in enumerate(types)}
+    zero = {k: F.lit(0) for k in weights} | {"_w_d": F.lit(0), "_w_v": F.lit(0).cast(VALUE_TYPE)}
+
+    def rows(frame: DataFrame, time: Column, kind: int, ws: Mapping[str, Column]) -> DataFrame:
+        return frame.select("_eid", "_u", time.alias("_time"), F.lit(kind).alias("_kind"),
+                            *[(zero | ws)[k].alias(k) for k in zero])
+    end = F.col("_t") + w_us
+    enter = rows(base, F.col("_t"), 1, weights | {"_w_d": is_type, "_w_v": F.col("_w_v")})
+    leave = rows(base, end, 1, {k: -w for k, w in weights.items()} | {
+        "_w_d": F.when(F.col("_cut"), F.lit(0)).otherwise(-is_type), "_w_v": (-F.col("_w_v")).cast(VALUE_TYPE)})
+    replaced = rows(base.where("_cut"), F.col("_next"), 1, {"_w_d": -is_type})
+    stream = rows(base, F.col("_t"), 0, {}).unionByName(enter).unionByName(leave).unionByName(replaced)
     out = prior_history(stream, key="_u", order_cols=["_time", "_kind", "_eid"],
-                        outcomes={f"s{k}": k for k in weights}, count_name="_rows", bucket=bucket)
+                        outcomes={f"s{k}": k for k in zero}, count_name="_rows", bucket=bucket("_time"))
     a = out.where(F.col("_kind") == 0)
     type_cols = [F.col(f"s_w_t{i}").cast("long").alias(f"n_{t}_30d") for i, t in enumerate(types)]
-    distinct = sum((F.col(f"s_w_t{i}") > 0).cast("int") for i in range(len(types))) if types else F.lit(0)
     return a.select(F.col("_eid").alias(event_id), F.col("_u").alias(user),
                     F.col("s_w_n").cast("long").alias("n_events_30d"), *type_cols,
-                    distinct.cast("long").alias("distinct_types_30d"),
-                    F.col("s_w_v").alias("value_sum_30d"))
+                    F.col("s_w_d").cast("long").alias("distinct_types_30d"),
+                    F.col("s_w_v").cast("double").alias("value_sum_30d"))

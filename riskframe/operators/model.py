@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -30,12 +30,33 @@ from ..session import materialize, path_exists
 
 
 def assembler(feature_cols: Sequence[str] = C.FEATURE_COLUMNS) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="keep")
+    return VectorAssembler(inputCols=[f"_x_{c}" for c in feature_cols], outputCol="features")
 
 
 def _prep(df: DataFrame, feature_cols, label: str) -> DataFrame:
-    return df.select(*[F.col(c).cast("double").alias(c) for c in feature_cols],
-                     F.col(label).cast("double").alias("label"))
+    """Feature columns as doubles (NaN is null) and the label; rows without a label teach nothing and go."""
+    return df.where(F.col(label).isNotNull()).select(
+        *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in feature_cols],
+        F.col(label).cast("double").alias("label"))
+
+
+def missing_fills(prepared: DataFrame, feature_cols: Sequence[str], below: bool) -> dict[str, float]:
+    """What stands for a missing value, learned from the training rows in one aggregate.
+
+    below=True: one less than the smallest value, so a tree can send missing values
+    their own way; False: the mean, which is neutral in a linear score. A feature
+    without any value is filled with 0.
+    """
+    fn = F.min if below else F.avg
+    row = prepared.agg(*[fn(c).alias(c) for c in feature_cols]).first()
+    return {c: 0.0 if row[c] is None else float(row[c]) - (1.0 if below else 0.0) for c in feature_cols}
+
+
+def filler(fills: dict[str, float]) -> SQLTransformer:
+    """Pipeline stage (saved with the model) that adds the filled inputs of the assembler."""
+    cols = ", ".join(f"COALESCE(NANVL(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)), CAST('{v!r}' AS DOUBLE)) AS `_x_{c}`"
+                     for c, v in fills.items())
+    return SQLTransformer(statement=f"SELECT *, {cols} FROM __THIS__")
 
 
 @dataclass
@@ -44,6 +65,7 @@ class FittedModel:
     best_iteration: int
     val_losses: list[float]  # per prefix: -AUC (select_by="auc") or log-loss
     feature_cols: list[str]
+    fills: dict[str, float]
 
 
 def prefix_auc(gbt_model, val_vectors: DataFrame) -> list[float]:
@@ -79,8 +101,11 @@ def train_gbt(train: DataFrame, val: DataFrame, params: C.GBTParams = C.GBTParam
     lowest validation log-loss (`evaluateEachIteration`).
     """
     feature_cols = list(feature_cols)
-    tr = materialize(assembler(feature_cols).transform(_prep(train, feature_cols, label)))
-    va = assembler(feature_cols).transform(_prep(val, feature_cols, label))
+    prepared = materialize(_prep(train, feature_cols, label))
+    fills = missing_fills(prepared, feature_cols, below=True)
+    inputs = PipelineModel(stages=[filler(fills), assembler(feature_cols)])
+    tr = inputs.transform(prepared).select("features", "label")
+    va = inputs.transform(_prep(val, feature_cols, label)).select("features", "label")
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=params.max_iter,
                         stepSize=params.step_size, maxDepth=params.max_depth,
                         minInstancesPerNode=params.min_instances_per_node,
@@ -96,8 +121,8 @@ def train_gbt(train: DataFrame, val: DataFrame, params: C.GBTParams = C.GBTParam
         best = int(min(range(len(losses)), key=lambda i: (losses[i], i))) + 1
     if best < params.max_iter:
         m = gbt.copy().setMaxIter(best).fit(tr)
-    pm = PipelineModel(stages=[assembler(feature_cols), m])
-    return FittedModel(pm, best, losses, feature_cols)
+    pm = PipelineModel(stages=[*inputs.stages, m])
+    return FittedModel(pm, best, losses, feature_cols, fills)
 
 
 def train_scorecard(train: DataFrame, feature_cols: Sequence[str] = C.FEATURE_COLUMNS,
@@ -106,7 +131,8 @@ def train_scorecard(train: DataFrame, feature_cols: Sequence[str] = C.FEATURE_CO
     feature_cols = list(feature_cols)
     lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=100, regParam=reg)
     prepared = _prep(train, feature_cols, label)
-    return Pipeline(stages=[assembler(feature_cols), lr]).fit(prepared)
+    fills = missing_fills(prepared, feature_cols, below=False)
+    return Pipeline(stages=[filler(fills), assembler(feature_cols), lr]).fit(prepared)
 
 
 def coefficients(model: PipelineModel, feature_cols: Sequence[str]) -> dict[str, float]:

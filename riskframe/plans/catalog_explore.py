@@ -91,10 +91,8 @@ def q_episode_gap_check(spark, sf):
 def _activity_sql() -> str:
     types = ", ".join(f"CAST(COUNT(p.event_id) FILTER (WHERE p.event_type = '{t}') AS BIGINT) AS n_{t}_30d"
                       for t in EVENT_TYPES)
-    distinct = " + ".join(f"CASE WHEN COUNT(p.event_id) FILTER (WHERE p.event_type = '{t}') > 0 THEN 1 ELSE 0 END"
-                          for t in EVENT_TYPES)
     return ("SELECT e.event_id, e.user_id, CAST(COUNT(p.event_id) AS BIGINT) AS n_events_30d, " + types
-            + f", CAST({distinct} AS BIGINT) AS distinct_types_30d, RND(COALESCE(SUM(p.value), 0.0), 6) AS "
+            + f", COUNT(DISTINCT p.event_type) AS distinct_types_30d, RND(COALESCE(SUM(p.value), 0.0), 6) AS "
             "value_sum_30d FROM events e LEFT JOIN events p ON p.user_id = e.user_id AND p.ts < e.ts AND "
             "p.ts >= e.ts - INTERVAL 30 DAY GROUP BY e.event_id, e.user_id")
 

@@ -12,7 +12,7 @@ from .catalog import DOUBLE_FEATS, FEAT_CTE, RAW, ep, feat_select, feats, sql_ro
 from .catalog import _validate_data_sql
 
 _VALIDATE_DATA_SQL = _validate_data_sql()
-from .catalog_scores import DEP, SC, scored, with_deployment
+from .catalog_scores import DEP, SC, scored
 from .pipeline import train_pipeline
 from .registry import normalize, register
 
@@ -33,13 +33,13 @@ def q_decision_rule(spark, sf):
 @register("limit_tiering", with_episodes(
     "SELECT loan_id, CASE WHEN score >= t THEN 'DECLINE' WHEN score >= 0.1 THEN 'REDUCED' ELSE 'APPROVE' END AS tier, "
     "RND(CASE WHEN score >= t THEN 0.0 WHEN score >= 0.1 THEN assigned_limit_kes * 0.5 ELSE assigned_limit_kes END, 6) "
-    "AS granted_limit FROM (SELECT o.*, d.threshold AS t FROM ep o CROSS JOIN dep d WHERE o.split = 'oot') x",
+    "AS granted_limit FROM (SELECT o.*, d.threshold AS t FROM ep o CROSS JOIN dep d) x",
     SC + ",\n" + DEP))
 def q_limit_tiering(spark, sf):
     e = ep(spark, sf)
     s = scored(spark, sf)
     from .catalog_scores import deployment_threshold
-    d = e.where(F.col("split") == "oot").crossJoin(F.broadcast(deployment_threshold(s)))
+    d = e.crossJoin(F.broadcast(deployment_threshold(s)))
     t = scoring.limit_tier(F.col("score"), F.col("_t"), F.col("assigned_limit_kes"))
     return normalize(d.select("loan_id", t.alias("t")).select("loan_id", "t.tier", "t.granted_limit"))
 
@@ -119,7 +119,9 @@ def q_reason_codes(spark, sf):
 
 @register("score_audit_log")
 def q_score_audit(spark, sf):
-    s = with_deployment(scored(spark, sf)).select("loan_id", "score", "_t")
+    from .catalog_scores import deployment_threshold
+    s = scored(spark, sf)
+    s = s.crossJoin(F.broadcast(deployment_threshold(s))).select("loan_id", "score", "_t")
     e = ep(spark, sf).select("loan_id", *C.RAW_FEATURE_COLUMNS)
     j = s.join(e, "loan_id")
     return scoring.audit_record(j, C.RAW_FEATURE_COLUMNS, F.col("_t"), "scorecard-fixed-1")
@@ -208,7 +210,7 @@ def q_score_batch(spark, sf):
     m = model.train_scorecard(feats(spark, sf, "train"))
     val = model.raw_scores(m, feats(spark, sf, "val"))
     cal = model.fit_isotonic(val)
-    raw = ep(spark, sf).where(F.col("split") == "oot").select("loan_id", *C.RAW_FEATURE_COLUMNS)
+    raw = ep(spark, sf).select("loan_id", *C.RAW_FEATURE_COLUMNS)
     return model.score_batch(m, cal, raw, 0.3).select("loan_id", "raw_score", "score", "decision", "threshold_used")
 
 
@@ -225,7 +227,7 @@ def q_model_roundtrip(spark, sf):
     path = scratch_path(spark, "model")
     model.save_model(m, cal, path)
     m2, cal2 = model.load_model(path)
-    raw = ep(spark, sf).where(F.col("split") == "oot").select("loan_id", *C.RAW_FEATURE_COLUMNS)
+    raw = ep(spark, sf).select("loan_id", *C.RAW_FEATURE_COLUMNS)
     return model.score_batch(m2, cal2, raw, None).select("loan_id", "score", "decision")
 
 
@@ -234,4 +236,4 @@ def q_reason_codes_gbt(spark, sf):
     from ..operators.explain import gbt_reason_codes
     fitted = model.train_gbt(feats(spark, sf, "train"), feats(spark, sf, "val"), GBT_QUERY)
     gbt = fitted.model.stages[-1]
-    return gbt_reason_codes(feats(spark, sf, "oot"), gbt, fitted.feature_cols)
+    return gbt_reason_codes(feats(spark, sf, "oot"), gbt, fitted.feature_cols, fills=fitted.fills)

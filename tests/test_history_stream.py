@@ -49,6 +49,33 @@ def test_activity_window_brute_force(spark):
         assert out[i].value_sum_30d == pytest.approx(sum(float(j % 7) for j in np.nonzero(m)[0]))
 
 
+def test_activity_window_cancels_exactly_and_counts_any_type(spark):
+    day = 86400
+    rows = [(1, 1, 0, "refund", 1e17), (2, 1, day, "refund", 1.7), (3, 1, 2 * day, None, float("nan")),
+            (4, 1, 2 * day, "x", None), (5, 1, 31 * day, "y", 3.0), (6, 1, 32 * day, "refund", 0.5),
+            (7, 1, 90 * day, "x", 2.0), (8, 2, 5 * day, "x", -1.3)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, sec long, event_type string, value double") \
+        .withColumn("ts", F.timestamp_seconds("sec"))
+    got = {r.event_id: (r.n_events_30d, r.distinct_types_30d, r.value_sum_30d)
+           for r in history.activity_window(df).collect()}
+    assert got == {1: (0, 0, 0.0), 2: (1, 1, 1e17), 3: (2, 1, 1e17 + 1.7), 4: (2, 1, 1e17 + 1.7),
+                   5: (3, 2, 1.7), 6: (3, 2, 3.0), 7: (0, 0, 0.0), 8: (0, 0, 0.0)}
+
+
+def test_activity_window_many_types_brute_force(spark):
+    rng = np.random.default_rng(8)
+    n, w = 600, 10 * 86400
+    ts = rng.integers(0, 30, n) * 43200          # many ties, and events exactly at a window's edge
+    users = np.where(rng.uniform(size=n) < 0.4, 1, rng.integers(0, 4, n))
+    types = [f"t{x}" for x in rng.integers(0, 300, n)]
+    df = spark.createDataFrame([(i, int(u), int(t), y, 0.1) for i, (u, t, y) in enumerate(zip(users, ts, types))],
+                               "event_id long, user_id long, sec long, event_type string, value double") \
+        .withColumn("ts", F.timestamp_seconds("sec"))
+    got = {r.event_id: r.distinct_types_30d for r in history.activity_window(df, w).collect()}
+    for i, (u, t) in enumerate(zip(users, ts)):
+        assert got[i] == len({types[j] for j in np.nonzero((users == u) & (ts < t) & (ts >= t - w))[0]})
+
+
 def test_psi_stream_equals_batch(spark):
     rng = np.random.default_rng(9)
     n = 600
