@@ -16,7 +16,8 @@ registers agree with a probability close to the Jaccard similarity J.
    J >= 0.8 is out of the question (6 standard errors) go.
 5. Each class's best pair is verified on the full sets. Verified links give
    components by min-label propagation with pointer jumping; pairs that met in
-   a bucket of two and run between components are verified next.
+   a bucket of two and run between components are verified next. Later links
+   merge whole components, so their graph has components as vertices.
 6. Buckets of three or more that still hold several components may hide links
    between members of which neither was the leader. Their members of different
    components are compared in the task that reads the bucket, in blocks of
@@ -46,6 +47,7 @@ BASE, RATE, TOP = 1.001, 20.0, 65_535        # b, a and the largest register val
 PERCENT = 80                                 # links: 100 * intersection >= PERCENT * union
 LOG_MARGIN = 18.0                            # log-likelihood by which J >= 0.8 must lose: 6 standard errors
 BLOCK_SHINGLES = 500_000                     # shingles of bucket members that one block holds, more or less
+TASK_ROWS = 500_000                          # edges for each task that writes labels
 
 _SLICE = 1 << 16
 _WORD_BLOCK = 1 << 20
@@ -284,6 +286,11 @@ def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
             .withColumns({"la": F.coalesce("la", "a"), "lb": F.coalesce("lb", "b")}).where("la != lb"))
 
 
+def compact(df: DataFrame, rows: int) -> DataFrame:
+    """`df` in as many partitions as `rows` rows need, and no fewer than the cluster runs at once."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(v, label): the smallest vertex reachable, for every vertex of an edge (a, b).
 
@@ -293,18 +300,29 @@ def components(edges: DataFrame) -> DataFrame:
     the adaptive skew join and its minima combine before the shuffle.
     """
     both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = written(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("l")).selectExpr("v", "least(v, l) as label"), "labels")
+    rows = both.count()
+    labels = written(compact(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("l")).selectExpr("v", "least(v, l) as label"), rows), "labels")
     while True:
         near = (both.join(labels.select(F.col("v").alias("b"), "label"), "b").groupBy(F.col("a").alias("v"))
                 .agg(F.min("label").alias("near")))
         step = labels.join(near, "v").selectExpr("v", "label as old", "least(label, near) as l")
         jump = labels.select(F.col("v").alias("l"), F.col("label").alias("far"))
-        new = written(step.join(jump, "l").selectExpr("v", "old", "least(l, far) as label"), "labels")
+        new = written(compact(step.join(jump, "l").selectExpr("v", "old", "least(l, far) as label"), rows), "labels")
         labels = new.select("v", "label")
         if new.where("label < old").isEmpty():
             return labels
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """`labels` after `links` (a, b) between components: these are merged as vertices of a graph of their own."""
+    tops = components(across(links, labels).select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    tops = tops.withColumnRenamed("label", "top")
+    old = (labels.join(tops.withColumnRenamed("v", "label"), "label", "left")
+           .select("v", F.coalesce("top", "label").alias("label")))
+    new = tops.join(labels, "v", "left_anti").select("v", F.col("top").alias("label"))
+    return written(old.union(new), "labels")
+
+
 def hidden_links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, labels: DataFrame, words: int) -> DataFrame:
     """Links (a, b) across components inside buckets of three or more members, verified on full sets.
 
@@ -371,14 +389,13 @@ def near_components(docs: DataFrame, words: int = 5) -> DataFrame:
     best = (cand.select("a", "b", "j", F.explode(F.array("a", "b")).alias("cid")).groupBy("cid")
             .agg(F.max(F.struct("j", "a", "b")).alias("x")).select("x.a", "x.b").distinct())
     sets = full_sets(cand.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), docs, classes, words)
-    links = written(verified(best, sets), "links")
-    labels = components(links)
+    labels = components(verified(best, sets))
     # pairs that met alone in a bucket; larger buckets are compared in full below
-    links = written(links.union(verified(across(cand.where("alone"), labels), sets)), "links")
-    labels = components(links)
-    hidden = written(hidden_links(docs, classes, buckets, labels, words), "links")
-    if not hidden.isEmpty():
-        labels = components(links.union(hidden))
+    for more in (lambda: verified(across(cand.where("alone"), labels), sets),
+                 lambda: hidden_links(docs, classes, buckets, labels, words)):
+        links = written(more(), "links")
+        if not links.isEmpty():
+            labels = joined(labels, links)
     named = classes.join(labels.withColumnRenamed("v", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     by_key = named.select("key", "label").join(least, "label").select("key", "component_id")
