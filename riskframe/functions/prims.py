@@ -7,15 +7,14 @@ K3 bin_index      bin ordinal of x against a sorted edge array; `with_bin_index`
                   whole-stage codegen (`bin_index` is the lambda form)
 K4 score_hist     (group, score) -> positives / count; every ranking metric
                   starts from this partially aggregated table
-K5 prefix_sum     ordered running sums without a global sort of rows: a
-                  size-checked input either takes one window per group
-                  (<= SMALL_ROWS rows) or is cut into approximate-quantile
-                  buckets (adaptive count), summed inside each bucket with a
-                  window and shifted by per-bucket offsets
+K5 prefix_sum     ordered running sums without a global sort of rows: the input
+                  is cut into approximate-quantile buckets (as many as its rows
+                  need), summed inside each bucket with a window and shifted by
+                  per-bucket offsets
 K6 safe_ratio     division that never raises under ANSI mode
 K7 checks_frame   check rows derived from one aggregate row
-K8 exact_quantiles exact linear-interpolated quantiles: per-value histogram
-                  ranking for small inputs, sketch-located buckets for large
+K8 exact_quantiles exact linear-interpolated quantiles: a sketch locates the
+                  buckets of the wanted ranks, whose rows alone are ranked exactly
 round_dp          round half up on the binary value, shared with the SQL oracle
 """
 from __future__ import annotations
@@ -42,9 +41,16 @@ CHECK_SCHEMA = T.StructType([
 # Buckets used by the two-level prefix sum. Each bucket holds roughly
 # 1/PREFIX_BUCKETS of a group's rows, so a task never sees a whole group.
 PREFIX_BUCKETS = 64
-# Rank error of the approximate bucket edges is 1/APPROX_ACCURACY of a group,
-# far below a bucket's 1/PREFIX_BUCKETS share: the edges only balance load.
-APPROX_ACCURACY = 2000
+# Sketch accuracy per bucket: the rank error of an edge is 1/20 of a bucket's
+# share, whatever the number of buckets. The edges only balance load.
+ACCURACY_PER_BUCKET = 20
+# Entries (rows x array length) up to which a counted table is broadcast: 32 MB of doubles.
+BROADCAST_ENTRIES = 4_000_000
+
+
+def counted_side(df: DataFrame, rows: int, width: int = 1) -> DataFrame:
+    """`df`, marked for broadcast only if its known size (`rows` of `width` entries) is small."""
+    return F.broadcast(df) if rows * width <= BROADCAST_ENTRIES else df
 
 
 # ---------------------------------------------------------------- K1
@@ -163,53 +169,36 @@ def score_hist(df: DataFrame, score: str = "score", label: str = "label",
 
 
 # ---------------------------------------------------------------- K5
-# Inputs of at most this many rows (checked, after materialization) take the
-# one-window path: a single sort of <= SMALL_ROWS rows is cheaper than the
-# bucketed plan's extra stages and fits one task comfortably.
-SMALL_ROWS = 1_000_000
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
 
 
 def prefix_sum(df: DataFrame, group_cols: Sequence[str], order_col: str,
                sum_cols: Sequence[str], descending: bool = False,
-               n_buckets: int = PREFIX_BUCKETS, few_groups: bool = True,
-               materialized: bool = False, small_rows: int | None = None) -> DataFrame:
+               n_buckets: int = PREFIX_BUCKETS, materialized: bool = False) -> DataFrame:
     """Add `<c>_before` (sum over strictly earlier rows of the group) and `<c>_total`.
 
     Rows must be unique per (group_cols, order_col) -- aggregate first (K4).
     The input (an aggregate, so usually far smaller than the raw rows) is
-    materialized and counted. Up to `small_rows` rows: one window per group.
-    Beyond: approximate-quantile edges per group (small table) -> bucket by
-    binary search -> running sum inside (group, bucket) -> offsets from the
-    per-bucket totals (a table of at most groups x n_buckets rows), so no
-    task ever holds a whole group.
+    materialized and counted, which sizes the buckets. Approximate-quantile
+    edges per group -> bucket by binary search -> running sum inside (group,
+    bucket) -> offsets from the per-bucket totals (at most groups x buckets
+    rows), so no task ever holds a whole group. Edges and offsets are broadcast
+    where the counted groups allow it and joined on their keys otherwise.
     """
     g = list(group_cols)
-    small_rows = SMALL_ROWS if small_rows is None else small_rows
-    n_rows = None
-    if small_rows > 0:
-        if not materialized:
-            df = materialize(df)
-        n_rows = df.count()
-        if n_rows <= small_rows:
-            order = F.col(order_col).desc() if descending else F.col(order_col).asc()
-            w = Window.partitionBy(*g).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-            w_all = Window.partitionBy(*g)
-            return df.select(*[F.col(c) for c in df.columns],
-                             *[F.sum(c).over(w_all).alias(f"{c}_total") for c in sum_cols],
-                             *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{c}_before") for c in sum_cols])
-    if n_rows is not None:
-        # about ROWS_PER_BUCKET rows per (group, bucket) task, whatever the input size
-        n_buckets = max(n_buckets, min(MAX_BUCKETS, -(-n_rows // ROWS_PER_BUCKET)))
+    if not materialized:
+        df = materialize(df)
+    # about ROWS_PER_BUCKET rows per (group, bucket) task, whatever the input size
+    n_buckets = max(n_buckets, -(-df.count() // ROWS_PER_BUCKET))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     edges = (df.groupBy(*g).agg(
-        F.percentile_approx(F.col(order_col).cast("double"), probs, APPROX_ACCURACY).alias("_edges"),
+        F.percentile_approx(F.col(order_col).cast("double"), probs, ACCURACY_PER_BUCKET * n_buckets).alias("_edges"),
         *[F.sum(c).alias(f"{c}_total") for c in sum_cols]))
-    if not g:
-        with_edges = df.crossJoin(F.broadcast(edges))
-    else:
-        with_edges = df.join(F.broadcast(edges) if few_groups else edges, g)
+    groups = 1
+    if g:
+        edges = materialize(edges)
+        groups = edges.count()
+    with_edges = df.join(counted_side(edges, groups, n_buckets), g) if g else df.crossJoin(F.broadcast(edges))
     b = with_bin_index(with_edges, f"CAST(`{order_col}` AS DOUBLE)", "_edges", n_buckets - 1, "_bk")
     if descending:
         b = b.withColumn("_bk", F.lit(n_buckets) - F.col("_bk"))
@@ -224,7 +213,7 @@ def prefix_sum(df: DataFrame, group_cols: Sequence[str], order_col: str,
     offsets = (b.groupBy(*g, "_bk").agg(*[F.sum(c).alias(f"_{c}_bsum") for c in sum_cols])
                 .select(*g, "_bk", *[F.coalesce(F.sum(f"_{c}_bsum").over(w_bk), F.lit(0))
                                      .alias(f"_{c}_off") for c in sum_cols]))
-    out = local.join(F.broadcast(offsets) if few_groups else offsets, [*g, "_bk"])
+    out = local.join(counted_side(offsets, groups, n_buckets), [*g, "_bk"])
     return out.select(
         *[F.col(c) for c in df.columns],
         *[F.col(f"{c}_total") for c in sum_cols],
@@ -309,9 +298,6 @@ def fmt_num(c: Column, dp: int) -> Column:
 
 # ---------------------------------------------------------------- K8
 QUANTILE_BUCKETS = 1024
-# Up to this many non-null values the full per-value histogram is shuffled
-# (fewest jobs); beyond it the sketch-located buckets are used (least shuffle).
-HIST_QUANTILE_ROWS = 5_000_000
 
 
 def _targets(sizes: DataFrame, g: list[str], probs: Sequence[float]) -> tuple[DataFrame, DataFrame]:
@@ -341,82 +327,58 @@ def _interpolate(want: DataFrame, hit: DataFrame, g: list[str]) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], few_groups: bool = True,
-                    materialize_hist: bool = True) -> DataFrame:
+                    probs: Sequence[float]) -> DataFrame:
     """Exact linear-interpolated quantiles per group.
 
     Returns (group..., q_idx, prob, n, quantile). Nulls are ignored; an empty
     group yields no rows. Interpolation: lo + (hi - lo) * frac with
     pos = prob * (n - 1) -- the definition numpy's and DuckDB's linear
-    quantiles share. The input size is checked (one count): small inputs rank
-    the full per-value histogram, large ones only the sketch-located buckets.
-    """
-    g = list(group_cols)
-    base = df.where(F.col(value_col).isNotNull()).select(*g, F.col(value_col).cast("double").alias("_v"))
-    if base.count() <= HIST_QUANTILE_ROWS:
-        return _quantiles_by_histogram(base, g, probs, few_groups)
-    return _quantiles_by_sketch(base, g, probs, few_groups, materialize_hist)
-
+    quantiles share.
 
-def _quantiles_by_histogram(base: DataFrame, g: list[str], probs: Sequence[float], few_groups: bool) -> DataFrame:
-    """Rank every distinct value (K5 over the materialized per-value histogram)."""
-    hist = materialize(base.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    ranked = prefix_sum(hist, g, "_v", ["_c"], few_groups=few_groups, materialized=True)
-    sizes = hist.groupBy(*g).agg(F.sum("_c").alias("n"))
-    want, ends = _targets(sizes, g, probs)
-    ends_b = F.broadcast(ends) if few_groups else ends
-    hit = (ranked.join(ends_b, g) if g else ranked.crossJoin(ends_b)).where(
-        (F.col("_c_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_c_before") + F.col("_c")))
-    return _interpolate(want, hit, g)
-
-
-def _quantiles_by_sketch(base: DataFrame, g: list[str], probs: Sequence[float], few_groups: bool,
-                         materialize_hist: bool) -> DataFrame:
-    """Approximate, then exact: (1) a mergeable sketch gives ~1024 bucket edges per
+    Approximate, then exact: (1) a mergeable sketch gives 1024 bucket edges per
     group; (2) exact per-bucket counts (a tiny shuffle) locate the bucket and
     in-bucket rank of every needed order statistic; (3) only rows of those few
-    buckets are counted per distinct value and ranked (K5). The approximation
-    only sizes buckets -- ranks are counted exactly -- and the heavy shuffle
-    carries a few buckets' rows instead of every distinct value.
+    buckets are counted per distinct value and ranked (K5, which splits a large
+    bucket again). The sketch only sizes buckets -- ranks are counted exactly --
+    and the heavy shuffle carries a few buckets' rows instead of every value.
     """
+    g = list(group_cols)
+    base = df.where(F.col(value_col).isNotNull()).select(*g, F.col(value_col).cast("double").alias("_v"))
     nb = QUANTILE_BUCKETS
     eprobs = [i / nb for i in range(1, nb)]
-    sketch = base.groupBy(*g).agg(F.percentile_approx("_v", eprobs, APPROX_ACCURACY).alias("_e"),
-                                  F.count(F.lit(1)).alias("n"))
-    sketch = materialize(sketch) if materialize_hist else sketch
-    sk = F.broadcast(sketch) if few_groups else sketch
+    sketch = materialize(base.groupBy(*g).agg(F.percentile_approx("_v", eprobs, ACCURACY_PER_BUCKET * nb).alias("_e"),
+                                              F.count(F.lit(1)).alias("n")))
+    groups = sketch.count() if g else 1
+    sk = counted_side(sketch, groups, nb)
 
     def bucketed(frame: DataFrame) -> DataFrame:
         j = frame.join(sk, g) if g else frame.crossJoin(sk)
         return with_bin_index(j, "_v", "_e", nb - 1, "_b").drop("_e")
 
-    counts = bucketed(base).groupBy(*g, "_b").agg(F.count(F.lit(1)).alias("_bc"), F.first("n").alias("n"))
-    counts = materialize(counts) if materialize_hist else counts   # groups x buckets rows
+    # groups x buckets rows
+    counts = materialize(bucketed(base).groupBy(*g, "_b").agg(F.count(F.lit(1)).alias("_bc"), F.first("n").alias("n")))
     wb = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     cum = counts.withColumn("_before", F.coalesce(F.sum("_bc").over(wb), F.lit(0)))
     sizes = counts.groupBy(*g).agg(F.first("n").alias("n"))
     want, ends = _targets(sizes, g, probs)
     # bucket and in-bucket rank of every needed order statistic (groups x probs x 2 rows)
-    located = (ends.join(cum, g) if g else ends.crossJoin(cum)).where(
+    located = materialize((ends.join(cum, g) if g else ends.crossJoin(cum)).where(
         (F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_bc"))).select(
-        *g, "q_idx", "_end", "_b", (F.col("_rank") - F.col("_before")).alias("_local"))
-    located = materialize(located) if materialize_hist else located
+        *g, "q_idx", "_end", "_b", (F.col("_rank") - F.col("_before")).alias("_local")))
     keys = located.select(*g, "_b").distinct()
-    cand = bucketed(base).join(F.broadcast(keys) if few_groups else keys, [*g, "_b"], "left_semi")
+    cand = bucketed(base).join(counted_side(keys, groups, 2 * len(probs)), [*g, "_b"], "left_semi")
     hist = cand.groupBy(*g, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = prefix_sum(hist, [*g, "_b"], "_v", ["_c"], few_groups=False)
-    loc = F.broadcast(located) if few_groups else located
-    hit = ranked.join(loc, [*g, "_b"]).where(
+    ranked = prefix_sum(hist, [*g, "_b"], "_v", ["_c"])
+    hit = ranked.join(counted_side(located, groups, 2 * len(probs)), [*g, "_b"]).where(
         (F.col("_c_before") <= F.col("_local")) & (F.col("_local") < F.col("_c_before") + F.col("_c")))
     return _interpolate(want, hit, g)
 
 
 def quantile_array(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                   probs: Sequence[float], alias: str = "edges",
-                   few_groups: bool = True) -> DataFrame:
+                   probs: Sequence[float], alias: str = "edges") -> DataFrame:
     """exact_quantiles collected into one ordered array per group (small table)."""
     g = list(group_cols)
-    q = exact_quantiles(df, g, value_col, probs, few_groups=few_groups)
+    q = exact_quantiles(df, g, value_col, probs)
     return q.groupBy(*g).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("q_idx", "quantile"))),
                     lambda s: s["quantile"]).alias(alias),

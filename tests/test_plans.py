@@ -25,12 +25,8 @@ def test_single_partition_only_above_aggregates(spark, key):
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line and "ReusedExchange" not in line:
             child = lines[i + 1]
-            below = "\n".join(lines[i + 1:i + 5])
-            # a global aggregate's partial rows, a bucket/offset table aggregated per key, or a
-            # materialized table whose size prefix_sum checked (<= SMALL_ROWS) before choosing
-            # its one-window path
-            ok = ALLOWED_BELOW.search(child) or "ExistingRDD" in below
-            assert ok, f"{key}: SinglePartition over {child.strip()[:120]}"
+            # a global aggregate's partial rows, or a bucket/offset table aggregated per key
+            assert ALLOWED_BELOW.search(child), f"{key}: SinglePartition over {child.strip()[:120]}"
 
 
 def test_split_filter_prunes_partitions_and_columns(spark):

@@ -14,14 +14,12 @@ def test_bin_index_left_and_right_closed(spark):
     assert [r.r for r in got] == [0, 1, 2, 2, None]
 
 
-@pytest.mark.parametrize("path", ["histogram", "histogram-two-level", "sketch"])
+@pytest.mark.parametrize("path", ["broadcast", "joined"])
 @pytest.mark.parametrize("n,distinct", [(1, 1), (7, 3), (500, 500), (2000, 37)])
 def test_exact_quantiles_match_numpy(spark, n, distinct, path, monkeypatch):
     import riskframe.functions.prims as P
-    if path == "histogram-two-level":
-        monkeypatch.setattr(P, "SMALL_ROWS", 0)
-    if path == "sketch":
-        monkeypatch.setattr(P, "HIST_QUANTILE_ROWS", 0)
+    if path == "joined":
+        monkeypatch.setattr(P, "BROADCAST_ENTRIES", 0)
     rng = np.random.default_rng(n)
     vals = rng.integers(0, distinct, n).astype(float) * 1.37 + rng.normal(0, 1, n).round(0)
     probs = [0.0, 0.1, 0.25, 0.3, 0.5, 0.9, 1.0]
@@ -42,14 +40,14 @@ def test_prefix_sum_matches_cumsum(spark):
     scores = rng.permutation(3000).astype(float)
     w = rng.integers(0, 5, 3000)
     df = spark.createDataFrame([(float(s), int(x), "k") for s, x in zip(scores, w)], "s double, w long, k string")
-    out = prefix_sum(df, ["k"], "s", ["w"], n_buckets=16, small_rows=0).collect()
+    out = prefix_sum(df, ["k"], "s", ["w"], n_buckets=16).collect()
     small = prefix_sum(df, ["k"], "s", ["w"]).collect()
     order = np.argsort(scores)
     before = dict(zip(scores[order], np.concatenate([[0], np.cumsum(w[order])[:-1]])))
     assert all(r.w_before == before[r.s] for r in out)
     assert all(r.w_before == before[r.s] for r in small)
     assert {r.w_total for r in out} == {int(w.sum())}
-    desc = prefix_sum(df, ["k"], "s", ["w"], descending=True, n_buckets=16, small_rows=0).collect()
+    desc = prefix_sum(df, ["k"], "s", ["w"], descending=True, n_buckets=16).collect()
     after = {s: int(w[scores > s].sum()) for s in scores}
     assert all(r.w_before == after[r.s] for r in desc)
 
@@ -86,7 +84,7 @@ def test_prefix_sum_adaptive_buckets(spark, monkeypatch):
     rng = np.random.default_rng(6)
     vals = rng.permutation(5000).astype(float)
     df = spark.createDataFrame([(float(v), 1, "k") for v in vals], "s double, w long, k string")
-    out = P.prefix_sum(df, ["k"], "s", ["w"], small_rows=1).collect()
+    out = P.prefix_sum(df, ["k"], "s", ["w"]).collect()
     assert all(r.w_before == int(r.s) for r in out)
 
 
