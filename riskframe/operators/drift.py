@@ -64,11 +64,12 @@ def psi_table(reference: DataFrame, current: DataFrame, cols: Sequence[str],
     idx = F.when(F.col("value") == hi, k - 1).otherwise(idx)
     inside = (F.col("value") >= F.element_at("edges", 1)) & (F.col("value") <= hi)
     binned = both.select("feature", "_side", F.when(inside, idx).alias("bin"))
-    counts = binned.groupBy("feature", "bin").agg(
-        F.count_if(F.col("_side") == 0).alias("ref_n"), F.count_if(F.col("_side") == 1).alias("cur_n"))
-    sizes = binned.groupBy("feature").agg(
-        F.count_if(F.col("_side") == 1).alias("n_cur_all"),
-        F.count_if((F.col("_side") == 1) & F.col("bin").isNull()).alias("n_out_of_range"))
+    # one pass over both sides: features x (bins and out of range) rows, which also hold the sizes
+    counts = materialize(binned.groupBy("feature", "bin").agg(
+        F.count_if(F.col("_side") == 0).alias("ref_n"), F.count_if(F.col("_side") == 1).alias("cur_n")))
+    sizes = counts.groupBy("feature").agg(
+        F.sum("cur_n").alias("n_cur_all"),
+        F.sum(F.when(F.col("bin").isNull(), F.col("cur_n")).otherwise(0)).alias("n_out_of_range"))
     all_bins = edges.select("feature", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
     full = (all_bins.join(counts.where(F.col("bin").isNotNull()), ["feature", "bin"], "left")
                     .fillna(0, ["ref_n", "cur_n"]))

@@ -166,23 +166,28 @@ def ztest_table(df: DataFrame, threshold: float | str, score: str = "score",
 
 
 def _fisher_two_sided(xa: int, na: int, xb: int, nb: int) -> float:
-    """Two-sided Fisher exact p for the 2x2 table [[xa, na-xa], [xb, nb-xb]] via log-gamma."""
+    """Two-sided Fisher exact p for the 2x2 table [[xa, na-xa], [xb, nb-xb]].
+
+    Table weights relative to the mode follow from the ratio of neighbours and
+    are walked outward until they vanish: about 80 standard deviations of
+    steps, whatever the counts, without the digits that log-gamma loses.
+    """
     k = xa + xb
-    n = na + nb
     lo, hi = max(0, k - nb), min(k, na)
-
-    def lpmf(x):
-        return (math.lgamma(na + 1) - math.lgamma(x + 1) - math.lgamma(na - x + 1)
-                + math.lgamma(nb + 1) - math.lgamma(k - x + 1) - math.lgamma(nb - k + x + 1)
-                - math.lgamma(n + 1) + math.lgamma(k + 1) + math.lgamma(n - k + 1))
-    obs = lpmf(xa)
-    tol = math.log1p(1e-7)
-    total = 0.0
-    for x in range(lo, hi + 1):
-        lp = lpmf(x)
-        if lp <= obs + tol:
-            total += math.exp(lp)
-    return min(1.0, total)
+    mode = min(hi, max(lo, (k + 1) * (na + 1) // (na + nb + 2)))
+    weights = {mode: 1.0}
+    x, w = mode, 1.0
+    while x < hi and w > 1e-300:
+        w *= (na - x) * (k - x) / ((x + 1) * (nb - k + x + 1))
+        x += 1
+        weights[x] = w
+    x, w = mode, 1.0
+    while x > lo and w > 1e-300:
+        w *= x * (nb - k + x) / ((na - x + 1) * (k - x + 1))
+        x -= 1
+        weights[x] = w
+    seen = weights.get(xa, 0.0) * (1 + 1e-7)
+    return min(1.0, math.fsum(v for v in weights.values() if v <= seen) / math.fsum(weights.values()))
 
 
 def ztest_pvalues(z: DataFrame, tests: int = 4, alpha: float = 0.05) -> DataFrame:

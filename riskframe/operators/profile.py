@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from ..functions.prims import bin_index_fast, clip, exact_quantiles, long_form, quantile_array, round_dp, with_bin_index
+from ..functions.prims import (bin_index_fast, clip, counted_side, exact_quantiles, long_form, quantile_array, round_dp,
+                               with_bin_index)
+from ..session import materialize
 from .quality import pearson_expr
 
 MODEL_FEATURES = C.RAW_FEATURE_COLUMNS
@@ -169,14 +171,15 @@ def histogram(df: DataFrame, col: str, bins: int, group_col: str | None = None,
     g = [group_col] if group_col else []
     d = df.select(*g, x.alias("_x")).where(F.col("_x").isNotNull())
     rng = d.groupBy(*g).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    # one row per group: no broadcast hint (the group count is unbounded); AQE
-    # broadcasts it at runtime when its measured size is small.
-    j = d.join(rng, g) if g else d.crossJoin(F.broadcast(rng))
+    # one row per group: counted, so that a column of a few values does not shuffle all rows on it
+    rng = materialize(rng) if g else rng
+    side = counted_side(rng, rng.count(), 4) if g else F.broadcast(rng)
+    j = d.join(side, g) if g else d.crossJoin(side)
     width = (F.col("_hi") - F.col("_lo")) / bins
     raw = F.floor((F.col("_x") - F.col("_lo")) / width)
     b = F.when(width == 0, 0).when(F.col("_x") == F.col("_hi"), bins - 1).otherwise(F.least(raw, F.lit(bins - 1)))
     cnt = j.withColumn("bin", b.cast("long")).groupBy(*g, "bin").agg(F.count(F.lit(1)).alias("n"))
-    out = cnt.join(rng, g) if g else cnt.crossJoin(F.broadcast(rng))
+    out = cnt.join(side, g) if g else cnt.crossJoin(side)
     w = (F.col("_hi") - F.col("_lo")) / bins
     cols = [*g, "bin", (F.col("_lo") + F.col("bin") * w).alias("bin_lo"),
             (F.col("_lo") + (F.col("bin") + 1) * w).alias("bin_hi"), "n"]

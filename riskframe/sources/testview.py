@@ -34,7 +34,7 @@ def raw_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
           .groupBy("l_orderkey")
           .agg(F.count(F.lit(1)).alias("li_n"),
                F.avg("l_extendedprice").alias("li_avg_price"),
-               F.countDistinct("l_suppkey").alias("li_n_supp"),
+               F.size(F.collect_set("l_suppkey")).alias("li_n_supp"),
                F.count_if(F.col("l_returnflag") == "R").alias("li_n_r"),
                F.count_if(F.col("l_returnflag") == "A").alias("li_n_a"),
                F.count_if(F.col("l_linestatus") == "F").alias("li_n_f"),
