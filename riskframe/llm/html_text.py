@@ -17,10 +17,14 @@ no shuffle.
 
 Defined results: null and empty html give empty text; text outside any element
 is a block like others; unclosed and stray tags are repaired as browsers do for
-paragraphs, list items and table cells, and ignored otherwise; script, style,
-template and similar elements, comments and the head hold no text; repeated rows
-repeat; an empty table gives no rows and needs no table pages to train on;
-extra columns are ignored.
+paragraphs, list items and table cells, and ignored otherwise; comments and the
+elements of `_RAW` and `_HOLDERS` hold no text: with an end tag they reach to it,
+without one raw text reaches to the end of the page and any other of them to the
+end of the element around it (option and svg at most to the next block-level
+tag); a head ends where browsers end it, so its elements hold no text, and text
+or another element is of the body; formulas (math) are text without their
+annotations; repeated rows repeat; an empty table gives no rows and needs no
+table pages to train on; extra columns are ignored.
 """
 from __future__ import annotations
 
@@ -44,22 +48,27 @@ ROUNDS = 150
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*+)>""", re.S)
 _ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 _NAME = re.compile(r"[a-z]+")
-_SILENT = frozenset("script style template noscript textarea select option svg math iframe object canvas audio video title head".split())
+#: Elements without text of the page: up to their end tag whatever stands there, or with elements inside.
+_RAW = frozenset("script style textarea title iframe".split())
+_HOLDERS = frozenset("template noscript select option svg object canvas audio video annotation annotation-xml".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
                    "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
                    "thead tr ul label button".split())
 #: An opening tag ends these open ones, up to the nearest element that contains them.
-_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "optgroup": ("option",)}
 _HOLDS = frozenset("ul ol dl table menu".split())
+#: Unclosed ones end at any block-level tag.
+_SHORT_LIVED = frozenset(("option", "svg"))
+_NOSCRIPT = re.compile(r"<(/?)noscript(?=[\s/>])[^>]*>", re.I)
 
 
 class Node:
-    """An open element: its tag and the features of it and all above."""
-    __slots__ = ("tag", "features", "score", "linked")
+    """An open element: its tag and the features of it and all above; silent ones hold no text."""
+    __slots__ = ("tag", "features", "score", "linked", "silent")
 
-    def __init__(self, tag, features, score, linked):
-        self.tag, self.features, self.score, self.linked = tag, features, score, linked
+    def __init__(self, tag, features, score, linked, silent=False):
+        self.tag, self.features, self.score, self.linked, self.silent = tag, features, score, linked, silent
 
 
 def element_features(tag: str, attrs: str) -> tuple[str, ...]:
@@ -81,6 +90,52 @@ def text_features(text: str, linked: int, tag: str) -> tuple[str, ...]:
             f"own:{tag}", f"ends:{text[-1:] in '.!?:;…”»'}", f"comma:{',' in text}", f"mark:{text[:1] in '©@#|›»'}", "bias")
 
 
+def silent_ends(page: str) -> dict[int, int]:
+    """Where each element without text ends that has an end, by the end of its opening tag.
+
+    End tags belong to the nearest open element of their name, so one that was
+    left open does not take the end tag of a later one. Within svg and math `/>`
+    ends an element. Options are left out: they have no elements inside.
+    """
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    foreign = 0      # open svg and math
+    at, n = 0, len(page)
+    while m := _TAG.search(page, at):
+        at = m.end()
+        tag = m.group(2)
+        if not tag:
+            continue
+        tag = tag.lower()
+        if m.group(1):
+            if opened.get(tag):
+                ends[opened[tag].pop()] = at
+            if tag in ("svg", "math"):
+                foreign = max(0, foreign - 1)
+            continue
+        if tag in _BLOCK:
+            foreign = 0
+            continue
+        if tag in ("svg", "math"):
+            foreign += 1
+        if foreign and m.group(3).endswith("/"):
+            ends[at] = at
+            foreign -= tag in ("svg", "math")
+        elif tag == "title" and foreign:
+            opened.setdefault(tag, []).append(at)
+        elif tag in _RAW:
+            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
+            ends[at] = end.end() if end else n
+            at = ends[at]
+        elif tag == "noscript":
+            end = _NOSCRIPT.search(page, at)
+            if end and end.group(1):
+                ends[at] = at = end.end()
+        elif tag in _HOLDERS and tag != "option":
+            opened.setdefault(tag, []).append(at)
+    return ends
+
+
 def blocks(page: str, weigh=None) -> list[tuple[str, tuple | float, tuple | float]]:
     """(text, ancestor part, text part) of each leaf block.
 
@@ -95,6 +150,7 @@ def blocks(page: str, weigh=None) -> list[tuple[str, tuple | float, tuple | floa
     parts: list[str] = []
     linked = 0
     at, n = 0, len(page)
+    ends_at = silent_ends(page)
 
     def close() -> None:
         nonlocal parts, linked
@@ -108,7 +164,7 @@ def blocks(page: str, weigh=None) -> list[tuple[str, tuple | float, tuple | floa
     while at < n:
         m = _TAG.search(page, at)
         text = page[at:m.start()] if m else page[at:]
-        if text:
+        if text and not stack[-1].silent:
             parts.append(text)
             if stack[-1].linked:
                 linked += len(text)
@@ -127,36 +183,43 @@ def blocks(page: str, weigh=None) -> list[tuple[str, tuple | float, tuple | floa
                     stack.pop()
                 stack.pop()
             continue
-        if tag in _SILENT:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            if tag in _BLOCK or tag == "head":
-                close()
-            at = end.end() if end else n
+        if tag == "head":
+            close()
+            continue
+        silent = tag in _RAW or tag in _HOLDERS
+        if silent and at in ends_at:
+            at = ends_at[at]
             continue
         if tag == "br":
             parts.append(" ")
             continue
         if tag in _BLOCK:
             close()
+            while stack[-1].silent:
+                i = max(i for i in range(len(stack)) if not stack[i].silent) + 1
+                if stack[i].tag not in _SHORT_LIVED:
+                    break
+                del stack[i:]
             for i in range(len(stack) - 1, max(0, len(stack) - 64), -1):
                 if stack[i].tag == "p":
                     del stack[i:]
                     break
                 if stack[i].tag in _BLOCK:
                     break
-            ends = _ENDS.get(tag)
-            if ends:
-                for i in range(len(stack) - 1, max(0, len(stack) - 64), -1):
-                    if stack[i].tag in ends:
-                        del stack[i:]
-                        break
-                    if stack[i].tag in _HOLDS:
-                        break
-        if tag not in _VOID and not m.group(3).endswith("/"):
+        ends = _ENDS.get(tag)
+        if ends:
+            for i in range(len(stack) - 1, max(0, len(stack) - 64), -1):
+                if stack[i].tag in ends:
+                    del stack[i:]
+                    break
+                if stack[i].tag in _HOLDS:
+                    break
+        if tag not in _VOID and (silent or not m.group(3).endswith("/")):
             own = element_features(tag, m.group(3))
             top = stack[-1]
-            stack.append(Node(tag, top.features + own, 0.0, top.linked or tag == "a") if weigh is None
-                         else Node(tag, None, top.score + weigh(own), top.linked or tag == "a"))
+            silent = silent or top.silent
+            stack.append(Node(tag, top.features + own, 0.0, top.linked or tag == "a", silent) if weigh is None
+                         else Node(tag, None, top.score + weigh(own), top.linked or tag == "a", silent))
     close()
     return out
 

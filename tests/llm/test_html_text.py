@@ -69,3 +69,30 @@ def test_viterbi_is_the_best_path(model):
     def value(path):
         return s[2, path[0]] + sum(e * y for e, y in zip(scores, path)) + sum(s[a, b] for a, b in zip(path, path[1:]))
     assert tuple(model.viterbi(scores)) == max(itertools.product((0, 1), repeat=len(scores)), key=value)
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<html><head><title>t</title><body><article><p>Text</p></article>", ["Text"]),
+    ("<head><meta charset=x><title>t</title><style>a</style><p>Text</p></head>", ["Text"]),
+    ("<head><title>t</title>Plain words", ["Plain words"]),
+    ("<head><script>no</script></head><body>Text", ["Text"]),
+    ("<p>A <svg class='x'/>b</p><p>c</p>", ["A b", "c"]),
+    ("<p>A <svg><svg/><title/><path/></svg>b</p><p>c</p>", ["A b", "c"]),
+    ("<div><svg><title>no</title><g></div><p>Text</p>", ["Text"]),
+    ("<article><svg><path d='x'><p>Text</p></article>", ["Text"]),
+    ("<svg><g><svg>no</svg>no</g></svg><p>Text</p>", ["Text"]),
+    ("<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> holds.</p>", ["So x=1 holds."]),
+    ("<p>A<math/>b</p>", ["Ab"]),
+    ("<datalist><option>no<option>no</datalist><p>Text</p>", ["Text"]),
+    ("<option>no<option>no<p>Text</p>", ["Text"]),
+    ("<p>A<option>no</option>b", ["Ab"]),
+    ("<select><option>no<option>no</select><p>Text</p>", ["Text"]),
+    ("<noscript><iframe src=x></noscript><p>Text</p>", ["Text"]),
+    ("<div><noscript>no</div><p>Text</p><noscript>no</noscript>", ["Text"]),
+    ("<p>a</p><script>no <p>no</p>", ["a"]),
+    ("<script>no</script foo><p>Text</p>", ["Text"]),
+    *((f"<div>a<{x} id='y'>no<b>no</b></div><p>Text</p><{x}>no</{x}><p>more</p>", ["a", "Text", "more"])
+      for x in ("object", "video", "audio", "canvas", "noscript", "select", "template")),
+])
+def test_elements_without_text_reach_no_further_than_they_do(page, want):
+    assert [t for t, _, _ in H.blocks(page)] == want
