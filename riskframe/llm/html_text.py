@@ -146,6 +146,9 @@ def blocks(page: str, weigh=None) -> list[tuple[str, tuple | float, tuple | floa
     zero = () if weigh is None else 0.0
     put = (lambda x: x) if weigh is None else weigh
     stack = [Node("", zero, zero, False)]
+    where: dict[str, list[int]] = {}      # places in the stack of each tag,
+    block_at = [0]                        # of block-level elements,
+    quiet = 0                             # and of the lowest silent one (0: none)
     out: list = []
     parts: list[str] = []
     linked = 0
@@ -157,10 +160,24 @@ def blocks(page: str, weigh=None) -> list[tuple[str, tuple | float, tuple | floa
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                node = next((x for x in reversed(stack) if x.tag in _BLOCK), stack[0])
-                out.append((text, stack[-1].features if weigh is None else stack[-1].score, put(text_features(text, linked, node.tag))))
+                out.append((text, stack[-1].features if weigh is None else stack[-1].score,
+                            put(text_features(text, linked, stack[block_at[-1]].tag))))
             parts, linked = [], 0
 
+    def cut(i: int) -> None:
+        """Ends the open element at place i and all in it."""
+        nonlocal quiet
+        for x in stack[i:]:
+            where[x.tag].pop()
+        del stack[i:]
+        while block_at[-1] >= i:
+            block_at.pop()
+        if quiet >= i:
+            quiet = 0
+
+    def last(tags) -> int:
+        return max((where[t][-1] for t in tags if where.get(t)), default=0)
+
     while at < n:
         m = _TAG.search(page, at)
         text = page[at:m.start()] if m else page[at:]
@@ -176,12 +193,10 @@ def blocks(page: str, weigh=None) -> list[tuple[str, tuple | float, tuple | floa
             continue
         tag = tag.lower()
         if m.group(1):
-            if any(x.tag == tag for x in reversed(stack[-64:])):
+            if where.get(tag):
                 if tag in _BLOCK:
                     close()
-                while stack[-1].tag != tag:
-                    stack.pop()
-                stack.pop()
+                cut(where[tag][-1])
             continue
         if tag == "head":
             close()
@@ -195,28 +210,21 @@ def blocks(page: str, weigh=None) -> list[tuple[str, tuple | float, tuple | floa
             continue
         if tag in _BLOCK:
             close()
-            while stack[-1].silent:
-                i = max(i for i in range(len(stack)) if not stack[i].silent) + 1
-                if stack[i].tag not in _SHORT_LIVED:
-                    break
-                del stack[i:]
-            for i in range(len(stack) - 1, max(0, len(stack) - 64), -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag in _BLOCK:
-                    break
+            if quiet and stack[quiet].tag in _SHORT_LIVED:
+                cut(quiet)
+            if stack[block_at[-1]].tag == "p":
+                cut(block_at[-1])
         ends = _ENDS.get(tag)
-        if ends:
-            for i in range(len(stack) - 1, max(0, len(stack) - 64), -1):
-                if stack[i].tag in ends:
-                    del stack[i:]
-                    break
-                if stack[i].tag in _HOLDS:
-                    break
+        if ends and (i := last(ends)) > last(_HOLDS):
+            cut(i)
         if tag not in _VOID and (silent or not m.group(3).endswith("/")):
             own = element_features(tag, m.group(3))
             top = stack[-1]
+            if silent and not quiet:
+                quiet = len(stack)
+            where.setdefault(tag, []).append(len(stack))
+            if tag in _BLOCK:
+                block_at.append(len(stack))
             silent = silent or top.silent
             stack.append(Node(tag, top.features + own, 0.0, top.linked or tag == "a", silent) if weigh is None
                          else Node(tag, None, top.score + weigh(own), top.linked or tag == "a", silent))

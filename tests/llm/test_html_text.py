@@ -96,3 +96,11 @@ def test_viterbi_is_the_best_path(model):
 ])
 def test_elements_without_text_reach_no_further_than_they_do(page, want):
     assert [t for t, _, _ in H.blocks(page)] == want
+
+
+def test_end_tags_find_their_element_at_any_depth():
+    page = "<nav>" + "<font size=1>menu" * 100 + "</nav><article><p>" + "<a name=x>" * 100 + "<p>Text</p></article><ul><li>" + "<b>" * 100 + "<li>end</ul>"
+    got = {t: a for t, a, _ in H.blocks(page)}
+    assert got["menu" * 100][0] == "t:nav" and got["Text"] == ("t:article", "t:p") and got["end"] == ("t:ul", "t:li")
+    many = "<font>".join(f"<p>{i}</p>" for i in range(20000))      # all stay open
+    assert len(H.blocks(many, lambda f: 0.0)) == 20000
