@@ -4,6 +4,10 @@ Per-borrower windows are the skew hazard here: a single borrower (or user)
 may own a large share of all rows. Every operator therefore works in two
 levels: a window inside (key, time bucket) plus small per-bucket offsets
 carried across buckets, so no task ever holds a whole key.
+
+Nulls are as in SQL windows: rows with a null key are one key, and null times
+(and buckets) come last. The rows and the offsets of a (key, bucket) meet by a
+struct of both, which is not null and equal to itself when its fields are null.
 """
 from __future__ import annotations
 
@@ -24,7 +28,7 @@ def prior_history(df: DataFrame, key: str, order_cols: Sequence[str],
     totals of the key's earlier buckets, which keeps every task bounded by
     one bucket of one key. Without it a plain per-key window is used.
     """
-    order = [F.col(c) for c in order_cols]
+    order = [F.col(c).asc_nulls_last() for c in order_cols]
     if bucket is None:
         w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return df.select(
@@ -33,20 +37,20 @@ def prior_history(df: DataFrame, key: str, order_cols: Sequence[str],
               for name, src in outcomes.items()])
 
     srcs = list(outcomes.items())
-    b = df.withColumn("_hb", bucket)
-    w_in = Window.partitionBy(key, "_hb").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    b = df.withColumn("_g", F.struct(F.col(key).alias("k"), bucket.alias("b")))
+    w_in = Window.partitionBy("_g").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = b.select(
         "*", F.count(F.lit(1)).over(w_in).alias("_n_loc"),
         *[F.coalesce(F.sum(src).over(w_in), F.lit(0)).alias(f"_s{i}_loc") for i, (_, src) in enumerate(srcs)])
     # bucket totals come from the rows themselves (map-side partial sums), not from the windowed rows
-    per_bucket = b.groupBy(key, "_hb").agg(
+    per_bucket = b.groupBy("_g").agg(
         F.count(F.lit(1)).alias("_n_bk"),
         *[F.coalesce(F.sum(src), F.lit(0)).alias(f"_s{i}_bk") for i, (_, src) in enumerate(srcs)])
-    w_b = Window.partitionBy(key).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
+    w_b = Window.partitionBy("_g.k").orderBy(F.col("_g.b").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
-        key, "_hb", F.coalesce(F.sum("_n_bk").over(w_b), F.lit(0)).alias("_n_off"),
+        "_g", F.coalesce(F.sum("_n_bk").over(w_b), F.lit(0)).alias("_n_off"),
         *[F.coalesce(F.sum(f"_s{i}_bk").over(w_b), F.lit(0)).alias(f"_s{i}_off") for i in range(len(srcs))])
-    j = local.join(offsets, [key, "_hb"])
+    j = local.join(offsets, "_g")
     return j.select(
         *df.columns,
         (F.col("_n_loc") + F.col("_n_off")).cast("int").alias(count_name),
@@ -62,20 +66,21 @@ def episode_gaps(df: DataFrame, key: str = "cust_id", date_col: str = "draw_date
     of a bucket takes the last date of the key's nearest earlier non-empty
     bucket (a per-bucket max carried forward over a small table).
     """
-    order = [F.col(date_col), F.col(tie)]
+    order = [F.col(date_col).asc_nulls_last(), F.col(tie).asc_nulls_last()]
     if bucket is None:
         w = Window.partitionBy(key).orderBy(*order)
         prev = F.lag(date_col).over(w)
         return df.withColumn("prev_date", prev).withColumn(
             "gap_days", F.datediff(F.col(date_col), F.col("prev_date")))
-    b = df.withColumn("_hb", bucket)
-    w_in = Window.partitionBy(key, "_hb").orderBy(*order)
-    local = b.withColumn("_prev_loc", F.lag(date_col).over(w_in))
-    last = b.groupBy(key, "_hb").agg(F.max(date_col).alias("_last"))
-    w_b = Window.partitionBy(key).orderBy("_hb")
-    carry = last.select(key, "_hb", F.lag("_last").over(w_b).alias("_prev_bk"))
-    j = local.join(carry, [key, "_hb"])
-    return j.select(*df.columns, F.coalesce("_prev_loc", "_prev_bk").alias("prev_date")).withColumn(
+    b = df.withColumn("_g", F.struct(F.col(key).alias("k"), bucket.alias("b")))
+    w_in = Window.partitionBy("_g").orderBy(*order)
+    local = b.select("*", F.lag(date_col).over(w_in).alias("_prev_loc"), F.row_number().over(w_in).alias("_at"))
+    last = b.groupBy("_g").agg(F.max(date_col).alias("_last"))
+    w_b = Window.partitionBy("_g.k").orderBy(F.col("_g.b").asc_nulls_last())
+    carry = last.select("_g", F.lag("_last").over(w_b).alias("_prev_bk"))
+    j = local.join(carry, "_g")
+    prev = F.when(F.col("_at") == 1, F.col("_prev_bk")).otherwise(F.col("_prev_loc"))
+    return j.select(*df.columns, prev.alias("prev_date")).withColumn(
         "gap_days", F.datediff(F.col(date_col), F.col("prev_date")))
 
 
@@ -127,7 +132,8 @@ def activity_window(events: DataFrame, window_seconds: int = 30 * 86400, user: s
     their own.
     Defined results: null and NaN values count as 0 in the sum, null types are
     events but no type; values of 1e24 or more (infinities too) raise, because
-    the exact sum could not hold them.
+    the exact sum could not hold them; an event without a user or a time has no
+    earlier events and is none for others.
     """
     types = list(types)
     secs = F.unix_micros(F.col(ts).cast("timestamp"))
@@ -143,7 +149,9 @@ def activity_window(events: DataFrame, window_seconds: int = 30 * 86400, user: s
         return F.floor(F.col(time) / (bucket_seconds * 1_000_000))
 
     # `_w_d` leaves at the end of the window or at the type's next event, whichever comes first
-    base = _next_of_type(base, bucket("_t")).withColumn("_cut", F.coalesce(F.col("_next") < F.col("_t") + w_us, F.lit(False)))
+    known = F.col("_u").isNotNull() & F.col("_t").isNotNull()
+    rest = base.where(~known)
+    base = _next_of_type(base.where(known), bucket("_t")).withColumn("_cut", F.coalesce(F.col("_next") < F.col("_t") + w_us, F.lit(False)))
     is_type = F.col("_ty").isNotNull().cast("int")
     weights = {"_w_n": F.lit(1)} | {f"_w_t{i}": F.coalesce((F.col("_ty") == t).cast("int"), F.lit(0))
                                     for i, t in enumerate(types)}
@@ -161,6 +169,8 @@ def activity_window(events: DataFrame, window_seconds: int = 30 * 86400, user: s
     out = prior_history(stream, key="_u", order_cols=["_time", "_kind", "_eid"],
                         outcomes={f"s{k}": k for k in zero}, count_name="_rows", bucket=bucket("_time"))
     a = out.where(F.col("_kind") == 0)
+    cols = ["_eid", "_u", *[f"s{k}" for k in zero]]
+    a = a.select(*cols).unionByName(rest.select("_eid", "_u", *[v.alias(f"s{k}") for k, v in zero.items()]))
     type_cols = [F.col(f"s_w_t{i}").cast("long").alias(f"n_{t}_30d") for i, t in enumerate(types)]
     return a.select(F.col("_eid").alias(event_id), F.col("_u").alias(user),
                     F.col("s_w_n").cast("long").alias("n_events_30d"), *type_cols,

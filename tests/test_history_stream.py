@@ -76,6 +76,40 @@ def test_activity_window_many_types_brute_force(spark):
         assert got[i] == len({types[j] for j in np.nonzero((users == u) & (ts < t) & (ts >= t - w))[0]})
 
 
+def test_null_keys_and_times_stay(spark):
+    import duckdb
+    rng = np.random.default_rng(11)
+    n = 400
+    keys = [None if x == 0 else int(x) for x in rng.integers(0, 5, n)]
+    days = [None if x < 9 else int(x) for x in rng.integers(0, 90, n)]
+    rows = [(i, k, d, int(rng.integers(0, 2))) for i, (k, d) in enumerate(zip(keys, days))]
+    df = spark.createDataFrame(rows, "loan_id long, cust_id long, d int, y int").withColumn("draw_date", F.date_add(F.lit("2020-01-01"), F.col("d")))
+    ep = df.toPandas()      # noqa: F841 (read by DuckDB)
+    ep["draw_date"] = ep["draw_date"].astype("datetime64[s]")
+    ep["cust_id"] = ep["cust_id"].astype("Int64")
+    w = "OVER (PARTITION BY cust_id ORDER BY CAST(draw_date AS DATE), loan_id"
+    prev = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    want = duckdb.sql(f"SELECT loan_id, cust_id, COUNT(*) {w} {prev}, COALESCE(SUM(y) {w} {prev}, 0), CAST(LAG(draw_date) {w}) AS DATE) FROM ep").fetchall()
+    for bucket in (None, F.col("draw_date"), F.trunc("draw_date", "month")):
+        h = history.prior_history(df, "cust_id", ["draw_date", "loan_id"], {"s": "y"}, "cnt", bucket=bucket)
+        g = history.episode_gaps(df, bucket=bucket).select("loan_id", "prev_date")
+        got = h.join(g, "loan_id").select("loan_id", "cust_id", "cnt", "s", "prev_date").collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+    gaps = [(r.draw_date - p[4]).days for r, p in zip(df.orderBy("loan_id").collect(), sorted(want)) if r.draw_date and p[4]]
+    r = history.episode_gap_check(df, 2, bucket=F.col("draw_date")).first()
+    assert tuple(r) == (len(gaps), sum(x < 2 for x in gaps), min(gaps), gaps.count(0))
+
+
+def test_activity_window_keeps_events_without_user_or_time(spark):
+    rows = [(1, 1, 0, "a", 1.0), (2, None, 5, "a", 2.0), (3, None, 9, "a", 2.0), (4, 1, None, "a", 4.0),
+            (5, None, None, None, None), (6, 1, 10, "b", 8.0)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, sec long, event_type string, value double") \
+        .withColumn("ts", F.timestamp_seconds("sec"))
+    got = {tuple(r) for r in history.activity_window(df, types=["a"]).collect()}
+    none = (0, 0, 0, 0.0)
+    assert got == {(1, 1, *none), (2, None, *none), (3, None, *none), (4, 1, *none), (5, None, *none), (6, 1, 1, 1, 1, 1.0)}
+
+
 def test_psi_stream_equals_batch(spark):
     rng = np.random.default_rng(9)
     n = 600
