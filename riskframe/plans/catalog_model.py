@@ -16,7 +16,7 @@ from .catalog_scores import DEP, SC, scored
 from .pipeline import train_pipeline
 from .registry import normalize, register
 
-GBT_QUERY = C.GBTParams(max_iter=20, max_depth=5)
+GBT_QUERY = C.GBTParams()      # the package's parameters; rounds are stopped by the validation score
 TRAIN_CFG = C.TrainingConfig(gbt=GBT_QUERY)
 SCORECARD = {"monthly_txn_count": -0.12, "utilization_rate": 1.5, "crb_flagged": 0.4}
 
@@ -236,4 +236,4 @@ def q_reason_codes_gbt(spark, sf):
     from ..operators.explain import gbt_reason_codes
     fitted = model.train_gbt(feats(spark, sf, "train"), feats(spark, sf, "val"), GBT_QUERY)
     gbt = fitted.model.stages[-1]
-    return gbt_reason_codes(feats(spark, sf, "oot"), gbt, fitted.feature_cols, fills=fitted.fills)
+    return gbt_reason_codes(feats(spark, sf), gbt, fitted.feature_cols, fills=fitted.fills)

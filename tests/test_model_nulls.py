@@ -43,3 +43,20 @@ def test_scorecard_with_missing_values_survives_saving(spark):
     a = [r.raw_score for r in model.raw_scores(m, df).orderBy("loan_id").collect()]
     b = [r.raw_score for r in model.raw_scores(back, df).orderBy("loan_id").collect()]
     assert a == b and len(a) == 400 and all(0 < x < 1 for x in a)
+
+
+def test_registered_model_queries_use_the_package_parameters_and_all_episodes(spark, monkeypatch):
+    import dataclasses
+    from riskframe import config as C
+    from riskframe.plans import catalog_model as M
+    asked, fit = [], M.model.train_gbt
+
+    def small(train, val, params=C.GBTParams(), *a, **k):
+        asked.append(params)
+        return fit(train, val, dataclasses.replace(params, max_iter=2, max_depth=2), *a, **k)
+
+    monkeypatch.setattr(M.model, "train_gbt", small)
+    sf = "/root/testdata/sf0.001"
+    rows = M.q_reason_codes_gbt(spark, sf).select("loan_id").collect()
+    assert sorted(rows) == sorted(M.ep(spark, sf).select("loan_id").collect())
+    assert asked == [C.GBTParams()] and M.TRAIN_CFG.gbt == C.GBTParams()
