@@ -65,7 +65,7 @@ MORE_RULES = (
     Rule("private_key", 1, r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]{0,20}PRIVATE KEY-----)?",
          0, 0, 1, "-----BEGIN "),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0, 1, "eyJ"),
-    Rule("url_login", 1, r"[a-z][a-z0-9+.-]{1,15}://[^\s:/@]{1,64}:[^\s:/@]{1,128}@", 0, 0, 1, "://"),
+    Rule("url_login", 2, r"[a-z][a-z0-9+.-]{1,15}://[^\s:/@]*+:[^\s:/@]++@", 0, 0, 1, "://"),
 )
 RULES = BASE_RULES + MORE_RULES
 _BASE = [r.kind for r in BASE_RULES]

@@ -195,3 +195,11 @@ def test_ledger_scans_only_unseen_pairs(spark):
     assert [out[i].n_assign for i in (1, 2, 3, 4)] == [1, 1, 0, 0]
     old = {r.doc_id: r for r in ledger.report(later, secrets.BASE_RULES).collect()}
     assert [old[i].n_assign for i in (1, 2, 3, 4)] == [1, 1, 0, 1]
+
+
+def test_url_login_of_any_length():
+    find = next(r for r in secrets.RULES if r.kind == "url_login").finder()
+    for url in ("redis://:password@", f"https://oauth2:{'x' * 5000}@", f"https://{'u' * 500}:pw@"):
+        assert find(f"see {url}host") == [(4, 4 + len(url))]
+    assert find("http://user@host http://a:80/x@ http://:@h") == []
+    assert find("a://" * 50000 + "b" * 200000) == []
