@@ -37,7 +37,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import small_batches, written
@@ -205,7 +205,7 @@ def plausible(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray) ->
 # Spark jobs.
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n (set size), key (digest of the set; null without words) and sketch of every row."""
+    """doc_id, n (set size), key (digest of the set; null without words), sketch and text digest of every row."""
     small_batches(docs.sparkSession)
 
     def rows(batches):
@@ -218,9 +218,15 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                 keys[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                 sk[i] = r.tobytes()
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                                              pa.array(keys, pa.binary()), pa.array(sk, pa.binary())], names=["doc_id", "n", "key", "sketch"])
+                                              pa.array(keys, pa.binary()), pa.array(sk, pa.binary()), b.column("digest")],
+                                             names=["doc_id", "n", "key", "sketch", "digest"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, "doc_id long, n long, key binary, sketch binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_digest()).mapInArrow(
+        rows, "doc_id long, n long, key binary, sketch binary, digest binary")
+
+
+def text_digest() -> Column:
+    return F.unhex(F.sha2("text", 256)).alias("digest")
 
 
 def _registers(column: pa.Array) -> np.ndarray:
@@ -375,6 +381,11 @@ def hidden_links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, labels
 
 def near_components(docs: DataFrame, words: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of `docs` (doc_id, text)."""
+    return _labelled(docs, words).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _labelled(docs: DataFrame, words: int) -> DataFrame:
+    """`near_components` with the text digest of each row and the label of its component (null without words)."""
     sk = written(sketches(docs, words), "sketches")
     classes = written(sk.where("key is not null and doc_id is not null").groupBy("key")
                       .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
@@ -398,24 +409,29 @@ def near_components(docs: DataFrame, words: int = 5) -> DataFrame:
             labels = joined(labels, links)
     named = classes.join(labels.withColumnRenamed("v", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    by_key = named.select("key", "label").join(least, "label").select("key", "component_id")
-    return (sk.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
+    by_key = named.select("key", "label").join(least, "label").select("key", "component_id", "label")
+    return (sk.select("doc_id", "digest", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
             .join(by_key, "key", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+            .select("doc_id", "n_shingles", "digest", "label", F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.expr("doc_id <=> component_id")))
 
 
 def keep_one(docs: DataFrame, words: int = 5) -> DataFrame:
     """`docs` with one row of each component; all columns as they were.
 
-    The row with the component's smallest doc_id stays; of rows that repeat that
-    doc_id the first by text. Rows without a doc_id all stay.
+    The row with the component's smallest doc_id stays; of the component's rows
+    that repeat that doc_id the first by text. Rows without words are components
+    of their own, and equal ones of one doc_id count once. Rows without a doc_id
+    all stay.
     """
     from pyspark.sql.window import Window
-    kept = near_components(docs, words).where("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
+    kept = (_labelled(docs, words).where("kept and doc_id is not null")
+            .select(F.col("doc_id").alias("__id"), F.coalesce("digest", F.lit(b"")).alias("__x"), F.col("label").alias("__l")).distinct())
     named = docs.withColumn("__d", F.col("doc_id").cast("long"))
-    own = named.where("__d is not null").join(kept, F.col("__d") == F.col("__id"), "left_semi")
-    one = own.withColumn("__r", F.row_number().over(Window.partitionBy("__d").orderBy("text"))).where("__r = 1")
+    own = (named.where("__d is not null").withColumn("__t", F.coalesce(text_digest(), F.lit(b"")))
+           .join(kept, (F.col("__d") == F.col("__id")) & (F.col("__t") == F.col("__x"))))
+    part = Window.partitionBy("__d", "__l", F.when(F.col("__l").isNull(), F.col("__t"))).orderBy("text")
+    one = own.withColumn("__r", F.row_number().over(part)).where("__r = 1")
     return one.select(*docs.columns).union(named.where("__d is null").select(*docs.columns))
 
 

@@ -48,6 +48,16 @@ def test_keep_one(odd_docs, documents):
     assert ids.count(None) == 2
 
 
+def test_keep_one_judges_texts_that_share_a_doc_id(spark):
+    near = " ".join(f"w{i}" for i in range(100))
+    rows = [(1, near), (2, near + " end"), (2, "a unique text of words that no other row of this table has"), (3, None), (3, None), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(repr, map(tuple, N.keep_one(docs).collect())))
+    assert got == sorted(map(repr, [rows[0], rows[2], rows[3], rows[5]]))
+    other = spark.createDataFrame([(1, near), (1, rows[2][1]), (2, near + " end")], "doc_id long, text string")
+    assert {tuple(r) for r in N.keep_one(other).collect()} == {(1, near), (1, rows[2][1])}
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 2**63, 200_000, dtype=np.uint64)
