@@ -1,7 +1,9 @@
 """The registered queries opN_<name>: each applies one operator to its whole table."""
 from __future__ import annotations
 
-from riskframe.llm import bpe, decontaminate, html_text, line_dedup, neardup, quality, secrets, suffix_dedup, token_counts, warc
+from riskframe.llm import (
+    bpe, decontaminate, filter_audit, html_text, line_dedup, neardup, quality, secrets, source_divergence, suffix_dedup, token_counts,
+    topk_search, warc)
 from riskframe.llm.common import table
 
 
@@ -45,8 +47,22 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_topk_search(spark, sf_dir):
+    return topk_search.search_table(table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark, sf_dir):
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_dedup, op2_suffix_dedup, op3_token_counts, op4_warc, op5_secret_scan, op6_line_dedup, op7_quality_rules,
-    op8_bpe_roundtrip, op9_html_text, op10_decontaminate)}
+    op8_bpe_roundtrip, op9_html_text, op10_decontaminate, op11_filter_audit, op12_topk_search, op13_source_divergence)}
 #: DuckDB SQL where the result has a SQL form.
-ORACLE_SQL = {"op1_near_dedup": neardup.ORACLE, "op4_warc": warc.ORACLE, "op6_line_dedup": line_dedup.ORACLE}
+ORACLE_SQL = {"op1_near_dedup": neardup.ORACLE, "op4_warc": warc.ORACLE, "op6_line_dedup": line_dedup.ORACLE,
+              "op11_filter_audit": filter_audit.ORACLE, "op12_topk_search": topk_search.ORACLE,
+              "op13_source_divergence": source_divergence.ORACLE}
