@@ -190,7 +190,8 @@ class GBTParams:
     min_instances_per_node: int = 30
     feature_subset: str = "0.8"
     subsampling_rate: float = 0.8
-    max_iter: int = 200
+    max_iter: int = 1000
+    patience: int = 50
     max_bins: int = 64
     seed: int = RANDOM_STATE
 

@@ -21,36 +21,54 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import scratch_path
 
 
 def extract_trees(gbt_model) -> tuple[list[dict], list[float]]:
-    """Flatten an MLlib GBT classification model into node arrays (driver side, model-sized)."""
+    """Node arrays of an MLlib GBT classification model (model-sized), read from its saved node table.
+
+    One save and one read, whatever the number of nodes. Node ids are numbered
+    in pre-order within a tree, the root first; leaves have feature -1.
+    """
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, "trees")
+    gbt_model.write().overwrite().save(path)
+    nodes = spark.read.parquet(f"{path}/data").select(
+        "treeID", F.col("nodeData.id").alias("id"), F.col("nodeData.prediction").alias("value"), F.col("nodeData.leftChild").alias("left"),
+        F.col("nodeData.rightChild").alias("right"), F.col("nodeData.split.featureIndex").alias("feature"),
+        F.col("nodeData.split.leftCategoriesOrThreshold").alias("cut"), F.col("nodeData.impurityStats")[0].alias("cover")).collect()
+    by_tree: dict[int, list] = {}
+    for r in sorted(nodes, key=lambda r: (r.treeID, r.id)):
+        by_tree.setdefault(r.treeID, []).append(r)
     trees = []
-    for jt in gbt_model._java_obj.trees():
-        feat, thr, left, right, val, cover = [], [], [], [], [], []
-
-        def walk(node) -> int:
-            i = len(feat)
-            feat.append(-1); thr.append(0.0); left.append(-1); right.append(-1)
-            val.append(float(node.prediction())); cover.append(float(node.impurityStats().count()))
-            if node.getClass().getSimpleName() == "InternalNode":
-                sp = node.split()
-                feat[i] = int(sp.featureIndex())
-                thr[i] = float(sp.threshold())
-                left[i] = walk(node.leftChild())
-                right[i] = walk(node.rightChild())
-            return i
-        walk(jt.rootNode())
-        trees.append({k: np.array(v) for k, v in
-                      (("feature", feat), ("threshold", thr), ("left", left), ("right", right),
-                       ("value", val), ("cover", cover))})
+    for t in sorted(by_tree):
+        rows = by_tree[t]
+        inner = [r.left >= 0 for r in rows]
+        trees.append({
+            "feature": np.array([r.feature if i else -1 for r, i in zip(rows, inner)]),
+            "threshold": np.array([r.cut[0] if i else 0.0 for r, i in zip(rows, inner)]),
+            "left": np.array([r.left if i else -1 for r, i in zip(rows, inner)]),
+            "right": np.array([r.right if i else -1 for r, i in zip(rows, inner)]),
+            "value": np.array([float(r.value) for r in rows]), "cover": np.array([float(r.cover) for r in rows])})
     return trees, [float(w) for w in gbt_model.treeWeights]
 
 
+def tree_values(x: np.ndarray, tree: dict) -> np.ndarray:
+    """Prediction of one regression tree for every row, level by level."""
+    at = np.zeros(len(x), dtype=np.int64)
+    rows = np.arange(len(x))
+    feature = tree["feature"]
+    while (inner := feature[at] >= 0).any():
+        i = at[inner]
+        left = x[rows[inner], feature[i]] <= tree["threshold"][i]
+        at[inner] = np.where(left, tree["left"][i], tree["right"][i])
+    return tree["value"][at]
+
+
 def _extend(path, pz, po, pi):
     """EXTEND: append (feature pi, zero fraction pz, one fractions po) and update weights."""
     d, z, o, w = path

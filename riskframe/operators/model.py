@@ -1,10 +1,9 @@
 """Model training, calibration and batch scoring on Spark MLlib (M1-M4, M6).
 
 * GBT (M1): MLlib's boosted trees replace the reference's leaf-wise booster
-  (parameter map in SURVEY 4.3). MLlib has no patience-based early stopping,
-  so the model is fitted with a fixed number of rounds, the validation loss of
-  every prefix is computed in one pass (`evaluateEachIteration`), and the
-  model is refitted with the best prefix length (same seed -> same trees).
+  (parameter map in SURVEY 4.3). MLlib has no patience, so rounds are fitted in
+  blocks of growing length until the best validation AUC lies `patience` rounds
+  back; the ensemble is then cut after its best round (same seed -> same trees).
 * Isotonic calibration (M3) is fitted on the validation split's distinct-score
   table (K4) with the count as weight -- identical to a fit on raw rows, but
   the fit input is at most the number of distinct scores.
@@ -13,19 +12,21 @@
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.prims import score_hist
+from ..functions.prims import counted_side, score_hist
 from ..session import materialize, path_exists
 
 
@@ -59,6 +60,10 @@ def filler(fills: dict[str, float]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {cols} FROM __THIS__")
 
 
+#: Training rows per partition while trees are grown.
+ROWS_PER_PARTITION = 50_000
+
+
 @dataclass
 class FittedModel:
     model: PipelineModel
@@ -68,60 +73,156 @@ class FittedModel:
     fills: dict[str, float]
 
 
-def prefix_auc(gbt_model, val_vectors: DataFrame) -> list[float]:
-    """Validation AUC of every tree prefix (1..n) in one plan.
+#: Cells per prefix of the margin grid; they only bound what is resolved row by row.
+MARGIN_CELLS = 16_384
+
+
+def _margins(vectors: DataFrame, gbt_model, out: str, emit) -> DataFrame:
+    """Runs `emit(margins, labels)` on Arrow batches; margins has a column per tree prefix, as running sums of one pass."""
+    from .explain import extract_trees, tree_values
+    shared = vectors.sparkSession.sparkContext.broadcast(extract_trees(gbt_model))      # model-sized
+
+    def rows(batches):
+        trees, weights = shared.value
+        for b in batches:
+            if b.num_rows:
+                x = b.column("x").flatten().to_numpy().reshape(b.num_rows, -1)
+                terms = np.stack([w * tree_values(x, t) for t, w in zip(trees, weights)], axis=1)
+                yield from emit(np.cumsum(terms, axis=1), b.column("y").to_numpy())
+
+    return vectors.select(vector_to_array("features").alias("x"), F.col("label").cast("long").alias("y")).mapInArrow(rows, out)
 
-    Each tree's prediction is added as a column with the public per-tree
-    `transform` (JVM-side, one pass); prefix margins are cumulative weighted
-    sums; the (prefix, margin, label) long form goes through one grouped AUC.
+
+def _grid_cell(margins: np.ndarray, low: np.ndarray, width: np.ndarray, n_cells: int) -> np.ndarray:
+    return np.clip(((margins - low) / width).astype(np.int64), 0, n_cells - 1)
+
+
+def prefix_auc(gbt_model, val_vectors: DataFrame, only_best: bool = False, n_cells: int = MARGIN_CELLS) -> list[float]:
+    """Validation AUC of every tree prefix (1..n).
+
+    Pass 1 adds up positives and negatives per prefix and cell of a grid over the
+    prefix's possible margins (its leaves bound them), at most `n_cells` rows per
+    prefix and task. Pairs of different cells are then ordered; pairs inside a cell
+    leave the AUC between two bounds. Pass 2 sends the rows of cells that hold both
+    classes, for prefixes whose bounds are apart, and ranks them inside their cell.
+    With `only_best`, pass 2 takes only prefixes that may be the best by their
+    bounds: those and the maximum are exact, others are the middle of their bounds.
+    Missing a class, every AUC is NaN.
     """
-    from .metrics import roc_auc
-    trees, weights = gbt_model.trees, gbt_model.treeWeights
-    d = val_vectors.select("features", "label")
-    for i, t in enumerate(trees):
-        d = t.copy().setFeaturesCol("features").setPredictionCol(f"_p{i}").transform(d)
-    acc, margins = None, []
-    for i, w in enumerate(weights):
-        term = F.col(f"_p{i}") * float(w)
-        acc = term if acc is None else acc + term
-        margins.append(F.struct(F.lit(i + 1).alias("k"), acc.alias("m")))
-    longf = d.select("label", F.explode(F.array(*margins)).alias("s")).select("label", "s.k", "s.m")
-    a = roc_auc(longf, score="m", label="label", group_cols=["k"]).collect()
-    by_k = {r.k: (r.auc if r.auc is not None else float("nan")) for r in a}
-    return [by_k[k] for k in range(1, len(trees) + 1)]
+    from .explain import extract_trees
+    trees, weights = extract_trees(gbt_model)
+    low = np.cumsum([min(w * v for v in t["value"][t["feature"] < 0]) for t, w in zip(trees, weights)])
+    high = np.cumsum([max(w * v for v in t["value"][t["feature"] < 0]) for t, w in zip(trees, weights)])
+    width = np.maximum(high - low, 1e-300) / n_cells
+    n = len(trees)
+
+    def cells(m, y):
+        at = _grid_cell(m, low, width, n_cells) + np.arange(n) * n_cells
+        own, where = np.unique(at, return_inverse=True)
+        pos = np.bincount(where.ravel(), np.repeat(y, n), len(own)).astype(np.int64)
+        all_ = np.bincount(where.ravel(), minlength=len(own))
+        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(pos), pa.array(all_ - pos)], ["cell", "pos", "neg"])
+
+    grid = materialize(_margins(val_vectors, gbt_model, "cell long, pos long, neg long", cells)
+                       .groupBy("cell").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+                       .withColumn("k", F.expr(f"CAST(cell div {n_cells} AS INT)")))
+    w = Window.partitionBy("k").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)     # n_cells rows at most
+    sums = (grid.withColumn("before", F.coalesce(F.sum("neg").over(w), F.lit(0)))
+            .groupBy("k").agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
+                              F.sum(F.col("pos").cast("double") * F.col("before")).alias("u"),
+                              F.sum(F.col("pos").cast("double") * F.col("neg")).alias("open")).collect())
+    by_k = {r.k: r for r in sums}
+    if len(by_k) < n or any(r.n_pos == 0 or r.n_neg == 0 for r in sums):
+        return [float("nan")] * n
+    u = np.array([by_k[k].u for k in range(n)])
+    gap = np.array([by_k[k].open for k in range(n)])
+    pairs = float(by_k[0].n_pos) * float(by_k[0].n_neg)
+    wanted = np.flatnonzero((gap > 0) & (u + gap >= u.max() if only_best else True))
+    inside = gap / 2
+    if len(wanted):
+        mixed = grid.where((F.col("pos") > 0) & (F.col("neg") > 0) & F.col("k").isin([int(k) for k in wanted])).select("cell")
+
+        def rows(m, y):
+            at = _grid_cell(m[:, wanted], low[wanted], width[wanted], n_cells) + wanted * n_cells
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at.ravel()), pa.array(m[:, wanted].ravel()), pa.array(np.repeat(y, len(wanted)))], ["cell", "m", "y"])
+
+        met = (_margins(val_vectors, gbt_model, "cell long, m double, y long", rows)
+               .join(counted_side(mixed, len(wanted) * n_cells), "cell", "left_semi")
+               .groupBy("cell", "m").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
+        wc = Window.partitionBy("cell").orderBy("m").rowsBetween(Window.unboundedPreceding, -1)
+        exact = (met.withColumn("before", F.coalesce(F.sum("neg").over(wc), F.lit(0)))
+                 .groupBy(F.expr(f"CAST(cell div {n_cells} AS INT)").alias("k"))
+                 .agg(F.sum(F.col("pos") * (F.col("before") + F.col("neg") / 2.0)).alias("u")).collect())
+        for r in exact:
+            inside[r.k] = r.u
+    return [float(a) for a in (u + inside) / pairs]
+
+
+def truncated(gbt_model, n_trees: int):
+    """The first `n_trees` of a fitted ensemble as a model of its own: what a fit with so many rounds gives."""
+    trees, weights = gbt_model._java_obj.trees(), list(gbt_model.treeWeights)
+    if n_trees >= len(weights):
+        return gbt_model
+    sc = SparkSession.getActiveSession().sparkContext
+    gateway, ml = sc._gateway, sc._jvm.org.apache.spark.ml
+    head = gateway.new_array(ml.regression.DecisionTreeRegressionModel, n_trees)
+    for i in range(n_trees):
+        head[i] = trees[i]
+    w = gateway.new_array(gateway.jvm.double, n_trees)
+    for i in range(n_trees):
+        w[i] = float(weights[i])
+    java = ml.classification.GBTClassificationModel(gbt_model.uid, head, w, gbt_model.numFeatures, gbt_model.numClasses)
+    return gbt_model._copyValues(GBTClassificationModel(java))
+
+
+def rounds_in_blocks(max_iter: int, patience: int) -> Iterator[int]:
+    """Rounds to fit in turn: the patience and a fifth more, then twice as many, up to `max_iter`."""
+    n = patience + max(1, patience // 5)
+    while n < max_iter:
+        yield n
+        n *= 2
+    yield max_iter
 
 
 def train_gbt(train: DataFrame, val: DataFrame, params: C.GBTParams = C.GBTParams(),
               feature_cols: Sequence[str] = C.FEATURE_COLUMNS, label: str = C.TARGET_COL,
               select_by: str = "auc") -> FittedModel:
-    """Fit GBT on train, pick the number of trees on validation, refit that prefix.
+    """Fit boosted trees on train with patience on validation, and keep the best prefix.
+
+    The budget is `params.max_iter` rounds; boosting stops once the best round lies
+    `params.patience` rounds back. MLlib cannot go on from a fitted ensemble, so
+    rounds are fitted in blocks of growing length, each from the start under the
+    same seed (its first trees are those of the block before): at most twice the
+    rounds of the last block in all. The result is the last ensemble cut after its
+    best round, which needs no further fit.
 
     select_by="auc" (the reference's first early-stopping metric): the prefix with
     the highest validation AUC, earliest on ties; "logloss": the prefix with the
-    lowest validation log-loss (`evaluateEachIteration`).
+    lowest validation log-loss (`evaluateEachIteration`). Without both classes in
+    the validation rows nothing can be chosen, and the first round is kept.
     """
     feature_cols = list(feature_cols)
     prepared = materialize(_prep(train, feature_cols, label))
     fills = missing_fills(prepared, feature_cols, below=True)
     inputs = PipelineModel(stages=[filler(fills), assembler(feature_cols)])
-    tr = inputs.transform(prepared).select("features", "label")
-    va = inputs.transform(_prep(val, feature_cols, label)).select("features", "label")
+    # every round is a handful of jobs over all partitions: few rows need few of them
+    parts = max(1, -(-prepared.count() // ROWS_PER_PARTITION))
+    tr = inputs.transform(prepared.coalesce(parts)).select("features", "label")
+    va = materialize(inputs.transform(_prep(val, feature_cols, label)).select("features", "label"))
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=params.max_iter,
                         stepSize=params.step_size, maxDepth=params.max_depth,
                         minInstancesPerNode=params.min_instances_per_node,
                         featureSubsetStrategy=params.feature_subset, subsamplingRate=params.subsampling_rate,
                         maxBins=params.max_bins, seed=params.seed)
-    m = gbt.fit(tr)
-    if select_by == "auc":
-        aucs = prefix_auc(m, materialize(va.select("features", "label")))
-        best = int(max(range(len(aucs)), key=lambda i: (aucs[i], -i))) + 1
-        losses = [-a for a in aucs]
-    else:
-        losses = list(m.evaluateEachIteration(va))
-        best = int(min(range(len(losses)), key=lambda i: (losses[i], i))) + 1
-    if best < params.max_iter:
-        m = gbt.copy().setMaxIter(best).fit(tr)
-    pm = PipelineModel(stages=[*inputs.stages, m])
+    for rounds in rounds_in_blocks(params.max_iter, params.patience):
+        m = gbt.copy().setMaxIter(rounds).fit(tr)
+        losses = [-a for a in prefix_auc(m, va, only_best=True)] if select_by == "auc" else list(m.evaluateEachIteration(va))
+        best = int(np.argmin([np.inf if np.isnan(x) else x for x in losses])) + 1
+        if len(losses) >= best + params.patience:
+            losses = losses[:best + params.patience]          # what a round-by-round stop would have seen
+            break
+    pm = PipelineModel(stages=[*inputs.stages, truncated(m, best)])
     return FittedModel(pm, best, losses, feature_cols, fills)
 
 
