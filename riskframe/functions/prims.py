@@ -13,8 +13,8 @@ K5 prefix_sum     ordered running sums without a global sort of rows: the input
                   per-bucket offsets
 K6 safe_ratio     division that never raises under ANSI mode
 K7 checks_frame   check rows derived from one aggregate row
-K8 exact_quantiles exact linear-interpolated quantiles: a sketch locates the
-                  buckets of the wanted ranks, whose rows alone are ranked exactly
+K8 exact_quantiles exact linear-interpolated quantiles: a sketch brackets the
+                  wanted ranks, and one pass counts rows outside and values inside
 round_dp          round half up on the binary value, shared with the SQL oracle
 """
 from __future__ import annotations
@@ -41,9 +41,9 @@ CHECK_SCHEMA = T.StructType([
 # Buckets used by the two-level prefix sum. Each bucket holds roughly
 # 1/PREFIX_BUCKETS of a group's rows, so a task never sees a whole group.
 PREFIX_BUCKETS = 64
-# Sketch accuracy per bucket: the rank error of an edge is 1/20 of a bucket's
+# Sketch accuracy per bucket: the rank error of an edge is a quarter of a bucket's
 # share, whatever the number of buckets. The edges only balance load.
-ACCURACY_PER_BUCKET = 20
+ACCURACY_PER_BUCKET = 4
 # Entries (rows x array length) up to which a counted table is broadcast: 32 MB of doubles.
 BROADCAST_ENTRIES = 4_000_000
 
@@ -179,26 +179,41 @@ def prefix_sum(df: DataFrame, group_cols: Sequence[str], order_col: str,
 
     Rows must be unique per (group_cols, order_col) -- aggregate first (K4).
     The input (an aggregate, so usually far smaller than the raw rows) is
-    materialized and counted, which sizes the buckets. Approximate-quantile
-    edges per group -> bucket by binary search -> running sum inside (group,
+    materialized. One aggregate over it gives approximate-quantile bucket edges,
+    totals and the row count; more than ROWS_PER_BUCKET rows a bucket ask for more
+    edges once. Then: bucket by binary search -> running sum inside (group,
     bucket) -> offsets from the per-bucket totals (at most groups x buckets
     rows), so no task ever holds a whole group. Edges and offsets are broadcast
-    where the counted groups allow it and joined on their keys otherwise.
+    where the counted groups allow it and joined on their keys otherwise; without
+    groups the edges are constants of the plan.
     """
     g = list(group_cols)
     if not materialized:
         df = materialize(df)
+
+    def cut(n: int) -> DataFrame:
+        probs = [i / n for i in range(1, n)]
+        return df.groupBy(*g).agg(
+            F.percentile_approx(F.col(order_col).cast("double"), probs, ACCURACY_PER_BUCKET * n).alias("_edges"),
+            F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"{c}_total") for c in sum_cols])
+
+    def measured(n: int) -> tuple[DataFrame, int, int]:
+        """(edges, rows, groups)"""
+        if not g:
+            row = cut(n).first()
+            consts = [F.lit(row._edges or []).cast("array<double>").alias("_edges"),
+                      *[F.lit(row[f"{c}_total"]).alias(f"{c}_total") for c in sum_cols]]
+            return df.select("*", *consts), row._rows, 1
+        edges = materialize(cut(n))
+        row = edges.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.count(F.lit(1))).first()
+        return edges.drop("_rows"), row[0], row[1]
+
     # about ROWS_PER_BUCKET rows per (group, bucket) task, whatever the input size
-    n_buckets = max(n_buckets, -(-df.count() // ROWS_PER_BUCKET))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = (df.groupBy(*g).agg(
-        F.percentile_approx(F.col(order_col).cast("double"), probs, ACCURACY_PER_BUCKET * n_buckets).alias("_edges"),
-        *[F.sum(c).alias(f"{c}_total") for c in sum_cols]))
-    groups = 1
-    if g:
-        edges = materialize(edges)
-        groups = edges.count()
-    with_edges = df.join(counted_side(edges, groups, n_buckets), g) if g else df.crossJoin(F.broadcast(edges))
+    edges, rows, groups = measured(n_buckets)
+    if rows > n_buckets * ROWS_PER_BUCKET:
+        n_buckets = -(-rows // ROWS_PER_BUCKET)
+        edges, rows, groups = measured(n_buckets)
+    with_edges = df.join(counted_side(edges, groups, n_buckets), g) if g else edges
     b = with_bin_index(with_edges, f"CAST(`{order_col}` AS DOUBLE)", "_edges", n_buckets - 1, "_bk")
     if descending:
         b = b.withColumn("_bk", F.lit(n_buckets) - F.col("_bk"))
@@ -297,7 +312,12 @@ def fmt_num(c: Column, dp: int) -> Column:
 
 
 # ---------------------------------------------------------------- K8
-QUANTILE_BUCKETS = 1024
+# Sketch accuracy: ranks of a sketch are off by at most 1/SKETCH_ACCURACY of a group's rows.
+SKETCH_ACCURACY = 10_000
+# Groups up to this size are ranked whole. In larger ones a sketch's rank error exceeds five rows.
+SMALL_GROUP = 50_000
+# Rows of a bracket (six rank errors) beyond which a finer sketch is taken.
+BRACKET_ROWS = 4_000_000
 
 
 def _targets(sizes: DataFrame, g: list[str], probs: Sequence[float]) -> tuple[DataFrame, DataFrame]:
@@ -320,10 +340,31 @@ def _interpolate(want: DataFrame, hit: DataFrame, g: list[str]) -> DataFrame:
     pv = hit.groupBy(*g, "q_idx").agg(
         F.max(F.when(F.col("_end") == 0, F.col("_v"))).alias("_lo_v"),
         F.max(F.when(F.col("_end") == 1, F.col("_v"))).alias("_hi_v"))
-    res = want.join(pv, [*g, "q_idx"])
+    res = want.join(pv, [*g, "q_idx"], "left")
     q = F.when(F.col("_lo_v") == F.col("_hi_v"), F.col("_lo_v")).otherwise(
         F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * F.col("_frac"))
-    return res.select(*g, "q_idx", "prob", "n", q.alias("quantile"))
+    # every wanted rank lies in its bracket by the sketch's guarantee; were it ever to fail, it fails loudly
+    missed = F.raise_error(F.lit("exact_quantiles: a rank lies outside its bracket")).cast("double")
+    return res.select(*g, "q_idx", "prob", "n", F.when(q.isNull(), missed).otherwise(q).alias("quantile"))
+
+
+def _brackets(base: DataFrame, g: list[str], probs: Sequence[float], accuracy: int) -> DataFrame:
+    """(group, n, _cuts, _fine): bounds around the wanted ranks, and which intervals between cuts lie inside any."""
+    slack, m = 3.0 / accuracy, len(probs)
+    around = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
+    s = base.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", around, accuracy).alias("_s"))
+    s = s.where(F.col("n") > 0).select(*g, "n", F.when(F.col("n") <= SMALL_GROUP, F.array().cast("array<double>"))
+                                       .otherwise(F.col("_s")).alias("_s"))
+    spans = F.arrays_zip(F.slice("_s", 1, m).alias("lo"), F.slice("_s", m + 1, m).alias("hi"))
+    s = s.select(*g, "n", F.array_sort(F.array_distinct("_s")).alias("_cuts"), spans.alias("_spans"))
+
+    def inside(i: Column) -> Column:
+        left, right = F.try_element_at("_cuts", i), F.try_element_at("_cuts", i + 1)
+        return F.exists("_spans", lambda x: F.coalesce((x["lo"] <= left) & (x["hi"] >= right), F.lit(False)))
+
+    n_cuts = F.size("_cuts")
+    fine = F.transform(F.sequence(F.lit(0), n_cuts), lambda i: (n_cuts == 0) | ((i > 0) & inside(F.greatest(i, F.lit(1)))))
+    return s.select(*g, "n", "_cuts", fine.alias("_fine"))
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
@@ -335,42 +376,45 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     pos = prob * (n - 1) -- the definition numpy's and DuckDB's linear
     quantiles share.
 
-    Approximate, then exact: (1) a mergeable sketch gives 1024 bucket edges per
-    group; (2) exact per-bucket counts (a tiny shuffle) locate the bucket and
-    in-bucket rank of every needed order statistic; (3) only rows of those few
-    buckets are counted per distinct value and ranked (K5, which splits a large
-    bucket again). The sketch only sizes buckets -- ranks are counted exactly --
-    and the heavy shuffle carries a few buckets' rows instead of every value.
+    Two passes. (1) A mergeable sketch brackets every wanted rank between two of the
+    group's values, and counts the group; a group so large that a bracket holds more
+    than BRACKET_ROWS rows has it taken again, finer. (2) One aggregate counts rows by
+    the cell they fall in, where the brackets' bounds and the intervals between
+    them are the cells, and by value where the cell lies inside a bracket. Ranks then
+    come from exact counts: of cells first, of the few values of the cell after.
+    What is shuffled is a few thousandths of the rows, combined map-side.
     """
     g = list(group_cols)
     base = df.where(F.col(value_col).isNotNull()).select(*g, F.col(value_col).cast("double").alias("_v"))
-    nb = QUANTILE_BUCKETS
-    eprobs = [i / nb for i in range(1, nb)]
-    sketch = materialize(base.groupBy(*g).agg(F.percentile_approx("_v", eprobs, ACCURACY_PER_BUCKET * nb).alias("_e"),
-                                              F.count(F.lit(1)).alias("n")))
-    groups = sketch.count() if g else 1
-    sk = counted_side(sketch, groups, nb)
-
-    def bucketed(frame: DataFrame) -> DataFrame:
-        j = frame.join(sk, g) if g else frame.crossJoin(sk)
-        return with_bin_index(j, "_v", "_e", nb - 1, "_b").drop("_e")
-
-    # groups x buckets rows
-    counts = materialize(bucketed(base).groupBy(*g, "_b").agg(F.count(F.lit(1)).alias("_bc"), F.first("n").alias("n")))
-    wb = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    cum = counts.withColumn("_before", F.coalesce(F.sum("_bc").over(wb), F.lit(0)))
-    sizes = counts.groupBy(*g).agg(F.first("n").alias("n"))
-    want, ends = _targets(sizes, g, probs)
-    # bucket and in-bucket rank of every needed order statistic (groups x probs x 2 rows)
-    located = materialize((ends.join(cum, g) if g else ends.crossJoin(cum)).where(
-        (F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_bc"))).select(
-        *g, "q_idx", "_end", "_b", (F.col("_rank") - F.col("_before")).alias("_local")))
-    keys = located.select(*g, "_b").distinct()
-    cand = bucketed(base).join(counted_side(keys, groups, 2 * len(probs)), [*g, "_b"], "left_semi")
-    hist = cand.groupBy(*g, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = prefix_sum(hist, [*g, "_b"], "_v", ["_c"])
-    hit = ranked.join(counted_side(located, groups, 2 * len(probs)), [*g, "_b"]).where(
-        (F.col("_c_before") <= F.col("_local")) & (F.col("_local") < F.col("_c_before") + F.col("_c")))
+    accuracy = SKETCH_ACCURACY
+    while True:
+        sketch = materialize(_brackets(base, g, probs, accuracy))
+        groups, largest = sketch.agg(F.count(F.lit(1)), F.max("n")).first()
+        finer = -(-6 * (largest or 0) // BRACKET_ROWS)
+        if finer <= accuracy:
+            break
+        accuracy = finer
+    n_cuts = 2 * len(probs)
+    cuts = counted_side(sketch.drop("n"), groups, 2 * n_cuts)
+    j = base.join(cuts, g) if g else base.crossJoin(cuts)
+    j = with_bin_index(with_bin_index(j, "_v", "_cuts", n_cuts, "_upto"), "_v", "_cuts", n_cuts, "_below", right_closed=True)
+    at_cut = F.col("_upto") > F.col("_below")
+    hist = j.select(*g, (F.col("_below") + F.col("_upto")).alias("_cell"),
+                    F.when(at_cut | F.element_at("_fine", F.col("_below") + 1), F.col("_v")).alias("_v")).groupBy(
+        *g, "_cell", "_v").agg(F.count(F.lit(1)).alias("_k"))
+    # groups x cells rows
+    w_cells = Window.partitionBy(*g).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = (hist.groupBy(*g, "_cell").agg(F.sum("_k").alias("_in"))
+             .withColumn("_before", F.coalesce(F.sum("_in").over(w_cells), F.lit(0))))
+    want, ends = _targets(counted_side(sketch.select(*g, "n"), groups), g, probs)
+    # cell and rank inside it of every needed order statistic (groups x probs x 2 rows)
+    located = (cells.join(counted_side(ends, groups, 2 * len(probs)), g) if g else cells.crossJoin(ends)).where(
+        (F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_in"))).select(
+        *g, "q_idx", "_end", "_cell", (F.col("_rank") - F.col("_before")).alias("_local"))
+    w_in = Window.partitionBy(*g, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = hist.where(F.col("_v").isNotNull()).withColumn("_lower", F.coalesce(F.sum("_k").over(w_in), F.lit(0)))
+    hit = ranked.join(counted_side(located, groups, 2 * len(probs)), [*g, "_cell"]).where(
+        (F.col("_lower") <= F.col("_local")) & (F.col("_local") < F.col("_lower") + F.col("_k")))
     return _interpolate(want, hit, g)
 
 

@@ -29,6 +29,28 @@ def test_exact_quantiles_match_numpy(spark, n, distinct, path, monkeypatch):
         assert got[p] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12, abs=1e-12)
 
 
+@pytest.mark.parametrize("small,accuracy,bracket", [(0, 200, 4_000_000), (100, 200, 4_000_000), (0, 50, 60)])
+@pytest.mark.parametrize("kind", ["spread", "heavy ties", "one value", "skewed", "sorted"])
+def test_exact_quantiles_by_brackets(spark, monkeypatch, kind, small, accuracy, bracket):
+    """Groups beyond SMALL_GROUP go through brackets; brackets beyond BRACKET_ROWS through a finer sketch."""
+    import riskframe.functions.prims as P
+    for name, v in (("SMALL_GROUP", small), ("SKETCH_ACCURACY", accuracy), ("BRACKET_ROWS", bracket)):
+        monkeypatch.setattr(P, name, v)
+    rng = np.random.default_rng(11)
+    n = 6000
+    vals = {"spread": rng.normal(size=n), "heavy ties": rng.integers(0, 4, n) * 1.0, "one value": np.full(n, 2.5),
+            "skewed": np.exp(rng.normal(0, 4, n)).round(1), "sorted": np.arange(n) / 7}[kind]
+    probs = [i * 0.1 for i in range(10)] + [1.0]
+    rows = [(float(v), "ab"[i % 3 == 0]) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "v double, g string").repartition(5, "v")
+    for cols in (["g"], []):
+        got = exact_quantiles(df, cols, "v", probs).collect()
+        assert len(got) == len(probs) * (2 if cols else 1)
+        for r in got:
+            own = [v for v, g in rows if not cols or g == r.g]
+            assert r.quantile == pytest.approx(float(np.quantile(own, r.prob)), rel=1e-12, abs=1e-12) and r.n == len(own)
+
+
 def test_exact_quantiles_ignore_nulls_and_empty_groups(spark):
     df = spark.createDataFrame([(1.0, "a"), (None, "a"), (3.0, "a"), (None, "b")], "v double, g string")
     got = {(r.g, r.prob): r.quantile for r in exact_quantiles(df, ["g"], "v", [0.5]).collect()}
