@@ -397,11 +397,14 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     n_cuts = 2 * len(probs)
     cuts = counted_side(sketch.drop("n"), groups, 2 * n_cuts)
     j = base.join(cuts, g) if g else base.crossJoin(cuts)
-    j = with_bin_index(with_bin_index(j, "_v", "_cuts", n_cuts, "_upto"), "_v", "_cuts", n_cuts, "_below", right_closed=True)
-    at_cut = F.col("_upto") > F.col("_below")
-    hist = j.select(*g, (F.col("_below") + F.col("_upto")).alias("_cell"),
-                    F.when(at_cut | F.element_at("_fine", F.col("_below") + 1), F.col("_v")).alias("_v")).groupBy(
-        *g, "_cell", "_v").agg(F.count(F.lit(1)).alias("_k"))
+    # one search (a second in the same stage would outgrow what the JIT compiles): cuts up to v, and whether the last one is v
+    j = with_bin_index(j, "_v", "_cuts", n_cuts, "_upto")
+    j = j.withColumn("_at_cut", F.coalesce(F.try_element_at("_cuts", F.greatest(F.col("_upto"), F.lit(1))) == F.col("_v"), F.lit(False)))
+    cell = 2 * F.col("_upto") - F.col("_at_cut").cast("int")
+    # read twice below; materialized, it is one pass over the rows
+    hist = materialize(j.select(*g, cell.alias("_cell"),
+                                F.when(F.col("_at_cut") | F.element_at("_fine", F.col("_upto") + 1), F.col("_v")).alias("_v"))
+                       .groupBy(*g, "_cell", "_v").agg(F.count(F.lit(1)).alias("_k")))
     # groups x cells rows
     w_cells = Window.partitionBy(*g).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = (hist.groupBy(*g, "_cell").agg(F.sum("_k").alias("_in"))
