@@ -1,7 +1,8 @@
 """Helpers shared by the operators of this subpackage."""
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,3 +38,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def python_rows(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
     """The named columns of an Arrow batch as Python tuples, row by row."""
     return zip(*(batch.column(n).to_pylist() for n in names))
+
+
+def own_names(operate: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators that return the columns of `docs` (their first argument): working columns start
+    with `__`, so columns of the caller that do so get other names meanwhile, and theirs back after."""
+    @functools.wraps(operate)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        taken, theirs = {c.lower() for c in docs.columns}, {}
+        for c in docs.columns:
+            if c.startswith("__"):
+                name = f"c{len(theirs)}"
+                while name in taken:
+                    name += "_"
+                taken.add(name)
+                theirs[c] = name
+        out = operate(docs.withColumnsRenamed(theirs), *args, **kwargs)
+        return out.withColumnsRenamed({name: c for c, name in theirs.items()})
+
+    return run

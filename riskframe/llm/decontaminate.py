@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import small_batches
+from riskframe.llm.common import own_names, small_batches
 
 WINDOW = 13
 #: Bytes of benchmark text in one automaton (about 60 times this in a worker's memory).
@@ -170,6 +170,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
     return digest(find_contamination(small, benchmark, block_bytes))
 
 
+@own_names
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """`docs` without the contaminated rows; all columns as they were."""
     hits = find_contamination(docs, benchmark, block_bytes)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import small_batches, written
+from riskframe.llm.common import own_names, small_batches, written
 from riskframe.session import scratch_path
 
 MIN_CHARS = 20
@@ -316,6 +316,7 @@ def dedup_digest(docs: DataFrame) -> DataFrame:
     return indexed(docs).digest(docs)
 
 
+@own_names
 def dedup_lines(docs: DataFrame) -> DataFrame:
     return indexed(docs).clean(docs)
 

@@ -25,7 +25,8 @@ registers agree with a probability close to the Jaccard similarity J.
    merge components leave the task, and with them the components are final.
 
 Defined results: words are runs of anything but ASCII white space after A-Z is
-lower-cased; fewer words than a shingle are one shingle; a text without words
+lower-cased, and are told apart by a 64-bit keyed digest of their bytes; fewer words
+than a shingle are one shingle; a text without words
 (null, empty) links with nothing; rows with equal sets link whatever their
 doc_id; rows without a doc_id link with nothing, are kept and have a null
 component; extra columns are ignored.
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import small_batches, written
+from riskframe.llm.common import own_names, small_batches, written
 
 M, BANDS, ROWS = 128, 32, 4
 BASE, RATE, TOP = 1.001, 20.0, 65_535        # b, a and the largest register value of the sketch
@@ -50,7 +51,7 @@ BLOCK_SHINGLES = 500_000                     # shingles of bucket members that o
 TASK_ROWS = 500_000                          # edges for each task that writes labels
 
 _SLICE = 1 << 16
-_WORD_BLOCK = 1 << 20
+_WORDS_KEPT = 500_000                        # digests of words a worker remembers, about 80 MB
 _U = np.uint64
 
 
@@ -58,24 +59,8 @@ def _odd(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 2**63, n, dtype=np.uint64) << _U(1) | _U(1)
 
 
-_BYTE = _odd(256, 11)
 _STEP = 0x9E3779B97F4A7C15
 _XOR, _MUL = _odd(M, 12), _odd(M, 13)
-_powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the step and of its inverse modulo 2^64."""
-    global _powers
-    if len(_powers[0]) < n:
-        n = 1 << (n - 1).bit_length()
-        both = []
-        for x in (_STEP, pow(_STEP, -1, 1 << 64)):
-            p = np.full(n, x, np.uint64)
-            p[0] = 1
-            both.append(np.cumprod(p, dtype=np.uint64))
-        _powers = tuple(both)
-    return _powers
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -85,25 +70,22 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ h >> _U(31)
 
 
+class _Digests(dict):
+    """64-bit keyed digests of words, remembered up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= _WORDS_KEPT:
+            self.clear()
+        d = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=b"words").digest(), "little")
+        return d
+
+
+_digests = _Digests()
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words by prefix sums over blocks of their joined bytes."""
-    joined, out, at = b" ".join(words), [], 0
-    while at < len(joined):
-        end = min(len(joined), at + _WORD_BLOCK)
-        if end < len(joined):
-            cut = joined.rfind(b" ", at, end)
-            if cut < 0:
-                cut = joined.find(b" ", end)
-            end = cut if cut >= 0 else len(joined)
-        x = np.frombuffer(joined, np.uint8, end - at, at)
-        power, inverse = _power_tables(len(x) + 1)
-        s = np.zeros(len(x) + 1, np.uint64)
-        np.cumsum(_BYTE[x] * power[:len(x)], out=s[1:])
-        space = np.flatnonzero(x == 32)
-        start, stop = np.concatenate([[0], space + 1]), np.concatenate([space, [len(x)]])
-        out.append(mixed((s[stop] - s[start]) * inverse[start] + (stop - start).astype(np.uint64)))
-        at = end + 1
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    """64-bit hashes of words: digests of their bytes, so that no structure of a word makes two collide."""
+    return np.fromiter(map(_digests.__getitem__, words), np.uint64, len(words))
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -416,6 +398,7 @@ def _labelled(docs: DataFrame, words: int) -> DataFrame:
             .withColumn("kept", F.expr("doc_id <=> component_id")))
 
 
+@own_names
 def keep_one(docs: DataFrame, words: int = 5) -> DataFrame:
     """`docs` with one row of each component; all columns as they were.
 

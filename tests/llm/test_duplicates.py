@@ -120,3 +120,41 @@ def test_levels_merge_geometrically(spark, documents):
 def test_drop_repeats_keeps_columns(odd_docs):
     out = S.drop_repeats(odd_docs)
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count()
+
+
+def test_words_and_strings_of_special_structure_stay_apart(spark):
+    """Hashes modulo 2^64 take a Thue-Morse word and its complement for equal, whatever their constants."""
+    word, other = ("".join(x[bin(i).count("1") % 2] for i in range(2048)) for x in ("ab", "ba"))
+    docs = spark.createDataFrame([(1, word), (2, other), (3, word)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in N.near_components(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+    apart = spark.createDataFrame([(1, word[:1024]), (2, other[:1024])], "doc_id long, text string")
+    brute_rows = brute.repeats([(1, word[:1024]), (2, other[:1024])])
+    got = sorted(tuple(r)[:4] for r in S.digest(apart).select("doc_id", "n_bytes", "n_removed", "n_spans").collect())
+    assert got == sorted(r[:4] for r in brute_rows)
+
+
+def test_window_prints_are_equal_where_bytes_are():
+    rnd = np.random.default_rng(2)
+    x = rnd.integers(0, 3, 4000).astype(np.uint8)
+    p = S.window_prints(x, 7)
+    by_bytes, by_print = {}, {}
+    for i in range(len(p)):
+        by_bytes.setdefault(x[i:i + 7].tobytes(), set()).add(int(p[i]))
+        by_print.setdefault(int(p[i]), set()).add(x[i:i + 7].tobytes())
+    assert all(len(v) == 1 for v in by_bytes.values()) and all(len(v) == 1 for v in by_print.values())
+
+
+def test_columns_named_like_working_columns_pass(spark):
+    from riskframe.llm import decontaminate, line_dedup, quality
+    line = "the same line is in four documents here\n"
+    text = " ".join(f"Word{i} is, here." for i in range(60))
+    rows = [(i, f"{line}{text} {i}", *range(10 * i, 10 * i + 7)) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __hits int, __q_t int, __drop int, __d int, __spans int, __doc int, c0 int")
+    extra = {r[0]: r[2:] for r in rows}
+    bench = spark.createDataFrame([(1, "nothing of it")], "item_id long, text string")
+    for out in (decontaminate.drop_contaminated(docs, bench), quality.keep_good(docs), line_dedup.dedup_lines(docs),
+                N.keep_one(docs), S.drop_repeats(docs)):
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert all(tuple(r)[2:] == extra[r.doc_id] for r in got)
