@@ -20,7 +20,8 @@ never kept and do not take part in the estimate.
 
 Defined results: a null or empty text has no words and fails; ties and repeated
 rows are judged alike; an empty table gives an empty result; extra columns are
-ignored, and clashing names are safe since working columns start with `__q_`.
+ignored, and clashing names are safe: those of the caller that start like working
+columns get other names meanwhile.
 """
 from __future__ import annotations
 
@@ -30,7 +31,7 @@ import string
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import written
+from riskframe.llm.common import own_names, written
 
 MIN_WORDS = 50
 KEEP_AT = 0.5          # posterior probability of being good from which a document is kept
@@ -171,12 +172,13 @@ def score_documents(docs: DataFrame) -> DataFrame:
         F.round("__q_p", 6).alias("posterior"), F.expr("concat_ws(',', transform(__q_v, x -> cast(x as string)))").alias("votes"))
 
 
+@own_names
 def keep_good(docs: DataFrame) -> DataFrame:
     """`docs` without rejected rows; columns as they were.
 
-    The estimate reads the corpus once, the filter a second time: the texts are
-    never shuffled, which costs less than joining verdicts to them.
+    Every text is measured once: rows are written with their votes, the estimate
+    reads the votes alone, and the filter reads the rows. Texts are never shuffled.
     """
-    voted = with_votes(with_measures(docs))
-    state = written(estimate(with_votes(with_measures(docs.select("text")))), "quality-state")
+    voted = written(with_votes(with_measures(docs)).drop("__q_m"), "quality-rows")
+    state = written(estimate(voted), "quality-state")
     return with_posterior(voted, state).where(F.expr(KEPT)).select(*docs.columns)
