@@ -51,7 +51,7 @@ BLOCK_SHINGLES = 500_000                     # shingles of bucket members that o
 TASK_ROWS = 500_000                          # edges for each task that writes labels
 
 _SLICE = 1 << 16
-_WORDS_KEPT = 500_000                        # digests of words a worker remembers, about 80 MB
+_WORDS_KEPT = 50_000                         # digests of words a worker remembers, about 8 MB
 _U = np.uint64
 
 
