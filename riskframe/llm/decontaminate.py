@@ -12,7 +12,8 @@ The benchmark is the stated query set: it is read in blocks of bounded size, one
 automaton per block, and every block scans all rows. No row is shuffled.
 
 Defined results: a null or wordless text has no words, no hits and is clean; an
-item that is null or has no words matches nothing; equal items all count; rows
+item whose text is null or has no words matches nothing; an item with a text but a null id
+hits words like any other and has no id to be counted in n_items or listed; equal items all count; rows
 are judged one by one, so repeated rows repeat their result; an empty benchmark
 leaves every document clean; extra columns are ignored.
 """
@@ -52,13 +53,15 @@ def item_windows(text: str | None, size: int = WINDOW) -> set[bytes]:
     return {b" ".join(w[i:i + size]) for i in range(max(1, len(w) - size + 1))}
 
 
-def build_automaton(items: list[tuple[str, str | None]], size: int = WINDOW):
+def build_automaton(items: list[tuple[str | None, str | None]], size: int = WINDOW):
     """Automaton over the windows of (item_id, text) pairs, or None without windows."""
     import ahocorasick
     owners: dict[bytes, list[str]] = {}
     for item_id, text in items:
         for w in item_windows(text, size):
-            owners.setdefault(w, []).append(item_id)
+            ids = owners.setdefault(w, [])
+            if item_id is not None:
+                ids.append(item_id)
     if not owners:
         return None
     auto = ahocorasick.Automaton()
@@ -101,11 +104,11 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str | None]]]:
+def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str | None, str]]]:
     """The items in blocks of bounded bytes; the driver holds one block at a time."""
     block, held = [], 0
     rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t"))
-    for r in rows.where("t is not null and i is not null").toLocalIterator():
+    for r in rows.where("t is not null").toLocalIterator():
         if block and held + len(r.t) > block_bytes:
             yield block
             block, held = [], 0

@@ -125,7 +125,7 @@ def contaminated(docs, items, size=13):
     for i, t in items:
         w = words(t)
         for k in range(max(1, len(w) - size + 1) if w else 0):
-            windows.setdefault(tuple(w[k:k + size]), set()).add(str(i))
+            windows.setdefault(tuple(w[k:k + size]), set()).update([] if i is None else [str(i)])
     sizes = {len(x) for x in windows}
     out = []
     for d, t in docs:
@@ -134,7 +134,7 @@ def contaminated(docs, items, size=13):
         for s in sizes:
             for k in range(len(w) - s + 1):
                 own = windows.get(tuple(w[k:k + s]))
-                if own:
+                if own is not None:
                     hit.update(range(k, k + s))
                     found |= own
         out.append((d, len(w), len(hit), len(found), sha(",".join(sorted(found))), len(hit) > 0 and 20 * len(hit) >= len(w)))

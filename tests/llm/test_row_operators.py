@@ -145,7 +145,7 @@ def test_decontaminate(spark, tables, no_docs, pairs, same, block_bytes):
                                  ("q5", "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 w13 w14 w15"), ("q6", "same text here twice"),
                                  ("q6b", "same text here twice over and over again")], "item_id string, text string")
     items = bench.select("item_id", "text").union(odd)
-    rows = [(r.item_id, r.text) for r in items.collect() if r.item_id is not None]
+    rows = [(r.item_id, r.text) for r in items.collect()]
     cols = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     for docs in tables:
         same(decontaminate.decontaminate(docs, items, block_bytes), cols, brute.contaminated(pairs(docs), rows))
@@ -156,6 +156,14 @@ def test_decontaminate(spark, tables, no_docs, pairs, same, block_bytes):
     assert decontaminate.decontaminate(tables[0], items.limit(0)).where("contaminated").count() == 0
 
 
+def test_items_without_an_id_hit_words(spark):
+    docs = spark.createDataFrame([(1, "some word here"), (2, "nothing of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "word"), ("q", "some")], "item_id string, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in decontaminate.decontaminate(docs, items).collect()}
+    assert got == {1: (2, 1, True), 2: (0, 0, False)}
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, items.where("item_id is null")).collect()] == [2]
+
+
 def test_decontaminate_spans_point_into_the_text(spark):
     docs = spark.createDataFrame([(1, "Ünd so: Fifteen—WORDS of plain text, or not \U0001f600 x")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "plain text or NOT")], "item_id long, text string")
