@@ -73,7 +73,7 @@ def q_prior_history(spark, sf):
     h = history.prior_history(raw_ep(spark, sf), key="cust_id", order_cols=["draw_date", "loan_id"],
                               outcomes={"prior_cleared_within_24h_count": "cleared_24h",
                                         "prior_rolled_past_30d_count": "defaulted_30d"},
-                              count_name="prior_overdraw_count", bucket=F.col("draw_date"))
+                              count_name="prior_overdraw_count", bucket=history.RANGES)
     return h.select("loan_id", "cust_id", "prior_overdraw_count",
                     F.col("prior_cleared_within_24h_count").cast("int").alias("prior_cleared_within_24h_count"),
                     F.col("prior_rolled_past_30d_count").cast("int").alias("prior_rolled_past_30d_count"))
@@ -85,7 +85,7 @@ def q_prior_history(spark, sf):
     "n_same_day FROM (SELECT date_diff('day', LAG(draw_date) OVER (PARTITION BY cust_id ORDER BY draw_date, loan_id), "
     "draw_date) AS gap FROM ep) t"))
 def q_episode_gap_check(spark, sf):
-    return history.episode_gap_check(ep(spark, sf), 30, bucket=F.col("draw_date"))
+    return history.episode_gap_check(ep(spark, sf), 30, bucket=history.RANGES)
 
 
 def _activity_sql() -> str:

@@ -88,6 +88,13 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def stored(df, name: str):
+    """`df` written as Parquet below the shared checkpoint folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.prims import round_dp, sql_round_dp
-from ..operators.history import prior_history
+from ..operators.history import RANGES, prior_history
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,7 +116,7 @@ def episodes(spark: SparkSession, sf_dir: str, with_score: bool = True, base: Da
                          outcomes={"prior_cleared_within_24h_count": "cleared_24h",
                                    "prior_rolled_past_30d_count": "defaulted_30d"},
                          count_name="prior_overdraw_count",
-                         bucket=F.col("draw_date"))
+                         bucket=RANGES)
     hist = hist.withColumns({c: F.col(c).cast("int") for c in
                              ("prior_cleared_within_24h_count", "prior_rolled_past_30d_count")})
     out = hist.withColumn("split", split_expr(TEST_VAL_CUTOFF, TEST_OOT_CUTOFF))

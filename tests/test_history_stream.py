@@ -90,7 +90,7 @@ def test_null_keys_and_times_stay(spark):
     w = "OVER (PARTITION BY cust_id ORDER BY CAST(draw_date AS DATE), loan_id"
     prev = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     want = duckdb.sql(f"SELECT loan_id, cust_id, COUNT(*) {w} {prev}, COALESCE(SUM(y) {w} {prev}, 0), CAST(LAG(draw_date) {w}) AS DATE) FROM ep").fetchall()
-    for bucket in (None, F.col("draw_date"), F.trunc("draw_date", "month")):
+    for bucket in (None, F.col("draw_date"), F.trunc("draw_date", "month"), history.RANGES):
         h = history.prior_history(df, "cust_id", ["draw_date", "loan_id"], {"s": "y"}, "cnt", bucket=bucket)
         g = history.episode_gaps(df, bucket=bucket).select("loan_id", "prev_date")
         got = h.join(g, "loan_id").select("loan_id", "cust_id", "cnt", "s", "prev_date").collect()
@@ -100,6 +100,49 @@ def test_null_keys_and_times_stay(spark):
     assert tuple(r) == (len(gaps), sum(x < 2 for x in gaps), min(gaps), gaps.count(0))
 
 
+def test_one_key_and_one_day_over_all_rows(spark):
+    n = 4000
+    df = spark.range(n).selectExpr("id AS loan_id", "1L AS cust_id", "date'2020-01-01' AS draw_date", "cast(id % 3 = 0 AS int) AS y")
+    ranged = history.in_ranges(df, ["cust_id"], ["draw_date", "loan_id"])
+    sizes = [r["count"] for r in ranged.groupBy("_range").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < n / 2
+    assert len([1 for r in ranged.groupBy("_range").agg(F.min("loan_id").alias("a"), F.max("loan_id").alias("b")).collect()
+                for i in range(4) if r.a <= i * n // 4 + n // 8 <= r.b]) == 4      # ranges follow the order
+    h = history.prior_history(df, "cust_id", ["draw_date", "loan_id"], {"s": "y"}, "cnt", bucket=history.RANGES)
+    assert h.columns == [*df.columns, "cnt", "s"]
+    assert {(r.loan_id, r.cnt, r.s) for r in h.collect()} == {(i, i, (i + 2) // 3) for i in range(n)}
+    assert tuple(history.episode_gap_check(df, 30, bucket=history.RANGES).first()) == (n - 1, n - 1, 0, n - 1)
+
+
+def test_gaps_after_rows_without_a_date(spark):
+    df = spark.range(400).selectExpr("id AS loan_id", "1L AS cust_id", "CASE WHEN id < 150 THEN date'2020-01-01' END AS draw_date")
+    got = {r.loan_id: r.prev_date is not None for r in history.episode_gaps(df, bucket=history.RANGES).collect()}
+    assert got == {i: 0 < i <= 150 for i in range(400)}
+
+
+def test_one_user_and_one_day_of_activity(spark):
+    n, w = 3000, 1000
+    df = spark.range(n).selectExpr("id AS event_id", "1L AS user_id", "timestamp_seconds(id) AS ts",
+                                   "concat('t', id % 50) AS event_type", "0.25D AS value")
+    for r in history.activity_window(df, w).collect():
+        k = min(r.event_id, w)
+        assert (r.n_events_30d, r.distinct_types_30d, r.value_sum_30d) == (k, min(k, 50), k * 0.25)
+
+
+def test_activity_window_values_no_sum_can_hold(spark):
+    inf, day = float("inf"), 86400
+    vals = {1: [1e-13, 1e-13, 0.0], 2: [inf, 1.0, -inf, 0.0], 3: [1e24, -1e24, 1.0, 2.0], 4: [9e21] * 200 + [0.0],
+            5: [-inf, 1e30, 0.0], 6: [1234.1, 1e-20, 0.0]}
+    rows = [(u * 1000 + i, u, i, v) for u, vs in vals.items() for i, v in enumerate(vs)] + [(3999, 3, 40 * day, 5.0)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, sec long, value double") \
+        .withColumn("ts", F.timestamp_seconds("sec")).withColumn("event_type", F.lit("x"))
+    got = {r.event_id: r.value_sum_30d for r in history.activity_window(df).collect()}
+    assert got[1002] == 2e-13 and got[4200] == 1.8e24 and got[6002] == 1234.1
+    assert got[2001] == inf and got[2002] == inf and np.isnan(got[2003])
+    assert got[3000] == 0 and got[3001] is None and got[3003] is None and got[3999] == 0
+    assert got[5001] == -inf and got[5002] == -inf
+
+
 def test_activity_window_keeps_events_without_user_or_time(spark):
     rows = [(1, 1, 0, "a", 1.0), (2, None, 5, "a", 2.0), (3, None, 9, "a", 2.0), (4, 1, None, "a", 4.0),
             (5, None, None, None, None), (6, 1, 10, "b", 8.0)]
