@@ -14,7 +14,7 @@ from .. import config as C
 from ..operators import drift, features, quality
 from ..sources.testview import episodes, raw_episodes, with_episodes
 from . import oracle_sql as O
-from ..session import scratch_path
+from ..session import scratch_path, table_files
 from .registry import normalize, register
 
 EP_COLS = (["loan_id", "cust_id", "draw_date", "county", "channel", "product_code"]
@@ -23,7 +23,7 @@ RAW = C.RAW_FEATURE_COLUMNS
 FEATS = C.FEATURE_COLUMNS
 
 
-_EP_TABLES: dict[tuple[str, str], tuple[str, str]] = {}
+_EP_TABLES: dict[tuple, tuple[str, str]] = {}
 
 
 def ep(spark: SparkSession, sf: str, materialized: bool = True) -> DataFrame:
@@ -32,7 +32,8 @@ def ep(spark: SparkSession, sf: str, materialized: bool = True) -> DataFrame:
     Built once per dataset and written as a Parquet table partitioned by split
     in the shared checkpoint folder; every query then reads that table, so the
     expensive part (lineitem aggregation, joins, history windows) runs once and
-    reads keep column pruning and split-partition pruning.
+    reads keep column pruning and split-partition pruning. A dataset whose files
+    changed under the same path is built again.
     """
     if not materialized:
         return episodes(spark, sf)
@@ -45,7 +46,8 @@ def raw_ep(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tables(spark: SparkSession, sf: str) -> tuple[str, str]:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf))
+    sources = tuple(table_files(spark, f"{sf}/{t}.parquet") for t in ("lineitem", "orders", "customer", "nation"))
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf), sources)
     paths = _EP_TABLES.get(key)
     if paths is None:
         path = scratch_path(spark, "episodes")

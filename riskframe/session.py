@@ -70,6 +70,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def table_files(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """(path, modification time, bytes) of every file of a table: tells whether it was rewritten."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(p, True)
+    out = []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getModificationTime(), f.getLen()))
+    return tuple(sorted(out))
+
+
 def local_dir_or(path: str) -> str:
     if path.startswith("file:") or "://" in path:
         return path
