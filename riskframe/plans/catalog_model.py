@@ -95,7 +95,7 @@ def _reasons_sql() -> str:
         "JOIN base b ON r.loan_id = b.loan_id GROUP BY r.loan_id",
         SC + ",\n" + DEP + f",\nmu AS (SELECT {means} FROM ep WHERE split = 'train'),\n"
         "base AS (SELECT e.*, mu.*, CASE WHEN e.score >= d.threshold THEN 'DECLINE' ELSE 'APPROVE' END AS decision "
-        "FROM ep e CROSS JOIN mu CROSS JOIN dep d WHERE e.split = 'oot')")
+        "FROM ep e CROSS JOIN mu CROSS JOIN dep d)")
 
 
 @register("reason_codes", _reasons_sql())
@@ -105,8 +105,7 @@ def q_reason_codes(spark, sf):
     from .catalog_scores import deployment_threshold
     means = e.where(F.col("split") == "train").agg(*[F.avg(F.col(f).cast("double")).alias(f"_m_{f}")
                                                      for f in SCORECARD])
-    d = (e.where(F.col("split") == "oot").crossJoin(F.broadcast(means))
-          .crossJoin(F.broadcast(deployment_threshold(s))))
+    d = e.crossJoin(F.broadcast(means)).crossJoin(F.broadcast(deployment_threshold(s)))
     contribs = scoring.linear_contributions(SCORECARD, {f: F.col(f"_m_{f}") for f in SCORECARD})
     r = d.select("loan_id", scoring.decision(F.col("score"), F.col("_t")).alias("decision"),
                  F.col("score").alias("pd"), scoring.top_reasons(contribs, list(SCORECARD)).alias("rc"))
@@ -201,8 +200,7 @@ def q_isotonic(spark, sf):
     m = model.train_scorecard(feats(spark, sf, "train"))
     val = model.raw_scores(m, feats(spark, sf, "val"))
     cal = model.fit_isotonic(val)
-    oot = model.calibrate(cal, model.raw_scores(m, feats(spark, sf, "oot")))
-    return oot.select("loan_id", "raw_score", "score", C.TARGET_COL)
+    return model.calibrate(cal, model.raw_scores(m, feats(spark, sf))).select("loan_id", "raw_score", "score", C.TARGET_COL)
 
 
 @register("score_batch")
