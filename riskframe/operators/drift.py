@@ -93,6 +93,63 @@ def psi_table(reference: DataFrame, current: DataFrame, cols: Sequence[str],
         F.coalesce(F.col("n_out_of_range"), F.lit(0)).cast("long").alias("n_out_of_range"))
 
 
+def bin_counts(df: DataFrame, edges: DataFrame, cols: Sequence[str], max_edges: int, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys..., feature, bin, n): values per bin; bin null counts those outside the edges, nulls count 0."""
+    rows = long_form(df, keys, cols).join(F.broadcast(edges.select("feature", "edges")), "feature")
+    hi = F.element_at("edges", -1)
+    idx = F.when(F.col("value") == hi, F.size("edges") - 2).otherwise(bin_index_fast("value", "edges", max_edges) - 1)
+    inside = (F.col("value") >= F.element_at("edges", 1)) & (F.col("value") <= hi)
+    return rows.select(*keys, "feature", "value", F.when(inside, idx).alias("bin")) \
+               .groupBy(*keys, "feature", "bin").agg(F.count("value").alias("n"))
+
+
+def reference_profile(reference: DataFrame, cols: Sequence[str], bins: int = C.PSI_BINS,
+                      mode: str = "quantile") -> DataFrame:
+    """What drift needs of a reference: (feature, edges, n_ref, ref_n), one row per feature.
+
+    `ref_n` holds the values per bin. Saved once (`sources.io.write_table`), it
+    stands in for the reference in every later `psi_from_profile`. A feature
+    without values has no row.
+    """
+    cols = [c for c in cols if c in reference.columns]
+    edges = materialize(psi_edges(reference, cols, bins, mode))
+    counts = bin_counts(reference, edges, cols, bins + 1).where(F.col("bin").isNotNull())
+    held = counts.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("held"))
+    every = F.sequence(F.lit(0), F.size("edges") - 2)
+    return edges.join(held, "feature", "left").select(
+        "feature", "edges", F.col("n_ref").cast("long").alias("n_ref"),
+        F.transform(every, lambda b: F.coalesce(F.col("held")[b], F.lit(0).cast("long"))).alias("ref_n"))
+
+
+def psi_from_profile(profile: DataFrame, current: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """`psi_table` against a saved reference profile, per period (or whatever `keys` are) of `current`.
+
+    One scan of `current`, none of the reference. Features that `current` lacks are
+    skipped; a period whose values of a feature are all null has a null psi; null
+    keys are a period of their own; an empty `current` gives no rows.
+    """
+    sizes = {r.feature: r.k for r in profile.select("feature", F.size("edges").alias("k")).collect()}
+    cols = [c for c in sizes if c in current.columns]
+    counts = bin_counts(current, profile, cols, max([2, *sizes.values()]), keys)
+    per = counts.groupBy(*keys, "feature").agg(
+        F.sum("n").alias("n_cur"), F.sum(F.when(F.col("bin").isNull(), F.col("n")).otherwise(0)).alias("n_out"),
+        F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "n")))).alias("held"))
+    j = per.join(F.broadcast(profile), "feature")
+    every = F.sequence(F.lit(0), F.size("ref_n") - 1)
+    cur_n = F.transform(every, lambda b: F.coalesce(F.col("held")[b], F.lit(0).cast("long")))
+    in_ref = F.aggregate("ref_n", F.lit(0).cast("long"), lambda a, x: a + x)
+
+    def share(n, total):
+        return F.greatest(n / F.greatest(total, F.lit(1)), F.lit(C.PSI_FLOOR))
+    j = j.withColumn("cur_n", cur_n).withColumn("rt", in_ref).withColumn("ct", F.col("n_cur") - F.col("n_out"))
+    terms = F.zip_with("cur_n", "ref_n", lambda c, r: (share(c, F.col("ct")) - share(r, F.col("rt")))
+                       * F.log(share(c, F.col("ct")) / share(r, F.col("rt"))))
+    psi = F.when(F.col("n_cur") > 0, round_dp(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x), 4))
+    return j.select(*keys, "feature", psi.alias("psi"), "n_ref", "n_cur",
+                    F.size("ref_n").cast("long").alias("n_bins"), F.col("n_out").alias("n_out_of_range")) \
+            .withColumn("status", drift_status(F.col("psi")))
+
+
 def category_psi(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
     """PSI with one bin per distinct value (for low-cardinality flags the quantile form is blind to)."""
     ref = long_form(reference, [], cols).where(F.col("value").isNotNull()).withColumn("_side", F.lit(0))

@@ -51,6 +51,14 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
+PROFILE_SCHEMA = "feature string, edges array<double>, n_ref bigint, ref_n array<bigint>"
+
+
+def read_profile(spark: SparkSession, path: str) -> DataFrame:
+    """A reference profile saved with `write_table` (see `operators.drift.reference_profile`)."""
+    return spark.read.schema(PROFILE_SCHEMA).parquet(path)
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet",
                 mode: str = "overwrite") -> None:
     """Write a result table; partitioning by a low-cardinality column enables pruning."""

@@ -71,3 +71,28 @@ def test_psi_open_mode_counts_out_of_range(spark):
     opened = drift.psi_table(r, c, ["x"], mode="open").first()
     assert closed.n_out_of_range == 500 and closed.psi < 0.01
     assert opened.n_out_of_range == 0 and opened.psi > 0.25
+
+
+def test_saved_profile_stands_in_for_the_reference(spark):
+    from riskframe.session import scratch_path
+    from riskframe.sources import io
+    rng = np.random.default_rng(5)
+    ref = spark.createDataFrame([(float(a), float(b), 1.0) for a, b in zip(rng.normal(0, 1, 700), rng.integers(0, 3, 700))],
+                                "a double, b double, gone double")
+    rows = [(d, float(rng.normal(s, 1)), float(rng.integers(0, 3)), None) for d, s in (("d1", 0), ("d2", 2), (None, 1)) for _ in range(200)]
+    cur = spark.createDataFrame(rows + [("d3", None, 1.0, None)], "day string, a double, b double, other double")
+    path = scratch_path(spark, "test-profile")
+    io.write_table(drift.reference_profile(ref, ["a", "b", "gone", "none"]), path)
+    profile = io.read_profile(spark, path)
+    assert profile.count() == 3
+    got = drift.psi_from_profile(profile, cur, ["day"])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") + plan.count("ExternalRDD") <= 1      # the current rows alone
+    found = {(r.day, r.feature): (r.psi, r.n_ref, r.n_cur, r.n_bins, r.n_out_of_range) for r in got.collect()}
+    assert len(found) == 4 * 2
+    for day in ("d1", "d2", "d3", None):
+        part = cur.where(F.col("day").eqNullSafe(F.lit(day)))
+        for r in drift.psi_table(ref, part, ["a", "b"]).collect():
+            assert found[day, r.feature] == (r.psi, r.n_ref, r.n_cur, r.n_bins, r.n_out_of_range)
+    assert found["d3", "a"][0] is None and found["d2", "a"][0] > 0.25
+    assert drift.psi_from_profile(profile, cur.limit(0), ["day"]).count() == 0

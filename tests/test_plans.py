@@ -35,3 +35,15 @@ def test_split_filter_prunes_partitions_and_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(split" in plan and "(split#" in plan
     assert "ReadSchema: struct<>" in plan
+
+
+def test_rewritten_dataset_is_read_again(spark):
+    from riskframe.plans.catalog import ep
+    from riskframe.session import scratch_path
+    sf = scratch_path(spark, "dataset")
+    for t in ("lineitem", "orders", "customer", "nation"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{sf}/{t}.parquet")
+    n = ep(spark, sf).count()
+    assert ep(spark, sf).count() == n > 1000
+    spark.read.parquet(f"{SF}/orders.parquet").limit(1000).write.mode("overwrite").parquet(f"{sf}/orders.parquet")
+    assert ep(spark, sf).count() == 1000
