@@ -12,6 +12,7 @@
 """
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -297,3 +298,69 @@ def load_model(path: str) -> tuple[PipelineModel, IsotonicRegressionModel | None
     spark = SparkSession.getActiveSession()
     cal = IsotonicRegressionModel.load(f"{path}/calibrator") if path_exists(spark, f"{path}/calibrator") else None
     return m, cal
+
+
+@dataclass(frozen=True)
+class Bundle:
+    """What a scoring job needs: the model, its calibrator (or none), its own threshold and its version."""
+    model: PipelineModel
+    calibrator: IsotonicRegressionModel | None
+    threshold: float | None
+    version: str
+
+
+MANIFEST_SCHEMA = "version string, number long, threshold double, calibrated boolean"
+
+
+def _manifests(spark: SparkSession, root: str) -> list:
+    if not path_exists(spark, root):
+        return []
+    return spark.read.schema(MANIFEST_SCHEMA).option("pathGlobFilter", "manifest.json") \
+        .option("recursiveFileLookup", True).json(root).orderBy("number", "version").collect()
+
+
+def save_bundle(spark: SparkSession, bundle: Bundle, root: str) -> str:
+    """Write a bundle below `root` and return its folder.
+
+    The manifest comes last and by a rename, so readers see a version whole or not
+    at all; a save that was cut short leaves no manifest and may be repeated. A
+    version that has a manifest is not overwritten (ValueError).
+    """
+    known = _manifests(spark, root)
+    if bundle.version in {m.version for m in known}:
+        raise ValueError(f"version {bundle.version!r} is already saved")
+    path = f"{root}/{bundle.version}"
+    save_model(bundle.model, bundle.calibrator, path)
+    number = 1 + max((m.number for m in known), default=0)
+    text = json.dumps({"version": bundle.version, "number": number, "threshold": bundle.threshold,
+                       "calibrated": bundle.calibrator is not None})
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    draft, final = hadoop(f"{path}/_manifest.draft"), hadoop(f"{path}/manifest.json")
+    fs = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(draft, True)
+    out.write(text.encode())
+    out.close()
+    if not fs.rename(draft, final):
+        raise OSError(f"could not write {final.toString()}")
+    return path
+
+
+def load_bundle(spark: SparkSession, root: str, version: str | None = None) -> Bundle:
+    """A saved bundle, the last one saved by default; LookupError where there is none."""
+    found = [m for m in _manifests(spark, root) if version is None or m.version == version]
+    if not found:
+        raise LookupError(f"no bundle {version or ''} in {root}")
+    m = found[-1]
+    path = f"{root}/{m.version}"
+    calibrator = IsotonicRegressionModel.load(f"{path}/calibrator") if m.calibrated else None
+    return Bundle(PipelineModel.load(f"{path}/model"), calibrator, m.threshold, m.version)
+
+
+def score_bundle(bundle: Bundle, df: DataFrame) -> DataFrame:
+    """`score_batch` with the bundle's own parts and threshold, and its version as a column.
+
+    Works on batch and streaming frames alike. Only a bundle saved without a
+    threshold takes the configured one.
+    """
+    return score_batch(bundle.model, bundle.calibrator, df, bundle.threshold) \
+        .withColumn("model_version", F.lit(bundle.version))

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators import gates, model, quality, scoring
+from ..operators import cost, gates, model, quality, scoring
 from ..session import scratch_path
 from ..sources import io
 from ..sources.testview import with_episodes
@@ -218,15 +218,23 @@ def q_importance(spark, sf):
     return model.feature_importance(fitted.model, fitted.feature_cols, 15)
 
 
+def scorecard_bundle(spark, sf, version: str) -> model.Bundle:
+    """Scorecard of the first split, calibrated on the second, which also chooses the threshold."""
+    m = model.train_scorecard(feats(spark, sf, "train"))
+    raw = model.raw_scores(m, feats(spark, sf, "val"))
+    cal = model.fit_isotonic(raw)
+    val = model.calibrate(cal, raw).withColumn("label", F.col(C.TARGET_COL))
+    best = cost.min_cost_threshold(val).first()
+    return model.Bundle(m, cal, float(best["threshold"]) if best else None, version)
+
+
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf):
-    m = model.train_scorecard(feats(spark, sf, "train"))
-    cal = model.fit_isotonic(model.raw_scores(m, feats(spark, sf, "val")))
-    path = scratch_path(spark, "model")
-    model.save_model(m, cal, path)
-    m2, cal2 = model.load_model(path)
+    root = scratch_path(spark, "models")
+    model.save_bundle(spark, scorecard_bundle(spark, sf, "scorecard-1"), root)
     raw = ep(spark, sf).select("loan_id", *C.RAW_FEATURE_COLUMNS)
-    return model.score_batch(m2, cal2, raw, None).select("loan_id", "score", "decision")
+    return model.score_bundle(model.load_bundle(spark, root), raw).select(
+        "loan_id", "score", "decision", "threshold_used", "model_version")
 
 
 @register("reason_codes_gbt")

@@ -6,10 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..operators import model
 from ..session import scratch_path
 from ..sources.testview import expand_rnd, fixed_score, table, with_episodes
 from ..streaming import stream as S
 from .catalog import ep
+from .catalog_model import scorecard_bundle
 from .catalog_scores import DEP, SC, deployment_threshold, scored
 from .registry import normalize, register
 
@@ -65,6 +67,16 @@ def q_stream_score(spark, sf):
     return normalize(spark.read.parquet(out).select("loan_id", "pd", "decision", "threshold", "model_version"))
 
 
+@register("stream_score_model")
+def q_stream_score_model(spark, sf):
+    root = scratch_path(spark, "models")
+    model.save_bundle(spark, scorecard_bundle(spark, sf, "scorecard-1"), root)
+    src = S.file_stream(spark, _request_files(spark, sf), max_files=2)
+    out, ckpt = S.scratch(spark, "model-scores")
+    S.score_stream_bundle(src, model.load_bundle(spark, root), out, ckpt)
+    return normalize(spark.read.parquet(out).select("loan_id", "raw_score", "pd", "decision", "threshold", "model_version"))
+
+
 def _psi_stream_query(spark, sf, window: str, slide: str | None):
     ref = table(spark, sf, "events").where(F.col("ts") < F.lit(REF_END).cast("timestamp_ntz")) \
         .select(F.col("value").cast("double").alias("value"))

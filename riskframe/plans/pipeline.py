@@ -43,16 +43,18 @@ def evaluate_scores(scored: DataFrame, configured: float = C.CONFIGURED_THRESHOL
 
 
 def train_pipeline(episodes: DataFrame, cfg: C.TrainingConfig = C.TrainingConfig(),
-                   split_col: str = "split") -> dict[str, DataFrame]:
+                   split_col: str = "split", bundle_root: str | None = None, version: str = "gbt-1") -> dict[str, DataFrame]:
     """End-to-end training flow (M7): fit on train, choose trees and calibrate on val,
     choose the min-cost threshold on val (calibrated), grade on OOT only.
 
     Returns result tables: metrics (long form), fairness audit, model gate
     checks, per-iteration validation loss, importances and the OOT scores.
-    Only one scalar (the deployment threshold) is brought to the driver.
+    Only one scalar (the deployment threshold) is brought to the driver. With
+    `bundle_root` the model, calibrator and threshold are saved there as `version`.
     """
     from ..operators import fairness, features, gates, model
     from ..session import materialize
+    spark = episodes.sparkSession
     feats = features.build_features(episodes, validate=False, keys=(C.KEY_COL, split_col))
     train = feats.where(F.col(split_col) == "train")
     val = feats.where(F.col(split_col) == "val")
@@ -62,8 +64,10 @@ def train_pipeline(episodes: DataFrame, cfg: C.TrainingConfig = C.TrainingConfig
     scored = model.calibrate(cal, raw).withColumn("label", F.col(C.TARGET_COL))
     dep_row = cost.min_cost_threshold(scored.where(F.col(split_col) == "val"), cfg.cost).first()
     dep = float(dep_row["threshold"]) if dep_row else cfg.threshold
+    bundle = model.Bundle(fitted.model, cal, dep, version)
+    if bundle_root is not None:
+        model.save_bundle(spark, bundle, bundle_root)
     metrics_long = evaluate_scores(scored, cfg.threshold, cfg.cost)
-    spark = episodes.sparkSession
     auc_split = metrics.roc_auc(scored.withColumn("score", F.col("raw_score")), group_cols=[split_col])
     extra = auc_split.select(F.lit("train_val_check").alias("operating_point"),
                              F.concat(F.col(split_col), F.lit("_auc")).alias("metric"),
@@ -83,4 +87,4 @@ def train_pipeline(episodes: DataFrame, cfg: C.TrainingConfig = C.TrainingConfig
     return {"metrics": metrics_long.unionByName(extra).unionByName(it), "fairness": fair,
             "validation": checks, "val_losses": losses,
             "importance": model.feature_importance(fitted.model, fitted.feature_cols),
-            "scores": scored, "model": fitted, "calibrator": cal, "threshold": dep}
+            "scores": scored, "model": fitted, "calibrator": cal, "threshold": dep, "bundle": bundle}

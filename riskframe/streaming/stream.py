@@ -23,6 +23,7 @@ from .. import config as C
 from ..functions.prims import bin_index_fast, round_dp
 from ..operators import quality
 from ..operators.drift import drift_status, psi_edges
+from ..operators.model import Bundle, score_bundle
 from ..session import materialize, scratch_path
 
 
@@ -73,6 +74,20 @@ def score_stream(src: DataFrame, score_fn: Callable[[DataFrame], DataFrame], thr
                   .outputMode("append"))
 
 
+def score_stream_bundle(src: DataFrame, bundle: Bundle, out: str, ckpt: str) -> None:
+    """ST2 with a saved model: score, decision, threshold and version come from the bundle.
+
+    The checkpoint belongs to one version: score the backlog of another version
+    with a checkpoint of its own.
+    """
+    scored = score_bundle(bundle, src)
+    audit = scored.select(
+        "loan_id", "raw_score", F.col("score").alias("pd"), "decision", F.col("threshold_used").alias("threshold"),
+        "model_version", F.to_json(F.struct(*[F.col(c) for c in C.RAW_FEATURE_COLUMNS if c in src.columns])).alias("features_json"))
+    run_available(audit.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+                  .outputMode("append"))
+
+
 def reference_bins(reference: DataFrame, value_col: str, bins: int = C.PSI_BINS) -> tuple[DataFrame, DataFrame]:
     """Edges (one row) and reference proportions per bin from a batch reference window."""
     e = materialize(psi_edges(reference.select(F.col(value_col).alias("value")), ["value"], bins).select("edges"))
