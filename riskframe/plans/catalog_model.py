@@ -141,6 +141,28 @@ def q_scan_csv(spark, sf):
     return normalize(io.read_episodes(spark, path, fmt="csv"))
 
 
+#: Rows that the written CSV spoils: a number that is none, a date that is none.
+_SPOILED_NUMBER, _SPOILED_DATE = "crb_flagged = 1", "county = 'BRAZIL'"
+
+
+@register("scan_csv_quarantine", with_episodes(
+    f"SELECT loan_id, NOT ({_SPOILED_NUMBER} OR {_SPOILED_DATE}) AS good, CASE WHEN NOT ({_SPOILED_NUMBER} OR {_SPOILED_DATE}) "
+    f"THEN strftime(draw_date, '%Y-%m-%d') END AS draw_date, CASE WHEN NOT ({_SPOILED_NUMBER} OR {_SPOILED_DATE}) "
+    "THEN RND(utilization_rate, 6) END AS utilization_rate FROM ep"))
+def q_scan_csv_quarantine(spark, sf):
+    """Episodes through a CSV with spoiled rows: good ones come back typed, bad ones as their lines."""
+    path, out = scratch_path(spark, "episodes-csv"), scratch_path(spark, "csv-quarantine")
+    spoiled = ep(spark, sf).select(*[F.col(c).cast("string").alias(c) for c in CSV_COLS]).withColumns({
+        "utilization_rate": F.when(F.expr(_SPOILED_NUMBER), "n/a").otherwise(F.col("utilization_rate")),
+        "draw_date": F.when(F.expr(_SPOILED_DATE), "soon").otherwise(F.col("draw_date"))})
+    io.write_table(spoiled, path, fmt="csv")
+    io.quarantine_csv(spark, path, out)
+    good = spark.read.parquet(f"{out}/good").select("loan_id", F.lit(True).alias("good"), "draw_date", "utilization_rate")
+    bad = spark.read.parquet(f"{out}/bad").select(F.split_part("record", F.lit(","), F.lit(1)).cast("long").alias("loan_id"),
+                                                  F.lit(False).alias("good"))
+    return normalize(good.unionByName(bad, allowMissingColumns=True))
+
+
 @register("sink_features_roundtrip", with_episodes(
     f"SELECT loan_id, {feat_select()}, defaulted_30d, split FROM feat", FEAT_CTE))
 def q_sink_roundtrip(spark, sf):

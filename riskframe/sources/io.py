@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions.prims import clean_nan
-from ..session import path_exists
+from ..session import path_exists, stored
 
 _INT = T.IntegerType()
 _DBL = T.DoubleType()
@@ -41,6 +41,38 @@ def read_episodes(spark: SparkSession, path: str, fmt: str = "parquet",
     return clean_nan(df)
 
 
+def read_episodes_checked(spark: SparkSession, path: str,
+                          schema: T.StructType = EPISODE_SCHEMA) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) rows of a CSV with header, from one pass over the files.
+
+    A row whose fields don't parse as the schema's types, or that has too few or too
+    many of them, is bad whole: (source_file, record) with the line as read. `good`
+    has the schema's columns (K1 applied); an empty field is null and not bad. A
+    header that names other columns raises. The parsed rows are written first: read
+    with fewer columns, the parser would not look at the others and miss their faults.
+    """
+    marked = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    rows = (spark.read.schema(marked).option("header", True).option("enforceSchema", False)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").csv(path)
+            .select("*", F.col("_metadata.file_path").alias("_source_file")))
+    parsed = stored(rows, "csv-rows")
+    bad = F.col("_corrupt_record").isNotNull()
+    return (clean_nan(parsed.where(~bad).select(*schema.names)),
+            parsed.where(bad).select(F.col("_source_file").alias("source_file"), F.col("_corrupt_record").alias("record")))
+
+
+def quarantine_csv(spark: SparkSession, path: str, out: str, schema: T.StructType = EPISODE_SCHEMA) -> DataFrame:
+    """Write the good rows of a CSV to `out`/good and the bad ones to `out`/bad.
+
+    Returns one row: n_good, n_bad and bad_share (null without rows).
+    """
+    for name, rows in zip(("good", "bad"), read_episodes_checked(spark, path, schema)):
+        write_table(rows, f"{out}/{name}")
+    counts = [spark.read.parquet(f"{out}/{name}").agg(F.count(F.lit(1)).alias(f"n_{name}")) for name in ("good", "bad")]
+    return counts[0].crossJoin(counts[1]).withColumn(
+        "bad_share", F.try_divide(F.col("n_bad").cast("double"), F.col("n_good") + F.col("n_bad")))
+
+
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     """Scan a feature table, projecting key + 20 features + target (pruned at the scan)."""
     return clean_nan(spark.read.parquet(path).select("loan_id", *C.FEATURE_COLUMNS, C.TARGET_COL))

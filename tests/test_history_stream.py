@@ -3,7 +3,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.operators import history
+from riskframe.operators import drift, history
 from riskframe.streaming import stream as S
 from riskframe.session import scratch_path
 
@@ -168,5 +168,8 @@ def test_psi_stream_equals_batch(spark):
     S.psi_stream(S.file_stream(spark, path, 1), edges, props, out, ckpt)
     streamed = {r.window_start: r.psi for r in S.psi_from_counts(spark.read.parquet(f"{out}/counts"), props).collect()}
     assert len(streamed) == 6
+    for start, psi in streamed.items():
+        day = ev.where(F.date_trunc("day", "ts") == F.lit(start)).select("value")
+        assert psi == drift.psi_table(ref, day, ["value"]).first().psi
     late = [v for k, v in sorted(streamed.items())][4:]
     assert all(v > 0.25 for v in late)
