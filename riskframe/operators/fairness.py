@@ -7,10 +7,8 @@ uses unrounded rates with a 1e-9 floor, as the reference does; both are kept.
 """
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -145,7 +143,7 @@ def ztest_table(df: DataFrame, threshold: float | str, score: str = "score",
     """Two-proportion z (pooled) of FPR and FNR between the sides of each proxy.
 
     Returns one row per (proxy, rate) with the counts and z; p-values are added by
-    `ztest_pvalues` (Arrow batches over this small table).
+    `ztest_pvalues`.
     """
     row = group_counts(df, threshold, score, label)
     out = []
@@ -165,48 +163,84 @@ def ztest_table(df: DataFrame, threshold: float | str, score: str = "score",
     return row.select(F.explode(F.array(*out)).alias("s")).select("s.*")
 
 
-def _fisher_two_sided(xa: int, na: int, xb: int, nb: int) -> float:
-    """Two-sided Fisher exact p for the 2x2 table [[xa, na-xa], [xb, nb-xb]].
+#: Half width of the tables that Fisher's sum visits around the mode: so many standard deviations and tables more.
+#: Beyond it a table weighs less than 1e-300.
+FISHER_SDS, FISHER_MORE = 40, 800
+#: Tables that one row unfolds into before they are summed.
+FISHER_BLOCK = 65_536
 
-    Table weights relative to the mode follow from the ratio of neighbours and
-    are walked outward until they vanish: about 80 standard deviations of
-    steps, whatever the counts, without the digits that log-gamma loses.
+
+def erfc_sql(x: str) -> str:
+    """SQL text of erfc(x) for x >= 0: the all-positive series of erf below 2, from there its continued fraction."""
+    series = (f"aggregate(sequence(1, 60), struct({x} AS t, {x} AS s), (a, j) -> struct(a.t * 2 * {x} * {x} / (2 * j + 1) AS t, "
+              f"a.s + a.t * 2 * {x} * {x} / (2 * j + 1) AS s), a -> a.s)")
+    fraction = f"aggregate(sequence(150, 1, -1), 0D, (a, j) -> j / 2D / ({x} + a))"
+    return (f"CASE WHEN {x} < 2 THEN 1 - 2 / sqrt(pi()) * exp(-{x} * {x}) * {series} "
+            f"ELSE exp(-{x} * {x}) / (sqrt(pi()) * ({x} + {fraction})) END")
+
+
+def _stirling_error(n: str) -> str:
+    """log n! minus Stirling's formula: from log-gamma's recursion below 16, its asymptotic series above."""
+    exact = f"(aggregate(sequence(1, 15), 0D, (a, j) -> a + CASE WHEN j <= {n} THEN ln(j) ELSE 0D END) - ({n} + 0.5) * ln({n}) + {n} " \
+            "- 0.5 * ln(2 * pi()))"
+    series = f"((1 / 12D - (1 / 360D - (1 / 1260D - 1 / 1680D / {n} / {n}) / {n} / {n}) / {n} / {n}) / {n})"
+    return f"CASE WHEN {n} <= 0 THEN 0D WHEN {n} < 16 THEN {exact} ELSE {series} END"
+
+
+def _deviance(x: str, m: str) -> str:
+    """x ln(x / m) + m - x without the digits that cancel where x is near m."""
+    v = f"(({x} - {m}) / ({x} + {m}))"
+    odd = " + ".join(f"pow({v}, {2 * j + 1}) / {2 * j + 1}" for j in range(1, 9))
+    near = f"(({x} - {m}) * {v} + 2 * {x} * ({odd}))"
+    return f"CASE WHEN {x} <= 0 THEN {m} WHEN abs({x} - {m}) < 0.1 * ({x} + {m}) THEN {near} ELSE {x} * ln({x} / {m}) + {m} - {x} END"
+
+
+def _log_binomial(x: str, n: str, p: str, q: str) -> str:
+    """ln P(x of n) in saddle-point form: as exact for 10^12 as for 10."""
+    y = f"({n} - {x})"
+    mid = (f"({_stirling_error(n)}) - ({_stirling_error(x)}) - ({_stirling_error(y)}) - ({_deviance(x, f'({n} * {p})')}) "
+           f"- ({_deviance(y, f'({n} * {q})')}) - 0.5 * ln(2 * pi() * {x} * ({y} / {n}))")
+    return f"CASE WHEN {n} <= 0 THEN 0D WHEN {x} <= 0 THEN {n} * ln({q}) WHEN {y} <= 0 THEN {n} * ln({p}) ELSE {mid} END"
+
+
+def _log_table(x: str) -> str:
+    """ln of the weight of the 2x2 table with x in the first cell (columns na, nb, k): its three binomials at rate k / (na + nb)."""
+    return f"({_log_binomial(x, 'na', 'p', 'q')}) + ({_log_binomial(f'(k - {x})', 'nb', 'p', 'q')})"
+
+
+def fisher_pvalues(z: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, p_fisher): two-sided Fisher exact p of [[x_a, n_a - x_a], [x_b, n_b - x_b]], all in column expressions.
+
+    The p sums the weights of all tables with these margins that weigh no more
+    than the given one. Tables lie within FISHER_SDS standard deviations of the
+    mode, unfold in blocks of FISHER_BLOCK and are summed in parallel. Sides
+    without rows have a null p; margins with a single table have p = 1.
     """
-    k = xa + xb
-    lo, hi = max(0, k - nb), min(k, na)
-    mode = min(hi, max(lo, (k + 1) * (na + 1) // (na + nb + 2)))
-    weights = {mode: 1.0}
-    x, w = mode, 1.0
-    while x < hi and w > 1e-300:
-        w *= (na - x) * (k - x) / ((x + 1) * (nb - k + x + 1))
-        x += 1
-        weights[x] = w
-    x, w = mode, 1.0
-    while x > lo and w > 1e-300:
-        w *= x * (nb - k + x) / ((na - x + 1) * (k - x + 1))
-        x -= 1
-        weights[x] = w
-    seen = weights.get(xa, 0.0) * (1 + 1e-7)
-    return min(1.0, math.fsum(v for v in weights.values() if v <= seen) / math.fsum(weights.values()))
+    d = z.where("n_a > 0 AND n_b > 0").selectExpr(
+        *keys, "cast(x_a AS double) AS xa", "cast(n_a AS double) AS na", "cast(n_b AS double) AS nb", "cast(x_a + x_b AS double) AS k")
+    d = d.selectExpr("*", "k / (na + nb) AS p", "(na + nb - k) / (na + nb) AS q").selectExpr(
+        "*", "sqrt(na * p * q * nb / greatest(na + nb - 1, 1D)) AS sd", "na * p AS mode")
+    wide = f"({FISHER_SDS} * sd + {FISHER_MORE})"
+    d = d.selectExpr("*", f"cast(greatest(0D, k - nb, floor(mode - {wide})) AS long) AS lo",
+                     f"cast(least(k, na, ceil(mode + {wide})) AS long) AS hi").withColumn(
+        "seen", F.expr(f"CASE WHEN p > 0 AND q > 0 THEN {_log_table('xa')} ELSE 0D END"))
+    blocks = d.selectExpr("*", f"explode(sequence(lo, hi, {FISHER_BLOCK}L)) AS b")
+    spread = int(z.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tables = blocks.repartition(spread, *keys, "b").selectExpr("*", f"explode(sequence(b, least(hi, b + {FISHER_BLOCK - 1}))) AS t") \
+        .withColumn("x", F.col("t").cast("double"))
+    tables = tables.withColumn("w", F.expr(f"CASE WHEN p > 0 AND q > 0 THEN {_log_table('x')} ELSE 0D END"))
+    top = F.exp(F.col("w"))
+    return tables.groupBy(*keys).agg(F.sum(F.when(F.col("w") <= F.col("seen") + 1e-7, top)).alias("s"), F.sum(top).alias("a")).select(
+        *keys, F.least(F.lit(1.0), F.coalesce(F.try_divide("s", "a"), F.lit(0.0))).alias("p_fisher"))
 
 
 def ztest_pvalues(z: DataFrame, tests: int = 4, alpha: float = 0.05) -> DataFrame:
-    """Add two-sided z-test and Fisher exact p-values + Bonferroni flag (mapInPandas; the
-    input is the handful of rows of `ztest_table`, Spark SQL has no erfc / lgamma)."""
-    bonf = alpha / tests
-
-    def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            pz, pf = [], []
-            for r in pdf.itertuples(index=False):
-                pz.append(math.erfc(abs(r.z) / math.sqrt(2)) if r.z is not None and not pd.isna(r.z) else None)
-                pf.append(_fisher_two_sided(int(r.x_a), int(r.n_a), int(r.x_b), int(r.n_b))
-                          if r.n_a > 0 and r.n_b > 0 else None)
-            pdf = pdf.assign(p_z=pz, p_fisher=pf)
-            pdf["passes_bonferroni"] = pdf["p_z"].apply(lambda p: None if p is None or pd.isna(p) else bool(p < bonf))
-            yield pdf
-    schema = z.schema.simpleString()[len("struct<"):-1] + ",p_z:double,p_fisher:double,passes_bonferroni:boolean"
-    return z.mapInPandas(fn, schema)
+    """Add two-sided z-test and Fisher exact p-values and the Bonferroni flag, as column expressions."""
+    keys = ["proxy", "rate"]
+    p_z = F.expr(erfc_sql("(abs(z) / sqrt(2D))"))
+    cols = [F.col(c) for c in z.columns]
+    return (z.join(F.broadcast(fisher_pvalues(z, keys)), keys, "left")
+            .select(*cols, p_z.alias("p_z"), "p_fisher").withColumn("passes_bonferroni", F.col("p_z") < alpha / tests))
 
 
 def approved_pool_rate(df: DataFrame, threshold: float | Column, score: str = "score",

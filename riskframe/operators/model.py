@@ -4,9 +4,8 @@
   (parameter map in SURVEY 4.3). MLlib has no patience, so rounds are fitted in
   blocks of growing length until the best validation AUC lies `patience` rounds
   back; the ensemble is then cut after its best round (same seed -> same trees).
-* Isotonic calibration (M3) is fitted on the validation split's distinct-score
-  table (K4) with the count as weight -- identical to a fit on raw rows, but
-  the fit input is at most the number of distinct scores.
+* Isotonic calibration (M3) pools adjacent violators in parallel over the
+  validation split's distinct-score table (`operators.isotonic`).
 * Scoring (M4) is `transform` + `vector_to_array`; it runs unchanged on
   streaming DataFrames.
 """
@@ -22,13 +21,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.prims import counted_side, score_hist
 from ..session import materialize, path_exists
+from . import isotonic
+from .isotonic import IsotonicTable
 
 
 def assembler(feature_cols: Sequence[str] = C.FEATURE_COLUMNS) -> VectorAssembler:
@@ -249,21 +249,16 @@ def raw_scores(model: PipelineModel, df: DataFrame, out: str = "raw_score") -> D
     return t.select(*keep, vector_to_array(F.col("probability"))[1].alias(out))
 
 
-def fit_isotonic(scored_val: DataFrame, raw: str = "raw_score", label: str = C.TARGET_COL) -> IsotonicRegressionModel:
-    """Isotonic calibrator on the distinct-score table (weights = counts), clipping outside."""
-    h = score_hist(scored_val, raw, label).select(
-        F.col(raw).alias("x"), (F.col("pos") / F.col("n")).alias("y"), F.col("n").cast("double").alias("w"))
-    return IsotonicRegression(featuresCol="x", labelCol="y", weightCol="w", isotonic=True).fit(h)
+def fit_isotonic(scored_val: DataFrame, raw: str = "raw_score", label: str = C.TARGET_COL) -> IsotonicTable:
+    """Isotonic calibrator of the validation scores (see `operators.isotonic`), clipping outside."""
+    return isotonic.fit_isotonic(scored_val, raw, label)
 
 
-def calibrate(calibrator: IsotonicRegressionModel, df: DataFrame, raw: str = "raw_score",
-              out: str = "score") -> DataFrame:
-    keep = df.columns
-    t = calibrator.setFeaturesCol(raw).setPredictionCol("_cal").transform(df)
-    return t.select(*keep, F.col("_cal").alias(out))
+def calibrate(calibrator: IsotonicTable, df: DataFrame, raw: str = "raw_score", out: str = "score") -> DataFrame:
+    return calibrator.transform(df, raw, out)
 
 
-def score_batch(model: PipelineModel, calibrator: IsotonicRegressionModel | None, df: DataFrame,
+def score_batch(model: PipelineModel, calibrator: IsotonicTable | None, df: DataFrame,
                 threshold: float | None) -> DataFrame:
     """Derive -> predict -> calibrate -> decide (M4). Missing calibrator: raw score;
     missing threshold: the configured 0.30 fallback of the reference service."""
@@ -286,17 +281,17 @@ def feature_importance(model: PipelineModel, feature_cols: Sequence[str], k: int
     return df.orderBy(F.col("importance").desc(), F.col("feature")).limit(k)
 
 
-def save_model(model: PipelineModel, calibrator: IsotonicRegressionModel | None, path: str) -> None:
-    """MLlib persistence of the pipeline and the calibrator."""
+def save_model(model: PipelineModel, calibrator: IsotonicTable | None, path: str) -> None:
+    """MLlib persistence of the pipeline, and the calibrator's tiles as Parquet."""
     model.write().overwrite().save(f"{path}/model")
     if calibrator is not None:
-        calibrator.write().overwrite().save(f"{path}/calibrator")
+        calibrator.save(f"{path}/calibrator")
 
 
-def load_model(path: str) -> tuple[PipelineModel, IsotonicRegressionModel | None]:
+def load_model(path: str) -> tuple[PipelineModel, IsotonicTable | None]:
     m = PipelineModel.load(f"{path}/model")
     spark = SparkSession.getActiveSession()
-    cal = IsotonicRegressionModel.load(f"{path}/calibrator") if path_exists(spark, f"{path}/calibrator") else None
+    cal = IsotonicTable.load(spark, f"{path}/calibrator") if path_exists(spark, f"{path}/calibrator") else None
     return m, cal
 
 
@@ -304,7 +299,7 @@ def load_model(path: str) -> tuple[PipelineModel, IsotonicRegressionModel | None
 class Bundle:
     """What a scoring job needs: the model, its calibrator (or none), its own threshold and its version."""
     model: PipelineModel
-    calibrator: IsotonicRegressionModel | None
+    calibrator: IsotonicTable | None
     threshold: float | None
     version: str
 
@@ -352,7 +347,7 @@ def load_bundle(spark: SparkSession, root: str, version: str | None = None) -> B
         raise LookupError(f"no bundle {version or ''} in {root}")
     m = found[-1]
     path = f"{root}/{m.version}"
-    calibrator = IsotonicRegressionModel.load(f"{path}/calibrator") if m.calibrated else None
+    calibrator = IsotonicTable.load(spark, f"{path}/calibrator") if m.calibrated else None
     return Bundle(PipelineModel.load(f"{path}/model"), calibrator, m.threshold, m.version)
 
 

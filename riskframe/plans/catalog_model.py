@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.prims import score_hist
 from ..operators import cost, gates, model, quality, scoring
 from ..session import scratch_path
 from ..sources import io
@@ -225,6 +226,25 @@ def q_isotonic(spark, sf):
     return model.calibrate(cal, model.raw_scores(m, feats(spark, sf))).select("loan_id", "raw_score", "score", C.TARGET_COL)
 
 
+#: Max-min form of the isotonic fit: the largest, over starts, of the smallest mean up to any end.
+ISOTONIC_SQL = with_episodes(
+    "SELECT RND(h.score, 6) AS score, h.pos, h.n, RND(f.fitted, 6) AS fitted FROM ih h JOIN ifit f ON f.i = h.i",
+    "ih AS (SELECT score, pos, n, ROW_NUMBER() OVER (ORDER BY score) AS i, SUM(pos) OVER (ORDER BY score) AS cp, "
+    "SUM(n) OVER (ORDER BY score) AS cn FROM (SELECT score, CAST(SUM(defaulted_30d) AS BIGINT) AS pos, COUNT(*) AS n "
+    "FROM ep WHERE score IS NOT NULL AND defaulted_30d IS NOT NULL GROUP BY score) g),\n"
+    "im AS (SELECT a.i AS a, b.i AS i, CAST(b.cp - a.cp + a.pos AS DOUBLE) / CAST(b.cn - a.cn + a.n AS DOUBLE) AS m "
+    "FROM ih a JOIN ih b ON b.i >= a.i),\n"
+    "imin AS (SELECT i, MIN(m) OVER (PARTITION BY a ORDER BY i DESC) AS m FROM im),\n"
+    "ifit AS (SELECT i, MAX(m) AS fitted FROM imin GROUP BY i)")
+
+
+@register("isotonic_fit", ISOTONIC_SQL)
+def q_isotonic_fit(spark, sf):
+    d = ep(spark, sf).select("score", C.TARGET_COL)
+    hist = score_hist(d, "score", C.TARGET_COL)
+    return normalize(model.fit_isotonic(d, "score").transform(hist, "score", "fitted").select("score", "pos", "n", "fitted"))
+
+
 @register("score_batch")
 def q_score_batch(spark, sf):
     m = model.train_scorecard(feats(spark, sf, "train"))

@@ -252,8 +252,9 @@ def q_fairness_audit(spark, sf):
     return normalize(fairness.fairness_audit(d, "_t"))
 
 
-def _ztest_sql() -> str:
+def _ztest_sql(exact: bool = False) -> str:
     parts = []
+    rounded = (lambda e: e) if exact else (lambda e: f"RND({e}, 6)")
     for name in AUDIT_SIDES:
         for rate, (num, oth) in (("fpr", ("fp", "tn")), ("fnr", ("fn", "tp"))):
             xa, oa, xb, ob = (f"{name}_a_{num}", f"{name}_a_{oth}", f"{name}_b_{num}", f"{name}_b_{oth}")
@@ -263,8 +264,8 @@ def _ztest_sql() -> str:
             se = f"SQRT({pool} * (1 - {pool}) * (1.0 / NULLIF({na}, 0) + 1.0 / NULLIF({nb}, 0)))"
             parts.append(
                 f"SELECT '{name}' AS proxy, '{rate}' AS rate, {xa} AS x_a, {na} AS n_a, {xb} AS x_b, {nb} AS n_b, "
-                f"RND({pa}, 6) AS rate_a, RND({pb}, 6) AS rate_b, "
-                f"RND(CASE WHEN {se} > 0 THEN ({pa} - {pb}) / {se} END, 6) AS z FROM gc")
+                f"{rounded(pa)} AS rate_a, {rounded(pb)} AS rate_b, "
+                f"{rounded(f'CASE WHEN {se} > 0 THEN ({pa} - {pb}) / {se} END')} AS z FROM gc")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -274,7 +275,28 @@ def q_fairness_ztest(spark, sf):
     return normalize(fairness.ztest_table(d, "_t"))
 
 
-@register("fairness_pvalues")
+def _pvalues_sql() -> str:
+    """erfc from the series over half-integer gammas, Fisher's sum from log-gammas over every table with the margins."""
+    def ways(n, x):
+        return f"(LGAMMA({n} + 1) - LGAMMA({x} + 1) - LGAMMA({n} - {x} + 1))"
+    weight = f"{ways('n_a', 'x')} + {ways('n_b', '(x_a + x_b - x)')} - {ways('(n_a + n_b)', '(x_a + x_b)')}"
+    ctes = (
+        "zt AS (SELECT proxy, rate, x_a, n_a, x_b, n_b, rate_a, rate_b, z FROM (" + _ztest_sql(exact=True) + ") r),\n"
+        "ft AS (SELECT *, UNNEST(range(GREATEST(0, x_a + x_b - n_b), LEAST(x_a + x_b, n_a) + 1)) AS x FROM zt WHERE n_a > 0 AND n_b > 0),\n"
+        f"fw AS (SELECT proxy, rate, x, x_a, EXP({weight}) AS w FROM ft),\n"
+        "fs AS (SELECT proxy, rate, MAX(w) FILTER (WHERE x = x_a) AS seen FROM fw GROUP BY ALL),\n"
+        "fp AS (SELECT w.proxy, w.rate, LEAST(1.0::DOUBLE, SUM(w) FILTER (WHERE w.w <= s.seen * (1 + 1e-7)) / SUM(w)) AS p_fisher "
+        "FROM fw w JOIN fs s ON s.proxy = w.proxy AND s.rate = w.rate GROUP BY ALL),\n"
+        "pz AS (SELECT proxy, rate, CASE WHEN z = 0 THEN 1.0::DOUBLE WHEN ABS(z) > 12 THEN 0.0::DOUBLE ELSE 1 - list_sum(list_transform("
+        "range(0, 400), lambda j: EXP((2 * j + 1) * LN(ABS(z) / SQRT(2.0)) - LGAMMA(j + 1.5) - z * z / 2))) END AS p_z FROM zt)")
+    return with_episodes(
+        "SELECT t.proxy, t.rate, t.x_a, t.n_a, t.x_b, t.n_b, RND(t.rate_a, 6) AS rate_a, RND(t.rate_b, 6) AS rate_b, RND(t.z, 6) AS z, "
+        f"RND(p.p_z, 6) AS p_z, RND(f.p_fisher, 6) AS p_fisher, p.p_z < {0.05 / 4!r}::DOUBLE AS passes_bonferroni "
+        "FROM zt t JOIN pz p ON p.proxy = t.proxy AND p.rate = t.rate LEFT JOIN fp f ON f.proxy = t.proxy AND f.rate = t.rate",
+        SC + ",\n" + DEP + ",\n" + GC + ",\n" + ctes)
+
+
+@register("fairness_pvalues", _pvalues_sql())
 def q_fairness_pvalues(spark, sf):
     d = with_deployment(scored(spark, sf))
     return normalize(fairness.ztest_pvalues(fairness.ztest_table(d, "_t")))

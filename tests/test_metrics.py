@@ -101,9 +101,10 @@ def test_fairness_gate_unfair_and_fair(spark):
     assert fairness.fairness_gate(one, 0.5, [C.FairnessConfig("grp")]).count() == 0
 
 
-def test_fisher_matches_known_value():
+def test_fisher_matches_known_value(spark):
     # 2x2 [[3, 1], [1, 3]]: two-sided Fisher p = 0.4857
-    assert fairness._fisher_two_sided(3, 4, 1, 4) == pytest.approx(0.485714, abs=1e-5)
+    z = spark.createDataFrame([("p", 3, 4, 1, 4)], "proxy string, x_a long, n_a long, x_b long, n_b long")
+    assert fairness.fisher_pvalues(z, ["proxy"]).first().p_fisher == pytest.approx(0.485714, abs=1e-5)
 
 
 def test_forbidden_features(spark):
