@@ -130,7 +130,11 @@ def psi_from_profile(profile: DataFrame, current: DataFrame, keys: Sequence[str]
     """
     sizes = {r.feature: r.k for r in profile.select("feature", F.size("edges").alias("k")).collect()}
     cols = [c for c in sizes if c in current.columns]
-    counts = bin_counts(current, profile, cols, max([2, *sizes.values()]), keys)
+    return psi_of_counts(profile, bin_counts(current, profile, cols, max([2, *sizes.values()]), keys), keys)
+
+
+def psi_of_counts(profile: DataFrame, counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """PSI per (keys, feature) of counted bins (keys..., feature, bin, n) against a reference profile."""
     per = counts.groupBy(*keys, "feature").agg(
         F.sum("n").alias("n_cur"), F.sum(F.when(F.col("bin").isNull(), F.col("n")).otherwise(0)).alias("n_out"),
         F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "n")))).alias("held"))

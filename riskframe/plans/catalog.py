@@ -208,29 +208,31 @@ def q_drift_report(spark, sf):
     return drift.drift_report(feats(spark, sf, "train"), feats(spark, sf, "oot"), RAW)
 
 
-def _monthly_sql() -> str:
-    """PSI of each month of the last split against the first one (edges and reference counts of _PSI_CTES)."""
+def period_psi_sql(period: str, name: str, more: str = "") -> str:
+    """PSI of each period of the last split against the first one (edges and reference counts of _PSI_CTES).
+
+    `period` is SQL over the episode row `e`, `name` its column, `more` further select items over `s`."""
     drift_cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in RAW)
     months = (
-        f"mw AS (SELECT strftime(e.draw_date, '%Y-%m') AS draw_month, {drift_cols} FROM ep e WHERE e.split = 'oot'),\n"
-        f"ml AS (SELECT draw_month, feature, value FROM (UNPIVOT mw ON {', '.join(RAW)} INTO NAME feature VALUE value)),\n"
-        "mb AS (SELECT l.draw_month, l.feature, CASE WHEN l.value >= edges[1] AND l.value <= edges[len(edges)] THEN "
+        f"mw AS (SELECT {period} AS {name}, {drift_cols} FROM ep e WHERE e.split = 'oot'),\n"
+        f"ml AS (SELECT {name}, feature, value FROM (UNPIVOT mw ON {', '.join(RAW)} INTO NAME feature VALUE value)),\n"
+        f"mb AS (SELECT l.{name}, l.feature, CASE WHEN l.value >= edges[1] AND l.value <= edges[len(edges)] THEN "
         "CASE WHEN l.value = edges[len(edges)] THEN len(edges) - 2 ELSE len(list_filter(edges, lambda e: e <= l.value)) - 1 "
         "END END AS bin FROM ml l JOIN pe ON l.feature = pe.feature),\n"
-        "ms AS (SELECT draw_month, feature, COUNT(*) AS n_cur, COUNT(*) FILTER (WHERE bin IS NULL) AS n_oor FROM mb GROUP BY ALL),\n"
-        "mc AS (SELECT draw_month, feature, bin, COUNT(*) AS n FROM mb WHERE bin IS NOT NULL GROUP BY ALL),\n"
-        "mf AS (SELECT s.draw_month, s.feature, GREATEST(p.ref_n / GREATEST(t.rt, 1), 1e-6) AS rp, "
+        f"ms AS (SELECT {name}, feature, COUNT(*) AS n_cur, COUNT(*) FILTER (WHERE bin IS NULL) AS n_oor FROM mb GROUP BY ALL),\n"
+        f"mc AS (SELECT {name}, feature, bin, COUNT(*) AS n FROM mb WHERE bin IS NOT NULL GROUP BY ALL),\n"
+        f"mf AS (SELECT s.{name}, s.feature, GREATEST(p.ref_n / GREATEST(t.rt, 1), 1e-6) AS rp, "
         "GREATEST(COALESCE(c.n, 0) / GREATEST(s.n_cur - s.n_oor, 1), 1e-6) AS cp FROM ms s JOIN pfull p ON p.feature = s.feature "
-        "JOIN ptot t ON t.feature = s.feature LEFT JOIN mc c ON c.draw_month = s.draw_month AND c.feature = s.feature AND c.bin = p.bin),\n"
-        "mp AS (SELECT draw_month, feature, RND(SUM((cp - rp) * LN(cp / rp)), 4) AS psi FROM mf GROUP BY ALL)")
+        f"JOIN ptot t ON t.feature = s.feature LEFT JOIN mc c ON c.{name} = s.{name} AND c.feature = s.feature AND c.bin = p.bin),\n"
+        f"mp AS (SELECT {name}, feature, RND(SUM((cp - rp) * LN(cp / rp)), 4) AS psi FROM mf GROUP BY ALL)")
     return with_episodes(
-        f"SELECT s.draw_month, s.feature, p.psi, CASE WHEN p.psi >= {C.PSI_ALERT} THEN 'ALERT' WHEN p.psi >= {C.PSI_WARN} "
+        f"SELECT s.{name}, {more}s.feature, p.psi, CASE WHEN p.psi >= {C.PSI_ALERT} THEN 'ALERT' WHEN p.psi >= {C.PSI_WARN} "
         "THEN 'warn' ELSE 'stable' END AS status, CAST(e.n_ref AS BIGINT) AS n_ref, s.n_cur, s.n_oor AS n_out_of_range "
-        "FROM ms s JOIN mp p ON p.draw_month = s.draw_month AND p.feature = s.feature JOIN pe e ON e.feature = s.feature",
+        f"FROM ms s JOIN mp p ON p.{name} = s.{name} AND p.feature = s.feature JOIN pe e ON e.feature = s.feature",
         FEAT_CTE + ",\n" + _PSI_CTES + ",\n" + months)
 
 
-@register("drift_monthly", _monthly_sql())
+@register("drift_monthly", period_psi_sql("strftime(e.draw_date, '%Y-%m')", "draw_month"))
 def q_drift_monthly(spark, sf):
     path = scratch_path(spark, "reference-profile")
     io.write_table(drift.reference_profile(feats(spark, sf, "train"), RAW), path)

@@ -3,14 +3,17 @@ derived from the driver tables (availableNow trigger, checkpoint in the shared
 folder) and returns the sink read back as a batch DataFrame."""
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators import model
+from ..operators import drift, model
 from ..session import scratch_path
+from ..sources import io
 from ..sources.testview import expand_rnd, fixed_score, table, with_episodes
 from ..streaming import stream as S
-from .catalog import ep
+from .catalog import ep, feats, period_psi_sql
 from .catalog_model import scorecard_bundle
 from .catalog_scores import DEP, SC, deployment_threshold, scored
 from .registry import normalize, register
@@ -87,6 +90,43 @@ def _psi_stream_query(spark, sf, window: str, slide: str | None):
     return S.psi_from_counts(spark.read.parquet(f"{out}/counts"), props)
 
 
+#: Span of one delivered slice of the request log, and so how late a row of it may be.
+SLICE_DAYS = 60
+
+
+def _request_slices(spark, src, time_col: str, days: int = SLICE_DAYS) -> str:
+    """A request log as it is delivered: one slice of days after the other, each in files of its own."""
+    path = scratch_path(spark, "request-slices")
+    ends = src.agg(F.min(time_col).alias("a"), F.max(time_col).alias("b")).first()
+    at = ends.a
+    while at is not None and at <= ends.b:
+        nxt = at + datetime.timedelta(days=days)
+        src.where((F.col(time_col) >= F.lit(at)) & (F.col(time_col) < F.lit(nxt))).write.mode("append").parquet(path)
+        at = nxt
+    return path
+
+
+def _psi_features_sql() -> str:
+    """PSI of every 30-day window of the last split against the first one (windows start at multiples of 30 days from 1970)."""
+    start = "TIMESTAMP '1970-01-01' + to_days(CAST(30 * FLOOR(date_diff('day', DATE '1970-01-01', {d}) / 30) AS INTEGER))"
+    return period_psi_sql(
+        f"strftime({start.format(d='CAST(e.draw_date AS DATE)')}, '%Y-%m-%d %H:%M:%S')", "window_start",
+        "strftime(CAST(s.window_start AS TIMESTAMP) + INTERVAL 30 DAY, '%Y-%m-%d %H:%M:%S') AS window_end, ")
+
+
+@register("stream_psi_features", _psi_features_sql())
+def q_stream_psi_features(spark, sf):
+    path = scratch_path(spark, "reference-profile")
+    io.write_table(drift.reference_profile(feats(spark, sf, "train"), C.RAW_FEATURE_COLUMNS), path)
+    profile = io.read_profile(spark, path)
+    log = ep(spark, sf).where(F.col("split") == "oot").select(F.col("draw_date").cast("timestamp").alias("ts"), *C.RAW_FEATURE_COLUMNS)
+    out, ckpt = S.scratch(spark, "psi-features")
+    S.psi_features_stream(S.file_stream(spark, _request_slices(spark, log, "ts"), max_files=4), profile, out, ckpt,
+                          window="30 days", watermark=f"{SLICE_DAYS} days")
+    return normalize(S.psi_of_windows(spark, out, profile).select(
+        "window_start", "window_end", "feature", "psi", "status", "n_ref", "n_cur", "n_out_of_range"))
+
+
 def _psi_sql(win_days: int) -> str:
     step = 1.0 / C.PSI_BINS
     probs = ", ".join(f"{p!r}::DOUBLE" for p in [i * step for i in range(C.PSI_BINS)] + [1.0])

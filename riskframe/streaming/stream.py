@@ -7,6 +7,8 @@
 * psi_stream: event-time windows (tumbling or sliding) of binned values with a
   watermark; state is windows x bins only. The PSI of every window against a
   fixed reference is computed from the window counts in `foreachBatch`.
+* psi_features_stream: the same for many features against a saved reference
+  profile, in update mode with state that the watermark evicts.
 * dedup_stream: replayed requests dropped with `dropDuplicatesWithinWatermark`.
 
 Every job checkpoints in the shared checkpoint folder, so a restarted driver
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.prims import bin_index_fast, round_dp
 from ..operators import quality
-from ..operators.drift import drift_status, psi_edges
+from ..operators.drift import bin_counts, drift_status, psi_edges, psi_of_counts
 from ..operators.model import Bundle, score_bundle
 from ..session import materialize, scratch_path
 
@@ -160,16 +162,75 @@ def psi_from_counts(counts: DataFrame, ref_props: DataFrame) -> DataFrame:
     return psi.join(n_all, ["window_start", "window_end"]).withColumn("status", drift_status(F.col("psi")))
 
 
+def psi_features_stream(src: DataFrame, profile: DataFrame, out: str, ckpt: str, time_col: str = "ts", window: str = "1 day",
+                        slide: str | None = None, watermark: str = "1 hour", state_partitions: int = 4) -> None:
+    """ST3/ST4 over many features: windowed bin counts against a saved reference profile, in update mode.
+
+    Rows are unpivoted on the stream, binned by the profile's edges and counted per
+    (window, feature, bin). A micro-batch writes the counts it changed to a folder
+    of its own (`batch_id=<n>`, overwritten on replay), so what is written grows with
+    the input and not with the windows seen so far. A window leaves the state once
+    the watermark passes its end; rows that arrive later are dropped. `window_counts`
+    reads the last count of every window back. Nulls and NaN are not counted (a window
+    holding nothing else has n_cur 0); rows without a time belong to no window.
+    """
+    sizes = {r.feature: r.k for r in profile.select("feature", F.size("edges").alias("k")).collect()}
+    cols = [c for c in sizes if c in src.columns]
+    w = F.window(time_col, window, slide) if slide else F.window(time_col, window)
+    clean = [F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(c) for c in cols]
+    windows = src.withWatermark(time_col, watermark).select(w.alias("w"), *clean)
+    counts = bin_counts(windows, profile, cols, max([2, *sizes.values()]), ["w"])
+    spark = src.sparkSession
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        run_available(counts.writeStream.outputMode("update")
+                      .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch_id={i}"))
+                      .option("checkpointLocation", ckpt))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+
+
+def window_counts(spark: SparkSession, out: str) -> DataFrame:
+    """(w, feature, bin, n): the last count of every bin of every window; counts only grow, so it is the largest."""
+    schema = "w struct<start: timestamp, end: timestamp>, feature string, bin int, n bigint, batch_id bigint"
+    return spark.read.schema(schema).parquet(out).groupBy("w", "feature", "bin").agg(F.max("n").alias("n"))
+
+
+def psi_of_windows(spark: SparkSession, out: str, profile: DataFrame) -> DataFrame:
+    """One row per window and feature of a `psi_features_stream` sink."""
+    counts = window_counts(spark, out).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                                              "feature", "bin", "n")
+    return psi_of_counts(profile, counts, ["window_start", "window_end"])
+
+
 def alerts(psi_rows: DataFrame) -> DataFrame:
     """ST6: windows whose PSI reaches the alert threshold."""
     return psi_rows.where(F.col("status") == "ALERT")
 
 
-def dedup_stream(src: DataFrame, keys: list[str], out: str, ckpt: str, watermark: str = "31 days") -> None:
-    """ST5: drop replayed events by key within the watermark; append the survivors."""
+#: State store that keeps keys on local disk with changelogs in the checkpoint, not in the executors' heap.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def dedup_stream(src: DataFrame, keys: list[str], out: str, ckpt: str, watermark: str = "31 days"):
+    """ST5: drop replayed events by key within the watermark; append the survivors.
+
+    The replay horizon is `watermark`: a copy that arrives while the watermark is
+    within that time of the first one is dropped. The watermark itself trails the
+    newest row by the horizon, so the state holds the keys of two horizons and no
+    more. It lies in RocksDB, whose memory does not grow with it. Rows older than the
+    watermark are dropped.
+    """
     d = src.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(keys)
-    run_available(d.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-                  .outputMode("append"))
+    spark, conf = src.sparkSession, "spark.sql.streaming.stateStore.providerClass"
+    prev = spark.conf.get(conf)
+    spark.conf.set(conf, ROCKSDB)
+    try:
+        return run_available(d.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+                             .outputMode("append"))
+    finally:
+        spark.conf.set(conf, prev)
 
 
 def scratch(spark: SparkSession, name: str) -> tuple[str, str]:
