@@ -32,6 +32,7 @@ import functools
 import html
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ from pyspark.sql import functions as F
 from riskframe.llm.common import small_batches
 
 TRAIN_PAGES = 300        # bound of the sample of table pages the model is fitted on
+TRAIN_CHARS = 250_000    # longer pages are not sampled for training (all are decoded)
 TRAIN_BLOCKS = 400       # pages of more blocks are not sampled for training (all are decoded)
 DIMENSIONS = 1 << 13
 ROUNDS = 150
@@ -373,12 +375,20 @@ LABELLED = (
 
 
 def train(pages: DataFrame, sample: int = TRAIN_PAGES) -> ChainCRF:
-    """Fit on `LABELLED` and on at most `sample` marked pages of the table."""
-    rows = (pages.where("html is not null").select("html", F.xxhash64("url", "page_id").alias("h"))
-            .where(F.lower("html").rlike("<(article|main)[ >]")).orderBy("h", "html").limit(sample).collect())
+    """Fit on `LABELLED` and on at most `sample` marked pages of the table, of at most `TRAIN_CHARS` characters each.
+
+    Two hashes per page choose the sample; only the chosen pages go to the driver, each of them once.
+    """
+    marked = (pages.where("html is not null").where(F.length("html") <= TRAIN_CHARS).where(F.lower("html").rlike("<(article|main)[ >]"))
+              .select("html", F.xxhash64("url", "page_id").alias("h"), F.xxhash64("html").alias("g")))
+    chosen = Counter((r.h, r.g) for r in marked.select("h", "g").orderBy("h", "g").limit(sample).collect())
+    hs, gs = ([k[i] for k in chosen] for i in (0, 1))
+    rows = (marked.where(F.col("h").isin(hs) & F.col("g").isin(gs)).groupBy("h", "g").agg(F.min("html").alias("html")).collect()
+            if chosen else [])
     chains = [c for page in LABELLED * 3 for c in examples(page, True)]
-    for r in rows:
-        chains += examples(r.html)
+    for r in sorted(rows, key=lambda r: (r.h, r.html)):
+        for _ in range(chosen[r.h, r.g]):
+            chains += examples(r.html)
     return ChainCRF.fit(chains)
 
 

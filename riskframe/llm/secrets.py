@@ -8,7 +8,8 @@ ledger lacks, scans each such blob once however many paths and versions hold it,
 appends to both tables, and `report` joins findings back to all paths. A new
 version of one rule rescans for that rule only.
 
-Copies of a blob are combined before the shuffle (one per blob and task), so a
+Digests meet the ledger first, so an incremental run moves the texts of unseen
+blobs only. Copies of a blob are combined before the shuffle (one per blob and task), so a
 blob that a third of all paths share is sent once by each task and scanned once.
 
 Defined results: a null text is the empty blob, without findings; repeated rows
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import small_batches
+from riskframe.llm.common import small_batches, written
 from riskframe.session import scratch_path
 
 
@@ -77,6 +78,10 @@ def listed(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (x[1], _ORDER.get(x[0], len(_ORDER)), x[0], x[2])))
 
 
+#: Unseen blobs whose digests (32 bytes and the kinds done) are broadcast.
+FEW_BLOBS = 100_000
+
+
 class BlobLedger:
     """The two tables below `path` (the shared folder; a fresh one by default)."""
 
@@ -101,6 +106,24 @@ class BlobLedger:
     def findings(self) -> DataFrame:
         return self._read("findings", self.FINDINGS)
 
+    def unseen(self, texts: DataFrame, rules: tuple[Rule, ...] = RULES, few: int = FEW_BLOBS) -> DataFrame:
+        """(blob, text, done): one row per blob of `texts` that lacks a rule version, with the kinds it has.
+
+        Digests alone meet the ledger. Texts are sent only for the blobs that are left:
+        up to `few` of those filter the texts where they lie, more are joined on the
+        digest. An empty ledger leaves every blob, and nothing is asked of it.
+        """
+        blobs = texts.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("blob", F.unhex(F.sha2("text", 256)))
+        if self.scanned().isEmpty():
+            return blobs.groupBy("blob").agg(F.first("text").alias("text")).withColumn("done", F.lit(None).cast("array<string>"))
+        wanted = self.spark.createDataFrame([(r.kind, r.version) for r in rules], "kind string, version int")
+        done = (self.scanned().join(F.broadcast(wanted), ["kind", "version"])
+                .groupBy("blob").agg(F.collect_set("kind").alias("done")))
+        left = written(blobs.select("blob").distinct().join(done, "blob", "left")
+                       .where(F.col("done").isNull() | (F.size("done") < len({r.kind for r in rules}))), "unseen-blobs")
+        side = F.broadcast(left) if left.count() <= few else left
+        return blobs.join(side, "blob").groupBy("blob").agg(F.first("text").alias("text"), F.first("done").alias("done"))
+
     def scan(self, texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> None:
         """Scan the blobs of `texts` (column text) that the ledger has not seen under these rule versions.
 
@@ -109,14 +132,7 @@ class BlobLedger:
         those blobs again, and `report` ignores the copies.
         """
         small_batches(self.spark)
-        wanted = self.spark.createDataFrame([(r.kind, r.version) for r in rules], "kind string, version int")
-        done = (self.scanned().join(F.broadcast(wanted), ["kind", "version"])
-                .groupBy("blob").agg(F.collect_set("kind").alias("done")))
-        blobs = (texts.select(F.coalesce("text", F.lit("")).alias("text"))
-                 .withColumn("blob", F.unhex(F.sha2("text", 256)))
-                 .groupBy("blob").agg(F.first("text").alias("text")))
-        todo = (blobs.join(done, "blob", "left")
-                .where(F.col("done").isNull() | (F.size("done") < len({r.kind for r in rules}))))
+        todo = self.unseen(texts, rules)
 
         def rows(batches):
             finders = [(r.kind, r.version, r.finder()) for r in rules]

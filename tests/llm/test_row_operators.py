@@ -188,6 +188,25 @@ def test_secrets_base(spark, tables, no_docs, pairs, same):
     assert secrets.scan_documents(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("few", [0, 100])
+def test_an_incremental_run_sends_unseen_texts_only(spark, few):
+    ledger = secrets.BlobLedger(spark)
+    rows = [(i, f"password=abcdefgh{i % 40}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ledger.unseen(docs).count() == 40                    # an empty ledger: every blob once
+    ledger.scan(docs)
+    more = docs.unionByName(spark.createDataFrame([(900, "secret: 12345678"), (901, "secret: 12345678"), (902, None)], docs.schema))
+    todo = ledger.unseen(more, few=few)
+    assert sorted((r.text, r.done) for r in todo.collect()) == [("", None), ("secret: 12345678", None)]
+    if few:                                                     # texts are filtered where they lie, before any shuffle of theirs
+        plan = todo._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("BroadcastHashJoin") > plan.index("Exchange")
+    ledger.scan(more)
+    assert ledger.unseen(more, few=few).count() == 0
+    assert ledger.scanned().count() == 42 * len(secrets.RULES)
+    assert {r.doc_id: r.n_assign for r in ledger.report(more).collect()} == {**{i: 1 for i in range(400)}, 900: 1, 901: 1, 902: 0}
+
+
 def test_ledger_scans_only_unseen_pairs(spark):
     ledger = secrets.BlobLedger(spark)
     first = spark.createDataFrame([(1, "password=abcdefgh"), (2, "password=abcdefgh"), (3, "nothing")], "doc_id long, text string")
