@@ -78,15 +78,15 @@ def _as_tiles(size: int):
 
 @dataclass
 class IsotonicTable:
-    """A fitted calibrator: its tiles and the first score of each."""
+    """A fitted calibrator: its tiles, the first score of each and the blocks of the largest."""
     tiles: DataFrame
     starts: list[float]
-    size: int = TILE
+    width: int
 
     @classmethod
-    def of(cls, tiles: DataFrame, size: int = TILE) -> IsotonicTable:
-        rows = tiles.select("tile", F.col("lo")[0].alias("a")).orderBy("tile").collect()      # one row per `size` blocks
-        return cls(tiles, [r.a for r in rows], size)
+    def of(cls, tiles: DataFrame) -> IsotonicTable:
+        rows = tiles.select("tile", F.col("lo")[0].alias("a"), F.size("lo").alias("n")).orderBy("tile").collect()   # one row per tile
+        return cls(tiles, [r.a for r in rows], max((r.n for r in rows), default=0))
 
     def blocks(self) -> DataFrame:
         """(x_lo, x_hi, pos, n, rate): one row per block of equal rate."""
@@ -107,7 +107,7 @@ class IsotonicTable:
                               F.col("next_lo").alias("__next_lo"), F.col("next_rate").alias("__next_rate"))
         t = F.broadcast(t) if len(self.starts) <= BROADCAST_TILES else t
         d = d.withColumn("__tile", F.when(F.col("__x").isNotNull(), tile)).join(t, "__tile", "left")
-        d = with_bin_index(d, "__x", "__lo", self.size, "__at")
+        d = with_bin_index(d, "__x", "__lo", self.width, "__at")
         i, v = F.col("__at"), F.col("__x")
         a, ya = F.try_element_at("__hi", i), F.try_element_at("__rate", i)
         b = F.coalesce(F.try_element_at("__lo", i + 1), "__next_lo")
@@ -141,4 +141,4 @@ def fit_isotonic(scored: DataFrame, raw: str = "raw_score", label: str = "label"
     while ranges > 1:
         blocks = stored(ordered(ranges).mapInArrow(_as_blocks, BLOCKS), "isotonic")
         ranges = -(-ranges // FAN_IN)
-    return IsotonicTable.of(stored(ordered(1).mapInArrow(_as_tiles(size), TILES), "isotonic"), size)
+    return IsotonicTable.of(stored(ordered(1).mapInArrow(_as_tiles(size), TILES), "isotonic"))
