@@ -200,9 +200,11 @@ def prefix_sum(df: DataFrame, group_cols: Sequence[str], order_col: str,
     def measured(n: int) -> tuple[DataFrame, int, int]:
         """(edges, rows, groups)"""
         if not g:
-            row = cut(n).first()
+            edges = cut(n)
+            row = edges.first()
+            # a total keeps its column's type: as a bare literal a long would be an int, and products of totals overflow
             consts = [F.lit(row._edges or []).cast("array<double>").alias("_edges"),
-                      *[F.lit(row[f"{c}_total"]).alias(f"{c}_total") for c in sum_cols]]
+                      *[F.lit(row[t]).cast(edges.schema[t].dataType).alias(t) for t in (f"{c}_total" for c in sum_cols)]]
             return df.select("*", *consts), row._rows, 1
         edges = materialize(cut(n))
         row = edges.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.count(F.lit(1))).first()

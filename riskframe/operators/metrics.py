@@ -91,7 +91,7 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = "label",
         (F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0))).alias("_u"),
         F.first("pos_total").alias("n_pos"), F.first("neg_total").alias("n_neg")).select(
         *group_cols,
-        F.try_divide(F.col("_u"), (F.col("n_pos") * F.col("n_neg")).cast("double")).alias("auc"),
+        F.try_divide(F.col("_u"), F.col("n_pos").cast("double") * F.col("n_neg")).alias("auc"),
         F.col("n_pos").cast("long").alias("n_pos"), F.col("n_neg").cast("long").alias("n_neg"))
 
 
@@ -181,7 +181,7 @@ def ranking_summary(df: DataFrame | None = None, score: str = "score", label: st
     n_pos, n_all = F.col("n_pos"), F.col("n")
     return agg.select(
         *group_cols,
-        F.try_divide(F.col("_u"), (n_pos * (n_all - n_pos)).cast("double")).alias("auc"),
+        F.try_divide(F.col("_u"), n_pos.cast("double") * (n_all - n_pos)).alias("auc"),
         F.try_divide(F.col("_ap"), n_pos.cast("double")).alias("average_precision"),
         (F.col("_sq") / n_all).alias("brier"), (n_pos / n_all).alias("base_rate"),
         n_pos.cast("long").alias("n_pos"), n_all.cast("long").alias("n"))

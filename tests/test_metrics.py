@@ -136,3 +136,14 @@ def test_ranking_summary_matches_individual_metrics(spark):
 def test_nan_scores_are_no_scores(spark):
     df = spark.createDataFrame([(0.9, 1), (0.8, 1), (0.2, 0), (float("nan"), 0), (None, 1)], "score double, label int")
     assert metrics.roc_auc(df).collect()[0].auc == 1.0
+
+
+def test_totals_of_an_ungrouped_table_stay_long(spark):
+    """The classes' product passes 2^31 while each total is below it; every ungrouped ranking metric takes it whole."""
+    n = 100_000
+    s = spark.range(n).select(F.expr("CAST(id % 2 AS INT)").alias("label"), (F.col("id") / n).alias("score"))
+    a = metrics.roc_auc(s).first()
+    expected = 0.5 + 1 / n              # each positive lies above its own negative as well
+    assert a.auc == pytest.approx(expected, abs=1e-12) and (a.n_pos, a.n_neg) == (n // 2, n // 2)
+    assert metrics.ranking_summary(s).first().auc == pytest.approx(expected, abs=1e-12)
+    assert metrics.prefix_sum(metrics.score_hist(s), [], "score", ["pos"]).schema["pos_total"].dataType.simpleString() == "bigint"
