@@ -1,9 +1,9 @@
-"""CSV rows that don't parse are kept apart with their text."""
+"""CSV rows that don't parse are kept apart with their text; lines per episode."""
 import pytest
 from pyspark.sql import types as T
 
 from riskframe.session import scratch_path
-from riskframe.sources import io
+from riskframe.sources import io, testview
 
 SCHEMA = T.StructType([T.StructField("loan_id", T.LongType()), T.StructField("draw_date", T.DateType()),
                        T.StructField("x", T.DoubleType()), T.StructField("name", T.StringType())])
@@ -41,3 +41,23 @@ def test_quarantine_counts_and_sinks(spark):
 def test_other_header_raises(spark):
     with pytest.raises(Exception, match="(?i)header"):
         io.read_episodes_checked(spark, _csv(spark, "loan_id,x,draw_date,name", LINES[:1]), SCHEMA)
+
+
+def test_episode_lines_are_hashed_per_order(spark, tmp_path):
+    """No sort-based fallback of collect_set (it spilled more than in proportion); nulls and repeats count as before."""
+    import datetime
+    day, t = datetime.date(1998, 1, 1), datetime.datetime(1998, 1, 1)
+    line = "l_orderkey long, l_suppkey long, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate date"
+    rows = [(1, 7, 10.0), (1, 7, 20.0), (1, 8, 60.0), (2, None, 5.0), (None, 9, 1.0), (None, 9, 1.0)]
+    tables = {
+        "lineitem": ([(o, s, p, 0.05, 0.02, "R", "F", day) for o, s, p in rows], line),
+        "orders": ([(k, 1, 1000.0, t, "1-URGENT") for k in (1, 2, 3)],
+                   "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "customer": ([(1, 0, 5.0, "AUTO")], "c_custkey long, c_nationkey long, c_acctbal double, c_mktsegment string"),
+        "nation": ([(0, "KENYA")], "n_nationkey long, n_name string")}
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    e = testview.raw_episodes(spark, str(tmp_path))
+    assert "ObjectHashAggregate" not in e._jdf.queryExecution().executedPlan().toString()
+    got = {r.loan_id: (r.monthly_txn_count, r.avg_txn_value_kes, r.unique_counterparties_30d) for r in e.collect()}
+    assert got == {1: (3, 30.0, 2), 2: (1, 5.0, 0), 3: (0, 0.0, 0)}
