@@ -158,3 +158,23 @@ def test_columns_named_like_working_columns_pass(spark):
         assert out.columns == docs.columns
         got = out.collect()
         assert all(tuple(r)[2:] == extra[r.doc_id] for r in got)
+
+
+def test_suffix_query_scans_and_merges_levels(spark, tmp_path, monkeypatch):
+    """The registered query inserts in batches, so levels are scanned and merged in it, and matches across batches are found."""
+    from riskframe.llm import queries, suffix_dedup
+    shared = "".join(chr(97 + i * i % 23) for i in range(30)) + "".join(f"{i * 7919 % 1000003} " for i in range(120))
+    rows = [(i, f"head {i} {i * i} " + (shared if i % 2 else "") + f" tail {i * 31}") for i in range(24)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    families = []
+    first = suffix_dedup.SuffixFamily.insert
+
+    def insert(self, docs):
+        families.append((self, [n for n, _ in self.levels]))
+        first(self, docs)
+    monkeypatch.setattr(suffix_dedup.SuffixFamily, "insert", insert)
+    got = {r.doc_id: r.n_removed for r in queries.op2_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert [levels for _, levels in families] == [[], [1], [2]] and [n for n, _ in families[-1][0].levels] == [2, 1]
+    assert all((n >= len(shared)) == bool(i % 2) and (i % 2 or n == 0) for i, n in got.items())
+    whole = suffix_dedup.digest(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    assert {r.doc_id: r.n_removed for r in whole.collect()} == got
