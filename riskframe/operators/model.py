@@ -63,6 +63,8 @@ def filler(fills: dict[str, float]) -> SQLTransformer:
 
 #: Training rows per partition while trees are grown.
 ROWS_PER_PARTITION = 50_000
+#: From so many training rows on, the first block of rounds gets no fit of its own.
+LONG_START_ROWS = 500_000
 
 
 @dataclass
@@ -186,6 +188,27 @@ def rounds_in_blocks(max_iter: int, patience: int) -> Iterator[int]:
     yield max_iter
 
 
+def _boost(gbt: GBTClassifier, tr: DataFrame, va: DataFrame, params: C.GBTParams, select_by: str,
+           first: int = 0) -> tuple[GBTClassificationModel, list[float], int]:
+    """(ensemble of the last block, losses up to the stop, best round), block after block.
+
+    Blocks of fewer than `first` rounds get no fit of their own: they are judged, in
+    turn and by the same rows, on the head of the fit of `first` rounds, which is the
+    same ensemble. So `first` changes what is fitted, never what is returned.
+    """
+    whole = None
+    for rounds in rounds_in_blocks(params.max_iter, params.patience):
+        if whole is None or len(whole.treeWeights) < rounds:
+            whole = gbt.copy().setMaxIter(max(rounds, first)).fit(tr)
+        m = truncated(whole, rounds)
+        losses = [-a for a in prefix_auc(m, va, only_best=True)] if select_by == "auc" else list(m.evaluateEachIteration(va))
+        best = int(np.argmin([np.inf if np.isnan(x) else x for x in losses])) + 1
+        if len(losses) >= best + params.patience:
+            losses = losses[:best + params.patience]          # what a round-by-round stop would have seen
+            break
+    return m, losses, best
+
+
 def train_gbt(train: DataFrame, val: DataFrame, params: C.GBTParams = C.GBTParams(),
               feature_cols: Sequence[str] = C.FEATURE_COLUMNS, label: str = C.TARGET_COL,
               select_by: str = "auc") -> FittedModel:
@@ -198,6 +221,11 @@ def train_gbt(train: DataFrame, val: DataFrame, params: C.GBTParams = C.GBTParam
     rounds of the last block in all. The result is the last ensemble cut after its
     best round, which needs no further fit.
 
+    The first block ends boosting only if the best round is one of its first few
+    (a fifth of the patience); from `LONG_START_ROWS` training rows on, where a round
+    costs by its rows, the second block is fitted at once and the first is judged on
+    its head (`_boost`), with the same result.
+
     select_by="auc" (the reference's first early-stopping metric): the prefix with
     the highest validation AUC, earliest on ties; "logloss": the prefix with the
     lowest validation log-loss (`evaluateEachIteration`). Without both classes in
@@ -208,7 +236,8 @@ def train_gbt(train: DataFrame, val: DataFrame, params: C.GBTParams = C.GBTParam
     fills = missing_fills(prepared, feature_cols, below=True)
     inputs = PipelineModel(stages=[filler(fills), assembler(feature_cols)])
     # every round is a handful of jobs over all partitions: few rows need few of them
-    parts = max(1, -(-prepared.count() // ROWS_PER_PARTITION))
+    n_rows = prepared.count()
+    parts = max(1, -(-n_rows // ROWS_PER_PARTITION))
     tr = inputs.transform(prepared.coalesce(parts)).select("features", "label")
     va = materialize(inputs.transform(_prep(val, feature_cols, label)).select("features", "label"))
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=params.max_iter,
@@ -216,13 +245,8 @@ def train_gbt(train: DataFrame, val: DataFrame, params: C.GBTParams = C.GBTParam
                         minInstancesPerNode=params.min_instances_per_node,
                         featureSubsetStrategy=params.feature_subset, subsamplingRate=params.subsampling_rate,
                         maxBins=params.max_bins, seed=params.seed)
-    for rounds in rounds_in_blocks(params.max_iter, params.patience):
-        m = gbt.copy().setMaxIter(rounds).fit(tr)
-        losses = [-a for a in prefix_auc(m, va, only_best=True)] if select_by == "auc" else list(m.evaluateEachIteration(va))
-        best = int(np.argmin([np.inf if np.isnan(x) else x for x in losses])) + 1
-        if len(losses) >= best + params.patience:
-            losses = losses[:best + params.patience]          # what a round-by-round stop would have seen
-            break
+    blocks = [*rounds_in_blocks(params.max_iter, params.patience)][:2]
+    m, losses, best = _boost(gbt, tr, va, params, select_by, blocks[-1] if n_rows >= LONG_START_ROWS else 0)
     pm = PipelineModel(stages=[*inputs.stages, truncated(m, best)])
     return FittedModel(pm, best, losses, feature_cols, fills)
 

@@ -79,3 +79,25 @@ def test_truncated_models_are_saved(spark, tmp_path):
     back, _ = model.load_model(str(tmp_path / "m"))
     a, b = ([r.raw_score for r in model.raw_scores(m, va).orderBy("loan_id").collect()] for m in (got.model, back))
     assert a == b
+
+
+def test_many_rows_skip_the_first_fit_and_get_the_same_model(spark, monkeypatch):
+    fitted_rounds, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df, *a: fitted_rounds.append(self.getMaxIter()) or fit(self, df, *a))
+    tr, va = frame(spark, 600, 1, 2.0), frame(spark, 400, 2, 2.0)
+    p = C.GBTParams(max_iter=1000, patience=5, max_depth=2, step_size=0.1, min_instances_per_node=5)
+    few = model.train_gbt(tr, va, p, COLS, "y")
+    assert fitted_rounds[:2] == [6, 12]
+    plain = fitted_rounds.copy()
+    fitted_rounds.clear()
+    monkeypatch.setattr(model, "LONG_START_ROWS", 600)
+    many = model.train_gbt(tr, va, p, COLS, "y")
+    assert fitted_rounds == plain[1:]
+    assert (many.best_iteration, many.val_losses) == (few.best_iteration, few.val_losses)
+    assert many.model.stages[-1].toDebugString.split("\n")[1:] == few.model.stages[-1].toDebugString.split("\n")[1:]
+    # a first block that already ends boosting is judged as if it had been fitted alone
+    stop = C.GBTParams(max_iter=1000, patience=5, max_depth=2, min_instances_per_node=5)
+    one_class = va.withColumn("y", F.lit(0))
+    fitted_rounds.clear()
+    got = model.train_gbt(tr, one_class, stop, COLS, "y")
+    assert fitted_rounds == [12] and got.best_iteration == 1 and len(got.val_losses) == 6
