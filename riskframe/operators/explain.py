@@ -6,7 +6,10 @@ over a tree carrying the unique path of features with their "zero" fractions
 depends on a row only through the one fractions, so it is run once per tree
 with those fractions as numpy vectors over a whole Arrow batch: both children
 are visited for every row, the hot child receiving the row's one fraction and
-the cold child zero. Cost per batch: O(trees x nodes x depth^2) vector ops.
+the cold child zero. A leaf's contributions depend on a row only through which
+features of its path are met, so the algorithm is run once per task over all such
+patterns and rows look theirs up (`leaf_tables`). Cost per batch: O(trees x leaves x
+depth) vector ops; paths of many features recurse over the rows (depth^2 instead).
 
 Trees are read once from the fitted MLlib model (feature, threshold, children,
 node value, training cover) and broadcast; rows are explained in
@@ -137,16 +140,69 @@ def tree_shap(x: np.ndarray, tree: dict, n_features: int) -> np.ndarray:
     return phi
 
 
+#: Distinct features on a path up to which a leaf's contributions are tabulated (2 ** that many columns a leaf).
+TABLE_FEATURES = 8
+
+
+def leaf_tables(tree: dict) -> list[tuple[list, list, np.ndarray]] | None:
+    """Per leaf: its path's features, their conditions as (node, left?), and a table of contributions.
+
+    A row meets or misses the conditions of each feature on a leaf's path, and the
+    leaf adds to its SHAP values by that pattern alone: column p of the table holds
+    the contributions of rows that meet the features of p's bits. One run of the
+    algorithm over all patterns then serves every row. None if a path has more than
+    `TABLE_FEATURES` features.
+    """
+    feat, left, right, val, cover = (tree[k] for k in ("feature", "left", "right", "value", "cover"))
+    out = []
+
+    def walk(j, path):
+        if feat[j] < 0:
+            if not path or len(path) > TABLE_FEATURES:
+                return not path
+            bits = np.arange(2 ** len(path))
+            o = [((bits >> i) & 1).astype(float) for i in range(len(path))]
+            p = _extend(([], [], [], []), 1.0, np.ones(len(bits)), -1)
+            for (f, z, _), one in zip(path, o):
+                p = _extend(p, z, one, f)
+            out.append(([f for f, _, _ in path], [c for _, _, c in path], np.stack(
+                [_unwound_sum(p, i + 1) * (one - z) * val[j] for i, ((_, z, _), one) in enumerate(zip(path, o))])))
+            return True
+        f, rj = feat[j], cover[j] if cover[j] > 0 else 1.0
+        _, iz, met = next((e for e in path if e[0] == f), (f, 1.0, []))
+        rest = [e for e in path if e[0] != f]
+        return all([walk(child, [*rest, (f, iz * cover[child] / rj, [*met, (j, child == left[j])])])
+                    for child in (left[j], right[j])])
+
+    return out if walk(0, []) else None
+
+
+def tabled_shap(x: np.ndarray, tree: dict, tables: list, n_features: int) -> np.ndarray:
+    """`tree_shap` by the tree's `leaf_tables`: one lookup per row, leaf and feature of its path."""
+    phi = np.zeros((n_features, len(x)))
+    left = {j: x[:, tree["feature"][j]] <= tree["threshold"][j] for j in np.flatnonzero(tree["feature"] >= 0)}
+    for feats, conditions, table in tables:
+        pattern = np.zeros(len(x), dtype=np.int64)
+        for i, met in enumerate(conditions):
+            hit = np.logical_and.reduce([left[j] if is_left else ~left[j] for j, is_left in met])
+            pattern |= hit.astype(np.int64) << i
+        for f, row in zip(feats, table):
+            phi[f] += row[pattern]
+    return phi.T
+
+
 def expected_value(tree: dict) -> float:
     """Cover-weighted mean leaf value of a tree (the SHAP base value)."""
     leaves = tree["feature"] < 0
     return float((tree["value"][leaves] * tree["cover"][leaves]).sum() / tree["cover"][0])
 
 
-def ensemble_shap(x: np.ndarray, trees: list[dict], weights: list[float], n_features: int) -> np.ndarray:
+def ensemble_shap(x: np.ndarray, trees: list[dict], weights: list[float], n_features: int,
+                  tables: list | None = None) -> np.ndarray:
+    """SHAP values in log-odds; `tables` are the trees' `leaf_tables`, kept by callers with many batches."""
     phi = np.zeros((x.shape[0], n_features))
-    for t, w in zip(trees, weights):
-        phi += w * tree_shap(x, t, n_features)
+    for t, w, leaves in zip(trees, weights, [leaf_tables(t) for t in trees] if tables is None else tables):
+        phi += w * (tree_shap(x, t, n_features) if leaves is None else tabled_shap(x, t, leaves, n_features))
     return 2.0 * phi
 
 
@@ -167,9 +223,10 @@ def gbt_reason_codes(df: DataFrame, gbt_model, feature_cols: Sequence[str], key:
 
     def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tr, ws = bc.value
+        tables = [leaf_tables(t) for t in tr]
         for pdf in it:
             x = pdf[feature_cols].to_numpy(dtype=float, na_value=np.nan)
-            phi = ensemble_shap(x, tr, ws, m)
+            phi = ensemble_shap(x, tr, ws, m, tables)
             order = np.lexsort((np.tile(np.arange(m), (len(pdf), 1)), -np.abs(phi)), axis=1)[:, :top_n]
             out = {key: pdf[key].to_numpy(), "base_value": np.full(len(pdf), base)}
             for k in range(top_n):

@@ -73,3 +73,39 @@ def test_prefix_auc_matches_model_auc(spark, fitted):
     assert len(aucs) == 5
     full = m.transform(vec).select(vector_to_array("probability")[1].alias("score"), F.col("label").cast("int").alias("label"))
     assert aucs[-1] == pytest.approx(metrics.roc_auc(full).first().auc, abs=1e-12)
+
+
+def random_tree(rng, depth, m):
+    rows = []
+
+    def grow(d, cover):
+        j = len(rows)
+        rows.append([-1, 0.0, -1, -1, rng.normal(), cover])
+        if d and rng.random() < 0.9:
+            part = cover * rng.uniform(0.05, 0.95)
+            rows[j][:2] = int(rng.integers(m)), rng.normal()
+            rows[j][2] = grow(d - 1, part)
+            rows[j][3] = grow(d - 1, cover - part)
+        return j
+
+    grow(depth, 1000.0)
+    return {k: np.array(v) for k, v in zip(("feature", "threshold", "left", "right", "value", "cover"), zip(*rows))}
+
+
+@pytest.mark.parametrize("limit", [8, 2])
+def test_rows_look_up_contributions_of_their_pattern(monkeypatch, limit):
+    """Any number of rows runs the algorithm over the leaves' patterns only; longer paths recurse over rows."""
+    monkeypatch.setattr(explain, "TABLE_FEATURES", limit)
+    rng = np.random.default_rng(5)
+    trees = [random_tree(rng, d, 5) for d in (0, 1, 2, 4, 6, 6)]
+    x = rng.normal(size=(1000, 5))
+    x[::9, 2] = np.nan
+    lengths, extend = set(), explain._extend
+    monkeypatch.setattr(explain, "_extend", lambda path, pz, po, pi: lengths.add(len(po)) or extend(path, pz, po, pi))
+    got = explain.ensemble_shap(x, trees, [0.5] * len(trees), 5)
+    assert (max(lengths) <= 2 ** limit) == (limit == 8)
+    for i in (0, 1, 9, 500):
+        want = 2 * sum(0.5 * brute_shap(x[i], t, 5) for t in trees)
+        assert got[i] == pytest.approx(want, abs=1e-10)
+    rows = 2 * sum(0.5 * explain.tree_shap(x, t, 5) for t in trees)
+    assert np.abs(got - rows).max() < 1e-12
