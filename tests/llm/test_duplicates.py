@@ -1,5 +1,6 @@
 """Near duplicates and repeated strings against all-pairs definitions."""
 import random
+import re
 
 import brute
 import numpy as np
@@ -178,3 +179,31 @@ def test_suffix_query_scans_and_merges_levels(spark, tmp_path, monkeypatch):
     assert all((n >= len(shared)) == bool(i % 2) and (i % 2 or n == 0) for i, n in got.items())
     whole = suffix_dedup.digest(spark.read.parquet(f"{tmp_path}/documents.parquet"))
     assert {r.doc_id: r.n_removed for r in whole.collect()} == got
+
+
+@pytest.mark.parametrize("many", [S.MANY_RUNS, 0])
+def test_texts_move_once_after_indexing(spark, tmp_path, monkeypatch, many):
+    """Fetching runs and cutting spans read one exchange of the texts, and no fingerprints of windows are written."""
+    shared = "".join(f"{i * 7919 % 1000003} " for i in range(120))
+    rows = [(i, f"head {i} {i * i} " + (shared if i % 2 else "") + f" tail {i * 31}") for i in range(24)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    kept, first = [], S.written
+
+    def written(df, name):
+        kept.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return first(df, name)
+    monkeypatch.setattr(S, "written", written)
+    out = S.digest(spark.read.parquet(f"{tmp_path}/documents.parquet"), many_runs=many)
+    got = [tuple(r) for r in out.select(CUT).collect()]
+    assert sorted(got) == sorted(brute.repeats(rows)) and any(r[2] for r in got)
+    assert all("text#" not in plan for name, plan in kept if name != "suffix-level")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall(r"FileScan parquet \[doc_id#\d+L?,text#", plan)) == 1 and "ReusedExchange" in plan
+
+
+def test_prints_of_joined_runs_are_those_of_each():
+    rnd = np.random.default_rng(5)
+    runs = [rnd.integers(0, 256, n).astype(np.uint8).tobytes() for n in (9, 400, 7, S._JOINED + 50, 8, 30)]
+    for a, b in zip(S.prints_of(runs, 7), runs):
+        assert (a == S.window_prints(np.frombuffer(b, np.uint8), 7)).all()
