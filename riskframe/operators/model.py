@@ -4,6 +4,8 @@
   (parameter map in SURVEY 4.3). MLlib has no patience, so rounds are fitted in
   blocks of growing length until the best validation AUC lies `patience` rounds
   back; the ensemble is then cut after its best round (same seed -> same trees).
+  On many rows the trees are grown by `operators.boosting`, which goes on from
+  the last block where MLlib starts anew.
 * Isotonic calibration (M3) pools adjacent violators in parallel over the
   validation split's distinct-score table (`operators.isotonic`).
 * Scoring (M4) is `transform` + `vector_to_array`; it runs unchanged on
@@ -28,6 +30,7 @@ from .. import config as C
 from ..functions.prims import counted_side, score_hist
 from ..session import materialize, path_exists
 from . import isotonic
+from .boosting import Boosting
 from .isotonic import IsotonicTable
 
 
@@ -65,6 +68,8 @@ def filler(fills: dict[str, float]) -> SQLTransformer:
 ROWS_PER_PARTITION = 50_000
 #: From so many training rows on, the first block of rounds gets no fit of its own.
 LONG_START_ROWS = 500_000
+#: From so many training rows on, trees are grown by `Boosting`, block after block without a start from scratch.
+GROWN_ROWS = 1_000_000
 
 
 @dataclass
@@ -80,10 +85,10 @@ class FittedModel:
 MARGIN_CELLS = 16_384
 
 
-def _margins(vectors: DataFrame, gbt_model, out: str, emit) -> DataFrame:
+def _margins(vectors: DataFrame, ensemble: tuple[list[dict], list[float]], out: str, emit) -> DataFrame:
     """Runs `emit(margins, labels)` on Arrow batches; margins has a column per tree prefix, as running sums of one pass."""
-    from .explain import extract_trees, tree_values
-    shared = vectors.sparkSession.sparkContext.broadcast(extract_trees(gbt_model))      # model-sized
+    from .explain import tree_values
+    shared = vectors.sparkSession.sparkContext.broadcast(ensemble)      # model-sized
 
     def rows(batches):
         trees, weights = shared.value
@@ -101,7 +106,14 @@ def _grid_cell(margins: np.ndarray, low: np.ndarray, width: np.ndarray, n_cells:
 
 
 def prefix_auc(gbt_model, val_vectors: DataFrame, only_best: bool = False, n_cells: int = MARGIN_CELLS) -> list[float]:
-    """Validation AUC of every tree prefix (1..n).
+    """Validation AUC of every tree prefix (1..n) of a fitted model (see `ensemble_auc`)."""
+    from .explain import extract_trees
+    return ensemble_auc(extract_trees(gbt_model), val_vectors, only_best, n_cells)
+
+
+def ensemble_auc(ensemble: tuple[list[dict], list[float]], val_vectors: DataFrame, only_best: bool = False,
+                 n_cells: int = MARGIN_CELLS) -> list[float]:
+    """Validation AUC of every prefix (1..n) of (trees, weights), as `explain.extract_trees` gives them.
 
     Pass 1 adds up positives and negatives per prefix and cell of a grid over the
     prefix's possible margins (its leaves bound them), at most `n_cells` rows per
@@ -112,8 +124,7 @@ def prefix_auc(gbt_model, val_vectors: DataFrame, only_best: bool = False, n_cel
     bounds: those and the maximum are exact, others are the middle of their bounds.
     Missing a class, every AUC is NaN.
     """
-    from .explain import extract_trees
-    trees, weights = extract_trees(gbt_model)
+    trees, weights = ensemble
     low = np.cumsum([min(w * v for v in t["value"][t["feature"] < 0]) for t, w in zip(trees, weights)])
     high = np.cumsum([max(w * v for v in t["value"][t["feature"] < 0]) for t, w in zip(trees, weights)])
     width = np.maximum(high - low, 1e-300) / n_cells
@@ -126,7 +137,7 @@ def prefix_auc(gbt_model, val_vectors: DataFrame, only_best: bool = False, n_cel
         all_ = np.bincount(where.ravel(), minlength=len(own))
         yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(pos), pa.array(all_ - pos)], ["cell", "pos", "neg"])
 
-    grid = materialize(_margins(val_vectors, gbt_model, "cell long, pos long, neg long", cells)
+    grid = materialize(_margins(val_vectors, ensemble, "cell long, pos long, neg long", cells)
                        .groupBy("cell").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
                        .withColumn("k", F.expr(f"CAST(cell div {n_cells} AS INT)")))
     w = Window.partitionBy("k").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)     # n_cells rows at most
@@ -150,7 +161,7 @@ def prefix_auc(gbt_model, val_vectors: DataFrame, only_best: bool = False, n_cel
             yield pa.RecordBatch.from_arrays(
                 [pa.array(at.ravel()), pa.array(m[:, wanted].ravel()), pa.array(np.repeat(y, len(wanted)))], ["cell", "m", "y"])
 
-        met = (_margins(val_vectors, gbt_model, "cell long, m double, y long", rows)
+        met = (_margins(val_vectors, ensemble, "cell long, m double, y long", rows)
                .join(counted_side(mixed, len(wanted) * n_cells), "cell", "left_semi")
                .groupBy("cell", "m").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
         wc = Window.partitionBy("cell").orderBy("m").rowsBetween(Window.unboundedPreceding, -1)
@@ -188,25 +199,44 @@ def rounds_in_blocks(max_iter: int, patience: int) -> Iterator[int]:
     yield max_iter
 
 
-def _boost(gbt: GBTClassifier, tr: DataFrame, va: DataFrame, params: C.GBTParams, select_by: str,
-           first: int = 0) -> tuple[GBTClassificationModel, list[float], int]:
-    """(ensemble of the last block, losses up to the stop, best round), block after block.
+class Refits:
+    """An ensemble that grows by MLlib fits from the start; the counterpart of `Boosting` for few rows.
 
-    Blocks of fewer than `first` rounds get no fit of their own: they are judged, in
-    turn and by the same rows, on the head of the fit of `first` rounds, which is the
-    same ensemble. So `first` changes what is fitted, never what is returned.
+    Blocks of fewer than `first` rounds get no fit of their own: they are the head of the
+    fit of `first` rounds, which is the same ensemble. So `first` changes what is fitted,
+    never what is returned.
     """
-    whole = None
+
+    def __init__(self, gbt: GBTClassifier, tr: DataFrame, first: int = 0):
+        self.gbt, self.tr, self.first, self.whole = gbt, tr, first, None
+
+    def grow(self, rounds: int) -> Refits:
+        if self.whole is None or len(self.whole.treeWeights) < rounds:
+            self.whole = self.gbt.copy().setMaxIter(max(rounds, self.first)).fit(self.tr)
+        return self
+
+    def extracted(self, n_trees: int) -> tuple[list[dict], list[float]]:
+        from .explain import extract_trees
+        return extract_trees(self.model(n_trees))
+
+    def model(self, n_trees: int) -> GBTClassificationModel:
+        return truncated(self.whole, n_trees)
+
+    def close(self) -> None:
+        pass
+
+
+def _boost(ensemble: Refits | Boosting, va: DataFrame, params: C.GBTParams, select_by: str) -> tuple[list[float], int]:
+    """(losses up to the stop, best round) of an ensemble that grows block after block."""
     for rounds in rounds_in_blocks(params.max_iter, params.patience):
-        if whole is None or len(whole.treeWeights) < rounds:
-            whole = gbt.copy().setMaxIter(max(rounds, first)).fit(tr)
-        m = truncated(whole, rounds)
-        losses = [-a for a in prefix_auc(m, va, only_best=True)] if select_by == "auc" else list(m.evaluateEachIteration(va))
+        ensemble.grow(rounds)
+        losses = [-a for a in ensemble_auc(ensemble.extracted(rounds), va, only_best=True)] if select_by == "auc" \
+            else list(ensemble.model(rounds).evaluateEachIteration(va))
         best = int(np.argmin([np.inf if np.isnan(x) else x for x in losses])) + 1
         if len(losses) >= best + params.patience:
             losses = losses[:best + params.patience]          # what a round-by-round stop would have seen
             break
-    return m, losses, best
+    return losses, best
 
 
 def train_gbt(train: DataFrame, val: DataFrame, params: C.GBTParams = C.GBTParams(),
@@ -224,7 +254,8 @@ def train_gbt(train: DataFrame, val: DataFrame, params: C.GBTParams = C.GBTParam
     The first block ends boosting only if the best round is one of its first few
     (a fifth of the patience); from `LONG_START_ROWS` training rows on, where a round
     costs by its rows, the second block is fitted at once and the first is judged on
-    its head (`_boost`), with the same result.
+    its head (`Refits`), with the same result. From `GROWN_ROWS` on no round is fitted
+    twice: `Boosting` grows the same trees and goes on from the block before.
 
     select_by="auc" (the reference's first early-stopping metric): the prefix with
     the highest validation AUC, earliest on ties; "logloss": the prefix with the
@@ -246,8 +277,12 @@ def train_gbt(train: DataFrame, val: DataFrame, params: C.GBTParams = C.GBTParam
                         featureSubsetStrategy=params.feature_subset, subsamplingRate=params.subsampling_rate,
                         maxBins=params.max_bins, seed=params.seed)
     blocks = [*rounds_in_blocks(params.max_iter, params.patience)][:2]
-    m, losses, best = _boost(gbt, tr, va, params, select_by, blocks[-1] if n_rows >= LONG_START_ROWS else 0)
-    pm = PipelineModel(stages=[*inputs.stages, truncated(m, best)])
+    ensemble = Boosting(gbt, tr) if n_rows >= GROWN_ROWS else Refits(gbt, tr, blocks[-1] if n_rows >= LONG_START_ROWS else 0)
+    try:
+        losses, best = _boost(ensemble, va, params, select_by)
+        pm = PipelineModel(stages=[*inputs.stages, ensemble.model(best)])
+    finally:
+        ensemble.close()
     return FittedModel(pm, best, losses, feature_cols, fills)
 
 

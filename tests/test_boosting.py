@@ -101,3 +101,72 @@ def test_many_rows_skip_the_first_fit_and_get_the_same_model(spark, monkeypatch)
     fitted_rounds.clear()
     got = model.train_gbt(tr, one_class, stop, COLS, "y")
     assert fitted_rounds == [12] and got.best_iteration == 1 and len(got.val_losses) == 6
+
+
+def test_draws_are_those_of_spark(spark):
+    from riskframe.operators import boosting
+    jvm = spark.sparkContext._jvm
+    for seed in (0, 42, -7, 1 << 40):
+        r = jvm.org.apache.spark.util.random.XORShiftRandom(seed)
+        assert boosting.uniforms(seed, 300).tolist() == [r.nextDouble() for _ in range(300)]
+    assert np.array_equal(boosting.uniforms(5, 400_000)[3 * boosting.CHUNK:], boosting.uniforms(5, 400_000 - 3 * boosting.CHUNK, 3 * boosting.CHUNK))
+    r, own = jvm.java.util.Random(9), boosting.JavaRandom(9)
+    assert [r.nextLong() % (1 << 64) for _ in range(20)] == [own.next_long() for _ in range(20)]
+
+
+@pytest.mark.parametrize("parts,depth,rate,direct", [(1, 5, 0.8, 64), (3, 3, 0.8, 1), (2, 4, 1.0, 64), (1, 0, 0.8, 64)])
+def test_grown_trees_are_those_of_a_fit(spark, monkeypatch, parts, depth, rate, direct):
+    """Grown in two steps and over a rebase, several chunks and constant, repeated and missing values included."""
+    from riskframe.operators import boosting
+    from riskframe.operators.explain import extract_trees
+    monkeypatch.setattr(boosting, "REBASE", 4)
+    monkeypatch.setattr(boosting, "DIRECT_TASKS", direct)
+    df = frame(spark, 900, 8, 1.0).coalesce(parts).withColumn("same", F.lit(2.0)).withColumn("few", F.floor("b") * 1.0)
+    cols = [*COLS, "same", "few"]
+    vec = VectorAssembler(inputCols=cols, outputCol="features").transform(df).select("features", F.col("y").cast("double").alias("label"))
+    gbt = GBTClassifier(maxIter=7, maxDepth=depth, stepSize=0.2, minInstancesPerNode=5, featureSubsetStrategy="0.7", subsamplingRate=rate,
+                        maxBins=32, seed=11)
+    want, grown = gbt.fit(vec), boosting.Boosting(gbt, vec)
+    got = grown.grow(3).grow(7).model(7)
+    for forms in (extract_trees(got), grown.extracted(7)):
+        assert forms[1] == list(want.treeWeights)
+    for a, b in zip(extract_trees(got)[0], extract_trees(want)[0]):
+        assert a["feature"].tolist() == b["feature"].tolist() and a["cover"].tolist() == b["cover"].tolist()
+        assert a["threshold"].tolist() == b["threshold"].tolist()
+        assert a["value"] == pytest.approx(b["value"], rel=1e-9, abs=1e-12)
+    assert got.featureImportances.toArray() == pytest.approx(want.featureImportances.toArray(), abs=1e-9)
+    assert model.ensemble_auc(grown.extracted(7), vec) == pytest.approx(model.prefix_auc(want, vec), abs=1e-9)
+    assert model.ensemble_auc(grown.extracted(4), vec) == pytest.approx(model.prefix_auc(model.truncated(want, 4), vec), abs=1e-9)
+    grown.close()
+
+
+def test_chunks_and_uneven_partitions(spark, monkeypatch):
+    """Partitions of several chunks draw the rows MLlib draws, and no rows are lost."""
+    from riskframe.operators import boosting
+    from riskframe.operators.explain import extract_trees
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2 * boosting.CHUNK + 777, 1))
+    df = spark.createDataFrame([(float(a), float(a + b > 0)) for a, b in zip(x[:, 0], rng.normal(size=len(x)))], "a double, label double", 2)
+    vec = VectorAssembler(inputCols=["a"], outputCol="features").transform(df.coalesce(1)).select("features", "label").cache()
+    gbt = GBTClassifier(maxIter=2, maxDepth=2, subsamplingRate=0.8, seed=4)
+    got, want = extract_trees(boosting.Boosting(gbt, vec).grow(2).model(2))[0], extract_trees(gbt.fit(vec))[0]
+    for a, b in zip(got, want):
+        assert a["threshold"].tolist() == b["threshold"].tolist() and a["cover"].tolist() == b["cover"].tolist()
+        assert a["value"] == pytest.approx(b["value"], rel=1e-9)
+
+
+def test_many_rows_are_grown_without_a_fit_and_give_the_same_model(spark, monkeypatch):
+    tr, va = frame(spark, 600, 1, 2.0), frame(spark, 400, 2, 2.0)
+    p = C.GBTParams(max_iter=1000, patience=5, max_depth=2, step_size=0.1, min_instances_per_node=5)
+    few = model.train_gbt(tr, va, p, COLS, "y")
+    monkeypatch.setattr(model, "GROWN_ROWS", 600)
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df, *a: pytest.fail("fitted from the start"))
+    many = model.train_gbt(tr, va, p, COLS, "y")
+    assert many.best_iteration == few.best_iteration and many.val_losses == pytest.approx(few.val_losses, abs=1e-9)
+    a, b = ([r.raw_score for r in model.raw_scores(m.model, va).orderBy("loan_id").collect()] for m in (many, few))
+    assert a == pytest.approx(b, abs=1e-9)
+    one_class = va.withColumn("y", F.lit(0))
+    got = model.train_gbt(tr, one_class, p, COLS, "y")
+    assert got.best_iteration == 1 and all(np.isnan(got.val_losses))
+    by_loss = model.train_gbt(tr, va, C.GBTParams(max_iter=8, patience=5, max_depth=2), COLS, "y", select_by="logloss")
+    assert len(by_loss.val_losses) <= 8 and by_loss.best_iteration >= 1
