@@ -61,15 +61,17 @@ def extract_trees(gbt_model) -> tuple[list[dict], list[float]]:
 
 
 def tree_values(x: np.ndarray, tree: dict) -> np.ndarray:
-    """Prediction of one regression tree for every row, level by level."""
+    """Prediction of one regression tree for every row, level by level; leaves lead to themselves."""
+    leaf, own = tree["feature"] < 0, np.arange(len(tree["feature"]))
+    feature = np.where(leaf, 0, tree["feature"])
+    left, right = np.where(leaf, own, tree["left"]), np.where(leaf, own, tree["right"])
+    cells, first = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1]
     at = np.zeros(len(x), dtype=np.int64)
-    rows = np.arange(len(x))
-    feature = tree["feature"]
-    while (inner := feature[at] >= 0).any():
-        i = at[inner]
-        left = x[rows[inner], feature[i]] <= tree["threshold"][i]
-        at[inner] = np.where(left, tree["left"][i], tree["right"][i])
-    return tree["value"][at]
+    while True:
+        after = np.where(cells[first + feature[at]] <= tree["threshold"][at], left[at], right[at])
+        if np.array_equal(after, at):
+            return tree["value"][at]
+        at = after
 
 
 def _extend(path, pz, po, pi):

@@ -105,6 +105,33 @@ def _grid_cell(margins: np.ndarray, low: np.ndarray, width: np.ndarray, n_cells:
     return np.clip(((margins - low) / width).astype(np.int64), 0, n_cells - 1)
 
 
+def _grid(vectors: DataFrame, ensemble: tuple[list[dict], list[float]], low: np.ndarray, width: np.ndarray,
+          n_cells: int) -> DataFrame:
+    """Positives and negatives per prefix and cell, added up by each task over all its rows, tree by tree."""
+    from .explain import tree_values
+    shared = vectors.sparkSession.sparkContext.broadcast(ensemble)      # model-sized
+
+    def cells(batches):
+        trees, weights = shared.value
+        pos, neg = np.zeros((2, len(trees), n_cells), np.int32)
+        for b in batches:
+            if b.num_rows:
+                x, y = b.column("x").flatten().to_numpy().reshape(b.num_rows, -1), b.column("y").to_numpy()
+                margins = np.zeros(b.num_rows)
+                for k, (t, w) in enumerate(zip(trees, weights)):
+                    margins = margins + w * tree_values(x, t)
+                    at = _grid_cell(margins, low[k], width[k], n_cells)
+                    np.add.at(pos[k], at, y.astype(np.int32))
+                    np.add.at(neg[k], at, (1 - y).astype(np.int32))
+        for k in range(len(trees)):
+            at = np.flatnonzero(pos[k] + neg[k])
+            yield pa.RecordBatch.from_arrays([pa.array(at + k * n_cells), pa.array(pos[k][at].astype(np.int64)),
+                                              pa.array(neg[k][at].astype(np.int64))], ["cell", "pos", "neg"])
+
+    return vectors.select(vector_to_array("features").alias("x"), F.col("label").cast("long").alias("y")).mapInArrow(
+        cells, "cell long, pos long, neg long")
+
+
 def prefix_auc(gbt_model, val_vectors: DataFrame, only_best: bool = False, n_cells: int = MARGIN_CELLS) -> list[float]:
     """Validation AUC of every tree prefix (1..n) of a fitted model (see `ensemble_auc`)."""
     from .explain import extract_trees
@@ -116,8 +143,8 @@ def ensemble_auc(ensemble: tuple[list[dict], list[float]], val_vectors: DataFram
     """Validation AUC of every prefix (1..n) of (trees, weights), as `explain.extract_trees` gives them.
 
     Pass 1 adds up positives and negatives per prefix and cell of a grid over the
-    prefix's possible margins (its leaves bound them), at most `n_cells` rows per
-    prefix and task. Pairs of different cells are then ordered; pairs inside a cell
+    prefix's possible margins (its leaves bound them): `n_cells` rows per prefix and
+    task at most, added up where the rows are. Pairs of different cells are then ordered; pairs inside a cell
     leave the AUC between two bounds. Pass 2 sends the rows of cells that hold both
     classes, for prefixes whose bounds are apart, and ranks them inside their cell.
     With `only_best`, pass 2 takes only prefixes that may be the best by their
@@ -130,14 +157,7 @@ def ensemble_auc(ensemble: tuple[list[dict], list[float]], val_vectors: DataFram
     width = np.maximum(high - low, 1e-300) / n_cells
     n = len(trees)
 
-    def cells(m, y):
-        at = _grid_cell(m, low, width, n_cells) + np.arange(n) * n_cells
-        own, where = np.unique(at, return_inverse=True)
-        pos = np.bincount(where.ravel(), np.repeat(y, n), len(own)).astype(np.int64)
-        all_ = np.bincount(where.ravel(), minlength=len(own))
-        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(pos), pa.array(all_ - pos)], ["cell", "pos", "neg"])
-
-    grid = materialize(_margins(val_vectors, ensemble, "cell long, pos long, neg long", cells)
+    grid = materialize(_grid(val_vectors, ensemble, low, width, n_cells)
                        .groupBy("cell").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
                        .withColumn("k", F.expr(f"CAST(cell div {n_cells} AS INT)")))
     w = Window.partitionBy("k").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)     # n_cells rows at most
