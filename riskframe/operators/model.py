@@ -220,19 +220,20 @@ def rounds_in_blocks(max_iter: int, patience: int) -> Iterator[int]:
 
 
 class Refits:
-    """An ensemble that grows by MLlib fits from the start; the counterpart of `Boosting` for few rows.
+    """An ensemble that grows by MLlib fits from the start, in blocks; the counterpart of `Boosting` for few rows.
 
-    Blocks of fewer than `first` rounds get no fit of their own: they are the head of the
-    fit of `first` rounds, which is the same ensemble. So `first` changes what is fitted,
-    never what is returned.
+    Fewer than `first` rounds get no fit of their own: they are the head of the fit of
+    `first` rounds, which is the same ensemble. So `first` and the blocks change what is
+    fitted, never what is returned.
     """
 
-    def __init__(self, gbt: GBTClassifier, tr: DataFrame, first: int = 0):
-        self.gbt, self.tr, self.first, self.whole = gbt, tr, first, None
+    def __init__(self, gbt: GBTClassifier, tr: DataFrame, blocks: Sequence[int], first: int = 0):
+        self.gbt, self.tr, self.blocks, self.first, self.whole = gbt, tr, blocks, first, None
 
     def grow(self, rounds: int) -> Refits:
         if self.whole is None or len(self.whole.treeWeights) < rounds:
-            self.whole = self.gbt.copy().setMaxIter(max(rounds, self.first)).fit(self.tr)
+            block = next(n for n in self.blocks if n >= max(rounds, self.first))
+            self.whole = self.gbt.copy().setMaxIter(block).fit(self.tr)
         return self
 
     def extracted(self, n_trees: int) -> tuple[list[dict], list[float]]:
@@ -247,16 +248,21 @@ class Refits:
 
 
 def _boost(ensemble: Refits | Boosting, va: DataFrame, params: C.GBTParams, select_by: str) -> tuple[list[float], int]:
-    """(losses up to the stop, best round) of an ensemble that grows block after block."""
-    for rounds in rounds_in_blocks(params.max_iter, params.patience):
+    """(losses up to the stop, best round) of an ensemble that grows until its best round lies `patience` rounds back.
+
+    It is judged where it might stop at the earliest: `patience` rounds after the best
+    one so far. A better round among the new ones moves that point by the patience at
+    least, so the stop is that of a look after every round, with few looks.
+    """
+    rounds = min(params.max_iter, 1 + params.patience)
+    while True:
         ensemble.grow(rounds)
         losses = [-a for a in ensemble_auc(ensemble.extracted(rounds), va, only_best=True)] if select_by == "auc" \
             else list(ensemble.model(rounds).evaluateEachIteration(va))
         best = int(np.argmin([np.inf if np.isnan(x) else x for x in losses])) + 1
-        if len(losses) >= best + params.patience:
-            losses = losses[:best + params.patience]          # what a round-by-round stop would have seen
-            break
-    return losses, best
+        if rounds >= min(params.max_iter, best + params.patience):
+            return losses, best
+        rounds = min(params.max_iter, best + params.patience)
 
 
 def train_gbt(train: DataFrame, val: DataFrame, params: C.GBTParams = C.GBTParams(),
@@ -265,8 +271,9 @@ def train_gbt(train: DataFrame, val: DataFrame, params: C.GBTParams = C.GBTParam
     """Fit boosted trees on train with patience on validation, and keep the best prefix.
 
     The budget is `params.max_iter` rounds; boosting stops once the best round lies
-    `params.patience` rounds back. MLlib cannot go on from a fitted ensemble, so
-    rounds are fitted in blocks of growing length, each from the start under the
+    `params.patience` rounds back, as after a look at every round: rounds that a block
+    holds beyond that stop are not looked at. MLlib cannot go on from a fitted ensemble,
+    so rounds are fitted in blocks of growing length, each from the start under the
     same seed (its first trees are those of the block before): at most twice the
     rounds of the last block in all. The result is the last ensemble cut after its
     best round, which needs no further fit.
@@ -296,8 +303,9 @@ def train_gbt(train: DataFrame, val: DataFrame, params: C.GBTParams = C.GBTParam
                         minInstancesPerNode=params.min_instances_per_node,
                         featureSubsetStrategy=params.feature_subset, subsamplingRate=params.subsampling_rate,
                         maxBins=params.max_bins, seed=params.seed)
-    blocks = [*rounds_in_blocks(params.max_iter, params.patience)][:2]
-    ensemble = Boosting(gbt, tr) if n_rows >= GROWN_ROWS else Refits(gbt, tr, blocks[-1] if n_rows >= LONG_START_ROWS else 0)
+    blocks = [*rounds_in_blocks(params.max_iter, params.patience)]
+    ensemble = Boosting(gbt, tr) if n_rows >= GROWN_ROWS else \
+        Refits(gbt, tr, blocks, blocks[:2][-1] if n_rows >= LONG_START_ROWS else 0)
     try:
         losses, best = _boost(ensemble, va, params, select_by)
         pm = PipelineModel(stages=[*inputs.stages, ensemble.model(best)])

@@ -170,3 +170,34 @@ def test_many_rows_are_grown_without_a_fit_and_give_the_same_model(spark, monkey
     assert got.best_iteration == 1 and all(np.isnan(got.val_losses))
     by_loss = model.train_gbt(tr, va, C.GBTParams(max_iter=8, patience=5, max_depth=2), COLS, "y", select_by="logloss")
     assert len(by_loss.val_losses) <= 8 and by_loss.best_iteration >= 1
+
+
+def test_stop_is_that_of_a_look_after_every_round(monkeypatch):
+    """A later round that is better, but past the stop, is not taken, whatever the rounds of a block."""
+    rng = np.random.default_rng(0)
+
+    class Ensemble:
+        grown = 0
+
+        def grow(self, rounds):
+            self.grown = max(self.grown, rounds)
+
+        def extracted(self, n):
+            return n
+
+    for _ in range(300):
+        p = C.GBTParams(max_iter=int(rng.integers(1, 60)), patience=int(rng.integers(1, 12)))
+        aucs = np.where(rng.random(60) < 0.1, np.nan, np.round(rng.random(60), 1) + np.arange(60) * rng.choice([0, 0.02]))
+        best, stop = 0, p.max_iter
+        for i in range(p.max_iter):
+            if np.isnan(aucs[best]) and not np.isnan(aucs[i]) or aucs[i] > aucs[best]:
+                best = i
+            if i + 1 >= best + 1 + p.patience:
+                stop = i + 1
+                break
+        if np.isnan(aucs[0]):
+            continue        # without a first AUC there are none at all
+        monkeypatch.setattr(model, "ensemble_auc", lambda n, va, only_best: list(aucs[:n]))
+        e = Ensemble()
+        losses, got = model._boost(e, None, p, "auc")
+        assert (len(losses), got, e.grown) == (stop, best + 1, stop)
